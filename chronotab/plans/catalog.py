@@ -40,4 +40,5 @@ def load_all() -> None:
     """Import every module that registers queries."""
     from chronotab.plans import (  # noqa: F401
         q_asof,
+        q_events,
     )
