@@ -192,3 +192,46 @@ __all__ = [
     "stratified_spaced_sample", "cursor_batch", "next_cursor", "range_boundaries", "bucket_of",
     "micros",
 ]
+
+
+def numpy_q(q: float) -> float:
+    """The quantile numpy actually uses when pandas passes ``q * 100`` to ``percentile``."""
+    return (q * 100.0) / 100.0
+
+
+def lerp(a: Column, b: Column, g: Column) -> Column:
+    """numpy's linear interpolation (the form that is exact at both ends)."""
+    diff = b - a
+    return F.when(g >= 0.5, b - diff * (F.lit(1.0) - g)).otherwise(a + diff * g)
+
+
+def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
+                    by: Sequence[str] = (), n_buckets: int | None = None) -> DataFrame:
+    """Exact linear-interpolated quantiles (pandas / numpy ``linear``) per group, without a
+    per-group value map: distinct values with counts get global running counts (P1), and each
+    requested position is looked up in the range of the value that holds it.
+
+    Returns ``(*by, q_index, q, value)``; groups with no non-null value give no rows."""
+    by = list(by)
+    key = by or ["_g"]
+    src = df if by else df.withColumn("_g", F.lit(0))
+    g = src.where(F.col(value).isNotNull()).groupBy(*key, value).agg(F.count(F.lit(1)).alias("_c"))
+    pt = prefix_totals(g, [value], {"_cum": F.col("_c")}, partition_by=key, n_buckets=n_buckets)
+    pt = pt.withColumn("_start", F.col("_cum") - F.col("_c"))
+    req = (g.groupBy(*key).agg(F.sum("_c").alias("_T"))
+           .withColumn("_r", F.explode(F.array(*[
+               F.struct(F.lit(i).alias("q_index"), F.lit(float(numpy_q(q))).alias("q"))
+               for i, q in enumerate(probs)])))
+           .select(*key, "_T", "_r.q_index", "_r.q"))
+    req = req.withColumn("_h", (F.col("_T") - 1).cast("double") * F.col("q"))
+    req = req.withColumns({"_lo": F.floor("_h").cast("bigint")})
+    req = req.withColumns({"_hi": F.least(F.col("_lo") + 1, F.col("_T") - 1),
+                           "_gm": F.col("_h") - F.col("_lo").cast("double")})
+    inside = lambda p: (F.col("_start") <= F.col(p)) & (F.col(p) < F.col("_cum"))
+    j = req.join(pt, key).where(inside("_lo") | inside("_hi"))
+    agg = j.groupBy(*key, "q_index", "q", "_gm").agg(
+        F.max(F.when(inside("_lo"), F.col(value))).alias("_vlo"),
+        F.max(F.when(inside("_hi"), F.col(value))).alias("_vhi"))
+    out = agg.select(*key, "q_index", "q",
+                     lerp(F.col("_vlo").cast("double"), F.col("_vhi").cast("double"), F.col("_gm")).alias("value"))
+    return out if by else out.drop("_g")

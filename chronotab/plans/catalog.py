@@ -41,4 +41,5 @@ def load_all() -> None:
     from chronotab.plans import (  # noqa: F401
         q_asof,
         q_events,
+        q_eval,
     )
