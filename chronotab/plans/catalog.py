@@ -42,4 +42,5 @@ def load_all() -> None:
         q_asof,
         q_events,
         q_eval,
+        q_quality,
     )
