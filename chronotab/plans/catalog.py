@@ -43,4 +43,5 @@ def load_all() -> None:
         q_events,
         q_eval,
         q_quality,
+        q_nested,
     )

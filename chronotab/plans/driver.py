@@ -42,9 +42,10 @@ def customer_decisions(t: Tables, n_buckets: int | None = None) -> DataFrame:
                                CUSTOMER_ANCHOR.end, n_buckets=n_buckets)
 
 
-def customer_history_aggregates(t: Tables, decisions: DataFrame, strategy: str = "auto",
+def customer_history_aggregates(t: Tables | None, decisions: DataFrame, strategy: str = "auto",
                                 orders: DataFrame | None = None,
-                                lineitem: DataFrame | None = None) -> DataFrame:
+                                lineitem: DataFrame | None = None,
+                                owners: DataFrame | None = None) -> DataFrame:
     """D1/D2 shape: order aggregates as of each decision, with the lineitem count and sum
     resolved through orders (C2) and left-joined onto the order aggregate (T7)."""
     orders = t.orders if orders is None else orders
@@ -59,7 +60,8 @@ def customer_history_aggregates(t: Tables, decisions: DataFrame, strategy: str =
          Agg("ORDERS_TOTALPRICE_MEAN", "mean", "o_totalprice", scale=2),
          Agg("ORDERS_URGENT_COUNT", "count_if", cond=F.col("o_orderpriority") == URGENT)],
         strategy=strategy)
-    parents = orders.select(F.col("o_orderkey").alias("l_orderkey"),
+    owners = orders if owners is None else owners  # who owns an order is not time-dependent
+    parents = owners.select(F.col("o_orderkey").alias("l_orderkey"),
                             F.col("o_custkey").alias("c_custkey"))
     li = resolve_via(lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_shipdate"),
                      parents, "l_orderkey", "c_custkey")
@@ -75,15 +77,26 @@ def customer_target() -> Column:
     return (F.col("c_acctbal") < 0).cast("int")
 
 
+BASE_COLUMNS = ["c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal"]
+
+
+def assemble_customer_features(base: DataFrame, decisions: DataFrame, orders: DataFrame,
+                               lineitem: DataFrame, strategy: str = "auto",
+                               owners: DataFrame | None = None) -> DataFrame:
+    """Base columns + as-of aggregates for any ``(c_custkey, DECISION_TS)``; the same call
+    serves the batch tables and tables rebuilt from requests (G10)."""
+    aggs = customer_history_aggregates(None, decisions, strategy, orders=orders, lineitem=lineitem,
+                                       owners=owners)
+    feats = base.join(decisions, "c_custkey").join(aggs, "c_custkey", "left")
+    return missing_policy(feats)
+
+
 def asof_customer_features(t: Tables, strategy: str = "auto", n_buckets: int | None = None,
                            decisions: DataFrame | None = None) -> DataFrame:
     """F5 on the driver tables: E1 -> C1/C2/D-form -> C3 -> B9 -> C4 -> F1 -> F3."""
     dec = customer_decisions(t, n_buckets) if decisions is None else decisions
-    aggs = customer_history_aggregates(t, dec, strategy)
-    base = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal",
-                             customer_target().alias("TARGET"))
-    feats = base.join(dec, "c_custkey").join(aggs, "c_custkey", "left")
-    feats = missing_policy(feats)
+    base = t.customer.select(*BASE_COLUMNS, customer_target().alias("TARGET"))
+    feats = assemble_customer_features(base, dec, t.orders, t.lineitem, strategy)
     return add_split_and_maturity(feats, "DECISION_TS", CUSTOMER_SPLIT, CUSTOMER_LABEL)
 
 
