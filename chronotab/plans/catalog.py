@@ -44,4 +44,5 @@ def load_all() -> None:
         q_eval,
         q_quality,
         q_nested,
+        q_monitor,
     )

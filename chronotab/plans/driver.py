@@ -130,3 +130,60 @@ CARD_SQL = """SELECT event_id AS trans_num, ts AS trans_ts, user_id AS card,
   -90.0 - CAST(user_id % 13 AS DOUBLE) / 2.0 + CAST(event_id % 103 - 51 AS DOUBLE) / 100.0 AS merch_long,
   CAST(event_type = 'error' AS INTEGER) AS is_fraud
 FROM events"""
+
+
+# ---------------------------------------------------------------- events as a prediction log
+
+# Fixed values of the log mapping: the local copy stops when the host restarted, a new model
+# version was promoted, and the score threshold.
+LOCAL_COPY_UNTIL = "2024-01-20"
+PROMOTED_AT = "2024-01-16"
+SCORE_THRESHOLD = 0.5
+LOG_AS_OF = "2024-01-31"
+
+
+def traffic_source() -> Column:
+    """view -> test bench, click / purchase -> replay, signup -> live, error -> field missing."""
+    t = F.col("event_type")
+    return (F.when(t == "view", "test").when(t.isin("click", "purchase"), "replay")
+            .when(t == "signup", "live"))
+
+
+def prediction_log(t: Tables) -> DataFrame:
+    """Two copies of a prediction log built from events (copy 0 = local, 1 = durable);
+    consecutive events share a request id, so each copy holds duplicates."""
+    from chronotab.functions.scalar import decide
+    from chronotab.functions.timecols import ts_literal
+
+    e = t.events
+    score = F.col("value") / F.lit(500.0)
+    rec = e.select(
+        F.concat(F.lit("r"), F.expr("CAST(event_id div 2 AS STRING)")).alias("request_id"),
+        F.col("event_id").cast("string").alias("entity_id"),
+        F.lit("events").alias("model_name"),
+        F.when(F.col("ts") < ts_literal(PROMOTED_AT), "v1").otherwise("v2").alias("model_version"),
+        score.alias("score"), decide(score, SCORE_THRESHOLD).alias("decision"),
+        F.lit(SCORE_THRESHOLD).alias("threshold"),
+        F.create_map(F.lit("value"), F.col("value").cast("string"),
+                     F.lit("k"), F.get_json_object("props", "$.k"),
+                     F.lit("event_type"), F.col("event_type")).alias("feature_vector"),
+        traffic_source().alias("traffic_source"),
+        F.col("ts").alias("timestamp"), F.col("event_id").alias("_line"))
+    local = rec.where(F.col("timestamp") < ts_literal(LOCAL_COPY_UNTIL)).withColumns(
+        {"client": F.lit("local"), "_copy": F.lit(0)})
+    blob = rec.withColumns({"client": F.lit("blob"), "_copy": F.lit(1)})
+    return local.unionByName(blob)
+
+
+LOG_SQL = f"""SELECT 'r' || CAST(event_id // 2 AS VARCHAR) AS request_id, CAST(event_id AS VARCHAR) AS entity_id,
+  CASE WHEN ts < TIMESTAMP '{PROMOTED_AT}' THEN 'v1' ELSE 'v2' END AS model_version,
+  value / 500.0 AS score, CASE WHEN value / 500.0 >= {SCORE_THRESHOLD} THEN 'flag' ELSE 'pass' END AS decision,
+  value, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, event_type,
+  CASE WHEN event_type = 'view' THEN 'test' WHEN event_type IN ('click', 'purchase') THEN 'replay'
+       WHEN event_type = 'signup' THEN 'live' END AS traffic_source,
+  ts AS timestamp, event_id AS line, c.client, c.copy
+FROM events, (VALUES ('local', 0), ('blob', 1)) c(client, copy)
+WHERE c.copy = 1 OR ts < TIMESTAMP '{LOCAL_COPY_UNTIL}'"""
+
+DEDUP_SQL = f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY request_id
+  ORDER BY copy, timestamp DESC, line DESC) AS rn FROM ({LOG_SQL})) WHERE rn = 1"""
