@@ -45,4 +45,5 @@ def load_all() -> None:
         q_quality,
         q_nested,
         q_monitor,
+        q_series,
     )
