@@ -46,4 +46,5 @@ def load_all() -> None:
         q_nested,
         q_monitor,
         q_series,
+        q_govern,
     )
