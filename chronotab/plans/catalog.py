@@ -47,4 +47,5 @@ def load_all() -> None:
         q_monitor,
         q_series,
         q_govern,
+        q_stream,
     )
