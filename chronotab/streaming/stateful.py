@@ -134,7 +134,7 @@ def _card_features(key, pdfs: Iterator[pd.DataFrame], state: GroupState, history
         keep = T >= newest - history_us
         state.update((T[keep].tolist(), [int(x) for x in C[keep]], CAT[keep].tolist(),
                       [int(x) for x in LA[keep]], [int(x) for x in LO[keep]], newest))
-    yield out[[f.name for f in CARD_OUTPUT.fields]]
+    yield out[[f.name for f in CARD_OUTPUT.fields]].astype({"late": bool})
 
 
 def stream_event_features(tx: DataFrame, card: str = "card", history_days: int = 30) -> DataFrame:
@@ -147,8 +147,11 @@ def stream_event_features(tx: DataFrame, card: str = "card", history_days: int =
         return _card_features(key, pdfs, state, hist_us)
 
     cols = tx.select("trans_num", F_col(card).alias("card"), "trans_ts", "category", "amt", "merch_lat", "merch_long")
+    types = {f.name: f.dataType for f in cols.schema.fields}
+    out_schema = StructType([StructField(f.name, types[f.name]) if f.name in ("trans_num", "card") else f
+                             for f in CARD_OUTPUT.fields])
     return cols.groupBy("card").applyInPandasWithState(
-        fn, CARD_OUTPUT, CARD_STATE, "append", GroupStateTimeout.NoTimeout)
+        fn, out_schema, CARD_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
 def F_col(name):
