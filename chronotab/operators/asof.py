@@ -7,12 +7,16 @@ shuffle and a hot entity never ships its raw rows to one task.
 
 Join strategy, decided once per decision table:
 
-* ``broadcast`` - the decision table has a checked row bound (``fits_broadcast``); history is not
-  shuffled before the partial aggregate.
+* ``adaptive`` (default) - a plain equi-join left to AQE: it broadcasts the decision side when
+  its measured shuffle output is under the broadcast threshold, and otherwise splits skewed
+  partitions of the sort-merge join (``forceOptimizeSkewedJoin``), so a hot entity is spread
+  over several tasks. The partial aggregate runs before the shuffle that follows.
+* ``broadcast`` - the caller proved a row bound (``fits_broadcast``); history is not shuffled
+  before the partial aggregate.
 * ``salt`` - otherwise history rows get a salt in ``[0, S)`` from a hash of the row, each decision
-  row is repeated S times, the join runs on ``(key, salt)``, and a second small aggregation
-  combines the S partial rows of each entity. A key holding a third of all history is spread
-  over S tasks.
+  row is repeated S times and the join runs on ``(key, salt)``; each of the S tasks holding a
+  share of a hot key pre-aggregates it before the shuffle on the key. For engines or clusters
+  without AQE skew handling.
 """
 
 from __future__ import annotations
@@ -99,7 +103,11 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def choose_strategy(decisions: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> str:
+def choose_strategy(decisions: DataFrame, max_rows: int | None = None) -> str:
+    """``adaptive`` unless a row bound is asked for: then ``broadcast`` when the decision
+    table is proven to fit it, else ``salt``."""
+    if max_rows is None:
+        return "adaptive"
     return "broadcast" if fits_broadcast(decisions, max_rows) else "salt"
 
 
@@ -118,19 +126,24 @@ def asof_aggregate(history: DataFrame, decisions: DataFrame, key: str,
     if strategy == "broadcast":
         joined = h.join(F.broadcast(dec), key)
         group = [key]
+    elif strategy == "adaptive":
+        # AQE decides at run time from the measured size of the decision side: a broadcast
+        # join when it is small, otherwise a sort-merge join whose oversized partitions (a hot
+        # entity) are split across tasks (skew join, forced even though the aggregate after it
+        # then needs its own shuffle). The aggregate is partial before that shuffle.
+        joined = h.join(dec, key)
+        group = [key]
     elif strategy in ("salt", "shuffle"):
         n_salt = salt if strategy == "salt" else 1
         h = h.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in h.columns]), F.lit(n_salt)))
         dec = dec.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n_salt - 1)).cast("array<bigint>")))
-        joined = h.join(dec, [key, "_salt"])
-        group = [key, "_salt"]
+        joined = h.join(dec, [key, "_salt"]).drop("_salt")
+        group = [key]  # each salted task pre-aggregates its share of a hot key before the shuffle
     else:
         raise ValueError(f"unknown strategy {strategy}")
     tcol = ts() if callable(ts) else ts
     valid = joined.where(tcol < F.col(decision_ts))
     state = valid.groupBy(*group).agg(*[fn_alias(fn, expr, name) for name, expr, fn in parts])
-    if len(group) > 1:
-        state = state.groupBy(key).agg(*[_combine(fn, name) for name, _, fn in parts])
     return state.select(key, *[_final(a) for a in aggs])
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType, StringType
 
 from chronotab.config import DriftConfig
-from chronotab.operators.order import exact_quantiles
+from chronotab.operators.order import count_below, exact_quantiles
 
 ROUND = 12
 
@@ -68,7 +68,7 @@ def psi_numeric(reference: DataFrame, current: DataFrame, columns: Sequence[str]
 
     def counts(df):
         b = df.join(F.broadcast(edges), "column_name").withColumn(
-            "bin", F.size(F.filter("_edges", lambda e: e < F.col("value"))))
+            "bin", count_below("_edges", "value", cfg.n_bins - 1))
         return b.groupBy("column_name", "bin").agg(F.count(F.lit(1)).alias("n"))
 
     return _psi_from_counts(counts(ref), counts(cur), ["column_name", "bin"], cfg.share_floor)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronotab.config import EvalConfig, SliceConfig
-from chronotab.operators.order import exact_quantiles, prefix_totals
+from chronotab.operators.order import count_below, exact_quantiles, lerp, numpy_q, prefix_totals
 
 ROUND = 12
 
@@ -101,12 +101,35 @@ def alert_threshold(df: DataFrame, score: str, by: Sequence[str], budget: float)
     return q.select(*_key(by), F.col("value").alias("alert_threshold"))
 
 
+def threshold_from_steps(steps: DataFrame, by: Sequence[str], budget: float) -> DataFrame:
+    """H4 from the score steps already built: the rows scoring below a step's score are
+    ``T - (tp + fp)``, so each distinct score covers a known range of ascending positions and
+    the two positions the quantile needs are looked up there (no second ordering pass)."""
+    key = _key(by)
+    q = numpy_q(1.0 - budget)
+    g = steps.groupBy(*key).agg((F.first("tot_pos") + F.first("tot_neg")).alias("_T"))
+    g = g.withColumn("_h", (F.col("_T") - 1).cast("double") * F.lit(q))
+    g = g.withColumn("_lo", F.floor("_h").cast("bigint"))
+    g = g.withColumns({"_hi": F.least(F.col("_lo") + 1, F.col("_T") - 1),
+                       "_gm": F.col("_h") - F.col("_lo").cast("double")})
+    s = steps.join(g, key).withColumn("_start", F.col("_T") - (F.col("tp") + F.col("fp")))
+    s = s.withColumn("_end", F.col("_start") + F.col("p") + F.col("n"))
+
+    def inside(c):
+        return (F.col("_start") <= F.col(c)) & (F.col(c) < F.col("_end"))
+
+    ab = s.where(inside("_lo") | inside("_hi")).groupBy(*key, "_gm").agg(
+        F.max(F.when(inside("_lo"), F.col("score"))).alias("_a"),
+        F.max(F.when(inside("_hi"), F.col("score"))).alias("_b"))
+    return ab.select(*key, lerp(F.col("_a"), F.col("_b"), F.col("_gm")).alias("alert_threshold"))
+
+
 def compute_metrics(df: DataFrame, cfg: EvalConfig, y: str = "y", score: str = "score",
                     by: Sequence[str] = (), n_buckets: int | None = None) -> DataFrame:
     """H8: H1-H7 in one row per group."""
     key = _key(by)
     steps = score_steps(df, y, score, by, n_buckets)
-    th = alert_threshold(df, score, by, cfg.alert_budget_fraction)
+    th = threshold_from_steps(steps, by, cfg.alert_budget_fraction)
     conf = (steps.join(th, key)
             .groupBy(*key).agg(
                 F.first("tot_pos").alias("tot_pos"), F.first("tot_neg").alias("tot_neg"),
@@ -154,8 +177,7 @@ def slice_metrics(df: DataFrame, cfg: EvalConfig, y: str = "y", score: str = "sc
     tol = spark.createDataFrame([(s.column, float(s.tolerance)) for s in cfg.slices],
                                 "slice_column string, tolerance double")
     out = (per.join(F.broadcast(tol), "slice_column")  # one row per configured slice column
-           .withColumn("_one", F.lit(0))
-           .join(F.broadcast(overall.withColumn("_one", F.lit(0))), "_one"))  # one-row table
+           .withColumn("overall_roc_auc", overall.scalar()))
     return out.select(
         *by, (F.col("tot_pos") + F.col("tot_neg")).cast("bigint").alias("n"),
         _ratio(F.col("tot_pos"), F.col("tot_pos") + F.col("tot_neg")).alias("positive_rate"),
@@ -197,8 +219,8 @@ def calibration_table(df: DataFrame, y: str = "y", score: str = "score", n_bins:
     edges = exact_quantiles(src, score, probs, by=key).where(
         (F.col("q_index") > 0) & (F.col("q_index") < n_bins))
     inner = edges.groupBy(*key).agg(F.array_sort(F.collect_list("value")).alias("_edges"))  # n_bins - 1 values
-    binned = src.join(inner, key).withColumn(
-        "bin", F.size(F.filter("_edges", lambda e: e < F.col(score).cast("double"))).cast("bigint"))
+    binned = src.join(F.broadcast(inner), key).withColumn(  # one row of edges per group
+        "bin", count_below("_edges", F.col(score).cast("double"), n_bins - 1).cast("bigint"))
     out = binned.groupBy(*key, "bin").agg(
         F.count(F.lit(1)).cast("bigint").alias("n"),
         F.round(F.sum(F.col(score).cast("double")) / F.count(F.lit(1)).cast("double"), ROUND).alias("mean_score"),
@@ -222,8 +244,7 @@ def score_histogram(df: DataFrame, y: str = "y", score: str = "score", n_edges:
     nb = n_edges - 1
     src = df.where(F.col(score).isNotNull() & F.col(y).isNotNull()).select(
         F.col(y).cast("int").alias("y"), F.col(score).cast("double").alias("v"))
-    mx = src.agg(F.max("v").alias("_max"), F.lit(0).alias("_one"))
-    w = src.withColumn("_one", F.lit(0)).join(F.broadcast(mx), "_one")  # one-row table
+    w = src.withColumn("_max", src.agg(F.max("v")).scalar())  # scalar subquery, evaluated once
     step = F.col("_max") / F.lit(float(nb))
 
     def edge(i):

@@ -22,9 +22,11 @@ SMOOTHING = 0.5  # [ours] added to every bin count so an empty class share has a
 
 def _bin_expr(value: str, edges: Sequence[float]) -> Column:
     """Bin index: number of edges strictly below the value; null stays its own bin (-1)."""
-    arr = F.array(*[F.lit(float(e)) for e in edges])
-    return F.when(F.col(value).isNull(), F.lit(-1)).otherwise(
-        F.size(F.filter(arr, lambda e: e < F.col(value).cast("double"))))
+    v = F.col(value).cast("double")
+    below = F.lit(0)
+    for e in edges:
+        below = below + F.when(F.lit(float(e)) < v, 1).otherwise(0)
+    return F.when(F.col(value).isNull(), F.lit(-1)).otherwise(below)
 
 
 def woe_table(train: DataFrame, y: str, edges: dict[str, Sequence[float]]) -> DataFrame:
@@ -135,9 +137,11 @@ def linear_reason_codes(df: DataFrame, key: str, coefficients: dict[str, float],
                         top_n: int = 5) -> DataFrame:
     """I7 + E16: contribution = coefficient x (value - population mean) for every row (not a
     sample); the ``top_n`` by absolute size as ``(key, rank, feature, contribution)``."""
-    items = [F.struct(F.lit(f).alias("feature"),
-                      (F.lit(float(c)) * (F.col(f) - means[f])).alias("contribution"))
-             for f, c in coefficients.items()]
+    names = list(coefficients)
+    df = df.select(key, *[(F.lit(float(coefficients[f])) * (F.col(f) - means[f])).alias(f"_c{i}")
+                          for i, f in enumerate(names)])
+    items = [F.struct(F.lit(f).alias("feature"), F.col(f"_c{i}").alias("contribution"))
+             for i, f in enumerate(names)]
     ranked = F.array_sort(F.array(*items), lambda a, b: F.when(
         F.abs(a["contribution"]) > F.abs(b["contribution"]), -1).when(
         F.abs(a["contribution"]) < F.abs(b["contribution"]), 1).when(

@@ -40,11 +40,31 @@ def range_boundaries(df: DataFrame, key: str, n_buckets: int) -> list:
 
 
 def bucket_of(key: str, boundaries: Sequence) -> Column:
-    """Index of the range holding ``key`` (monotone in the key; equal keys, equal index)."""
-    if not boundaries:
-        return F.lit(0)
-    arr = F.array(*[F.lit(float(b)) for b in boundaries])
-    return F.size(F.filter(arr, lambda b: b <= F.col(key).cast("double")))
+    """Index of the range holding ``key`` = number of boundaries <= key (monotone in the key;
+    equal keys, equal index). A balanced tree of comparisons: log2(B) steps per row inside
+    whole-stage codegen, no per-row array or lambda."""
+    b = [float(x) for x in boundaries]
+    v = F.col(key).cast("double")
+
+    def tree(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(v < F.lit(b[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+
+    return tree(0, len(b))
+
+
+def count_below(arr: str, value, max_len: int) -> Column:
+    """Number of elements of a sorted array column (at most ``max_len`` long) that are
+    strictly below ``value``: unrolled comparisons, so it stays in generated code."""
+    v = F.col(value) if isinstance(value, str) else value
+    terms = [F.when(F.coalesce(F.try_element_at(F.col(arr), F.lit(i + 1)) < v, F.lit(False)), 1).otherwise(0)
+             for i in range(max_len)]
+    out = terms[0] if terms else F.lit(0)
+    for t in terms[1:]:
+        out = out + t
+    return out
 
 
 def _offsets(counts: DataFrame, partition_by: Sequence[str], sum_names: Sequence[str],
@@ -113,11 +133,11 @@ def rank_to_date_anchor(entities: DataFrame, key: str, start, end,
     span_s = (literal_micros(end) - start_us) // 1_000_000
     ids = entities.select(key)
     ranked = global_row_number(ids, [key], "_rank", n_buckets=n_buckets)
-    n = ids.count()
-    if n <= 1:
-        secs = F.lit(0).cast("bigint")
-    else:
-        secs = F.expr(f"(CAST(_rank AS BIGINT) * CAST({span_s} AS BIGINT)) div {n - 1}")
+    # the entity count is a scalar subquery: evaluated once, no driver round trip, no join
+    n = ids.agg(F.count(F.lit(1))).scalar()
+    ranked = ranked.withColumn("_n", n)
+    secs = F.when(F.col("_n") <= 1, F.lit(0).cast("bigint")).otherwise(
+        F.expr(f"(CAST(_rank AS BIGINT) * CAST({span_s} AS BIGINT)) div (_n - 1)"))
     return ranked.select(
         key, from_micros(F.lit(start_us) + secs * F.lit(1_000_000)).alias(name))
 
@@ -151,7 +171,7 @@ def spaced_sample(df: DataFrame, order: Sequence[str], n: int, partition_by: Seq
         totals = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_total"))
         ranked = ranked.join(totals, list(partition_by))
     else:
-        ranked = ranked.withColumn("_total", F.lit(df.count()).cast("bigint"))
+        ranked = ranked.withColumn("_total", df.agg(F.count(F.lit(1)).cast("bigint")).scalar())
     return ranked.where(_linspace_member(F.col(position), F.col("_total"), n)).drop("_total")
 
 

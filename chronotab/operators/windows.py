@@ -13,7 +13,9 @@ Copies per event: ``1 + ceil(history / bucket)`` at most (1.5 on average at the
 ``bucket = 2 x history``).
 
 All frames that share ``(card, bucket, t)`` are computed by one sort and one window node (P2);
-the per-category frames add one more sort on ``(card, category, bucket, t)``.
+the per-category frames add one more sort on ``(card, category, bucket, t)``. Each trailing
+frame is a difference of two running totals (P3), so a window costs O(events), not
+O(events x events per 30 days).
 
 Sums are exact fixed-point (``functions.fixedpoint``): amounts in cents, coordinates in
 micro-degrees; means and the sample std are derived from them.
@@ -75,27 +77,43 @@ def event_features(tx: DataFrame, card: str = "card", ts: str = "trans_ts", amt:
     w_tx = w_tx.withColumn("_c2", (F.col("_c") * F.col("_c")).cast(EXACT))
     b = with_time_buckets(w_tx, "_t", hist_us, bucket_us)
 
+    # Every frame [t - w, t) is the difference of two running totals, (-inf, t) minus
+    # (-inf, t - w), both UNBOUNDED PRECEDING frames that Spark evaluates incrementally, so the
+    # cost is linear in the events of a (card, bucket) however many fall in 30 days. Sums are
+    # exact integers, so the difference is exact too.
     by_card = Window.partitionBy(card, "_bk").orderBy("_t")
-    f1h = by_card.rangeBetween(-MICROS_PER_HOUR, -1)
-    f24h = by_card.rangeBetween(-24 * MICROS_PER_HOUR, -1)
-    f30 = by_card.rangeBetween(-hist_us, -1)
-    by_cat = Window.partitionBy(card, category, "_bk").orderBy("_t").rangeBetween(-hist_us, -1)
+    before = by_card.rangeBetween(Window.unboundedPreceding, -1)
+    by_cat = Window.partitionBy(card, category, "_bk").orderBy("_t")
+    cat_before = by_cat.rangeBetween(Window.unboundedPreceding, -1)
+    cat_older = by_cat.rangeBetween(Window.unboundedPreceding, -hist_us - 1)
 
+    def older(w_us):
+        return by_card.rangeBetween(Window.unboundedPreceding, -w_us - 1)
+
+    def cnt(c, w):
+        return F.count(c).over(w)
+
+    def tot(c, w):
+        return F.coalesce(F.sum(c).over(w), F.lit(0).cast(EXACT))
+
+    o1, o24, o30 = older(MICROS_PER_HOUR), older(24 * MICROS_PER_HOUR), older(hist_us)
     feats = b.select(
         *base_cols, "_t", "_home",
-        F.count(amt).over(f1h).alias("_n1h"),
-        F.count(amt).over(f24h).alias("_n24"),
-        F.sum("_c").over(f24h).alias("_s24"),
-        F.count(amt).over(f30).alias("_n30"),
-        F.sum("_c").over(f30).alias("_s30"),
-        F.sum("_c2").over(f30).alias("_q30"),
-        F.count("_la").over(f30).alias("_nl30"),
-        F.sum("_la").over(f30).alias("_la30"),
-        F.sum("_lo").over(f30).alias("_lo30"),
-        F.max("_t").over(f30).alias("_prev_t"),
-        F.count(amt).over(by_cat).alias("_ncat"),
-        F.sum("_c").over(by_cat).alias("_scat"),
+        (cnt(amt, before) - cnt(amt, o1)).alias("_n1h"),
+        (cnt(amt, before) - cnt(amt, o24)).alias("_n24"),
+        (tot("_c", before) - tot("_c", o24)).alias("_s24"),
+        (cnt(amt, before) - cnt(amt, o30)).alias("_n30"),
+        (tot("_c", before) - tot("_c", o30)).alias("_s30"),
+        (tot("_c2", before) - tot("_c2", o30)).alias("_q30"),
+        (cnt("_la", before) - cnt("_la", o30)).alias("_nl30"),
+        (tot("_la", before) - tot("_la", o30)).alias("_la30"),
+        (tot("_lo", before) - tot("_lo", o30)).alias("_lo30"),
+        F.max("_t").over(before).alias("_last_t"),
+        (cnt(amt, cat_before) - cnt(amt, cat_older)).alias("_ncat"),
+        (tot("_c", cat_before) - tot("_c", cat_older)).alias("_scat"),
     ).where("_home")
+    # the last earlier event counts only when it is inside the window (left edge closed)
+    feats = feats.withColumn("_prev_t", F.when(F.col("_last_t") >= F.col("_t") - F.lit(hist_us), F.col("_last_t")))
 
     avg30 = mean_from("_s30", "_n30", AMOUNT_SCALE)
     usual_lat = mean_from("_la30", "_nl30", COORD_SCALE)

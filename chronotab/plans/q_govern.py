@@ -37,10 +37,11 @@ def order_features(t):
 
 def reason_codes(t):
     f = order_features(t)
-    means = f.agg(*[mean_from(F.sum(scaled(c, SCALES[c])), F.count(c), SCALES[c]).alias(f"_m_{c}")
-                    for c in COEFFICIENTS]).withColumn("_k", F.lit(0))
-    fm = f.withColumn("_k", F.lit(0)).join(F.broadcast(means), "_k")  # one-row table of means
-    return I.linear_reason_codes(fm, "o_orderkey", COEFFICIENTS, {c: F.col(f"_m_{c}") for c in COEFFICIENTS})
+    # population means: one scalar subquery (a struct of all means), evaluated once
+    m = f.agg(F.struct(*[mean_from(F.sum(scaled(c, SCALES[c])), F.count(c), SCALES[c]).alias(c)
+                         for c in COEFFICIENTS])).scalar()
+    means = {c: m.getField(c) for c in COEFFICIENTS}
+    return I.linear_reason_codes(f, "o_orderkey", COEFFICIENTS, means)
 
 
 def _mean_sql(c: str) -> str:

@@ -19,6 +19,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -33,6 +34,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "16g")
+        # local runs: keep post-shuffle parallelism for small stages (AQE would otherwise merge a
+        # few MB into one task); a cluster keeps its own setting
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
     )
     for k, v in {**SESSION_DEFAULTS, **(extra or {})}.items():
         builder = builder.config(k, v)
