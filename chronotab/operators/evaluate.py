@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronotab.config import EvalConfig, SliceConfig
+from chronotab.session import cut_lineage
 from chronotab.operators.order import count_below, exact_quantiles, lerp, numpy_q, prefix_totals
 
 ROUND = 12
@@ -46,7 +47,9 @@ def score_steps(df: DataFrame, y: str = "y", score: str = "score", by: Sequence[
                           descending=True, position="pos", n_buckets=n_buckets)
     totals = g.groupBy(*key).agg(F.sum("p").alias("tot_pos"), F.sum("n").alias("tot_neg"),
                                  F.count(F.lit(1)).alias("n_steps"))
-    return steps.join(totals, key)
+    # every metric reads this table (AUC, AP, vertices, threshold, confusion): materialise it
+    # once in the shared checkpoint folder instead of recomputing it per consumer
+    return cut_lineage(steps.join(totals, key))
 
 
 def _ratio(num: Column, den: Column) -> Column:

@@ -55,6 +55,14 @@ def bucket_of(key: str, boundaries: Sequence) -> Column:
     return tree(0, len(b))
 
 
+def count_at_or_below(arr: Column, value: Column, max_len: int) -> Column:
+    """Number of elements of a sorted array (at most ``max_len``) that are <= ``value``."""
+    out = F.lit(0)
+    for i in range(max_len):
+        out = out + F.when(F.coalesce(F.try_element_at(arr, F.lit(i + 1)) <= value, F.lit(False)), 1).otherwise(0)
+    return out
+
+
 def count_below(arr: str, value, max_len: int) -> Column:
     """Number of elements of a sorted array column (at most ``max_len`` long) that are
     strictly below ``value``: unrolled comparisons, so it stays in generated code."""
@@ -89,12 +97,12 @@ def prefix_totals(df: DataFrame, order: Sequence[str], sums: dict[str, Column] |
     sums = dict(sums or {})
     key = order[0]
     nb = _n_buckets(df, n_buckets)
-    bounds = range_boundaries(df, key, nb)
     names = list(sums)
     work = df.withColumns({f"_v_{n}": c for n, c in sums.items()})
     if position:
         work = work.withColumn("_v__rows", F.lit(1).cast("long"))
         names = names + ["_rows"]
+    bounds = range_boundaries(df, key, nb)  # at most nb - 1 values reach the driver
     work = work.withColumn(_BUCKET, bucket_of(key, bounds))
 
     counts = work.groupBy(*partition_by, _BUCKET).agg(*[F.sum(f"_v_{n}").alias(n) for n in names])

@@ -37,6 +37,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         # local runs: keep post-shuffle parallelism for small stages (AQE would otherwise merge a
         # few MB into one task); a cluster keeps its own setting
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in {**SESSION_DEFAULTS, **(extra or {})}.items():
         builder = builder.config(k, v)
