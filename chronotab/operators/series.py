@@ -21,17 +21,17 @@ from chronotab.operators.order import prefix_totals
 # The alert rules of the monitoring stack (title, folder, query kind, comparison,
 # bound, hold seconds, query range seconds, severity, state when there is no data).
 ALERT_RULES = [
-    ("BankML drift detected", "BankML", "max(bankml_drift_dataset_drift)", "gt", 0.0, 300, 600, "warning", "OK"),
-    ("BankML drift job has not run recently", "BankML", "time() - max(bankml_drift_last_run_timestamp_seconds)", "gt", 172800.0, 300, 600, "info", "Alerting"),
-    ("BankML production ROC-AUC below test", "BankML", "max by (domain, model_version) (bankml_performance_roc_auc_drop)", "gt", 0.05, 300, 600, "warning", "OK"),
-    ("BankML performance job has not run recently", "BankML", "time() - max(bankml_performance_last_run_timestamp_seconds)", "gt", 172800.0, 300, 600, "info", "Alerting"),
-    ("Backup has not succeeded recently", "Homelab", "time() - backup_last_success_timestamp_seconds", "gt", 129600.0, 300, 600, "critical", "Alerting"),
-    ("Homelab target down", "Homelab", "last_over_time(up{job!~\"prometheus|pushgateway\"}[2h])", "lt", 1.0, 120, 120, "critical", "OK"),
-    ("Host CPU usage high", "Homelab", "100 - (avg by (role) (rate(node_cpu_seconds_total{mode=\"idle\"}[5m])) * 100)", "gt", 90.0, 600, 600, "warning", "OK"),
-    ("Host memory usage high", "Homelab", "(1 - (node_memory_MemAvailable_bytes / node_memory_MemTotal_bytes)) * 100", "gt", 90.0, 600, 600, "warning", "OK"),
-    ("Host disk almost full", "Homelab", "(1 - (node_filesystem_avail_bytes{mountpoint=\"/\"} / node_filesystem_size_bytes{mountpoint=\"/\"})) * 100", "gt", 85.0, 600, 600, "warning", "OK"),
-    ("k3s pod not healthy", "Homelab", "(kube_pod_status_phase{phase=~\"Failed|Unknown\"} > 0) or (kube_pod_container_status_waiting_reason{reason=~\"ImagePullBackOff|ErrImagePull|CrashLoopBackOff|CreateContainerConfigError|InvalidImageName\"} > 0)", "gt", 0.0, 300, 300, "warning", "OK"),
-    ("Argo CD application out of sync or unhealthy", "Homelab", "max by (name, sync_status, health_status) (argocd_app_info{sync_status!=\"Synced\"} or argocd_app_info{health_status!=\"Healthy\"})", "gt", 0.0, 900, 600, "warning", "OK"),
+    ("Model drift detected", "Models", "max(model_drift_dataset_drift)", "gt", 0.0, 300, 600, "warning", "OK"),
+    ("Drift job has not run recently", "Models", "time() - max(model_drift_last_run_timestamp_seconds)", "gt", 172800.0, 300, 600, "info", "Alerting"),
+    ("Production ROC-AUC below test", "Models", "max by (domain, model_version) (model_performance_roc_auc_drop)", "gt", 0.05, 300, 600, "warning", "OK"),
+    ("Performance job has not run recently", "Models", "time() - max(model_performance_last_run_timestamp_seconds)", "gt", 172800.0, 300, 600, "info", "Alerting"),
+    ("Backup has not succeeded recently", "Infrastructure", "time() - backup_last_success_timestamp_seconds", "gt", 129600.0, 300, 600, "critical", "Alerting"),
+    ("Target down", "Infrastructure", "last_over_time(up[2h]) of every scraped job but the collectors", "lt", 1.0, 120, 120, "critical", "OK"),
+    ("Host CPU usage high", "Infrastructure", "100 - avg by (role) idle CPU rate over 5m * 100", "gt", 90.0, 600, 600, "warning", "OK"),
+    ("Host memory usage high", "Infrastructure", "(1 - available / total memory) * 100", "gt", 90.0, 600, 600, "warning", "OK"),
+    ("Host disk almost full", "Infrastructure", "(1 - available / size of the root filesystem) * 100", "gt", 85.0, 600, 600, "warning", "OK"),
+    ("Pod not healthy", "Infrastructure", "pods in a bad phase or waiting for a bad reason (L19)", "gt", 0.0, 300, 300, "warning", "OK"),
+    ("Deployed application out of sync or unhealthy", "Infrastructure", "max by (name, sync, health) over apps not synced or not healthy (L22)", "gt", 0.0, 900, 600, "warning", "OK"),
 ]
 RULES_SCHEMA = ("title string, folder string, query string, comparison string, bound double, "
                 "hold_seconds bigint, range_seconds bigint, severity string, no_data_state string")
@@ -176,14 +176,14 @@ def no_data_policy(rules: DataFrame, series_count: DataFrame) -> DataFrame:
                     .otherwise(F.lit("Evaluated")).alias("state"))
 
 
-def route_and_group(alerts: DataFrame, folder_col: str = "grafana_folder") -> DataFrame:
-    """The first matching route by label (Homelab folder -> its own receiver, grouped by
-    alert name and severity; everything else -> the root receiver, grouped by folder and
-    alert name), then one group per receiver and group key."""
-    homelab = F.col(folder_col) == "Homelab"
+def route_and_group(alerts: DataFrame, folder_col: str = "folder") -> DataFrame:
+    """The first matching route by label (the infrastructure folder -> its own receiver,
+    grouped by alert name and severity; everything else -> the root receiver, grouped by folder
+    and alert name), then one group per receiver and group key."""
+    infra = F.col(folder_col) == "Infrastructure"
     routed = alerts.withColumns({
-        "receiver": F.when(homelab, "discord-homelab-alerts").otherwise("discord-alerts"),
-        "group_key": F.when(homelab, F.concat_ws("|", "alertname", "severity"))
+        "receiver": F.when(infra, "infrastructure-alerts").otherwise("model-alerts"),
+        "group_key": F.when(infra, F.concat_ws("|", "alertname", "severity"))
         .otherwise(F.concat_ws("|", folder_col, "alertname")),
     })
     return routed.groupBy("receiver", "group_key").agg(F.count(F.lit(1)).cast("bigint").alias("n_alerts"))
