@@ -37,9 +37,10 @@ ORDERS_EVAL = EvalConfig(cost_of_miss=10, cost_of_review=1, target_fpr=0.05,
 
 
 def customer_decisions(t: Tables, n_buckets: int | None = None) -> DataFrame:
-    """E1 on customers: ``(c_custkey, DECISION_TS)``."""
-    return rank_to_date_anchor(t.customer, "c_custkey", CUSTOMER_ANCHOR.start,
-                               CUSTOMER_ANCHOR.end, n_buckets=n_buckets)
+    """E1 on customers: ``(c_custkey, DECISION_TS)``, materialised once per query (every
+    history aggregate and the base table join it)."""
+    return t.derived(f"customer_decisions:{n_buckets}", lambda: rank_to_date_anchor(
+        t.customer, "c_custkey", CUSTOMER_ANCHOR.start, CUSTOMER_ANCHOR.end, n_buckets=n_buckets))
 
 
 def customer_history_aggregates(t: Tables | None, decisions: DataFrame, strategy: str = "auto",

@@ -29,22 +29,28 @@ REF_SCHEMA = T.StructType([T.StructField("value", T.DoubleType()), T.StructField
 
 
 def deduped(t):
-    return dedup_log(D.prediction_log(t), order_cols=["timestamp", "_line"])
+    """Both copies merged and deduplicated (materialised once per query: several branches read
+    it)."""
+    return t.derived("deduped_log", lambda: dedup_log(D.prediction_log(t), order_cols=["timestamp", "_line"]))
 
 
 def current_window(t):
     """K1 + A8: deduped records since the window start, production version, no test traffic,
     flattened to typed feature columns plus the score."""
-    log = deduped(t).where((F.col("timestamp") >= ts_literal(SINCE)) &
-                           traffic_filter("model_version", "traffic_source", PRODUCTION))
-    return flatten_features(log, REF_SCHEMA.add("score", T.DoubleType()))
+    def build():
+        log = deduped(t).where((F.col("timestamp") >= ts_literal(SINCE)) &
+                               traffic_filter("model_version", "traffic_source", PRODUCTION))
+        return flatten_features(log, REF_SCHEMA.add("score", T.DoubleType()))
+    return t.derived("current_window", build)
 
 
 def reference(t):
-    """The train-split population the production model was fit on."""
-    e = t.events.where(split_label("ts", D.EVENTS_SPLIT) == "train")
-    return e.select(F.col("value"), F.get_json_object("props", "$.k").cast("bigint").alias("k"),
-                    "event_type", (F.col("value") / F.lit(500.0)).alias("score"))
+    """The train-split population the production model was fit on (the reference snapshot)."""
+    def build():
+        e = t.events.where(split_label("ts", D.EVENTS_SPLIT) == "train")
+        return e.select(F.col("value"), F.get_json_object("props", "$.k").cast("bigint").alias("k"),
+                        "event_type", (F.col("value") / F.lit(500.0)).alias("score"))
+    return t.derived("reference", build)
 
 
 @register("log_dedup_window", f"""SELECT request_id, entity_id, client, score, model_version, traffic_source, timestamp
@@ -174,9 +180,7 @@ def q_outcomes(t):
 
 
 def performance(t):
-    cutoff = AS_OF - dt.timedelta(days=PERF.delay_days)
     window = O.matured_window(deduped(t), PRODUCTION, AS_OF, PERF)
-    del cutoff
     return O.delayed_performance(window, outcomes(t), "entity_id", REFERENCE_ROC_AUC, REFERENCE_PR_AUC, PERF)
 
 

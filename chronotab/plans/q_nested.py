@@ -39,7 +39,12 @@ def selected_customers(t):
 
 
 def credit_requests(t):
-    """The selected customers with their whole order and lineitem history as arrays."""
+    """The selected customers with their whole order and lineitem history as arrays
+    (materialised once: it is the request file every consumer reads)."""
+    return t.derived("credit_requests", lambda: _credit_requests(t))
+
+
+def _credit_requests(t):
     sel = selected_customers(t).join(t.customer.select(*D.BASE_COLUMNS), "c_custkey")
     orders = t.orders.withColumnRenamed("o_custkey", "c_custkey")
     return N.nested_history(
@@ -81,7 +86,12 @@ def q_credit_parity(t):
 
 
 def event_requests(t):
-    """Selected test events with the card's rows in the 30 days before as a sorted array."""
+    """Selected test events with the card's rows in the 30 days before as a sorted array
+    (materialised once, like the request file)."""
+    return t.derived("event_requests", lambda: _event_requests(t))
+
+
+def _event_requests(t):
     tx = D.card_transactions(t)
     test = tx.where(split_label("trans_ts", D.EVENTS_SPLIT) == "test").withColumn("_t", micros("trans_ts"))
     sel = O.spaced_sample(test, ["_t", "trans_num"], EVENT_SAMPLE).drop("_t", "position")

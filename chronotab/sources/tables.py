@@ -29,6 +29,16 @@ class Tables:
         self.sf_dir = sf_dir
         self._cache: dict[str, DataFrame] = {}
 
+    def derived(self, name: str, build) -> DataFrame:
+        """A table derived from these tables and read by several branches of a query (the
+        request file, the deduplicated log, a monitoring window): built once, materialised in
+        the shared checkpoint folder, then read back by every consumer."""
+        key = f"derived:{name}"
+        if key not in self._cache:
+            from chronotab.session import cut_lineage
+            self._cache[key] = cut_lineage(build())
+        return self._cache[key]
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in DRIVER_TABLES:
             raise AttributeError(name)
