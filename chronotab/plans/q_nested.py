@@ -15,27 +15,28 @@ from chronotab.plans.catalog import register
 from chronotab.plans.q_asof import DEC_CTE, FEATURES_SQL
 from chronotab.plans.q_events import ALL as EVENT_COLUMNS
 from chronotab.plans.q_events import EVENT_SQL, ROUNDED
-from chronotab.plans.q_quality import REPLAY_SAMPLE, TEST_SQL, _positions_sql
+from chronotab.plans.q_quality import CREDIT_REQUESTS, TEST_SQL, _positions_sql
 from chronotab.plans.sqlparts import split_case
 
-EVENT_SAMPLE = 300
+# Fixed value: the reference's fraud request-file size (credit: CREDIT_REQUESTS).
+FRAUD_REQUESTS = 30_000
 ORDER_FIELDS = ["o_orderdate", "o_orderkey", "o_totalprice", "o_orderpriority"]
 LINE_FIELDS = ["l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice"]
 TXN_FIELDS = ["trans_ts", "category", "amt", "merch_lat", "merch_long"]
 
-SELECTED_CUSTOMERS_SQL = f"""WITH t AS ({TEST_SQL}), pos AS ({_positions_sql('t', REPLAY_SAMPLE)})
-SELECT c_custkey, DECISION_TS FROM t WHERE total <= {REPLAY_SAMPLE} OR position IN (SELECT p FROM pos)"""
+SELECTED_CUSTOMERS_SQL = f"""WITH t AS ({TEST_SQL}), pos AS ({_positions_sql('t', CREDIT_REQUESTS)})
+SELECT c_custkey, DECISION_TS FROM t WHERE total <= {CREDIT_REQUESTS} OR position IN (SELECT p FROM pos)"""
 
 EVENT_TEST_SQL = f"""SELECT *, row_number() OVER (ORDER BY trans_ts, trans_num) - 1 AS position,
   count(*) OVER () AS total FROM ({D.CARD_SQL}) WHERE {split_case('trans_ts', D.EVENTS_SPLIT)} = 'test'"""
-SELECTED_EVENTS_SQL = f"""WITH t AS ({EVENT_TEST_SQL}), pos AS ({_positions_sql('t', EVENT_SAMPLE)})
-SELECT trans_num FROM t WHERE total <= {EVENT_SAMPLE} OR position IN (SELECT p FROM pos)"""
+SELECTED_EVENTS_SQL = f"""WITH t AS ({EVENT_TEST_SQL}), pos AS ({_positions_sql('t', FRAUD_REQUESTS)})
+SELECT trans_num FROM t WHERE total <= {FRAUD_REQUESTS} OR position IN (SELECT p FROM pos)"""
 
 
 def selected_customers(t):
     dec = D.customer_decisions(t)
     test = dec.where(split_label("DECISION_TS", D.CUSTOMER_SPLIT) == "test").withColumn("_t", micros("DECISION_TS"))
-    return O.spaced_sample(test, ["_t", "c_custkey"], REPLAY_SAMPLE).select("c_custkey", "DECISION_TS")
+    return O.spaced_sample(test, ["_t", "c_custkey"], CREDIT_REQUESTS).select("c_custkey", "DECISION_TS")
 
 
 def credit_requests(t):
@@ -94,7 +95,7 @@ def event_requests(t):
 def _event_requests(t):
     tx = D.card_transactions(t)
     test = tx.where(split_label("trans_ts", D.EVENTS_SPLIT) == "test").withColumn("_t", micros("trans_ts"))
-    sel = O.spaced_sample(test, ["_t", "trans_num"], EVENT_SAMPLE).drop("_t", "position")
+    sel = O.spaced_sample(test, ["_t", "trans_num"], FRAUD_REQUESTS).drop("_t", "position")
     req = N.range_history_join(sel, tx, "card", "trans_ts", "trans_num", TXN_FIELDS)
     return req.select("trans_num", "card", F.struct("trans_ts", "category", "amt", "lat", "long",
                                                      "merch_lat", "merch_long", "is_fraud").alias("transaction"),

@@ -15,11 +15,13 @@ from chronotab.plans.q_asof import DEC_CTE
 from chronotab.plans.sqlparts import split_case
 
 # Fixed values of the reference's replay and example selection.
-REPLAY_SAMPLE = 200
+CREDIT_REQUESTS = 5000
 EXAMPLES_COUNT = 50
 EXAMPLES_POSITIVES = 15
 BATCH_SIZE = 200
 CURSOR = 300
+# Size of the registered spaced-sample query (a sampling operator: the count is its parameter).
+SPACED_N = 200
 
 
 def _test_decisions(t):
@@ -39,12 +41,12 @@ def _positions_sql(src: str, n: int, total: str = "total") -> str:
 FROM range({n}) r(i), (SELECT max({total}) AS {total} FROM ({src}))"""
 
 
-@register("spaced_sample", f"""WITH t AS ({TEST_SQL}), pos AS ({_positions_sql('t', REPLAY_SAMPLE)})
+@register("spaced_sample", f"""WITH t AS ({TEST_SQL}), pos AS ({_positions_sql('t', SPACED_N)})
 SELECT c_custkey, DECISION_TS, CAST(position AS BIGINT) AS position FROM t
-WHERE total <= {REPLAY_SAMPLE} OR position IN (SELECT p FROM pos)""", "E13 T15 P1")
+WHERE total <= {SPACED_N} OR position IN (SELECT p FROM pos)""", "E13 T15 P1")
 def q_spaced(t):
     """200 test-split customers evenly spaced through the test window in date order."""
-    s = O.spaced_sample(_test_decisions(t), ["_t", "c_custkey"], REPLAY_SAMPLE)
+    s = O.spaced_sample(_test_decisions(t), ["_t", "c_custkey"], SPACED_N)
     return s.select("c_custkey", "DECISION_TS", F.col("position").cast("bigint"))
 
 
