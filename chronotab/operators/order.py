@@ -11,6 +11,8 @@ checkpoint is needed between the passes.
 
 from __future__ import annotations
 
+import json
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -39,20 +41,30 @@ def range_boundaries(df: DataFrame, key: str, n_buckets: int) -> list:
     return sorted(set(values))
 
 
-def bucket_of(key: str, boundaries: Sequence) -> Column:
-    """Index of the range holding ``key`` = number of boundaries <= key (monotone in the key;
-    equal keys, equal index). A balanced tree of comparisons: log2(B) steps per row inside
-    whole-stage codegen, no per-row array or lambda."""
-    b = [float(x) for x in boundaries]
-    v = F.col(key).cast("double")
-
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(v < F.lit(b[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+def with_bucket(df: DataFrame, key: str, boundaries: Sequence, name: str = _BUCKET) -> DataFrame:
+    """Add ``name`` = index of the range holding ``key`` = number of boundaries <= key (monotone
+    in the key; equal keys, equal index; null and NaN keys go to the last range).
 
-    return tree(0, len(b))
+    A binary search over one array literal: ceil(log2(B + 1)) stacked projections, each one
+    ``element_at`` comparison, so the plan and the generated code stay O(log B) however many
+    ranges a large cluster asks for (B follows the shuffle partition count)."""
+    b = sorted(float(x) for x in boundaries)
+    n = len(b)
+    v = F.col(key).cast("double")
+    if n == 0:
+        return df.withColumn(name, F.lit(0))
+    size = 1 << n.bit_length()  # power of two > n; padding with the largest double
+    # one string literal that the optimizer folds into a constant array (one value per range
+    # boundary, built once rather than one expression per element)
+    arr = F.from_json(F.lit(json.dumps(b + [sys.float_info.max] * (size - n))), "array<double>")
+    out = df.withColumns({"_bnd": arr, name: F.lit(0)})
+    step = size >> 1
+    while step:
+        probe = F.element_at(F.col("_bnd"), F.col(name) + F.lit(step)) <= v
+        out = out.withColumn(name, F.col(name) + F.when(probe, F.lit(step)).otherwise(F.lit(0)))
+        step >>= 1
+    last = F.when(v.isNull(), F.lit(n)).otherwise(F.least(F.col(name), F.lit(n)))
+    return out.withColumn(name, last).drop("_bnd")
 
 
 def count_at_or_below(arr: Column, value: Column, max_len: int) -> Column:
@@ -103,7 +115,7 @@ def prefix_totals(df: DataFrame, order: Sequence[str], sums: dict[str, Column] |
         work = work.withColumn("_v__rows", F.lit(1).cast("long"))
         names = names + ["_rows"]
     bounds = range_boundaries(df, key, nb)  # at most nb - 1 values reach the driver
-    work = work.withColumn(_BUCKET, bucket_of(key, bounds))
+    work = with_bucket(work, key, bounds)
 
     counts = work.groupBy(*partition_by, _BUCKET).agg(*[F.sum(f"_v_{n}").alias(n) for n in names])
     offsets = _offsets(counts, partition_by, names, descending)
@@ -217,7 +229,7 @@ def next_cursor(total: int, cursor: int, k: int) -> int:
 
 __all__ = [
     "prefix_totals", "global_row_number", "rank_to_date_anchor", "spaced_sample",
-    "stratified_spaced_sample", "cursor_batch", "next_cursor", "range_boundaries", "bucket_of",
+    "stratified_spaced_sample", "cursor_batch", "next_cursor", "range_boundaries", "with_bucket",
     "micros",
 ]
 
