@@ -88,47 +88,59 @@ def count_below(arr: str, value, max_len: int) -> Column:
 
 
 def _offsets(counts: DataFrame, partition_by: Sequence[str], sum_names: Sequence[str],
-             descending: bool) -> DataFrame:
+             descending: bool, max_names: Sequence[str] = ()) -> DataFrame:
     order = F.col(_BUCKET).desc() if descending else F.col(_BUCKET).asc()
     w = Window.partitionBy(*partition_by).orderBy(order).rowsBetween(
         Window.unboundedPreceding, -1)
     return counts.select(
         *partition_by, _BUCKET,
         *[F.coalesce(F.sum(n).over(w), F.lit(0)).alias(f"_off_{n}") for n in sum_names],
+        *[F.max(n).over(w).alias(f"_off_{n}") for n in max_names],
     )
 
 
 def prefix_totals(df: DataFrame, order: Sequence[str], sums: dict[str, Column] | None = None,
                   partition_by: Sequence[str] = (), descending: bool = False,
-                  position: str | None = None, n_buckets: int | None = None) -> DataFrame:
-    """Add inclusive running totals of ``sums`` (name -> column) and, if ``position`` is given,
-    a 0-based row number, in ``order`` (first column numeric) within ``partition_by``.
+                  position: str | None = None, n_buckets: int | None = None,
+                  maxes: dict[str, Column] | None = None) -> DataFrame:
+    """Add inclusive running totals of ``sums`` (name -> column), running maxima of ``maxes``
+    and, if ``position`` is given, a 0-based row number, in ``order`` (first column numeric)
+    within ``partition_by``.
 
     The first order column decides the range; the others only break ties inside it.
     """
     sums = dict(sums or {})
+    maxes = dict(maxes or {})
     key = order[0]
     nb = _n_buckets(df, n_buckets)
     names = list(sums)
-    work = df.withColumns({f"_v_{n}": c for n, c in sums.items()})
+    work = df.withColumns({f"_v_{n}": c for n, c in {**sums, **maxes}.items()})
     if position:
         work = work.withColumn("_v__rows", F.lit(1).cast("long"))
         names = names + ["_rows"]
     bounds = range_boundaries(df, key, nb)  # at most nb - 1 values reach the driver
     work = with_bucket(work, key, bounds)
 
-    counts = work.groupBy(*partition_by, _BUCKET).agg(*[F.sum(f"_v_{n}").alias(n) for n in names])
-    offsets = _offsets(counts, partition_by, names, descending)
+    counts = work.groupBy(*partition_by, _BUCKET).agg(*[F.sum(f"_v_{n}").alias(n) for n in names],
+                                                      *[F.max(f"_v_{n}").alias(n) for n in maxes])
+    offsets = _offsets(counts, partition_by, names, descending, list(maxes))
 
     ocols = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
     w = Window.partitionBy(*partition_by, _BUCKET).orderBy(*ocols).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    out = work.join(offsets, [*partition_by, _BUCKET], "left")
+    # null-safe on the partition keys: a null key is a group of its own, as in the windows
+    keys = [*partition_by, _BUCKET]
+    offsets = offsets.select(*[F.col(k).alias(f"_ok_{i}") for i, k in enumerate(keys)],
+                             *[c for c in offsets.columns if c not in keys])
+    cond = [work[k].eqNullSafe(offsets[f"_ok_{i}"]) for i, k in enumerate(keys)]
+    out = work.join(offsets, cond, "left").drop(*[f"_ok_{i}" for i in range(len(keys))])
     new_cols = {n: F.sum(f"_v_{n}").over(w) + F.col(f"_off_{n}") for n in sums}
+    for n in maxes:  # greatest() skips nulls: no earlier range, or nothing yet in this one
+        new_cols[n] = F.greatest(F.max(f"_v_{n}").over(w), F.col(f"_off_{n}"))
     if position:
         new_cols[position] = F.sum("_v__rows").over(w) + F.col("_off__rows") - 1
     out = out.withColumns(new_cols)
-    drop = [_BUCKET] + [f"_v_{n}" for n in names] + [f"_off_{n}" for n in names]
+    drop = [_BUCKET] + [f"_v_{n}" for n in [*names, *maxes]] + [f"_off_{n}" for n in [*names, *maxes]]
     return out.drop(*drop)
 
 

@@ -39,6 +39,8 @@ from chronotab.functions.timecols import (
 HISTORY_DAYS = 30  # longest look-back of any feature
 AMOUNT_SCALE = 2  # cents
 COORD_SCALE = 6  # micro-degrees
+# cards above this many events take the range path (a (card, bucket) window would be too big)
+HOT_CARD_ROWS = 2_000_000
 
 FEATURE_COLUMNS = [
     "DISTANCE_FROM_HOME_KM", "DISTANCE_FROM_USUAL_MERCHANT_KM", "CC_TXN_COUNT_1H",
@@ -59,22 +61,9 @@ def with_time_buckets(df: DataFrame, t: str, history_us: int, bucket_us: int) ->
             .drop("_own"))
 
 
-def event_features(tx: DataFrame, card: str = "card", ts: str = "trans_ts", amt: str = "amt",
-                   category: str = "category", lat: str = "lat", long: str = "long",
-                   merch_lat: str = "merch_lat", merch_long: str = "merch_long",
-                   history_days: int = HISTORY_DAYS, bucket_days: int | None = None,
-                   keep_intermediate: bool = False) -> DataFrame:
-    """The input columns plus every history feature, one row per event."""
-    hist_us = history_days * MICROS_PER_DAY
-    bucket_us = (bucket_days or 2 * history_days) * MICROS_PER_DAY
-    base_cols = tx.columns
-    w_tx = tx.withColumns({
-        "_t": micros(ts),
-        "_c": scaled(amt, AMOUNT_SCALE),
-        "_la": scaled(merch_lat, COORD_SCALE),
-        "_lo": scaled(merch_long, COORD_SCALE),
-    })
-    w_tx = w_tx.withColumn("_c2", (F.col("_c") * F.col("_c")).cast(EXACT))
+def _frames_by_buckets(w_tx: DataFrame, keep: list[str], card: str, category: str, amt: str,
+                       hist_us: int, bucket_us: int) -> DataFrame:
+    """Frame totals with windows on ``(card, time bucket)`` and context copies."""
     b = with_time_buckets(w_tx, "_t", hist_us, bucket_us)
 
     # Every frame [t - w, t) is the difference of two running totals, (-inf, t) minus
@@ -97,8 +86,8 @@ def event_features(tx: DataFrame, card: str = "card", ts: str = "trans_ts", amt:
         return F.coalesce(F.sum(c).over(w), F.lit(0).cast(EXACT))
 
     o1, o24, o30 = older(MICROS_PER_HOUR), older(24 * MICROS_PER_HOUR), older(hist_us)
-    feats = b.select(
-        *base_cols, "_t", "_home",
+    return b.select(
+        *keep, "_t", "_home",
         (cnt(amt, before) - cnt(amt, o1)).alias("_n1h"),
         (cnt(amt, before) - cnt(amt, o24)).alias("_n24"),
         (tot("_c", before) - tot("_c", o24)).alias("_s24"),
@@ -111,7 +100,129 @@ def event_features(tx: DataFrame, card: str = "card", ts: str = "trans_ts", amt:
         F.max("_t").over(before).alias("_last_t"),
         (cnt(amt, cat_before) - cnt(amt, cat_older)).alias("_ncat"),
         (tot("_c", cat_before) - tot("_c", cat_older)).alias("_scat"),
-    ).where("_home")
+    ).where("_home").drop("_home")
+
+
+def _probe_totals(data: DataFrame, part: list[str], sums: dict[str, Column], edges: dict[str, int],
+                  maxes: dict[str, Column] | None = None, n_buckets: int | None = None) -> DataFrame:
+    """Per distinct ``(*part, _t)``: for each edge ``e`` -> ``d``, the totals of ``sums`` (and
+    maxima of ``maxes``) over the rows of the same ``part`` with time <= t - d, as columns
+    ``{name}_{e}``.
+
+    Each distinct time adds one zero-weight probe row per edge; probes sort after data rows of
+    the same time, and the running totals come from ``prefix_totals`` (windows per
+    ``(part, global time range)`` plus a small per-range offset table), so no task holds a
+    whole key however many rows it has."""
+    from chronotab.operators.order import prefix_totals
+
+    maxes = dict(maxes or {})
+    rows = data.select(*part, "_t", F.lit(0).alias("_kind"),
+                       *[c.alias(f"_x_{n}") for n, c in {**sums, **maxes}.items()])
+    pts = data.select(*part, "_t").distinct()
+    spec = F.array(*[F.struct(F.lit(e).alias("e"), F.lit(int(d)).cast("bigint").alias("d"))
+                     for e, d in edges.items()])
+    probes = pts.select(*part, F.col("_t").alias("_at"), F.explode(spec).alias("_p")).select(
+        *part, (F.col("_at") - F.col("_p.d")).alias("_t"), F.lit(1).alias("_kind"), "_at",
+        F.col("_p.e").alias("_edge"))
+    u = rows.unionByName(probes, allowMissingColumns=True)
+    # probes (and null inputs) add a typed zero, so a running total is never null and keeps the
+    # offset of earlier ranges
+    types = {f.name: f.dataType for f in u.schema.fields}
+    u = u.withColumns({f"_x_{n}": F.coalesce(F.col(f"_x_{n}"), F.lit(0).cast(types[f"_x_{n}"]))
+                       for n in sums})
+    pt = prefix_totals(u, ["_t", "_kind"], {f"_r_{n}": F.col(f"_x_{n}") for n in sums}, partition_by=part,
+                       n_buckets=n_buckets, maxes={f"_r_{n}": F.col(f"_x_{n}") for n in maxes})
+    at = pt.where(F.col("_kind") == 1)
+    cols = [F.max(F.when(F.col("_edge") == e, F.col(f"_r_{n}"))).alias(f"{n}_{e}")
+            for e in edges for n in [*sums, *maxes]]
+    return at.groupBy(*part, F.col("_at").alias("_t")).agg(*cols)
+
+
+def _frames_by_ranges(w_tx: DataFrame, keep: list[str], card: str, category: str, amt: str,
+                      hist_us: int, n_buckets: int | None = None) -> DataFrame:
+    """The same frame totals as ``_frames_by_buckets`` for hot cards: every frame [t - w, t) is
+    total(<= t - 1) - total(<= t - w - 1), read at probe rows from running totals over global
+    time ranges, and joined back on ``(card, t)`` / ``(card, category, t)`` (all events of a
+    card at one time share their frames, ties excluded, T4)."""
+
+    def one(c):
+        return F.when(F.col(c).isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+
+    data = w_tx.where(F.col("_t").isNotNull())
+    edges = {"b": 1, "h1": MICROS_PER_HOUR + 1, "h24": 24 * MICROS_PER_HOUR + 1, "d30": hist_us + 1}
+    cardf = _probe_totals(data, [card], {"n": one(amt), "c": F.col("_c"), "q": F.col("_c2"),
+                                         "nl": one("_la"), "la": F.col("_la"), "lo": F.col("_lo")},
+                          edges, maxes={"m": F.col("_t")}, n_buckets=n_buckets)
+    catf = _probe_totals(data, [card, category], {"n": one(amt), "c": F.col("_c")},
+                         {"b": 1, "d30": hist_us + 1}, n_buckets=n_buckets)
+
+    def cnt(n, e, src="card"):
+        return F.coalesce(F.col(f"{src}.{n}_b"), F.lit(0)).cast("bigint") - \
+            F.coalesce(F.col(f"{src}.{n}_{e}"), F.lit(0)).cast("bigint")
+
+    def tot(n, e, src="card"):
+        return F.coalesce(F.col(f"{src}.{n}_b").cast(EXACT), F.lit(0).cast(EXACT)) - \
+            F.coalesce(F.col(f"{src}.{n}_{e}").cast(EXACT), F.lit(0).cast(EXACT))
+
+    ev = w_tx.alias("ev")
+    j = ev.join(cardf.alias("card"), F.col(f"ev.{card}").eqNullSafe(F.col(f"card.{card}")) &
+                (F.col("ev._t") == F.col("card._t")), "left")
+    j = j.join(catf.alias("cat"), F.col(f"ev.{card}").eqNullSafe(F.col(f"cat.{card}")) &
+               F.col(f"ev.{category}").eqNullSafe(F.col(f"cat.{category}")) &
+               (F.col("ev._t") == F.col("cat._t")), "left")
+    return j.select(
+        *[F.col(f"ev.{c}").alias(c) for c in keep], F.col("ev._t").alias("_t"),
+        cnt("n", "h1").alias("_n1h"), cnt("n", "h24").alias("_n24"), tot("c", "h24").alias("_s24"),
+        cnt("n", "d30").alias("_n30"), tot("c", "d30").alias("_s30"), tot("q", "d30").alias("_q30"),
+        cnt("nl", "d30").alias("_nl30"), tot("la", "d30").alias("_la30"), tot("lo", "d30").alias("_lo30"),
+        F.col("card.m_b").alias("_last_t"),
+        cnt("n", "d30", "cat").alias("_ncat"), tot("c", "d30", "cat").alias("_scat"))
+
+
+def hot_cards(tx: DataFrame, card: str, max_rows: int) -> DataFrame:
+    """Cards with more than ``max_rows`` events (a partial count per card, combined map-side)."""
+    return tx.groupBy(card).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_rows).select(card)
+
+
+def event_features(tx: DataFrame, card: str = "card", ts: str = "trans_ts", amt: str = "amt",
+                   category: str = "category", lat: str = "lat", long: str = "long",
+                   merch_lat: str = "merch_lat", merch_long: str = "merch_long",
+                   history_days: int = HISTORY_DAYS, bucket_days: int | None = None,
+                   keep_intermediate: bool = False, hot_card_rows: int | None = HOT_CARD_ROWS,
+                   n_buckets: int | None = None) -> DataFrame:
+    """The input columns plus every history feature, one row per event.
+
+    Cards with more than ``hot_card_rows`` events take the range path (``_frames_by_ranges``),
+    the rest the bucket windows; ``hot_card_rows=0`` sends every card to the range path and
+    ``None`` none."""
+    hist_us = history_days * MICROS_PER_DAY
+    bucket_us = (bucket_days or 2 * history_days) * MICROS_PER_DAY
+    base_cols = tx.columns
+    w_tx = tx.withColumns({
+        "_t": micros(ts),
+        "_c": scaled(amt, AMOUNT_SCALE),
+        "_la": scaled(merch_lat, COORD_SCALE),
+        "_lo": scaled(merch_long, COORD_SCALE),
+    })
+    w_tx = w_tx.withColumn("_c2", (F.col("_c") * F.col("_c")).cast(EXACT))
+    mode = "buckets" if hot_card_rows is None else "ranges" if hot_card_rows <= 0 else "split"
+    if mode == "split":
+        # the hot-card list is small by construction (at most rows / hot_card_rows cards); the
+        # semi / anti joins are left to AQE, which broadcasts it after measuring it. Whether
+        # there is any hot card at all is one bounded read (at most one row to the driver).
+        hot = hot_cards(w_tx, card, hot_card_rows)
+        if hot.limit(1).count() == 0:
+            mode = "buckets"
+    if mode == "buckets":
+        feats = _frames_by_buckets(w_tx, base_cols, card, category, amt, hist_us, bucket_us)
+    elif mode == "ranges":
+        feats = _frames_by_ranges(w_tx, base_cols, card, category, amt, hist_us, n_buckets)
+    else:
+        cold = _frames_by_buckets(w_tx.join(hot, card, "left_anti"), base_cols, card, category, amt,
+                                  hist_us, bucket_us)
+        warm = _frames_by_ranges(w_tx.join(hot, card, "left_semi"), base_cols, card, category, amt,
+                                 hist_us, n_buckets)
+        feats = cold.unionByName(warm.select(*cold.columns))
     # the last earlier event counts only when it is inside the window (left edge closed)
     feats = feats.withColumn("_prev_t", F.when(F.col("_last_t") >= F.col("_t") - F.lit(hist_us), F.col("_last_t")))
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from chronotab.config import FRAUD, DomainConfig
 from chronotab.operators.splits import add_split_and_maturity
-from chronotab.operators.windows import FEATURE_COLUMNS, event_features
+from chronotab.operators.windows import FEATURE_COLUMNS, HOT_CARD_ROWS, event_features
 
 TS = "trans_date_trans_time"
 # Transaction columns kept beside the history features.
@@ -29,12 +29,13 @@ def union_files(files: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def assemble_fraud_features(raw: DataFrame, bucket_days: int | None = None) -> DataFrame:
+def assemble_fraud_features(raw: DataFrame, bucket_days: int | None = None,
+                            hot_card_rows: int | None = HOT_CARD_ROWS) -> DataFrame:
     """The 17 feature-table columns for every transaction in ``raw``."""
     tx = raw.withColumn(TS, F.col(TS).cast("timestamp_ntz"))
     feats = event_features(tx.select("trans_num", TS, "cc_num", "category", "amt", "lat", "long",
                                      "merch_lat", "merch_long"),
-                           card="cc_num", ts=TS, bucket_days=bucket_days)
+                           card="cc_num", ts=TS, bucket_days=bucket_days, hot_card_rows=hot_card_rows)
     return feats.select("trans_num", TS, *BASE_TRANSACTION_COLUMNS, *FEATURE_COLUMNS)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from chronotab.operators.windows import event_features
+from chronotab.operators.windows import HOT_CARD_ROWS, event_features
 from chronotab.plans import driver as D
 from chronotab.plans.catalog import register
 
@@ -60,8 +60,9 @@ FROM d
 ROUNDED = ("DISTANCE_FROM_HOME_KM", "DISTANCE_FROM_USUAL_MERCHANT_KM")
 
 
-def _features(t, bucket_days=None):
-    f = event_features(D.card_transactions(t), keep_intermediate=True, bucket_days=bucket_days)
+def _features(t, bucket_days=None, hot_card_rows=HOT_CARD_ROWS):
+    f = event_features(D.card_transactions(t), keep_intermediate=True, bucket_days=bucket_days,
+                       hot_card_rows=hot_card_rows)
     # distances go through sin/cos/asin, whose last bit differs between math libraries
     return f.withColumns({c: F.round(c, 6) for c in ROUNDED})
 
@@ -97,6 +98,18 @@ def q_event_features_fine(t):
     return _features(t, bucket_days=7).select(*ALL)
 
 
+# a low hot-card threshold for the registered check, so that the driver tables put cards on
+# both paths (the library default is HOT_CARD_ROWS)
+HOT_CHECK_ROWS = 64
+
+
+@register("event_features_hot_cards", _pick(ALL), "E12 P4 (hot cards by global time ranges)")
+def q_event_features_hot(t):
+    """Same features with cards of more than 64 events on the range path (running totals over
+    global time ranges read at probe rows), the rest on bucket windows."""
+    return _features(t, hot_card_rows=HOT_CHECK_ROWS).select(*ALL)
+
+
 @register("event_velocity", _pick(VELOCITY), "E2 E3 E4 E5 E6")
 def q_event_velocity(t):
     """Counts in 1 h / 24 h, sum in 24 h, mean and sample std in 30 days."""

@@ -79,6 +79,36 @@ def test_bucket_splitting_is_exact(spark, bucket_days):
             assert row[c] == split[k][c], (k, c)
 
 
+@pytest.mark.parametrize("hot_card_rows", [0, 3])
+def test_hot_card_range_path_is_exact(spark, hot_card_rows):
+    """P4 for hot cards: frames read at probe rows from running totals over global time ranges
+    equal the bucket windows on the fixture's edges, ties and zero-std cases (0 = every card on
+    the range path, 3 = cards split between the paths)."""
+    raw = spark.createDataFrame(fraud_rows(True), TX_SCHEMA)
+    base = {r["trans_num"]: r.asDict() for r in fraud.assemble_fraud_features(raw, hot_card_rows=None).collect()}
+    hot = {r["trans_num"]: r.asDict() for r in
+           fraud.assemble_fraud_features(raw, hot_card_rows=hot_card_rows).collect()}
+    assert base == hot
+
+
+def test_card_with_a_third_of_all_rows(spark):
+    """One card holding a third of the events: the split plan gives the bucket result, and the
+    hot card's windows are partitioned by (card, time range), not by card alone."""
+    from chronotab.operators.windows import hot_cards
+    from chronotab.plans.driver import card_transactions
+    from chronotab.sources.tables import Tables
+    tx = card_transactions(Tables(spark, "/root/testdata/sf0.001"))
+    skewed = tx.withColumn("card", F.when(F.col("trans_num") % 3 == 0, F.lit(-1)).otherwise(F.col("card")))
+    n = skewed.count()
+    limit = n // 4
+    assert [r["card"] for r in hot_cards(skewed, "card", limit).collect()] == [-1]
+    want = event_features(skewed, hot_card_rows=None)
+    got = event_features(skewed, hot_card_rows=limit, n_buckets=16)
+    assert want.exceptAll(got).count() == 0 and got.exceptAll(want).count() == 0
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(card#" in plan and "_rng" in plan
+
+
 def test_brute_force_recompute_on_driver_fixture(spark):
     """Window counts equal a range self-join recompute on the sf0.001 events."""
     from chronotab.plans.driver import card_transactions
