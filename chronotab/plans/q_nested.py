@@ -61,11 +61,14 @@ SELECT s.c_custkey, CAST(coalesce(o.n, 0) AS BIGINT) AS n_orders, CAST(coalesce(
   o.first_ts AS first_order_ts
 FROM s LEFT JOIN o USING (c_custkey) LEFT JOIN l USING (c_custkey)""", "C10 A9 E13")
 def q_nested_counts(t):
-    """Selected customers' requests: array sizes and the first element of the sorted order array."""
+    """Selected customers' requests: array sizes and the first element of the sorted order
+    array, over all parts of each request."""
     r = credit_requests(t)
-    return r.select("c_custkey", F.size("orders").cast("bigint").alias("n_orders"),
-                    F.size("lineitems").cast("bigint").alias("n_lineitems"),
-                    F.col("orders")[0]["o_orderdate"].alias("first_order_ts"))
+    per = r.select("c_custkey", F.size("orders").alias("n_orders"), F.size("lineitems").alias("n_lineitems"),
+                   F.try_element_at("orders", F.lit(1))["o_orderdate"].alias("first_order_ts"))
+    return per.groupBy("c_custkey").agg(
+        F.sum("n_orders").cast("bigint").alias("n_orders"), F.sum("n_lineitems").cast("bigint").alias("n_lineitems"),
+        F.min("first_order_ts").alias("first_order_ts"))
 
 
 PARITY_COLS = ["c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal", "DECISION_TS", "ORDERS_COUNT",
@@ -78,8 +81,9 @@ def q_credit_parity(t):
     """Features rebuilt from each nested request (arrays exploded back into tables) - the
     oracle is the batch feature table for the same customers."""
     r = credit_requests(t)
-    base = r.select(*D.BASE_COLUMNS)
-    dec = r.select("c_custkey", "DECISION_TS")
+    head = r.where(F.col("part") == 0)  # entity columns are repeated on every part
+    base = head.select(*D.BASE_COLUMNS)
+    dec = head.select("c_custkey", "DECISION_TS")
     orders = N.explode_history(r, "orders", ["c_custkey"]).withColumnRenamed("c_custkey", "o_custkey")
     lines = N.explode_history(r, "lineitems", ["c_custkey"]).withColumnRenamed("o_orderkey", "l_orderkey").drop("c_custkey")
     feats = D.assemble_customer_features(base, dec, orders, lines)
@@ -99,7 +103,7 @@ def _event_requests(t):
     req = N.range_history_join(sel, tx, "card", "trans_ts", "trans_num", TXN_FIELDS)
     return req.select("trans_num", "card", F.struct("trans_ts", "category", "amt", "lat", "long",
                                                      "merch_lat", "merch_long", "is_fraud").alias("transaction"),
-                      "history")
+                      "part", "history")
 
 
 @register("event_request_history", f"""WITH tx AS ({D.CARD_SQL}), s AS ({SELECTED_EVENTS_SQL})
@@ -114,13 +118,18 @@ def q_event_history(t):
     """Each selected event's 30-day card history: size, total cents, first and last time, and
     whether the request would be refused for history at or after the event (G8)."""
     r = event_requests(t)
-    return r.select(
+    per = r.select(
         "trans_num", F.size("history").cast("bigint").alias("n_history"),
         F.aggregate(F.transform("history", lambda h: F.round(h["amt"] * 100.0).cast("bigint")),
                     F.lit(0).cast("bigint"), lambda a, b: a + b).alias("history_cents"),
-        F.col("history")[0]["trans_ts"].alias("first_ts"),
-        F.element_at("history", -1)["trans_ts"].alias("last_ts"),
+        F.try_element_at("history", F.lit(1))["trans_ts"].alias("first_ts"),
+        F.try_element_at("history", F.lit(-1))["trans_ts"].alias("last_ts"),
         N.history_before_decision("history", "trans_ts", "transaction.trans_ts").alias("refused"))
+    return per.groupBy("trans_num").agg(  # over the parts of each request
+        F.sum("n_history").cast("bigint").alias("n_history"),
+        F.sum("history_cents").cast("bigint").alias("history_cents"),
+        F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"),
+        F.bool_or("refused").alias("refused"))
 
 
 @register("fraud_request_parity", f"""SELECT {', '.join(EVENT_COLUMNS)} FROM ({EVENT_SQL})
@@ -134,7 +143,7 @@ def q_fraud_parity(t):
     rows = rows.withColumn("card_req", F.col("request"))
     f = event_features(rows, card="card_req")
     f = f.where("_is_txn").withColumns({c: F.round(c, 6) for c in ROUNDED})
-    card = r.select(F.col("trans_num").alias("request"), "card")
+    card = r.where(F.col("part") == 0).select(F.col("trans_num").alias("request"), "card")
     return f.join(card, "request").withColumnRenamed("request", "trans_num").select(*EVENT_COLUMNS)
 
 
