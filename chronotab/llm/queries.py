@@ -51,3 +51,36 @@ def op9(t):
 
     out = remove_repeats(t("documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op8_suffix_dedup", sql=r"""
+WITH hexed AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS x FROM documents),
+starts AS (
+  SELECT doc_id, i, md5(x[2 * i + 1:2 * i + 200]) AS h
+  FROM (SELECT doc_id, x, unnest(range(0, len(x) // 2 - 99)) AS i FROM hexed)),
+later AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS r FROM starts) WHERE r > 1),
+marked AS (
+  SELECT doc_id, i, CASE WHEN i <= lag(i) OVER w + 100 THEN 0 ELSE 1 END AS new
+  FROM later WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+runs AS (
+  SELECT doc_id, min(i) AS s, max(i) + 100 AS e
+  FROM (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM marked) GROUP BY doc_id, g),
+gaps AS (  -- what stands before each removed run
+  SELECT doc_id, s, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS before FROM runs),
+parts AS (
+  SELECT doc_id, string_agg(x[2 * before + 1:2 * s], '' ORDER BY s) AS k, max(e) AS e,
+         sum(gaps.e - gaps.s) AS n, count(*) AS c
+  FROM gaps JOIN hexed USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(c, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(k, '') || x[2 * coalesce(e, 0) + 1:])) AS kept_sha256
+FROM hexed LEFT JOIN parts USING (doc_id)
+""")
+def op8(t):
+    """Strings of 100 bytes that start earlier in `documents`, removed."""
+    from chronotab.llm.suffix_dedup import remove_repeats
+
+    out = remove_repeats(t("documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
