@@ -84,3 +84,29 @@ def op8(t):
 
     out = remove_repeats(t("documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op6_containment", sql=r"""
+WITH item_words AS (
+  SELECT min(item_id) AS item_id, w FROM (
+    SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM benchmark)
+  GROUP BY w),
+item_shingles AS (
+  SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS i FROM item_words)),
+sizes AS (SELECT item_id, count(*) AS n FROM item_shingles GROUP BY item_id),
+doc_words AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents),
+doc_shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM doc_words)),
+shared AS (
+  SELECT doc_id, item_id, count(*) AS m FROM doc_shingles JOIN item_shingles USING (s) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n AS item_shingles, m AS shared, CAST(m AS DOUBLE) / n AS containment
+FROM shared JOIN sizes USING (item_id) WHERE m >= 0.8 * n
+""")
+def op6(t):
+    """Items of `benchmark` of which a document of `documents` holds 0.8 or more of the five-word shingles."""
+    from chronotab.llm.containment import matches
+
+    return matches(t("documents"), t("benchmark"))
