@@ -110,3 +110,12 @@ def op6(t):
     from chronotab.llm.containment import matches
 
     return matches(t("documents"), t("benchmark"))
+
+
+@query("op10_order_minhash")
+def op10(t):
+    """Every document with the least doc_id of its class of near duplicates (class_id)."""
+    from chronotab.llm.order_minhash import near_classes
+
+    out = near_classes(t("documents"))
+    return out.withColumn("keep", F.col("doc_id") == F.col("class_id"))
