@@ -119,3 +119,44 @@ def op10(t):
 
     out = near_classes(t("documents"))
     return out.withColumn("keep", F.col("doc_id") == F.col("class_id"))
+
+
+@query("op3_mixing", sql=r"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+         CAST('0x' || md5(coalesce(CAST(doc_id AS VARCHAR), ''))[1:15] AS BIGINT) AS shuffled
+  FROM documents),
+sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+  FROM sized GROUP BY source),
+levels AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER before, 0))::DOUBLE
+            / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
+  FROM sources
+  WINDOW before AS (ORDER BY 3 * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+goals AS (
+  SELECT source, source_size, least(weight * (SELECT max(level) FROM levels), CAST(3 * source_size AS DOUBLE)) AS target
+  FROM levels),
+queued AS (
+  SELECT d.*, source_size, target,
+         CAST(sum(size) OVER (PARTITION BY d.source ORDER BY shuffled, doc_id NULLS LAST, size
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS size_to
+  FROM sized d JOIN goals g ON d.source IS NOT DISTINCT FROM g.source),
+copies AS (
+  SELECT *, ((copy - 1) * source_size + size_to) / target AS finish
+  FROM (SELECT *, unnest([1, 2, 3]) AS copy FROM queued WHERE size > 0)),
+cut AS (
+  SELECT *, sum(size) OVER (ORDER BY finish, source NULLS LAST, shuffled, doc_id NULLS LAST, size, copy
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS total
+  FROM copies)
+SELECT q.doc_id, CAST(q.size AS BIGINT) AS size, q.source_size, q.target,
+       CAST(q.size * coalesce(n, 0) AS BIGINT) AS taken
+FROM queued q LEFT JOIN (
+  SELECT doc_id, count(*) AS n FROM cut WHERE total <= (SELECT sum(size) FROM sized) GROUP BY doc_id) USING (doc_id)
+""")
+def op3(t):
+    """What a mix of `documents` by source weights takes of every document."""
+    from chronotab.llm.mixing import mix
+
+    return mix(t("documents")).select("doc_id", "size", "source_size", "target", "taken")
