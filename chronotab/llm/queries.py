@@ -160,3 +160,34 @@ def op3(t):
     from chronotab.llm.mixing import mix
 
     return mix(t("documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op5_language")
+def op5(t):
+    """Language of every document of `documents`, learned from the folds 0 and 2 of 3."""
+    from chronotab.llm.folds import fold
+    from chronotab.llm.language import fit, predict
+
+    docs = t("documents")
+    out = predict(docs, fit(docs.where(fold(3) != 1)))
+    return out.select("doc_id", (fold(3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+@query("op2_toxicity")
+def op2(t):
+    """Toxicity of every document of `documents`, learned from `labels` outside fold 0 of 5."""
+    from chronotab.llm.folds import fold
+    from chronotab.llm.toxicity import toxicity
+
+    out = toxicity(t("documents"), t("labels"))
+    return out.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op7_quality")
+def op7(t):
+    """Quality of every document of `documents`, learned from `labels` outside fold 0 of 5."""
+    from chronotab.llm.folds import fold
+    from chronotab.llm.quality import ACCEPT, quality
+
+    out = quality(t("documents"), t("labels"))
+    return out.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= ACCEPT).cast("int").alias("predicted"))
