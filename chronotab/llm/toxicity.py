@@ -1,7 +1,7 @@
 """Toxicity by gradient-boosted trees over dense text features, with isotonic calibration.
 
-Features of a whole text: density of insults from a fixed lexicon and from one learned on the
-training rows, both also after undoing letter substitutions; nearness of insults to second-person
+Features of a whole text: density of insults from a fixed lexicon and from words and
+stems learned on the training rows, both also after undoing letter substitutions; nearness of insults to second-person
 words; shares of capitals and of words in capitals; rates of exclamation marks, other punctuation
 and symbols; rates of obfuscated words and of letters spelled out. The trees are fitted on three
 quarters of a bounded sample of labelled documents (``sample_rows``), isotonic regression on the
@@ -28,6 +28,7 @@ from chronotab.session import cut_lineage
 
 SAMPLE_ROWS = 20_000
 LEARNED_WORDS = 300
+STEMS = (3, 4, 5, 6)
 NEAR = 5
 # Common insults of the four languages of the data.
 INSULTS = frozenset("""
@@ -50,12 +51,20 @@ FEATURES = ("lexicon", "learned", "kinds", "hidden", "near_you", "you", "capital
             "symbols", "mixed", "spelled", "length")
 
 
-def features(text: str | None, learned: frozenset[str]) -> list[float]:
-    """The values of FEATURES; densities are per 100 words or per character."""
+def features(text: str | None, learned: frozenset[str], begins: frozenset[str]) -> list[float]:
+    """The values of FEATURES; densities are per 100 words or per character.
+
+    ``begins`` holds the first letters (as many as the shortest stem) of ``learned``.
+    """
+
+    def marks(word: str) -> bool:
+        return (word[:STEMS[0]] in begins or len(word) < STEMS[0]) and (
+            word in learned or any(f"{word[:n]}*" in learned for n in STEMS if n < len(word)))
+
     text = text or ""
     words = _WORD.findall(text.lower())
     n, size = max(1, len(words)), max(1, len(text))
-    hits = [i for i, w in enumerate(words) if w in INSULTS or w in learned]
+    hits = [i for i, w in enumerate(words) if w in INSULTS or marks(w)]
     you = [i for i, w in enumerate(words) if w in YOU]
     near = 0
     for i in hits:
@@ -67,9 +76,9 @@ def features(text: str | None, learned: frozenset[str]) -> list[float]:
     for x in mixed + spelled:
         plain = re.sub(r"[^\w]|_", "", x.lower().translate(_SIGNS))
         bare = re.sub(r"[\W\d_]", "", x.lower())
-        hidden += plain in INSULTS or plain in learned or bare in INSULTS or bare in learned
+        hidden += plain in INSULTS or marks(plain) or bare in INSULTS or marks(bare)
     found = [words[i] for i in hits]
-    return [100 * sum(w in INSULTS for w in found) / n, 100 * sum(w in learned for w in found) / n, float(len(set(found))),
+    return [100 * sum(w in INSULTS for w in found) / n, 100 * sum(map(marks, found)) / n, float(len(set(found))),
             float(hidden), near / max(1, len(hits)), 100 * len(you) / n,
             sum(map(str.isupper, text)) / size, 100 * len(_CAPITALS.findall(text)) / n, 100 * text.count("!") / size,
             100 * sum(map(text.count, ".,;:?-\"'()")) / size, 100 * sum(map(text.count, "#$%&*@^~|<>=+")) / size,
@@ -79,9 +88,11 @@ def features(text: str | None, learned: frozenset[str]) -> list[float]:
 def add_features(docs: DataFrame, learned: frozenset[str], keep: list[str]) -> DataFrame:
     """The columns ``keep`` of ``docs`` and ``features``, an array."""
 
+    begins = frozenset(w.rstrip("*")[:STEMS[0]] for w in learned)
+
     def run(batches):
         for batch in batches:
-            made = pa.array([features(x, learned) for x in batch.column("text").to_pylist()], pa.list_(pa.float64()))
+            made = pa.array([features(x, learned, begins) for x in batch.column("text").to_pylist()], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], made], [*keep, "features"])
 
     kinds = dict(docs.dtypes)
@@ -89,18 +100,24 @@ def add_features(docs: DataFrame, learned: frozenset[str], keep: list[str]) -> D
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, schema)
 
 
-def learned_lexicon(sample: DataFrame, words: int = LEARNED_WORDS) -> frozenset[str]:
-    """The words that mark documents of label 1: in eight of them or more, and 20 times as often,
-    by share of documents, as in the others."""
+def learned_lexicon(sample: DataFrame, entries: int = LEARNED_WORDS) -> frozenset[str]:
+    """Words, and beginnings of words (marked ``*``), that mark documents of label 1.
+
+    Kept are those 20 times as frequent there, by share of documents, as in the others, and too
+    often to be chance; at most ``entries``, the surest first.
+    """
     sizes = sample.agg(F.sum("label"), F.count("*")).first()
-    bad, good = float(sizes[0] or 0), float(sizes[1] - (sizes[0] or 0))
-    if not bad or not good:
+    bad, total = float(sizes[0] or 0), float(sizes[1])
+    if not 0 < bad < total:
         return frozenset()
-    each = sample.select("label", F.explode(F.array_distinct(F.regexp_extract_all(
-        F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1)))).alias("word"))
-    rate = (F.col("bad") / bad) / ((F.col("n") - F.col("bad") + 0.5) / good)
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1)))
+    stems = [F.transform(F.filter(words, lambda w, n=n: F.length(w) > n), lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit("*")))
+             for n in STEMS]
+    each = sample.select("label", F.explode(F.array_distinct(F.flatten(F.array(words, *stems)))).alias("word"))
+    rate = (F.col("bad") / bad) / ((F.col("n") - F.col("bad") + 0.5) / (total - bad))
+    sure = F.col("bad") * F.log(F.col("bad") * total / (F.col("n") * bad))
     best = (each.groupBy("word").agg(F.sum("label").alias("bad"), F.count("*").alias("n"))
-            .where((F.col("bad") >= 8) & (rate >= 20)).orderBy(rate.desc(), "word").limit(words))
+            .where((rate >= 20) & (sure >= 10)).orderBy(sure.desc(), "word").limit(entries))
     return frozenset(r.word for r in best.collect())
 
 
