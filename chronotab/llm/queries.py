@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chronotab.session import prepare_session
+from chronotab.session import ensure_checkpoint_dir, prepare_session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +28,11 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the checkpoint folder that the cluster shares."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 @query("op9_window_dedup", sql=r"""
 WITH words AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -191,3 +197,34 @@ def op7(t):
 
     out = quality(t("documents"), t("labels"))
     return out.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= ACCEPT).cast("int").alias("predicted"))
+
+
+@query("op1_warc", sql=r"""
+WITH pages_ AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+kept AS (SELECT h, max(page_id) AS kept FROM pages_ GROUP BY h),
+base32 AS (
+  SELECT h, kept, string_agg(
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(CAST('0x' || h[5 * (i // 4) + 1:5 * (i // 4) + 5] AS INT) // [32768, 1024, 32, 1][i % 4 + 1] % 32 AS INT) + 1, 1),
+    '' ORDER BY i) AS payload_digest
+  FROM (SELECT h, kept, unnest(range(32)) AS i FROM kept) GROUP BY h, kept)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = kept THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> kept THEN kept END AS refers_to
+FROM pages_ JOIN base32 USING (h)
+""")
+def op1(t):
+    """`pages` written as Zstandard WARC archives to the shared folder and read back."""
+    from chronotab.llm.warc import read_archives, write_archives
+
+    pages = t("pages")
+    folder = shared_folder(pages.sparkSession, "warc")
+    write_archives(pages, folder)
+    return read_archives(pages.sparkSession, folder, payloads=False).drop("url")
+
+
+@query("op4_ann")
+def op4(t):
+    """The 20 nearest found by inner product of every row of `embeddings` whose vec_id is divisible by 20."""
+    from chronotab.llm.ann import nearest
+
+    return nearest(t("embeddings"), F.col("vec_id") % 20 == 0)
