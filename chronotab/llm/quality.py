@@ -103,11 +103,13 @@ def fit(sample: DataFrame, lasso: float = LASSO) -> RuleEnsemble | float:
     return RuleEnsemble(float(model.intercept), kept)
 
 
-def quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (doc_id) of every row and its ``score``, learned from ``labels.quality`` outside fold 0 of 5."""
+def quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, keep: list[str] | None = None,
+            into: str = "score") -> DataFrame:
+    """The columns ``keep`` (doc_id) of every row and its score ``into``, learned from
+    ``labels.quality`` outside fold 0 of 5."""
     model = fit(labelled_sample(docs, labels, "quality", 5, sample_rows))
-    keep = keep or ["doc_id"]
+    keep = [c for c in keep or ["doc_id"] if c not in (into, "_stats")]
     if isinstance(model, float):
-        return docs.select(*keep, F.lit(model).alias("score"))
-    stats = docs.select(*[F.col(c) for c in keep], statistics(F.col("text")).alias("_stats"))
-    return stats.select(*keep, model.score(F.col("_stats")).alias("score"))
+        return docs.select(*keep, F.lit(model).alias(into))
+    stats = docs.select(*keep, statistics(F.col("text")).alias("_stats"))
+    return stats.select(*keep, model.score(F.col("_stats")).alias(into))

@@ -1,8 +1,78 @@
-"""Corpus pipeline; its stages follow with their operators."""
+"""Corpus pipeline: quality, near duplicates, repeated passages, benchmark leaks, source mix.
 
-STAGES: list = []
+``STAGES`` are (name, function) pairs in order; a function takes (spark, docs, sf_dir) and returns
+the documents it keeps. Every stage is written as Parquet and read again before the next one. All
+but the last return the columns of ``docs``; the last adds ``copy``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from chronotab.llm import containment, mixing, order_minhash, quality, suffix_dedup
+from chronotab.llm.queries import shared_folder
+from chronotab.session import prepare_session
+
+#: Rule ensembles and alignments are not expressible in SQL; tests check every stage by brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts (score of 0.3 or more)."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = quality.quality(docs, labels, keep=docs.columns, into="_quality")
+    return scored.where(F.col("_quality") >= quality.ACCEPT).select(docs.columns)
+
+
+def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least doc_id of each class of near duplicates; rows without doc_id stay."""
+    first = order_minhash.near_classes(docs).where(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
+    kept = docs.where("doc_id is not null").join(first, "doc_id", "leftsemi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where("doc_id is null")).select(docs.columns)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the strings of 100 bytes that start earlier; n_chars follows the text.
+
+    Bytes of a character that is cut through go as well. A document of which nothing is left goes.
+    """
+    cut = suffix_dedup.remove_repeats(docs)
+    changed = (cut.where("n_removed > 0 and doc_id is not null").dropDuplicates(["doc_id"])
+               .select("doc_id", F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", "").alias("_left")))
+    out = docs.join(changed, "doc_id", "left")
+    text = F.when(F.col("_left").isNull(), F.col("text")).otherwise(F.col("_left"))
+    out = out.where("_left is null or trim(_left) <> ''").withColumn("text", text)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("_left").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
+    return out.select(docs.columns)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return containment.add_matches(docs, items, into="_leaks").where(F.size("_leaks") == 0).select(docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The source mix: every document as often as the mix takes it."""
+    return mixing.mixed_documents(docs)
+
+
+STAGES = [
+    ("quality classifier", keep_good),
+    ("near duplicates", keep_one_copy),
+    ("suffix-array dedup", cut_repeats),
+    ("benchmark decontamination", drop_leaks),
+    ("source mix", mix_sources),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written to the shared folder and read again."""
+    prepare_session(spark)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    folder = shared_folder(spark, "pipeline")
+    for k, (_, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+        docs = spark.read.parquet(f"{folder}/{k}")
+    return docs
