@@ -43,10 +43,7 @@ class SplitConfig:
         """whole days between train.end and validation.start must be >= gap_days."""
         actual = (self.validation.start - self.train.end).days
         if actual < self.gap_days:
-            raise ValueError(
-                f"split config inconsistent: gap_days={self.gap_days} but train end to "
-                f"validation start is only {actual} days"
-            )
+            raise ValueError(f"validation begins {actual} whole days after train ends, {self.gap_days} are required")
 
 
 @dataclass(frozen=True)
@@ -104,16 +101,24 @@ class DomainConfig:
     label: LabelConfig
     evaluation: EvalConfig
     anchor: Window | None = None
+    # columns that never reach a model: bookkeeping and protected attributes
+    not_features: frozenset[str] = frozenset()
     sentinels: dict = field(default_factory=dict)
     drift: DriftConfig = DriftConfig()
     performance: PerformanceConfig = PerformanceConfig()
 
+    def inputs(self, columns) -> list[str]:
+        """B1: the model inputs among ``columns``, in their order."""
+        hidden = self.not_features | {self.entity_key, self.target, "SPLIT", "IS_MATURE"}
+        return list(filter(lambda c: c not in hidden, columns))
+
 
 # Fixed values of the two reference domains (split windows, maturity, costs, slices, gate).
 CREDIT = DomainConfig(
     name="credit",
     entity_key="SK_ID_CURR",
     target="TARGET",
+    not_features=frozenset({"APPLICATION_DATE", "CODE_GENDER"}),
     anchor=Window.of("2016-01-01", "2018-06-30"),
     split=SplitConfig.of(("2016-01-01", "2017-06-30"), ("2017-08-01", "2017-12-31"),
                          ("2018-01-01", "2018-06-30"), gap_days=30),
@@ -137,6 +142,7 @@ FRAUD = DomainConfig(
     name="fraud",
     entity_key="trans_num",
     target="TARGET",
+    not_features=frozenset({"trans_date_trans_time"}),
     split=SplitConfig.of(("2019-01-01", "2020-02-29"), ("2020-03-14", "2020-06-30"),
                          ("2020-07-01", "2020-12-31"), gap_days=14),
     label=LabelConfig.of(7, "2021-01-01"),

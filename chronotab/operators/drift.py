@@ -18,6 +18,7 @@ from pyspark.sql.types import BooleanType, NumericType, StringType
 
 from chronotab.config import DriftConfig
 from chronotab.operators.order import count_below, exact_quantiles
+from chronotab.session import cut_lineage
 
 ROUND = 12
 
@@ -89,11 +90,11 @@ def psi_categorical(reference: DataFrame, current: DataFrame, columns: Sequence[
 def comparable_columns(current: DataFrame, columns: Sequence[str]) -> tuple[list[str], list[str]]:
     """K5: a column all-null in the current window is skipped (one aggregate for all)."""
     if not columns:
-        raise ValueError("reference and current share no columns")
+        raise ValueError("nothing to compare: the two tables have no column in common")
     row = current.agg(*[F.count(F.col(f"`{c}`")).alias(f"_{i}") for i, c in enumerate(columns)]).first()
     keep = [c for i, c in enumerate(columns) if row[f"_{i}"] > 0]
     if not keep:
-        raise ValueError("reference and current share no columns with any non-null current data")
+        raise ValueError("nothing to compare: every common column is null in the current window")
     return keep, [c for c in columns if c not in keep]
 
 
@@ -106,6 +107,20 @@ def compute_drift(reference: DataFrame, current: DataFrame, cfg: DriftConfig = D
     return out.withColumn("drifted", F.col("psi") > F.lit(cfg.psi_threshold))
 
 
+def drift_report(reference: DataFrame, current: DataFrame, cfg: DriftConfig = DriftConfig()) -> DataFrame:
+    """K5: one row per shared column, ``(column_name, kind, psi, drifted, skipped)``; a column
+    without current values is skipped and has no numbers."""
+    shared = shared_columns(reference, current)
+    _, skipped = comparable_columns(current, shared)
+    num, _ = split_kinds(reference, shared)
+    out = compute_drift(reference, current, cfg).withColumn("skipped", F.lit(False))
+    if skipped:
+        rows = [(c, "numeric" if c in num else "categorical", None, None, True) for c in skipped]
+        out = out.select("column_name", "kind", "psi", "drifted", "skipped").unionByName(
+            reference.sparkSession.createDataFrame(rows, "column_name string, kind string, psi double, drifted boolean, skipped boolean"))
+    return out.select("column_name", "kind", "psi", "drifted", "skipped")
+
+
 def dataset_drift(per_column: DataFrame, cfg: DriftConfig = DriftConfig()) -> DataFrame:
     """K6: drifted share and the dataset flag (share >= 0.5)."""
     return per_column.agg(
@@ -121,6 +136,35 @@ def retrain_decision(input_drift, prediction_drift):
     return F.coalesce(input_drift, F.lit(False)) | F.coalesce(prediction_drift, F.lit(False))
 
 
+RUN_SCHEMA = ("n_reference bigint, n_current bigint, status string, n_columns bigint, n_drifted bigint, drifted_share double, "
+              "dataset_drift boolean, prediction_psi double, prediction_drift boolean, retrain boolean")
+
+
+def drift_run(reference: DataFrame, current: DataFrame, score: str, cfg: DriftConfig = DriftConfig()) -> tuple[DataFrame, DataFrame]:
+    """K2, K6-K9: (one report row, the features' rows of ``compute_drift``).
+
+    Under the minimum of current rows the report says ``no_data``: no numbers and no retrain.
+    The score's drift is measured in the same pass as the features'.
+    """
+    spark = reference.sparkSession
+    sizes = (reference.count(), current.count())
+    if sizes[1] < cfg.min_current:
+        report = spark.createDataFrame([(*sizes, "no_data", None, None, None, None, None, None, False)], RUN_SCHEMA)
+        return report, spark.createDataFrame([], "column_name string, kind string, psi double, drifted boolean")
+    per = cut_lineage(compute_drift(reference, current, cfg))  # one row a column
+    features = per.where(F.col("column_name") != score)
+    own = F.col("column_name") == score
+    out = per.agg(F.count_if(~own).alias("n_columns"), F.count_if(~own & F.col("drifted")).alias("n_drifted"),
+                  F.max(F.when(own, F.col("psi"))).alias("prediction_psi"),
+                  F.bool_or(F.when(own, F.col("drifted"))).alias("prediction_drift"))
+    share = F.col("n_drifted").cast("double") / F.col("n_columns").cast("double")
+    flag = share >= F.lit(cfg.dataset_share)
+    report = out.select(F.lit(sizes[0]).cast("bigint").alias("n_reference"), F.lit(sizes[1]).cast("bigint").alias("n_current"),
+                        F.lit("ok").alias("status"), "n_columns", "n_drifted", share.alias("drifted_share"), flag.alias("dataset_drift"),
+                        "prediction_psi", "prediction_drift", retrain_decision(flag, F.col("prediction_drift")).alias("retrain"))
+    return report, features.select("column_name", "kind", "psi", "drifted")
+
+
 def min_sample_status(n_current, min_current: int):
     """K2: under the minimum the run reports ``no_data``."""
     return F.when(n_current < min_current, F.lit("no_data")).otherwise(F.lit("ok"))

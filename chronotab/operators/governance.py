@@ -16,32 +16,34 @@ METRIC_NAMES = ("pr_auc", "roc_auc", "recall_at_target_fpr", "alert_volume_fract
 
 def gate(test_metrics: DataFrame, test_slices: DataFrame, reason_counts: DataFrame,
          cards: DataFrame, cfg: EvalConfig, model: str = "model") -> DataFrame:
-    """Per model, fail if PR-AUC is below the floor, any slice is out of tolerance (a
-    null - one-class slice - passes, T13), no reason codes were produced, or the card is
-    missing or blank. Reasons are listed in that order (slices sorted)."""
+    """Per model, fail if PR-AUC is unknown or below the floor, any slice is out of
+    tolerance (a null, as in a one-class slice, passes, T13), there are no reason codes, or the
+    card is missing or blank. Reasons give the measured values, in that order (slices sorted)."""
     bad_slices = (test_slices.where(F.col("within_tolerance").eqNullSafe(F.lit(False)))
                   .groupBy(model).agg(F.array_sort(F.collect_list(
-                      F.concat(F.lit("slice "), F.col("slice_column"), F.lit("="), F.col("slice_value"),
-                               F.lit(" exceeds its configured tolerance")))).alias("_slices")))
+                      F.format_string("slice %s=%s: roc_auc %.4f out of tolerance", "slice_column", "slice_value", "roc_auc")))
+                      .alias("_slices")))
     j = (test_metrics.select(model, "pr_auc").join(bad_slices, model, "left")
          .join(reason_counts, model, "left").join(cards, model, "left"))
     floor = float(cfg.min_pr_auc)
     reasons = F.concat(
-        F.array_compact(F.array(F.when(F.col("pr_auc") < F.lit(floor),
-                                       F.lit(f"PR-AUC is below the configured floor {floor}")))),
+        F.array_compact(F.array(
+            F.when(F.col("pr_auc").isNull(), F.lit("pr_auc unknown"))
+            .when(F.col("pr_auc") < F.lit(floor), F.format_string(f"pr_auc %.4f under {floor:.4f}", "pr_auc")))),
         F.coalesce("_slices", F.array().cast("array<string>")),
         F.array_compact(F.array(
-            F.when(F.coalesce("n_reason_codes", F.lit(0)) == 0, F.lit("no reason codes were produced")),
-            F.when(F.coalesce(F.trim("card"), F.lit("")) == "", F.lit("model card is missing or empty")))))
+            F.when(F.coalesce("n_reason_codes", F.lit(0)) == 0, F.lit("reason codes missing")),
+            F.when(F.coalesce(F.trim("card"), F.lit("")) == "", F.lit("model card blank")))))
     return j.select(model, "pr_auc", (F.size(reasons) == 0).alias("passed"), reasons.alias("reasons"))
 
 
 def decide_promotion(candidate: Column, production: Column, max_regression: float) -> Column:
-    """No production version -> promote; else promote iff candidate >= production - max."""
+    """Without a production version promote; else promote iff candidate >= production - max
+    (an unknown candidate is not promoted). The reason gives both values."""
     floor = production - F.lit(float(max_regression))
-    return F.when(production.isNull(), F.struct(F.lit(True).alias("promote"), F.lit("no production version exists").alias("reason"))) \
-        .when(candidate >= floor, F.struct(F.lit(True).alias("promote"), F.lit("within the allowed regression").alias("reason"))) \
-        .otherwise(F.struct(F.lit(False).alias("promote"), F.lit("more than the allowed regression below production").alias("reason")))
+    return F.when(production.isNull(), F.struct(F.lit(True).alias("promote"), F.lit("first version").alias("reason"))) \
+        .when(candidate >= floor, F.struct(F.lit(True).alias("promote"), F.format_string("%.4f against %.4f: within the regression allowed", candidate, production).alias("reason"))) \
+        .otherwise(F.struct(F.lit(False).alias("promote"), F.format_string("%.4f against %.4f: regression too large", F.coalesce(candidate, F.lit(float("nan"))), production).alias("reason")))
 
 
 def flatten_metrics(metrics: DataFrame, split: str = "SPLIT", names: Sequence[str] = METRIC_NAMES) -> DataFrame:

@@ -1,24 +1,22 @@
 """Global order without one task (P1), and the operators built on it.
 
 A running total or a row number over a whole table normally needs ``Window.orderBy`` with no
-partition, which sends every row to one task. Here the order key is cut into ranges at
-approximate quantiles (a bounded list of boundary values, the only thing collected to the
-driver), rows are numbered inside their range with an ordinary partitioned window, and each
-range gets the total of all earlier ranges from a small per-range table. Equal keys always land
-in the same range, so ties never straddle a boundary. Nothing is non-deterministic, so no
-checkpoint is needed between the passes.
+partition, which sends every row to one task. Here rows are dealt to ranges of the whole sort key
+(groups first, then every order column), so a burst at one time, a hot group or a common first
+key spreads over as many ranges as its rows need. The ranged table is written once to the shared
+checkpoint folder; totals are taken inside each range and the totals of the ranges before come
+from a small per-range table. Rows equal in the whole key share a range.
 """
 
 from __future__ import annotations
 
-import json
-import sys
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronotab.functions.timecols import from_micros, micros
+from chronotab.session import cut_lineage
 
 _BUCKET = "_rng"
 
@@ -31,53 +29,9 @@ def _n_buckets(df: DataFrame, n_buckets: int | None) -> int:
     return max(shuffle, spark.sparkContext.defaultParallelism, 2)
 
 
-def range_boundaries(df: DataFrame, key: str, n_buckets: int) -> list:
-    """``n_buckets - 1`` approximate quantiles of a numeric key (sorted, bounded list)."""
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    if not probs:
-        return []
-    row = df.select(F.percentile_approx(F.col(key).cast("double"), probs, 10_000).alias("q")).first()
-    values = [v for v in (row["q"] or []) if v is not None]
-    return sorted(set(values))
-
-
-def with_bucket(df: DataFrame, key: str, boundaries: Sequence, name: str = _BUCKET) -> DataFrame:
-    """Add ``name`` = index of the range holding ``key`` = number of boundaries <= key (monotone
-    in the key; equal keys, equal index; null and NaN keys go to the last range).
-
-    A binary search over one array literal: ceil(log2(B + 1)) stacked projections, each one
-    ``element_at`` comparison, so the plan and the generated code stay O(log B) however many
-    ranges a large cluster asks for (B follows the shuffle partition count)."""
-    b = sorted(float(x) for x in boundaries)
-    n = len(b)
-    v = F.col(key).cast("double")
-    if n == 0:
-        return df.withColumn(name, F.lit(0))
-    size = 1 << n.bit_length()  # power of two > n; padding with the largest double
-    # one string literal that the optimizer folds into a constant array (one value per range
-    # boundary, built once rather than one expression per element)
-    arr = F.from_json(F.lit(json.dumps(b + [sys.float_info.max] * (size - n))), "array<double>")
-    out = df.withColumns({"_bnd": arr, name: F.lit(0)})
-    step = size >> 1
-    while step:
-        probe = F.element_at(F.col("_bnd"), F.col(name) + F.lit(step)) <= v
-        out = out.withColumn(name, F.col(name) + F.when(probe, F.lit(step)).otherwise(F.lit(0)))
-        step >>= 1
-    last = F.when(v.isNull(), F.lit(n)).otherwise(F.least(F.col(name), F.lit(n)))
-    return out.withColumn(name, last).drop("_bnd")
-
-
-def count_at_or_below(arr: Column, value: Column, max_len: int) -> Column:
-    """Number of elements of a sorted array (at most ``max_len``) that are <= ``value``."""
-    out = F.lit(0)
-    for i in range(max_len):
-        out = out + F.when(F.coalesce(F.try_element_at(arr, F.lit(i + 1)) <= value, F.lit(False)), 1).otherwise(0)
-    return out
-
-
 def count_below(arr: str, value, max_len: int) -> Column:
-    """Number of elements of a sorted array column (at most ``max_len`` long) that are
-    strictly below ``value``: unrolled comparisons, so it stays in generated code."""
+    """How many elements of a sorted array column (``max_len`` long at most) are strictly below
+    ``value``: unrolled comparisons, so it stays in generated code."""
     v = F.col(value) if isinstance(value, str) else value
     terms = [F.when(F.coalesce(F.try_element_at(F.col(arr), F.lit(i + 1)) < v, F.lit(False)), 1).otherwise(0)
              for i in range(max_len)]
@@ -87,61 +41,41 @@ def count_below(arr: str, value, max_len: int) -> Column:
     return out
 
 
-def _offsets(counts: DataFrame, partition_by: Sequence[str], sum_names: Sequence[str],
-             descending: bool, max_names: Sequence[str] = ()) -> DataFrame:
-    order = F.col(_BUCKET).desc() if descending else F.col(_BUCKET).asc()
-    w = Window.partitionBy(*partition_by).orderBy(order).rowsBetween(
-        Window.unboundedPreceding, -1)
-    return counts.select(
-        *partition_by, _BUCKET,
-        *[F.coalesce(F.sum(n).over(w), F.lit(0)).alias(f"_off_{n}") for n in sum_names],
-        *[F.max(n).over(w).alias(f"_off_{n}") for n in max_names],
-    )
-
-
 def prefix_totals(df: DataFrame, order: Sequence[str], sums: dict[str, Column] | None = None,
                   partition_by: Sequence[str] = (), descending: bool = False,
                   position: str | None = None, n_buckets: int | None = None,
                   maxes: dict[str, Column] | None = None) -> DataFrame:
     """Add inclusive running totals of ``sums`` (name -> column), running maxima of ``maxes``
-    and, if ``position`` is given, a 0-based row number, in ``order`` (first column numeric)
-    within ``partition_by``.
+    and, if ``position`` is given, a 0-based row number, in ``order`` within ``partition_by``.
 
-    The first order column decides the range; the others only break ties inside it.
+    Give a complete order where rows may tie; rows alike in all its columns are numbered in any
+    order. Nulls come first ascending, last descending; a null group is a group of its own.
     """
-    sums = dict(sums or {})
-    maxes = dict(maxes or {})
-    key = order[0]
-    nb = _n_buckets(df, n_buckets)
-    names = list(sums)
-    work = df.withColumns({f"_v_{n}": c for n, c in {**sums, **maxes}.items()})
-    if position:
-        work = work.withColumn("_v__rows", F.lit(1).cast("long"))
-        names = names + ["_rows"]
-    bounds = range_boundaries(df, key, nb)  # at most nb - 1 values reach the driver
-    work = with_bucket(work, key, bounds)
-
-    counts = work.groupBy(*partition_by, _BUCKET).agg(*[F.sum(f"_v_{n}").alias(n) for n in names],
-                                                      *[F.max(f"_v_{n}").alias(n) for n in maxes])
-    offsets = _offsets(counts, partition_by, names, descending, list(maxes))
-
-    ocols = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
-    w = Window.partitionBy(*partition_by, _BUCKET).orderBy(*ocols).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    # null-safe on the partition keys: a null key is a group of its own, as in the windows
-    keys = [*partition_by, _BUCKET]
-    offsets = offsets.select(*[F.col(k).alias(f"_ok_{i}") for i, k in enumerate(keys)],
-                             *[c for c in offsets.columns if c not in keys])
-    cond = [work[k].eqNullSafe(offsets[f"_ok_{i}"]) for i, k in enumerate(keys)]
-    out = work.join(offsets, cond, "left").drop(*[f"_ok_{i}" for i in range(len(keys))])
-    new_cols = {n: F.sum(f"_v_{n}").over(w) + F.col(f"_off_{n}") for n in sums}
-    for n in maxes:  # greatest() skips nulls: no earlier range, or nothing yet in this one
-        new_cols[n] = F.greatest(F.max(f"_v_{n}").over(w), F.col(f"_off_{n}"))
+    sums, maxes = dict(sums or {}), dict(maxes or {})
+    values = {**sums, **maxes} | ({"_rows": F.lit(1).cast("bigint")} if position else {})
+    names = [*sums, *(["_rows"] if position else [])]
+    way = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
+    groups = [*partition_by, _BUCKET]
+    ranged = cut_lineage(
+        df.withColumns({f"_v_{n}": c for n, c in values.items()})
+        .repartitionByRange(_n_buckets(df, n_buckets), *[F.col(c).asc() for c in partition_by], *way)
+        .withColumn(_BUCKET, F.spark_partition_id()))
+    per = ranged.groupBy(*groups).agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in names],
+                                      *[F.max(f"_v_{n}").alias(f"_t_{n}") for n in maxes])
+    # a group lies in neighbouring ranges: one row each
+    before = Window.partitionBy(*partition_by).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(*[F.col(k).alias(f"_k_{i}") for i, k in enumerate(groups)],
+                     *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_off_{n}") for n in names],
+                     *[F.max(f"_t_{n}").over(before).alias(f"_off_{n}") for n in maxes])
+    same = [ranged[k].eqNullSafe(per[f"_k_{i}"]) for i, k in enumerate(groups)]
+    out = ranged.join(per, same, "left")
+    upto = Window.partitionBy(*groups).orderBy(*way).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    made = {n: F.sum(f"_v_{n}").over(upto) + F.col(f"_off_{n}") for n in sums}
+    made |= {n: F.greatest(F.max(f"_v_{n}").over(upto), F.col(f"_off_{n}")) for n in maxes}  # greatest skips nulls
     if position:
-        new_cols[position] = F.sum("_v__rows").over(w) + F.col("_off__rows") - 1
-    out = out.withColumns(new_cols)
-    drop = [_BUCKET] + [f"_v_{n}" for n in [*names, *maxes]] + [f"_off_{n}" for n in [*names, *maxes]]
-    return out.drop(*drop)
+        made[position] = F.sum("_v__rows").over(upto) + F.col("_off__rows") - 1
+    own = [c for c in df.columns if c not in made]
+    return out.select(*own, *[c.alias(n) for n, c in made.items()])
 
 
 def global_row_number(df: DataFrame, order: Sequence[str], name: str = "position",
@@ -241,8 +175,7 @@ def next_cursor(total: int, cursor: int, k: int) -> int:
 
 __all__ = [
     "prefix_totals", "global_row_number", "rank_to_date_anchor", "spaced_sample",
-    "stratified_spaced_sample", "cursor_batch", "next_cursor", "range_boundaries", "with_bucket",
-    "micros",
+    "stratified_spaced_sample", "cursor_batch", "next_cursor", "micros",
 ]
 
 
@@ -265,25 +198,26 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
 
     Returns ``(*by, q_index, q, value)``; groups with no non-null value give no rows."""
     by = list(by)
-    key = by or ["_g"]
-    src = df if by else df.withColumn("_g", F.lit(0))
-    g = src.where(F.col(value).isNotNull()).groupBy(*key, value).agg(F.count(F.lit(1)).alias("_c"))
-    pt = prefix_totals(g, [value], {"_cum": F.col("_c")}, partition_by=key, n_buckets=n_buckets)
-    pt = pt.withColumn("_start", F.col("_cum") - F.col("_c"))
-    req = (g.groupBy(*key).agg(F.sum("_c").alias("_T"))
-           .withColumn("_r", F.explode(F.array(*[
-               F.struct(F.lit(i).alias("q_index"), F.lit(float(numpy_q(q))).alias("q"))
-               for i, q in enumerate(probs)])))
-           .select(*key, "_T", "_r.q_index", "_r.q"))
-    req = req.withColumn("_h", (F.col("_T") - 1).cast("double") * F.col("q"))
-    req = req.withColumns({"_lo": F.floor("_h").cast("bigint")})
-    req = req.withColumns({"_hi": F.least(F.col("_lo") + 1, F.col("_T") - 1),
-                           "_gm": F.col("_h") - F.col("_lo").cast("double")})
-    inside = lambda p: (F.col("_start") <= F.col(p)) & (F.col(p) < F.col("_cum"))
-    j = req.join(pt, key).where(inside("_lo") | inside("_hi"))
-    agg = j.groupBy(*key, "q_index", "q", "_gm").agg(
-        F.max(F.when(inside("_lo"), F.col(value))).alias("_vlo"),
-        F.max(F.when(inside("_hi"), F.col(value))).alias("_vhi"))
-    out = agg.select(*key, "q_index", "q",
-                     lerp(F.col("_vlo").cast("double"), F.col("_vhi").cast("double"), F.col("_gm")).alias("value"))
-    return out if by else out.drop("_g")
+    counted = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
+    pt = prefix_totals(counted, [value], {"_cum": F.col("_c")}, partition_by=by, n_buckets=n_buckets)
+    if by:  # one row a group
+        pt = pt.join(counted.groupBy(*by).agg(F.sum("_c").alias("_T")), by)
+    else:
+        pt = pt.withColumn("_T", counted.agg(F.sum("_c")).scalar())
+    start = F.col("_cum") - F.col("_c")
+
+    def asked(i: int, q: float) -> Column:
+        at = (F.col("_T") - 1).cast("double") * F.lit(float(numpy_q(q)))
+        lo = F.floor(at).cast("bigint")
+        hi = F.least(lo + 1, F.col("_T") - 1)
+        here = lambda x: (start <= x) & (x < F.col("_cum"))
+        return F.when(here(lo) | here(hi), F.struct(
+            F.lit(i).alias("q_index"), F.lit(float(numpy_q(q))).alias("q"), (at - lo.cast("double")).alias("_gm"),
+            here(lo).alias("_is_lo"), here(hi).alias("_is_hi")))
+
+    # a value answers the quantiles whose positions fall into its own run: no value meets all quantiles
+    hits = pt.select(*by, F.col(value).alias("_v"), F.inline(F.array_compact(F.array(*[asked(i, q) for i, q in enumerate(probs)]))))
+    ends = hits.groupBy(*by, "q_index", "q", "_gm").agg(F.max(F.when(F.col("_is_lo"), F.col("_v"))).alias("_vlo"),
+                                                        F.max(F.when(F.col("_is_hi"), F.col("_v"))).alias("_vhi"))
+    return ends.select(*by, "q_index", "q",
+                       lerp(F.col("_vlo").cast("double"), F.col("_vhi").cast("double"), F.col("_gm")).alias("value"))

@@ -23,7 +23,7 @@ def outcome_table(features: DataFrame, ids: DataFrame, key: str, target: str) ->
     target as int, one row per id (an aggregate, so duplicates combine map-side)."""
     f = features.select(F.col(key).cast("string").alias("id"), F.col(target))
     known = f.join(ids.select("id"), "id", "left_semi").where(F.col(target).isNotNull())
-    return known.groupBy("id").agg(F.first(F.col(target).cast("int"), ignorenulls=True).alias("outcome"))
+    return known.groupBy("id").agg(F.max(F.col(target).cast("int")).alias("outcome"))
 
 
 def matured_window(log: DataFrame, model_version: str, as_of: dt.datetime, cfg: PerformanceConfig,
@@ -74,25 +74,57 @@ def delayed_performance(window: DataFrame, outcomes: DataFrame, id_field: str,
         F.when(enough, _ratio(tp, tp + fn)).alias("recall"),
         F.when(enough, _ratio(tp, tp + fp)).alias("precision"),
         "true_positive", "false_positive", "false_negative", "true_negative",
-        F.when(enough, F.lit(float(reference_roc_auc))).alias("test_roc_auc"),
-        F.when(enough, F.lit(float(reference_pr_auc))).alias("test_pr_auc"),
+        F.lit(float(reference_roc_auc)).alias("test_roc_auc"),
+        F.lit(float(reference_pr_auc)).alias("test_pr_auc"),
         F.when(enough, drop).alias("roc_auc_drop"),
         F.when(enough, drop > F.lit(cfg.max_roc_auc_drop)).alias("degraded"))
 
 
-KNOWN_METRICS = ("n_in_window", "n_labeled", "n_positive", "positive_rate", "roc_auc", "pr_auc",
-                 "alert_rate", "recall", "precision", "roc_auc_drop")
+# The metrics published as gauges.
+KNOWN_METRICS = ("test_roc_auc", "test_pr_auc", "n_labeled", "n_positive", "roc_auc", "pr_auc",
+                 "roc_auc_drop", "recall", "alert_rate", "positive_rate")
 
 
-def metrics_to_gauges(result: DataFrame, prefix: str, domain: str, version: str,
+def _samples(result: DataFrame, prefix: str, values: dict[str, str], labels: Column) -> DataFrame:
+    stack = ", ".join(f"'{prefix}_{name}', CAST({value} AS DOUBLE)" for name, value in values.items())
+    long = result.selectExpr(f"stack({len(values)}, {stack}) AS (name, value)")
+    return long.where(F.col("value").isNotNull()).select("name", labels.alias("labels"), "value")
+
+
+def metrics_to_gauges(result: DataFrame, prefix: str, domain: str, version: str, run_ts: dt.datetime,
                       metrics=KNOWN_METRICS) -> DataFrame:
-    """Known metrics to samples ``(name, labels, value)``; missing (null) ones omitted;
-    labels domain + model version."""
-    stack = ", ".join(f"'{prefix}_{m}', CAST(`{m}` AS DOUBLE)" for m in metrics)
-    long = result.selectExpr(f"stack({len(metrics)}, {stack}) AS (name, value)")
-    return long.where(F.col("value").isNotNull()).select(
-        "name", F.create_map(F.lit("domain"), F.lit(domain), F.lit("model_version"), F.lit(version)).alias("labels"),
-        "value")
+    """A run's samples ``(name, labels, value)``: known metrics with missing (null) ones
+    left out, ``measured`` (1 if there were enough outcomes), and ``last_run`` as a Unix time.
+    Labels are domain and model version; ``last_run`` has the domain alone."""
+    own = F.create_map(F.lit("domain"), F.lit(domain), F.lit("model_version"), F.lit(version))
+    out = _samples(result, prefix, {**{m: f"`{m}`" for m in metrics}, "measured": "status = 'ok'"}, own)
+    return out.unionByName(heartbeat_gauge(result.sparkSession, prefix, domain, run_ts))
+
+
+def heartbeat_gauge(spark, prefix: str, domain: str, run_ts: dt.datetime) -> DataFrame:
+    """The sample that a job ran at ``run_ts`` (UTC), merged into its gauges when there was
+    nothing to measure."""
+    seconds = run_ts.replace(tzinfo=dt.timezone.utc).timestamp()
+    return spark.range(1).select(
+        F.lit(f"{prefix}_last_run_timestamp_seconds").alias("name"),
+        F.create_map(F.lit("domain"), F.lit(domain)).alias("labels"), F.lit(seconds).alias("value"))
+
+
+def drift_gauges(report: DataFrame, per_column: DataFrame, prefix: str, domain: str, run_ts: dt.datetime) -> DataFrame:
+    """K7, K8: a drift run's samples: flag and share for inputs and for predictions, PSI of
+    every compared feature, and the run time. Without data only the run time is new."""
+
+    def of(kind: str) -> Column:
+        return F.create_map(F.lit("domain"), F.lit(domain), F.lit("kind"), F.lit(kind))
+
+    measured = report.where(F.col("status") == "ok")
+    out = _samples(measured, prefix, {"dataset_drift": "dataset_drift", "drifted_share": "drifted_share"}, of("input"))
+    out = out.unionByName(_samples(measured, prefix, {"dataset_drift": "prediction_drift",
+                                                      "drifted_share": "CAST(prediction_drift AS INT)"}, of("prediction")))
+    feature = F.create_map(F.lit("domain"), F.lit(domain), F.lit("feature"), F.col("column_name"))
+    compared = per_column.where(F.col("psi").isNotNull()).select(
+        F.lit(f"{prefix}_feature_psi").alias("name"), feature.alias("labels"), F.col("psi").alias("value"))
+    return out.unionByName(compared).unionByName(heartbeat_gauge(report.sparkSession, prefix, domain, run_ts))
 
 
 def send_summary(send_log: DataFrame, max_failure_share: float = 0.10) -> DataFrame:

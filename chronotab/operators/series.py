@@ -1,4 +1,5 @@
-"""Metric-series operators over sample tables ``(name, labels, ts, value)``.
+"""Metric-series operators over sample tables ``(name, labels, ts, value)`` (L1-L10, L14, L15,
+L17-L22).
 
 The reference only *uses* these queries (a time-series database evaluates them); here they are
 batch operators. Anything that needs a series in time order (counter resets, runs of a held
@@ -12,30 +13,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronotab.functions.timecols import micros, ts_literal
 from chronotab.operators.order import prefix_totals
 
-# The alert rules of the monitoring stack (title, folder, query kind, comparison,
-# bound, hold seconds, query range seconds, severity, state when there is no data).
-ALERT_RULES = [
-    ("Model drift detected", "Models", "max(model_drift_dataset_drift)", "gt", 0.0, 300, 600, "warning", "OK"),
-    ("Drift job has not run recently", "Models", "time() - max(model_drift_last_run_timestamp_seconds)", "gt", 172800.0, 300, 600, "info", "Alerting"),
-    ("Production ROC-AUC below test", "Models", "max by (domain, model_version) (model_performance_roc_auc_drop)", "gt", 0.05, 300, 600, "warning", "OK"),
-    ("Performance job has not run recently", "Models", "time() - max(model_performance_last_run_timestamp_seconds)", "gt", 172800.0, 300, 600, "info", "Alerting"),
-    ("Backup has not succeeded recently", "Infrastructure", "time() - backup_last_success_timestamp_seconds", "gt", 129600.0, 300, 600, "critical", "Alerting"),
-    ("Target down", "Infrastructure", "last_over_time(up[2h]) of every scraped job but the collectors", "lt", 1.0, 120, 120, "critical", "OK"),
-    ("Host CPU usage high", "Infrastructure", "100 - avg by (role) idle CPU rate over 5m * 100", "gt", 90.0, 600, 600, "warning", "OK"),
-    ("Host memory usage high", "Infrastructure", "(1 - available / total memory) * 100", "gt", 90.0, 600, 600, "warning", "OK"),
-    ("Host disk almost full", "Infrastructure", "(1 - available / size of the root filesystem) * 100", "gt", 85.0, 600, 600, "warning", "OK"),
-    ("Pod not healthy", "Infrastructure", "pods in a bad phase or waiting for a bad reason (L19)", "gt", 0.0, 300, 300, "warning", "OK"),
-    ("Deployed application out of sync or unhealthy", "Infrastructure", "max by (name, sync, health) over apps not synced or not healthy (L22)", "gt", 0.0, 900, 600, "warning", "OK"),
-]
-RULES_SCHEMA = ("title string, folder string, query string, comparison string, bound double, "
-                "hold_seconds bigint, range_seconds bigint, severity string, no_data_state string")
-
 # Pod phases and waiting reasons that count as a bad state.
 BAD_PHASES = ("Failed", "Unknown")
 BAD_WAITING_REASONS = ("ImagePullBackOff", "ErrImagePull", "CrashLoopBackOff",
@@ -44,20 +27,16 @@ BAD_WAITING_REASONS = ("ImagePullBackOff", "ErrImagePull", "CrashLoopBackOff",
 RED_ABOVE, AMBER_ABOVE = 90.0, 75.0
 
 
-def alert_rules(spark: SparkSession) -> DataFrame:
-    """The rules as a small table that drives L8-L10."""
-    return spark.createDataFrame(ALERT_RULES, RULES_SCHEMA)
-
-
-def _ordered(samples: DataFrame, series: Sequence[str], ts: str, n_buckets: int | None) -> DataFrame:
+def _ordered(samples: DataFrame, series: Sequence[str], ts: str, value: str, n_buckets: int | None) -> DataFrame:
+    """Samples of a series at one time are ordered by value."""
     s = samples.withColumn("_t", micros(ts))
-    return prefix_totals(s, ["_t"], {}, partition_by=list(series), position="_pos", n_buckets=n_buckets)
+    return prefix_totals(s, ["_t", value], {}, partition_by=list(series), position="_pos", n_buckets=n_buckets)
 
 
 def with_previous(samples: DataFrame, series: Sequence[str], ts: str = "ts", value: str = "value",
                   n_buckets: int | None = None) -> DataFrame:
     """Each sample with the previous sample of its series (``_prev_value``, ``_prev_t``)."""
-    o = _ordered(samples, series, ts, n_buckets)
+    o = _ordered(samples, series, ts, value, n_buckets)
     prev = o.select(*series, (F.col("_pos") + 1).alias("_pos"), F.col(value).alias("_prev_value"),
                     F.col("_t").alias("_prev_t"))
     return o.join(prev, [*series, "_pos"], "left")
@@ -138,7 +117,8 @@ def alert_runs(samples: DataFrame, series: Sequence[str], condition: Column, hol
     fires at start + hold when it lasted that long. Island ids come from a running count of
     false samples (P1), so no window spans a whole series."""
     s = samples.withColumn("_cond", F.coalesce(condition, F.lit(False)))
-    o = prefix_totals(s.withColumn("_t", micros(ts)), ["_t"],
+    # at one time, samples where it does not hold come first
+    o = prefix_totals(s.withColumn("_t", micros(ts)), ["_t", "_cond"],
                       {"_nfalse": F.when(F.col("_cond"), 0).otherwise(1).cast("bigint")},
                       partition_by=list(series), n_buckets=n_buckets)
     true_runs = o.where("_cond").groupBy(*series, "_nfalse").agg(
@@ -176,30 +156,6 @@ def no_data_policy(rules: DataFrame, series_count: DataFrame) -> DataFrame:
                     .otherwise(F.lit("Evaluated")).alias("state"))
 
 
-def route_and_group(alerts: DataFrame, folder_col: str = "folder") -> DataFrame:
-    """The first matching route by label (the infrastructure folder -> its own receiver,
-    grouped by alert name and severity; everything else -> the root receiver, grouped by folder
-    and alert name), then one group per receiver and group key."""
-    infra = F.col(folder_col) == "Infrastructure"
-    routed = alerts.withColumns({
-        "receiver": F.when(infra, "infrastructure-alerts").otherwise("model-alerts"),
-        "group_key": F.when(infra, F.concat_ws("|", "alertname", "severity"))
-        .otherwise(F.concat_ws("|", folder_col, "alertname")),
-    })
-    return routed.groupBy("receiver", "group_key").agg(F.count(F.lit(1)).cast("bigint").alias("n_alerts"))
-
-
-def normalise_alerts(alerts: DataFrame) -> DataFrame:
-    """Name falls back to the rule title, the target is taken from the labels
-    (instance, else job, else role), newest first."""
-    lab = F.col("labels")
-    return alerts.select(
-        F.coalesce(F.element_at(lab, "alertname"), F.col("title")).alias("name"),
-        F.coalesce(F.element_at(lab, "instance"), F.element_at(lab, "job"), F.element_at(lab, "role")).alias("target"),
-        F.element_at(lab, "severity").alias("severity"), "starts_at",
-    ).orderBy(F.col("starts_at").desc())
-
-
 def up_rollup(last_up: DataFrame, job: str = "job") -> DataFrame:
     """A job is up only if every one of its targets is."""
     return last_up.groupBy(job).agg(F.bool_and(F.col("value") == 1.0).alias("up"),
@@ -224,15 +180,6 @@ def health_band(pct) -> Column:
     return F.when(c > RED_ABOVE, "red").when(c > AMBER_ABOVE, "amber").when(c.isNotNull(), "green")
 
 
-def topology_enrich(devices: DataFrame, hosts: DataFrame, health: DataFrame) -> DataFrame:
-    """Devices matched to known hosts by name, else by OS, else dropped; health joined
-    by role (left)."""
-    by_name = devices.join(hosts.select(F.col("name").alias("device"), F.col("role").alias("_r1")), "device", "left")
-    by_os = by_name.join(hosts.select(F.col("os"), F.col("role").alias("_r2")).dropDuplicates(["os"]), "os", "left")
-    known = by_os.withColumn("role", F.coalesce("_r1", "_r2")).where(F.col("role").isNotNull()).drop("_r1", "_r2")
-    return known.join(health, "role", "left")
-
-
 def bad_state_union(phases: DataFrame, waiting: DataFrame) -> DataFrame:
     """Pods in a failed/unknown phase, or waiting for a bad reason."""
     a = phases.where(F.col("phase").isin(list(BAD_PHASES)) & (F.col("value") > 0)).select(

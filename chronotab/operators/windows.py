@@ -42,6 +42,7 @@ COORD_SCALE = 6  # micro-degrees
 # cards above this many events take the range path (a (card, bucket) window would be too big)
 HOT_CARD_ROWS = 2_000_000
 
+# The names of the history features, in the order of the feature table.
 FEATURE_COLUMNS = [
     "DISTANCE_FROM_HOME_KM", "DISTANCE_FROM_USUAL_MERCHANT_KM", "CC_TXN_COUNT_1H",
     "CC_TXN_COUNT_24H", "CC_AMT_SUM_24H", "CC_AMT_AVG_30D", "AMT_DEVIATION_FROM_CC_AVG",
@@ -148,7 +149,7 @@ def _frames_by_ranges(w_tx: DataFrame, keep: list[str], card: str, category: str
     def one(c):
         return F.when(F.col(c).isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("bigint")
 
-    data = w_tx.where(F.col("_t").isNotNull())
+    data = w_tx
     edges = {"b": 1, "h1": MICROS_PER_HOUR + 1, "h24": 24 * MICROS_PER_HOUR + 1, "d30": hist_us + 1}
     cardf = _probe_totals(data, [card], {"n": one(amt), "c": F.col("_c"), "q": F.col("_c2"),
                                          "nl": one("_la"), "la": F.col("_la"), "lo": F.col("_lo")},
@@ -213,16 +214,25 @@ def event_features(tx: DataFrame, card: str = "card", ts: str = "trans_ts", amt:
         hot = hot_cards(w_tx, card, hot_card_rows)
         if hot.limit(1).count() == 0:
             mode = "buckets"
+    # an event without a time has no history and is nobody's history: kept, with empty frames
+    untimed = w_tx.where(F.col("_t").isNull())
+    w_tx = w_tx.where(F.col("_t").isNotNull())
     if mode == "buckets":
         feats = _frames_by_buckets(w_tx, base_cols, card, category, amt, hist_us, bucket_us)
     elif mode == "ranges":
         feats = _frames_by_ranges(w_tx, base_cols, card, category, amt, hist_us, n_buckets)
     else:
-        cold = _frames_by_buckets(w_tx.join(hot, card, "left_anti"), base_cols, card, category, amt,
+        hot = hot.withColumnRenamed(card, "_hot")
+        is_hot = w_tx[card].eqNullSafe(hot["_hot"])  # events without a card are one group too
+        cold = _frames_by_buckets(w_tx.join(hot, is_hot, "left_anti"), base_cols, card, category, amt,
                                   hist_us, bucket_us)
-        warm = _frames_by_ranges(w_tx.join(hot, card, "left_semi"), base_cols, card, category, amt,
+        warm = _frames_by_ranges(w_tx.join(hot, is_hot, "left_semi"), base_cols, card, category, amt,
                                  hist_us, n_buckets)
         feats = cold.unionByName(warm.select(*cold.columns))
+    kinds = {f.name: f.dataType for f in feats.schema.fields}
+    none = {"_t", "_last_t"}
+    feats = feats.unionByName(untimed.select(*[
+        F.col(c) if c in base_cols else F.lit(None if c in none else 0).cast(kinds[c]).alias(c) for c in feats.columns]))
     # the last earlier event counts only when it is inside the window (left edge closed)
     feats = feats.withColumn("_prev_t", F.when(F.col("_last_t") >= F.col("_t") - F.lit(hist_us), F.col("_last_t")))
 

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from chronotab.config import CREDIT, FRAUD, DomainConfig
 from chronotab.functions.scalar import encode_category
 from chronotab.operators.contracts import capture_categories, levels_dict
-from chronotab.plans import credit, fraud
 
 
 class Domain(Protocol):
@@ -37,14 +36,16 @@ def _prepare(df: DataFrame, columns: list[str], categories: dict[str, list[str]]
 @dataclass(frozen=True)
 class _Domain:
     config: DomainConfig
-    feature_columns: Callable[[DataFrame], list[str]]
     capture_categories: Callable = staticmethod(_capture)
     prepare_features: Callable = staticmethod(_prepare)
 
+    def feature_columns(self, df: DataFrame) -> list[str]:
+        return self.config.inputs(df.columns)
+
 
 DOMAINS: dict[str, _Domain] = {
-    "credit": _Domain(CREDIT, credit.feature_columns),
-    "fraud": _Domain(FRAUD, fraud.feature_columns),
+    "credit": _Domain(CREDIT),
+    "fraud": _Domain(FRAUD),
 }
 
 

@@ -104,13 +104,13 @@ def test_parts(t):
 
 @register("gate_decision", f"""WITH m AS (SELECT * FROM ({METRICS_SQL}) WHERE SPLIT = 'test'), s AS ({TEST_SLICE_SQL}),
 r AS (SELECT count(*) AS n FROM ({REASON_SQL}) WHERE o_orderkey IN (SELECT o_orderkey FROM ({SCORED_SQL}) WHERE SPLIT = 'test')),
-b AS (SELECT string_agg('slice ' || slice_column || '=' || slice_value || ' exceeds its configured tolerance', '; '
-  ORDER BY 'slice ' || slice_column || '=' || slice_value || ' exceeds its configured tolerance') AS txt
-  FROM s WHERE within_tolerance IS NOT DISTINCT FROM false)
+b AS (SELECT string_agg(x, '; ' ORDER BY x) AS txt FROM (
+  SELECT printf('slice %s=%s: roc_auc %.4f out of tolerance', slice_column, slice_value, roc_auc) AS x
+  FROM s WHERE within_tolerance IS NOT DISTINCT FROM false))
 SELECT '{MODEL}' AS model, m.pr_auc,
-  concat_ws('; ', CASE WHEN m.pr_auc < {CFG.min_pr_auc} THEN 'PR-AUC is below the configured floor {float(CFG.min_pr_auc)}' END,
-    b.txt, CASE WHEN r.n = 0 THEN 'no reason codes were produced' END) AS reasons,
-  m.pr_auc >= {CFG.min_pr_auc} AND b.txt IS NULL AND r.n > 0 AS passed
+  concat_ws('; ', CASE WHEN m.pr_auc IS NULL THEN 'pr_auc unknown' WHEN m.pr_auc < {CFG.min_pr_auc} THEN printf('pr_auc %.4f under {CFG.min_pr_auc:.4f}', m.pr_auc) END,
+    b.txt, CASE WHEN r.n = 0 THEN 'reason codes missing' END) AS reasons,
+  coalesce(m.pr_auc >= {CFG.min_pr_auc}, false) AND b.txt IS NULL AND r.n > 0 AS passed
 FROM m, b, r""", "J1 J7 H16 T13 T20")
 def q_gate(t):
     """The champion's gate on its test split: PR-AUC floor, slice tolerances, reason codes
@@ -143,9 +143,9 @@ def q_card(t):
 p AS (SELECT pr_auc FROM ({METRICS_SQL}) WHERE SPLIT = 'validation')
 SELECT c.pr_auc AS candidate_pr_auc, p.pr_auc AS production_pr_auc,
   CASE WHEN p.pr_auc IS NULL OR c.pr_auc >= p.pr_auc - {CFG.max_pr_auc_regression} THEN true ELSE false END AS promote,
-  CASE WHEN p.pr_auc IS NULL THEN 'no production version exists'
-       WHEN c.pr_auc >= p.pr_auc - {CFG.max_pr_auc_regression} THEN 'within the allowed regression'
-       ELSE 'more than the allowed regression below production' END AS reason
+  CASE WHEN p.pr_auc IS NULL THEN 'first version'
+       WHEN c.pr_auc >= p.pr_auc - {CFG.max_pr_auc_regression} THEN printf('%.4f against %.4f: within the regression allowed', c.pr_auc, p.pr_auc)
+       ELSE printf('%.4f against %.4f: regression too large', coalesce(c.pr_auc, 'nan'::DOUBLE), p.pr_auc) END AS reason
 FROM c, p""", "J2")
 def q_promote(t):
     """Candidate (test-split PR-AUC) against the production stand-in (validation split)."""

@@ -124,35 +124,54 @@ def q_psi_cat(t):
 SCORE_PSI_SQL = _psi_sql(["score"], True)
 
 
-@register("dataset_drift", f"""WITH per AS (SELECT * FROM ({_psi_sql(['value', 'k'], True)}) UNION ALL SELECT * FROM ({_psi_sql(['event_type'], False)})),
+DRIFT_SQL = f"""WITH per AS (SELECT * FROM ({_psi_sql(['value', 'k'], True)}) UNION ALL SELECT * FROM ({_psi_sql(['event_type'], False)})),
 sp AS ({SCORE_PSI_SQL}),
-s AS (SELECT CAST(count(*) AS BIGINT) AS n_columns, CAST(count(*) FILTER (WHERE drifted) AS BIGINT) AS n_drifted FROM per)
-SELECT (SELECT count(*) FROM ({REFERENCE_SQL})) AS n_reference, (SELECT count(*) FROM ({CURRENT_SQL})) AS n_current,
-  CASE WHEN (SELECT count(*) FROM ({CURRENT_SQL})) < {DRIFT.min_current} THEN 'no_data' ELSE 'ok' END AS status,
-  n_columns, n_drifted, CAST(n_drifted AS DOUBLE) / CAST(n_columns AS DOUBLE) AS drifted_share,
-  CAST(n_drifted AS DOUBLE) / CAST(n_columns AS DOUBLE) >= {DRIFT.dataset_share} AS dataset_drift,
-  sp.psi AS prediction_psi, sp.drifted AS prediction_drift,
-  (CAST(n_drifted AS DOUBLE) / CAST(n_columns AS DOUBLE) >= {DRIFT.dataset_share}) OR sp.drifted AS retrain
-FROM s, sp""", "K2 K5 K6 K7 K8 K9")
+s AS (SELECT CAST(count(*) AS BIGINT) AS n_columns, CAST(count(*) FILTER (WHERE drifted) AS BIGINT) AS n_drifted FROM per),
+n AS (SELECT (SELECT count(*) FROM ({REFERENCE_SQL})) AS n_reference, (SELECT count(*) FROM ({CURRENT_SQL})) AS n_current),
+x AS (SELECT *, n_current >= {DRIFT.min_current} AS ok, CAST(n_drifted AS DOUBLE) / CAST(n_columns AS DOUBLE) AS share
+  FROM n CROSS JOIN (SELECT n_columns, n_drifted, psi, drifted FROM s LEFT JOIN sp ON true))
+SELECT n_reference, n_current, CASE WHEN ok THEN 'ok' ELSE 'no_data' END AS status,
+  CASE WHEN ok THEN n_columns END AS n_columns, CASE WHEN ok THEN n_drifted END AS n_drifted,
+  CASE WHEN ok THEN share END AS drifted_share, CASE WHEN ok THEN share >= {DRIFT.dataset_share} END AS dataset_drift,
+  CASE WHEN ok THEN psi END AS prediction_psi, CASE WHEN ok THEN drifted END AS prediction_drift,
+  ok AND (share >= {DRIFT.dataset_share} OR drifted) AS retrain
+FROM x"""
+RUN_SECONDS = int(AS_OF.replace(tzinfo=dt.timezone.utc).timestamp())
+
+
+@register("dataset_drift", DRIFT_SQL, "K2 K5 K6 K7 K8 K9")
 def q_dataset_drift(t):
     """Drift report: counts, guard status, drifted share, dataset flag, prediction (score)
-    drift and the retrain decision."""
-    ref, cur = reference(t), current_window(t)
-    per = K.compute_drift(ref.drop("score"), cur.drop("score"), DRIFT)
-    summary = K.dataset_drift(per, DRIFT)
-    sp = K.psi_numeric(ref.select("score"), cur.select("score"), ["score"], DRIFT).select(
-        F.col("psi").alias("prediction_psi"),
-        (F.col("psi") > F.lit(DRIFT.psi_threshold)).alias("prediction_drift"))
-    def one(df):  # every part is a one-row table; join them on a constant key
-        return df.withColumn("_k", F.lit(0))
-
-    out = (one(ref.agg(F.count(F.lit(1)).alias("n_reference")))
-           .join(one(cur.agg(F.count(F.lit(1)).alias("n_current"))), "_k")
-           .join(one(summary), "_k").join(one(sp), "_k"))
-    return out.select(
-        "n_reference", "n_current", K.min_sample_status(F.col("n_current"), DRIFT.min_current).alias("status"),
-        "n_columns", "n_drifted", "drifted_share", "dataset_drift", "prediction_psi", "prediction_drift",
-        K.retrain_decision(F.col("dataset_drift"), F.col("prediction_drift")).alias("retrain"))
+    drift and the retrain decision; without enough current rows no numbers and no retrain."""
+    return K.drift_run(reference(t), current_window(t), "score", DRIFT)[0]
+
+
+REPORT_SQL = f"""SELECT column_name, 'numeric' AS kind, psi, drifted, false AS skipped FROM ({_psi_sql(['value', 'k'], True)})
+UNION ALL SELECT column_name, 'categorical', psi, drifted, false FROM ({_psi_sql(['event_type'], False)})
+UNION ALL SELECT 'legacy', 'categorical', NULL, NULL, true"""
+
+
+@register("drift_report", REPORT_SQL, "K3 K4 K5")
+def q_drift_report(t):
+    """Drift of every shared column; one that the current window holds no value of is skipped."""
+    ref = reference(t).drop("score").withColumn("legacy", F.lit("x"))
+    cur = current_window(t).drop("score").withColumn("legacy", F.lit(None).cast("string"))
+    return K.drift_report(ref, cur, DRIFT)
+
+
+@register("drift_gauges", f"""WITH d AS ({DRIFT_SQL}), p AS (
+  SELECT * FROM ({_psi_sql(['value', 'k'], True)}) UNION ALL SELECT * FROM ({_psi_sql(['event_type'], False)}))
+SELECT 'events_drift_dataset_drift' AS name, 'input' AS label, CAST(dataset_drift AS DOUBLE) AS value FROM d WHERE status = 'ok'
+UNION ALL SELECT 'events_drift_drifted_share', 'input', drifted_share FROM d WHERE status = 'ok'
+UNION ALL SELECT 'events_drift_dataset_drift', 'prediction', CAST(prediction_drift AS DOUBLE) FROM d WHERE status = 'ok'
+UNION ALL SELECT 'events_drift_drifted_share', 'prediction', CAST(prediction_drift AS DOUBLE) FROM d WHERE status = 'ok'
+UNION ALL SELECT 'events_drift_feature_psi', column_name, psi FROM p, d WHERE status = 'ok'
+UNION ALL SELECT 'events_drift_last_run_timestamp_seconds', NULL, {RUN_SECONDS}.0::DOUBLE""", "K7 K8 A12")
+def q_drift_gauges(t):
+    """The drift run's samples: flag and share by kind, PSI by feature, run time."""
+    report, per = K.drift_run(reference(t), current_window(t), "score", DRIFT)
+    g = O.drift_gauges(report, per, "events_drift", "events", AS_OF)
+    return g.select("name", F.coalesce(F.element_at("labels", "kind"), F.element_at("labels", "feature")).alias("label"), "value")
 
 
 def outcome_features(t):
@@ -211,8 +230,7 @@ SELECT CASE WHEN enough THEN 'ok' ELSE 'insufficient_outcomes' END AS status, CA
   CASE WHEN enough AND true_positive + false_negative <> 0 THEN CAST(true_positive AS DOUBLE) / CAST(true_positive + false_negative AS DOUBLE) END AS recall,
   CASE WHEN enough AND true_positive + false_positive <> 0 THEN CAST(true_positive AS DOUBLE) / CAST(true_positive + false_positive AS DOUBLE) END AS precision,
   true_positive, false_positive, false_negative, true_negative,
-  CASE WHEN enough THEN CAST({REFERENCE_ROC_AUC} AS DOUBLE) END AS test_roc_auc,
-  CASE WHEN enough THEN CAST({REFERENCE_PR_AUC} AS DOUBLE) END AS test_pr_auc,
+  CAST({REFERENCE_ROC_AUC} AS DOUBLE) AS test_roc_auc, CAST({REFERENCE_PR_AUC} AS DOUBLE) AS test_pr_auc,
   CASE WHEN enough THEN CAST({REFERENCE_ROC_AUC} AS DOUBLE) - roc_auc END AS roc_auc_drop,
   CASE WHEN enough THEN CAST({REFERENCE_ROC_AUC} AS DOUBLE) - roc_auc > {PERF.max_roc_auc_drop} END AS degraded
 FROM x"""
@@ -225,11 +243,18 @@ def q_perf(t):
     return performance(t)
 
 
+# The metrics published as gauges.
+GAUGES_SQL = ("test_roc_auc", "test_pr_auc", "n_labeled", "n_positive", "roc_auc", "pr_auc",
+              "roc_auc_drop", "recall", "alert_rate", "positive_rate")
+
+
 @register("performance_gauges", f"""WITH p AS ({PERF_SQL}), l AS (
-  {' UNION ALL '.join(f"SELECT 'events_perf_{m}' AS name, CAST({m} AS DOUBLE) AS value FROM p" for m in O.KNOWN_METRICS)})
-SELECT name, 'events' AS domain, '{PRODUCTION}' AS model_version, value FROM l WHERE value IS NOT NULL""", "K15")
+  {' UNION ALL '.join(f"SELECT 'events_perf_{m}' AS name, CAST({m} AS DOUBLE) AS value FROM p" for m in GAUGES_SQL)}
+  UNION ALL SELECT 'events_perf_measured', CAST(status = 'ok' AS DOUBLE) FROM p)
+SELECT name, 'events' AS domain, '{PRODUCTION}' AS model_version, value FROM l WHERE value IS NOT NULL
+UNION ALL SELECT 'events_perf_last_run_timestamp_seconds', 'events', NULL, {RUN_SECONDS}.0::DOUBLE""", "K15")
 def q_gauges(t):
-    """Known performance metrics as gauge samples; missing ones omitted."""
-    g = O.metrics_to_gauges(performance(t), "events_perf", "events", PRODUCTION)
+    """A performance run's gauge samples: the metrics known, whether it measured, and when it ran."""
+    g = O.metrics_to_gauges(performance(t), "events_perf", "events", PRODUCTION, AS_OF)
     return g.select("name", F.element_at("labels", "domain").alias("domain"),
                     F.element_at("labels", "model_version").alias("model_version"), "value")

@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chronotab.functions.fixedpoint import scaled
-from chronotab.functions.timecols import micros
 from chronotab.operators import nested as N
-from chronotab.operators import order as O
 from chronotab.operators.splits import split_label
 from chronotab.operators.windows import event_features
 from chronotab.plans import driver as D
@@ -15,28 +13,21 @@ from chronotab.plans.catalog import register
 from chronotab.plans.q_asof import DEC_CTE, FEATURES_SQL
 from chronotab.plans.q_events import ALL as EVENT_COLUMNS
 from chronotab.plans.q_events import EVENT_SQL, ROUNDED
-from chronotab.plans.q_quality import CREDIT_REQUESTS, TEST_SQL, _positions_sql
+from chronotab.plans.q_quality import TEST_SQL
 from chronotab.plans.sqlparts import split_case
 
-# Fixed value: the reference's fraud request-file size (credit: CREDIT_REQUESTS).
-FRAUD_REQUESTS = 30_000
 ORDER_FIELDS = ["o_orderdate", "o_orderkey", "o_totalprice", "o_orderpriority"]
 LINE_FIELDS = ["l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice"]
 TXN_FIELDS = ["trans_ts", "category", "amt", "merch_lat", "merch_long"]
 
-SELECTED_CUSTOMERS_SQL = f"""WITH t AS ({TEST_SQL}), pos AS ({_positions_sql('t', CREDIT_REQUESTS)})
-SELECT c_custkey, DECISION_TS FROM t WHERE total <= {CREDIT_REQUESTS} OR position IN (SELECT p FROM pos)"""
+SELECTED_CUSTOMERS_SQL = f"SELECT c_custkey, DECISION_TS FROM ({TEST_SQL})"
 
-EVENT_TEST_SQL = f"""SELECT *, row_number() OVER (ORDER BY trans_ts, trans_num) - 1 AS position,
-  count(*) OVER () AS total FROM ({D.CARD_SQL}) WHERE {split_case('trans_ts', D.EVENTS_SPLIT)} = 'test'"""
-SELECTED_EVENTS_SQL = f"""WITH t AS ({EVENT_TEST_SQL}), pos AS ({_positions_sql('t', FRAUD_REQUESTS)})
-SELECT trans_num FROM t WHERE total <= {FRAUD_REQUESTS} OR position IN (SELECT p FROM pos)"""
+SELECTED_EVENTS_SQL = f"SELECT trans_num FROM ({D.CARD_SQL}) WHERE {split_case('trans_ts', D.EVENTS_SPLIT)} = 'test'"
 
 
 def selected_customers(t):
     dec = D.customer_decisions(t)
-    test = dec.where(split_label("DECISION_TS", D.CUSTOMER_SPLIT) == "test").withColumn("_t", micros("DECISION_TS"))
-    return O.spaced_sample(test, ["_t", "c_custkey"], CREDIT_REQUESTS).select("c_custkey", "DECISION_TS")
+    return dec.where(split_label("DECISION_TS", D.CUSTOMER_SPLIT) == "test").select("c_custkey", "DECISION_TS")
 
 
 def credit_requests(t):
@@ -98,8 +89,7 @@ def event_requests(t):
 
 def _event_requests(t):
     tx = D.card_transactions(t)
-    test = tx.where(split_label("trans_ts", D.EVENTS_SPLIT) == "test").withColumn("_t", micros("trans_ts"))
-    sel = O.spaced_sample(test, ["_t", "trans_num"], FRAUD_REQUESTS).drop("_t", "position")
+    sel = tx.where(split_label("trans_ts", D.EVENTS_SPLIT) == "test")
     req = N.range_history_join(sel, tx, "card", "trans_ts", "trans_num", TXN_FIELDS)
     return req.select("trans_num", "card", F.struct("trans_ts", "category", "amt", "lat", "long",
                                                      "merch_lat", "merch_long", "is_fraud").alias("transaction"),
@@ -163,10 +153,10 @@ def q_leakage(t):
     base = t.customer.select(*D.BASE_COLUMNS, D.customer_target().alias("TARGET"))
     cut = D.assemble_customer_features(base, dec, orders_cut, lines_cut, owners=t.orders)
     cut = cut.select(*full.columns)
-    only_full = full.exceptAll(cut).agg(F.count(F.lit(1)).alias("n"))
-    only_cut = cut.exceptAll(full).agg(F.count(F.lit(1)).alias("n"))
-    nf = full.agg(F.count(F.lit(1)).alias("n"))
-    nc = cut.agg(F.count(F.lit(1)).alias("n"))
-    one = lambda df, name: df.select(F.lit(0).alias("_k"), F.col("n").cast("bigint").alias(name))
-    return (one(nf, "n_full").join(one(nc, "n_truncated"), "_k").join(one(only_full, "n_only_full"), "_k")
-            .join(one(only_cut, "n_only_truncated"), "_k").drop("_k"))
+    both = full.withColumn("_side", F.lit(1)).unionByName(cut.withColumn("_side", F.lit(-1)))
+    rows = both.groupBy(*full.columns).agg(F.sum("_side").alias("_d"), F.count_if(F.col("_side") == 1).alias("_f"),
+                                           F.count_if(F.col("_side") == -1).alias("_c"))
+    return rows.agg(F.coalesce(F.sum("_f"), F.lit(0)).cast("bigint").alias("n_full"),
+                    F.coalesce(F.sum("_c"), F.lit(0)).cast("bigint").alias("n_truncated"),
+                    F.coalesce(F.sum(F.greatest("_d", F.lit(0))), F.lit(0)).cast("bigint").alias("n_only_full"),
+                    F.coalesce(F.sum(F.greatest(-F.col("_d"), F.lit(0))), F.lit(0)).cast("bigint").alias("n_only_truncated"))

@@ -15,7 +15,6 @@ from chronotab.plans.q_asof import DEC_CTE
 from chronotab.plans.sqlparts import split_case
 
 # Fixed values of the reference's replay and example selection.
-CREDIT_REQUESTS = 5000
 EXAMPLES_COUNT = 50
 EXAMPLES_POSITIVES = 15
 BATCH_SIZE = 200

@@ -42,7 +42,7 @@ GAUGE_SQL = "SELECT CAST(user_id AS VARCHAR) AS instance, event_type AS job, ts,
 COUNTER_SQL = ("SELECT CAST(user_id AS VARCHAR) AS instance, ts, "
                "CAST(json_extract_string(props, '$.k') AS DOUBLE) AS value FROM events")
 
-RATE_SQL = f"""WITH c AS ({COUNTER_SQL}), p AS (SELECT *, lag(value) OVER (PARTITION BY instance ORDER BY ts) AS prev FROM c)
+RATE_SQL = f"""WITH c AS ({COUNTER_SQL}), p AS (SELECT *, lag(value) OVER (PARTITION BY instance ORDER BY ts, value) AS prev FROM c)
 SELECT instance, CAST(count(*) AS BIGINT) AS n_samples,
   sum(CASE WHEN prev IS NULL THEN 0.0 WHEN value >= prev THEN value - prev ELSE value END) AS increase,
   CAST(epoch_us(max(ts)) - epoch_us(min(ts)) AS DOUBLE) / 1000000.0 AS span_seconds,
@@ -68,11 +68,11 @@ def q_topk(t):
 
 def _hourly_last(df):
     return df.groupBy("instance", "job", F.date_trunc("hour", "ts").alias("hour")).agg(
-        F.max_by("value", "ts").alias("value"))
+        F.max_by("value", F.struct("ts", "value")).alias("value"))
 
 
 @register("gauge_ratio_pct", f"""WITH g AS ({GAUGE_SQL}),
-h AS (SELECT instance, job, date_trunc('hour', ts) AS hour, arg_max(value, ts) AS value FROM g GROUP BY ALL)
+h AS (SELECT instance, job, date_trunc('hour', ts) AS hour, arg_max(value, (ts, value)) AS value FROM g GROUP BY ALL)
 SELECT a.instance, a.hour, a.value / b.value * 100.0 AS pct FROM h a JOIN h b
   ON a.instance = b.instance AND a.hour = b.hour AND a.job = 'purchase' AND b.job = 'click'""", "L2")
 def q_ratio(t):
@@ -141,7 +141,7 @@ def q_buckets(t):
 
 ALERT_SQL = f"""WITH g AS ({GAUGE_SQL}),
 s AS (SELECT instance, ts, coalesce(value > {BOUND}, false) AS cond,
-  sum(CASE WHEN coalesce(value > {BOUND}, false) THEN 0 ELSE 1 END) OVER (PARTITION BY instance ORDER BY ts ROWS UNBOUNDED PRECEDING) AS nf
+  sum(CASE WHEN coalesce(value > {BOUND}, false) THEN 0 ELSE 1 END) OVER (PARTITION BY instance ORDER BY ts, coalesce(value > {BOUND}, false) ROWS UNBOUNDED PRECEDING) AS nf
   FROM g),
 runs AS (SELECT instance, nf, min(ts) AS run_start, max(ts) AS last_true_ts, CAST(count(*) AS BIGINT) AS n_samples FROM s WHERE cond GROUP BY ALL),
 ends AS (SELECT instance, nf - 1 AS nf, ts AS run_end FROM s WHERE NOT cond)

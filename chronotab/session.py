@@ -50,10 +50,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 def prepare_session(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators need to an existing session."""
     for k, v in SESSION_DEFAULTS.items():
-        try:
+        if spark.conf.isModifiable(k):
             spark.conf.set(k, v)
-        except Exception:  # static conf on a shared session: leave it
-            pass
     return spark
 
 
@@ -61,13 +59,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
     On a cluster this is set by the deployment and is only read here. A private folder is made
-    only when the setting is absent, which is the case for local tests.
+    only where the setting is absent and all executors live in this process, as in local tests.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="chronotab-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(configured)
     return configured

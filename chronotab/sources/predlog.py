@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -71,7 +72,9 @@ def dedup_log(log: DataFrame, key: str = "request_id", copy: str = "_copy",
     """Per key, the lowest copy wins; inside it the record latest in ``order_cols``."""
     order_cols = order_cols or []
     cols = [c for c in log.columns if c != key]
-    prio = F.struct((-F.col(copy)).alias("_c"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)])
+    # the record's own text decides between records alike in copy and order
+    prio = F.struct((-F.col(copy)).alias("_c"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)],
+                    F.to_json(F.struct(*cols)).alias("_all"))
     best = log.groupBy(key).agg(F.max_by(F.struct(*cols), prio).alias("_r"))
     return best.select(key, "_r.*").drop(copy)
 
@@ -116,9 +119,7 @@ GAUGE_SCHEMA = "job string, domain string, name string, labels map<string,string
 def replace_gauges(samples: DataFrame, path: str) -> None:
     """Replace a job's whole metric group: dynamic partition overwrite on (job, domain)
     leaves every other group's files alone."""
-    spark = samples.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    samples.write.mode("overwrite").partitionBy("job", "domain").parquet(path)
+    samples.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("job", "domain").parquet(path)
 
 
 def merge_gauge(existing: DataFrame, updates: DataFrame) -> DataFrame:
@@ -143,7 +144,9 @@ def read_reference_snapshot(spark: SparkSession, root: str, model_version: str,
     """The snapshot if it exists, else the feature table's train rows."""
     try:
         return spark.read.parquet(f"{root.rstrip('/')}/model_version={model_version}")
-    except Exception:  # no snapshot for this version
+    except AnalysisException as fault:
+        if fault.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.read.parquet(features_path).where(F.col(split_col) == "train")
 
 

@@ -10,20 +10,21 @@ from pyspark.sql import functions as F
 
 from chronotab.functions.scalar import decide
 from chronotab.operators.contracts import Contract, _checks
-from chronotab.operators.order import count_below
+from chronotab.session import cut_lineage
 
 
-def drift_counts_writer(edges: DataFrame, columns: Sequence[str], ts: str, day_col: str = "day",
-                        max_edges: int = 9):
+def drift_counts_writer(edges: DataFrame, columns: Sequence[str], ts: str, day_col: str = "day"):
     """M7: a ``foreachBatch`` function appending per (day, column, bin) counts of each batch,
     binned against the reference edges (a small table: columns x deciles). PSI per day is then
     computed from the accumulated counts (``drift.psi_from_counts``) as a batch job."""
+    edges = cut_lineage(edges)  # once, not in every micro-batch
+
     def write(batch: DataFrame, epoch: int, out: str) -> None:
         stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in columns)
         long = batch.selectExpr(f"CAST(to_date({ts}) AS STRING) AS {day_col}",
                                 f"stack({len(columns)}, {stack}) AS (column_name, value)").where("value IS NOT NULL")
         binned = long.join(F.broadcast(edges), "column_name").withColumn(
-            "bin", count_below("_edges", "value", max_edges))
+            "bin", F.size(F.filter("_edges", lambda e: e < F.col("value"))))
         counts = binned.groupBy(day_col, "column_name", "bin").agg(F.count(F.lit(1)).alias("n"))
         counts.withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(out)
     return write

@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -40,9 +41,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def run_to_table(df: DataFrame, name: str, output_mode: str = "append",
-                 foreach_batch: Callable | None = None, timeout_s: int = 600) -> DataFrame:
-    """Run a streaming DataFrame until all available input is processed, writing Parquet
-    (never the driver's memory), and return the written table as a batch DataFrame."""
+                 foreach_batch: Callable | None = None) -> DataFrame:
+    """Run a streaming DataFrame until all available input is processed, however long that
+    takes, writing Parquet (never the driver's memory), and return the written table as a batch
+    DataFrame. A failed stream raises; a stream that wrote nothing gives an empty table."""
     spark = df.sparkSession
     base = scratch_path(spark, name)
     out, ckpt = f"{base}/out", f"{base}/checkpoint"
@@ -51,12 +53,14 @@ def run_to_table(df: DataFrame, name: str, output_mode: str = "append",
         q = w.outputMode(output_mode).foreachBatch(lambda batch, epoch: foreach_batch(batch, epoch, out)).start()
     else:
         q = w.outputMode(output_mode).format("parquet").option("path", out).start()
-    q.awaitTermination(timeout_s)
+    q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     try:
         return spark.read.parquet(out)
-    except Exception:  # nothing was written
+    except AnalysisException as fault:
+        if fault.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         return spark.createDataFrame([], df.schema)
 
 

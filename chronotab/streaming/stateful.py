@@ -1,8 +1,8 @@
 """Keyed state in streams: card history features (M3, M4), held alerts (M9), heartbeats (M8).
 
 ``applyInPandasWithState`` keeps one state per key (card or series) on the executors; each
-micro-batch hands a key's new rows over as Arrow batches. The per-key work is vectorised numpy
-over the key's bounded history (30 days of one card), so Python stays a small helper around
+micro-batch hands a key's new rows over as Arrow batches. The per-key work runs over
+the key's bounded history in numpy (30 days of one card), so Python stays a small helper around
 Spark's keyed shuffle and state store.
 """
 
@@ -25,9 +25,10 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
+from chronotab.functions.scalar import haversine_km, nan_to_null
+
 HOUR_US = 3_600_000_000
 DAY_US = 24 * HOUR_US
-EARTH_RADIUS_KM = 6371.0
 
 CARD_STATE = StructType([
     StructField("t", ArrayType(LongType())), StructField("c", ArrayType(LongType())),
@@ -44,14 +45,18 @@ CARD_OUTPUT = StructType([
     StructField("AMT_ZSCORE_30D", DoubleType()), StructField("CC_CATEGORY_TXN_COUNT_30D", LongType()),
     StructField("AMT_DEVIATION_FROM_CC_CATEGORY_AVG", DoubleType()),
     StructField("CC_SECONDS_SINCE_LAST_TXN", DoubleType()),
-    StructField("DISTANCE_FROM_USUAL_MERCHANT_KM", DoubleType()),
+    StructField("_usual_lat", DoubleType()), StructField("_usual_long", DoubleType()),
+    StructField("_lat", DoubleType()), StructField("_long", DoubleType()),
 ])
 
 
-def _haversine(lat1, lon1, lat2, lon2):
-    la1, lo1, la2, lo2 = (np.radians(x) for x in (lat1, lon1, lat2, lon2))
-    a = np.sin((la2 - la1) / 2) ** 2 + np.cos(la1) * np.cos(la2) * np.sin((lo2 - lo1) / 2) ** 2
-    return EARTH_RADIUS_KM * 2 * np.arcsin(np.sqrt(a))
+ABSENT = np.iinfo(np.int64).min  # stands in the state for a null
+
+
+def _whole(column: pd.Series, scale: float) -> np.ndarray:
+    """Fixed-point integers; ABSENT for nulls."""
+    values = column.to_numpy(dtype=float)
+    return np.where(np.isnan(values), ABSENT, np.rint(np.nan_to_num(values) * scale)).astype(np.int64)
 
 
 def _card_features(key, pdfs: Iterator[pd.DataFrame], state: GroupState, history_us: int) -> Iterator[pd.DataFrame]:
@@ -69,9 +74,8 @@ def _card_features(key, pdfs: Iterator[pd.DataFrame], state: GroupState, history
     # emitted; it is passed on flagged as late, with no features, and kept out of the state.
     late = new["_t"].to_numpy() < (last if last is not None else np.iinfo(np.int64).min)
     ok = new[~late]
-    c = np.rint(ok["amt"].to_numpy() * 100).astype(np.int64)
-    la = np.rint(ok["merch_lat"].to_numpy() * 1e6).astype(np.int64)
-    lo = np.rint(ok["merch_long"].to_numpy() * 1e6).astype(np.int64)
+    c = _whole(ok["amt"], 100)
+    la, lo = _whole(ok["merch_lat"], 1e6), _whole(ok["merch_long"], 1e6)
     T = np.concatenate([ht, ok["_t"].to_numpy()])
     C = np.concatenate([hc, c])
     CAT = np.concatenate([hcat, ok["category"].to_numpy(dtype=object)])
@@ -82,30 +86,37 @@ def _card_features(key, pdfs: Iterator[pd.DataFrame], state: GroupState, history
     def csum(x):
         return np.concatenate([[0], np.cumsum(x.astype(object))])  # exact integers
 
-    sc, sq, sla, slo = csum(C), csum(C * C), csum(LA), csum(LO)
+    def present(x):
+        return np.where(x == ABSENT, 0, x).astype(object)
+
+    sc, sq, sla, slo = csum(present(C)), csum(present(C) ** 2), csum(present(LA)), csum(present(LO))
+    nc, nl = csum((C != ABSENT).astype(int)), csum((LA != ABSENT).astype(int))
+
+    def between(total, h, l):
+        return np.array([total[x] - total[y] for x, y in zip(h, l)], dtype=object)
     t = ok["_t"].to_numpy()
     hi = np.searchsorted(T, t, "left")
     lo30 = np.searchsorted(T, t - history_us, "left")
     lo24 = np.searchsorted(T, t - 24 * HOUR_US, "left")
     lo1 = np.searchsorted(T, t - HOUR_US, "left")
-    n30 = hi - lo30
-    s30 = np.array([sc[h] - sc[l] for h, l in zip(hi, lo30)], dtype=object)
-    q30 = np.array([sq[h] - sq[l] for h, l in zip(hi, lo30)], dtype=object)
+    seen = hi - lo30
+    n30, nl30 = between(nc, hi, lo30).astype(np.int64), between(nl, hi, lo30).astype(np.int64)
+    s30, q30 = between(sc, hi, lo30), between(sq, hi, lo30)
     avg = np.where(n30 > 0, s30.astype(float) / np.maximum(n30, 1) / 100.0, np.nan)
     var = np.array([float(n * q - s * s) / float(n * (n - 1)) / 10000.0 if n > 1 else np.nan
                     for n, q, s in zip(n30, q30, s30)])
     std = np.sqrt(var)
-    ulat = np.array([float(sla[h] - sla[l]) / n / 1e6 if n else np.nan for h, l, n in zip(hi, lo30, n30)])
-    ulon = np.array([float(slo[h] - slo[l]) / n / 1e6 if n else np.nan for h, l, n in zip(hi, lo30, n30)])
+    ulat = np.array([float(sla[h] - sla[l]) / n / 1e6 if n else np.nan for h, l, n in zip(hi, lo30, nl30)])
+    ulon = np.array([float(slo[h] - slo[l]) / n / 1e6 if n else np.nan for h, l, n in zip(hi, lo30, nl30)])
     amt = ok["amt"].to_numpy()
     dev = amt - avg
     z = np.where(std > 0, dev / np.where(std > 0, std, 1.0), np.nan)
-    since = np.where(n30 > 0, (t - T[np.maximum(hi - 1, 0)]) / 1e6, np.nan)
+    since = np.where(seen > 0, (t - T[np.maximum(hi - 1, 0)]) / 1e6, np.nan)
     ncat = np.zeros(len(ok), dtype=np.int64)
     avgcat = np.full(len(ok), np.nan)
     cats = ok["category"].to_numpy(dtype=object)
     for cat in set(cats):
-        m = CAT == cat
+        m = (CAT == cat) & (C != ABSENT)
         Tc, Cc = T[m], C[m]
         scc = csum(Cc)
         idx = np.where(cats == cat)[0]
@@ -116,12 +127,13 @@ def _card_features(key, pdfs: Iterator[pd.DataFrame], state: GroupState, history
     out = pd.DataFrame({
         "trans_num": ok["trans_num"].to_numpy(), "card": ok["card"].to_numpy(),
         "trans_ts": ok["trans_ts"].to_numpy(), "late": False,
-        "CC_TXN_COUNT_1H": hi - lo1, "CC_TXN_COUNT_24H": hi - lo24,
+        "CC_TXN_COUNT_1H": between(nc, hi, lo1).astype(np.int64),
+        "CC_TXN_COUNT_24H": between(nc, hi, lo24).astype(np.int64),
         "CC_AMT_SUM_24H": np.array([float(sc[h] - sc[l]) / 100.0 for h, l in zip(hi, lo24)]),
         "CC_AMT_AVG_30D": avg, "CC_AMT_STD_30D": std, "AMT_DEVIATION_FROM_CC_AVG": dev,
         "AMT_ZSCORE_30D": z, "CC_CATEGORY_TXN_COUNT_30D": ncat,
         "AMT_DEVIATION_FROM_CC_CATEGORY_AVG": amt - avgcat, "CC_SECONDS_SINCE_LAST_TXN": since,
-        "DISTANCE_FROM_USUAL_MERCHANT_KM": _haversine(ulat, ulon, ok["merch_lat"].to_numpy(), ok["merch_long"].to_numpy()),
+        "_usual_lat": ulat, "_usual_long": ulon, "_lat": ok["merch_lat"].to_numpy(), "_long": ok["merch_long"].to_numpy(),
     })
     late_rows = new[late]
     if len(late_rows):
@@ -150,8 +162,10 @@ def stream_event_features(tx: DataFrame, card: str = "card", history_days: int =
     types = {f.name: f.dataType for f in cols.schema.fields}
     out_schema = StructType([StructField(f.name, types[f.name]) if f.name in ("trans_num", "card") else f
                              for f in CARD_OUTPUT.fields])
-    return cols.groupBy("card").applyInPandasWithState(
+    out = cols.groupBy("card").applyInPandasWithState(
         fn, out_schema, CARD_STATE, "append", GroupStateTimeout.NoTimeout)
+    apart = haversine_km(nan_to_null("_usual_lat"), nan_to_null("_usual_long"), nan_to_null("_lat"), nan_to_null("_long"))
+    return out.withColumn("DISTANCE_FROM_USUAL_MERCHANT_KM", apart).drop("_usual_lat", "_usual_long", "_lat", "_long")
 
 
 def F_col(name):

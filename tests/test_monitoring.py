@@ -165,15 +165,16 @@ def test_spaced_sample_matches_numpy(spark):
 
 def test_gate_reasons(spark):
     cfg = EvalConfig(10, 1, 0.05, 0.1, min_pr_auc=0.15)
-    m = spark.createDataFrame([("a", 0.1), ("b", 0.3), ("c", 0.3)], "model string, pr_auc double")
-    s = spark.createDataFrame([("a", "G", "x", False), ("b", "G", "y", None), ("c", "G", "z", True)],
-                              "model string, slice_column string, slice_value string, within_tolerance boolean")
-    rc = spark.createDataFrame([("a", 3), ("b", 0), ("c", 2)], "model string, n_reason_codes long")
-    card = spark.createDataFrame([("a", "text"), ("b", "text"), ("c", "  ")], "model string, card string")
+    m = spark.createDataFrame([("a", 0.1), ("b", 0.3), ("c", 0.3), ("d", None)], "model string, pr_auc double")
+    s = spark.createDataFrame([("a", "G", "x", 0.61, False), ("b", "G", "y", None, None), ("c", "G", "z", 0.8, True)],
+                              "model string, slice_column string, slice_value string, roc_auc double, within_tolerance boolean")
+    rc = spark.createDataFrame([("a", 3), ("b", 0), ("c", 2), ("d", 1)], "model string, n_reason_codes long")
+    card = spark.createDataFrame([("a", "text"), ("b", "text"), ("c", "  "), ("d", "text")], "model string, card string")
     g = {r["model"]: r.asDict() for r in J.gate(m, s, rc, card, cfg).collect()}
-    assert len(g["a"]["reasons"]) == 2 and not g["a"]["passed"]
-    assert g["b"]["reasons"] == ["no reason codes were produced"]  # null slice passes (T13)
-    assert g["c"]["reasons"] == ["model card is missing or empty"]
+    assert g["a"]["reasons"] == ["pr_auc 0.1000 under 0.1500", "slice G=x: roc_auc 0.6100 out of tolerance"]
+    assert g["d"]["reasons"] == ["pr_auc unknown"] and not any(r["passed"] for r in g.values())
+    assert g["b"]["reasons"] == ["reason codes missing"]  # null slice passes (T13)
+    assert g["c"]["reasons"] == ["model card blank"]
 
 
 def test_promotion(spark):
