@@ -109,13 +109,13 @@ def compute_drift(reference: DataFrame, current: DataFrame, cfg: DriftConfig = D
 
 def drift_report(reference: DataFrame, current: DataFrame, cfg: DriftConfig = DriftConfig()) -> DataFrame:
     """K5: one row per shared column, ``(column_name, kind, psi, drifted, skipped)``; a column
-    without current values is skipped and has no numbers."""
+    without current values is skipped: no number, not drifted."""
     shared = shared_columns(reference, current)
     _, skipped = comparable_columns(current, shared)
     num, _ = split_kinds(reference, shared)
     out = compute_drift(reference, current, cfg).withColumn("skipped", F.lit(False))
     if skipped:
-        rows = [(c, "numeric" if c in num else "categorical", None, None, True) for c in skipped]
+        rows = [(c, "numeric" if c in num else "categorical", None, False, True) for c in skipped]
         out = out.select("column_name", "kind", "psi", "drifted", "skipped").unionByName(
             reference.sparkSession.createDataFrame(rows, "column_name string, kind string, psi double, drifted boolean, skipped boolean"))
     return out.select("column_name", "kind", "psi", "drifted", "skipped")

@@ -48,4 +48,5 @@ def load_all() -> None:
         q_series,
         q_govern,
         q_stream,
+        q_files,
     )

@@ -10,6 +10,7 @@ from chronotab.operators import governance as J
 from chronotab.operators import models as I
 from chronotab.plans import driver as D
 from chronotab.plans.catalog import register
+from chronotab.session import cut_lineage
 from chronotab.plans.q_eval import CFG, METRICS_SQL, SCORED_SQL, SLICES, auc_sql, steps_sql, scored
 
 MODEL = "price_v1"
@@ -228,6 +229,31 @@ def q_logistic(t):
     return I.batch_score(model, f, ["o_orderkey", "SPLIT", "y"])
 
 
+# The ranking every fitted model must reach on its train split (0.5: no ranking at all).
+LEAST_TRAIN_AUC = 0.5
+
+
+def _fit_checks(fit: str):
+    """Registers ``<fit>_check``: rows a split, all scores in [0, 1], and the train split ranked."""
+    source = {"fit_scorecard": q_scorecard, "fit_gbt": q_gbt, "fit_logistic": q_logistic}[fit]
+
+    def check(t):
+        """Rows per split, whether every score is a probability, and whether the train split is ranked."""
+        out = cut_lineage(source(t).select("SPLIT", "y", "score"))
+        per = out.groupBy("SPLIT").agg(F.count(F.lit(1)).alias("n_rows"),
+                                       F.bool_and(F.coalesce(F.col("score").between(0, 1), F.lit(False))).alias("in_range"))
+        auc = H.auc_table(H.score_steps(out, "y", "score", by=["SPLIT"]), ["SPLIT"]).select(
+            "SPLIT", ((F.col("SPLIT") != "train") | (F.col("roc_auc") >= LEAST_TRAIN_AUC)).alias("ranked"))
+        return per.join(auc, "SPLIT").select("SPLIT", "n_rows", "in_range", "ranked")
+
+    register(f"{fit}_check", f"""SELECT SPLIT, CAST(count(*) AS BIGINT) AS n_rows, true AS in_range, true AS ranked
+FROM ({FEATURES_SQL}) WHERE SPLIT <> 'excluded' GROUP BY SPLIT""", "I3 I4 I5 I6")(check)
+
+
+for _fit in ("fit_scorecard", "fit_gbt", "fit_logistic"):
+    _fit_checks(_fit)
+
+
 @register("champion_challenger", None, "I9 I10 H8")
 def q_roles(t):
     """Two model types on the same splits, evaluated with the same metrics per role x split."""

@@ -75,14 +75,10 @@ def q_current(t):
     return current_window(t)
 
 
-def _psi_sql(cols: list[str], numeric: bool) -> str:
-    def long(src):
-        cast = "DOUBLE" if numeric else "VARCHAR"
-        return " UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST({c} AS {cast}) AS value FROM ({src}) "
-                                  f"WHERE {c} IS NOT NULL" for c in cols)
-    if numeric:
-        qs = " UNION ALL ".join(f"SELECT {i} AS qi, CAST({(i / 10 * 100.0) / 100.0!r} AS DOUBLE) AS q" for i in range(1, 10))
-        bins = f"""rk AS (SELECT column_name, value, row_number() OVER (PARTITION BY column_name ORDER BY value) - 1 AS r,
+def edges_sql() -> str:
+    """CTEs from ``ref`` (column_name, value) to ``edges`` (column_name, v): the deciles."""
+    qs = " UNION ALL ".join(f"SELECT {i} AS qi, CAST({(i / 10 * 100.0) / 100.0!r} AS DOUBLE) AS q" for i in range(1, 10))
+    return f"""rk AS (SELECT column_name, value, row_number() OVER (PARTITION BY column_name ORDER BY value) - 1 AS r,
   count(*) OVER (PARTITION BY column_name) AS T FROM ref),
 hq AS (SELECT column_name, max(T) AS T FROM rk GROUP BY column_name),
 qq AS (SELECT hq.*, qs.qi, qs.q, CAST(T - 1 AS DOUBLE) * qs.q AS h FROM hq, ({qs}) qs),
@@ -90,7 +86,16 @@ ab AS (SELECT qq.column_name, qq.qi, h - floor(h) AS gm,
   max(CASE WHEN r = CAST(floor(h) AS BIGINT) THEN value END) AS a,
   max(CASE WHEN r = least(CAST(floor(h) AS BIGINT) + 1, qq.T - 1) THEN value END) AS b
   FROM qq JOIN rk USING (column_name) GROUP BY ALL),
-edges AS (SELECT DISTINCT column_name, CASE WHEN gm >= 0.5 THEN b - (b - a) * (1.0 - gm) ELSE a + (b - a) * gm END AS v FROM ab),
+edges AS (SELECT DISTINCT column_name, CASE WHEN gm >= 0.5 THEN b - (b - a) * (1.0 - gm) ELSE a + (b - a) * gm END AS v FROM ab),"""
+
+
+def _psi_sql(cols: list[str], numeric: bool) -> str:
+    def long(src):
+        cast = "DOUBLE" if numeric else "VARCHAR"
+        return " UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST({c} AS {cast}) AS value FROM ({src}) "
+                                  f"WHERE {c} IS NOT NULL" for c in cols)
+    if numeric:
+        bins = edges_sql() + """
 rb AS (SELECT column_name, (SELECT count(*) FROM edges e WHERE e.column_name = x.column_name AND e.v < x.value) AS bin FROM ref x),
 cb AS (SELECT column_name, (SELECT count(*) FROM edges e WHERE e.column_name = x.column_name AND e.v < x.value) AS bin FROM cur x),"""
     else:
@@ -148,7 +153,7 @@ def q_dataset_drift(t):
 
 REPORT_SQL = f"""SELECT column_name, 'numeric' AS kind, psi, drifted, false AS skipped FROM ({_psi_sql(['value', 'k'], True)})
 UNION ALL SELECT column_name, 'categorical', psi, drifted, false FROM ({_psi_sql(['event_type'], False)})
-UNION ALL SELECT 'legacy', 'categorical', NULL, NULL, true"""
+UNION ALL SELECT 'legacy', 'categorical', NULL, false, true"""
 
 
 @register("drift_report", REPORT_SQL, "K3 K4 K5")

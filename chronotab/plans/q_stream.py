@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 from chronotab.plans import driver as D
 from chronotab.plans.catalog import QUERIES, ORACLES, DOCS
 from chronotab.plans.q_events import EVENT_SQL
+from chronotab.plans.q_monitor import edges_sql
+from chronotab.plans.sqlparts import split_case
 from chronotab.session import prepare_session
 from chronotab.streaming import core as M
 from chronotab.streaming import stateful as S
@@ -57,20 +59,16 @@ def q_stream_dedup(spark, sf_dir):
     return out.select("request_id")
 
 
-def _overwrite(batch, epoch, out):
-    batch.write.mode("overwrite").parquet(out)
-
-
-@register_stream("stream_prediction_counter", f"""SELECT CAST(time_bucket(INTERVAL 1 HOUR, timestamp) AS TIMESTAMP) AS window_start,
-  decision, CAST(count(*) AS BIGINT) AS n FROM ({D.LOG_SQL}) GROUP BY ALL""", "M6 L7")
+@register_stream("stream_prediction_counter", f"""WITH l AS ({D.LOG_SQL})
+SELECT * FROM (SELECT CAST(time_bucket(INTERVAL 1 HOUR, timestamp) AS TIMESTAMP) AS window_start, decision,
+  CAST(count(*) AS BIGINT) AS n FROM l GROUP BY ALL)
+WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(timestamp) FROM l) - INTERVAL 1 HOUR""", "M6 L7")
 def q_stream_counter(spark, sf_dir):
-    """Predictions per hour and decision counted in the stream (complete result table)."""
+    """Predictions per hour and decision, appended once the watermark (an hour behind the
+    newest) has passed the hour; the state holds open hours only."""
     log = D.prediction_log(M.StreamTables(spark, sf_dir)).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-    agg = log.groupBy(F.window("timestamp", "1 hour").alias("w"), "decision").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
-    agg = agg.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "decision", "n")
-    # complete mode: the whole result table is rewritten each batch (the twin check); a long
-    # running job uses stream_counters' watermark + append instead
-    return M.run_to_table(agg, "counter", output_mode="complete", foreach_batch=_overwrite)
+    out = M.run_to_table(M.stream_counters(log, "timestamp", ["decision"], "1 hour", delay="1 hour"), "counter")
+    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "decision", "n")
 
 
 @register_stream("stream_outcome_join", f"""WITH p AS (SELECT request_id, entity_id, timestamp FROM ({D.LOG_SQL}) WHERE copy = 1),
@@ -94,7 +92,14 @@ def q_stream_join(spark, sf_dir):
                       F.col("outcome_ts").cast("timestamp_ntz").alias("outcome_ts"), "outcome")
 
 
-@register_stream("stream_alert_for", None, "M9 (batch form: L8)")
+ALERT_SQL = """WITH s AS (SELECT user_id, ts, coalesce(value > 50.0, false) AS cond,
+  sum(CASE WHEN coalesce(value > 50.0, false) THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts, coalesce(value > 50.0, false)
+    ROWS UNBOUNDED PRECEDING) AS nf FROM events)
+SELECT CAST(user_id AS VARCHAR) AS series, min(ts) AS run_start, min(ts) + INTERVAL 1 HOUR AS fire_at
+FROM s WHERE cond GROUP BY user_id, nf HAVING max(ts) - min(ts) >= INTERVAL 1 HOUR"""
+
+
+@register_stream("stream_alert_for", ALERT_SQL, "M9 (batch form: L8)")
 def q_stream_alert(spark, sf_dir):
     """Per user, the alert fires once a sample shows the gauge above 50 for an hour."""
     ev = M.StreamTables(spark, sf_dir).events
@@ -102,14 +107,21 @@ def q_stream_alert(spark, sf_dir):
     return M.run_to_table(S.stream_alert_for(s, "series", "ts", "cond", 3600), "alert_for")
 
 
-@register_stream("stream_heartbeat", None, "M8 A13")
+@register_stream("stream_heartbeat", """SELECT CAST(user_id AS VARCHAR) AS series, 'stale' AS status, max(ts) AS last_ts
+FROM events GROUP BY user_id HAVING max(ts) + INTERVAL 2 DAY < (SELECT max(ts) FROM events)""", "M8 A13")
 def q_stream_heartbeat(spark, sf_dir):
     """Series (users) reported stale once event time passes their last sample by two days."""
     ev = M.StreamTables(spark, sf_dir).events
     return M.run_to_table(S.stream_heartbeat(ev, "user_id", "ts", "2 days"), "heartbeat")
 
 
-@register_stream("stream_drift_counts", None, "M7 K3")
+DRIFT_COUNTS_SQL = f"""WITH ref AS (SELECT 'value' AS column_name, value FROM events
+  WHERE {split_case('ts', D.EVENTS_SPLIT)} = 'train' AND value IS NOT NULL), {edges_sql()}
+x AS (SELECT strftime(ts, '%Y-%m-%d') AS day, (SELECT count(*) FROM edges e WHERE e.v < i.value) AS bin FROM events i WHERE value IS NOT NULL)
+SELECT day, 'value' AS column_name, CAST(bin AS INTEGER) AS bin, CAST(count(*) AS BIGINT) AS n, 0 AS epoch FROM x GROUP BY day, bin"""
+
+
+@register_stream("stream_drift_counts", DRIFT_COUNTS_SQL, "M7 K3")
 def q_stream_drift(spark, sf_dir):
     """Per-day bin counts of the value feature against reference deciles, accumulated by the
     stream; PSI per day is a batch job over these counts."""

@@ -187,7 +187,7 @@ def stream_alert_for(samples: DataFrame, series: str, ts: str, condition_col: st
     def fn(key, pdfs, state: GroupState):
         df = pd.concat(list(pdfs), ignore_index=True)
         df["_t"] = df[ts].values.astype("datetime64[us]").astype(np.int64)
-        df = df.sort_values("_t", kind="stable")
+        df = df.sort_values(["_t", condition_col], kind="stable")  # at one time, false first
         in_run, start, fired = (state.get if state.exists else (False, None, False))
         fires = []
         for t_, cond in zip(df["_t"].to_numpy(), df[condition_col].to_numpy()):
