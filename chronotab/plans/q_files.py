@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronotab.operators import outcomes as O
+from chronotab.operators.contracts import violations
 from chronotab.plans import driver as D
 from chronotab.plans.catalog import register
 from chronotab.plans.q_asof import FEATURES_SQL
 from chronotab.plans.q_monitor import OUTCOME_SQL, RUN_SECONDS, outcomes
 from chronotab.plans.q_nested import event_requests
 from chronotab.plans.sqlparts import split_case
+from chronotab.plans.table_contracts import TRANSACTION
 from chronotab.session import ensure_checkpoint_dir
 from chronotab.sources import predlog as P
 from chronotab.sources import tables as S
@@ -159,3 +161,28 @@ def q_send(t):
         own = O.send_summary(sent.where(F.col("event_type") == kind)).withColumn("target", F.lit(kind))
         out = own if out is None else out.unionByName(own)
     return out.where("sent > 0").select("target", "sent", "failed", "run_failed")
+
+
+def transaction_rows(t):
+    """Transactions in the full contract's shape: what the events do not have is derived from ids;
+    every 97th amount is negative and every 89th gender unknown."""
+    c = D.card_transactions(t)
+    own = {
+        "trans_date_trans_time": F.date_format("trans_ts", "yyyy-MM-dd HH:mm:ss"), "cc_num": F.col("card"),
+        "merchant": F.concat(F.lit("m"), (F.col("trans_num") % 50).cast("string")), "category": F.col("category"),
+        "amt": F.when(F.col("trans_num") % 97 == 0, -1.0).otherwise(F.abs("amt")), "gender": F.when(F.col("trans_num") % 89 == 0, "?").otherwise("F"),
+        "zip": F.col("card") % 1000, "lat": F.col("lat"), "long": F.col("long"), "city_pop": F.col("card") * 10,
+        "trans_num": F.col("trans_num").cast("string"), "unix_time": F.unix_seconds(F.col("trans_ts").cast("timestamp")),
+        "merch_lat": F.col("merch_lat"), "merch_long": F.col("merch_long"), "is_fraud": F.col("is_fraud").cast("long")}
+    return c.select(*[own.get(f, F.lit(f)).alias(f) for f in TRANSACTION.columns])
+
+
+@register("transaction_contract_file", """SELECT 'amt' AS column_name, 'greater_than_or_equal' AS "check", CAST(count(*) AS BIGINT) AS n_failed
+FROM events WHERE event_id % 97 = 0
+UNION ALL SELECT 'gender', 'in_set', CAST(count(*) AS BIGINT) FROM events WHERE event_id % 89 = 0""", "A2 G1 G2 G3 G4 G5 G7 M10")
+def q_transaction_contract(t):
+    """Transactions written as CSV with an index column, read by their contract and checked."""
+    path = folder(t, "transactions")
+    transaction_rows(t).select(F.monotonically_increasing_id().alias(" "), *TRANSACTION.columns).write.option("header", True).csv(path)
+    rows = S.read_csv_contract(t.spark, path, TRANSACTION.schema, drop_leading_index=True)
+    return violations(rows, TRANSACTION).select("column_name", "check", "n_failed")
