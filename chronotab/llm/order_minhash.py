@@ -27,9 +27,10 @@ empty result.
 
 from __future__ import annotations
 
+import bisect
+
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from chronotab.llm import hashing as H, shingles as S
@@ -87,11 +88,39 @@ def sketch(seq: np.ndarray, entries: int = ENTRIES, size: int = TUPLE) -> np.nda
     return out
 
 
+def aligned_cost(at: np.ndarray, to: np.ndarray, n: int, m: int) -> int:
+    """Edits of the alignment that keeps the longest run, in order on both sides, of the matches
+    (at, to) of two sequences of ``n`` and ``m``: no less than their edit distance."""
+    order = np.argsort(at)
+    at, to = at[order], to[order]
+    if np.any(to[1:] < to[:-1]):
+        tails: list[int] = []
+        last: list[int] = []
+        back = np.full(len(to), -1)
+        for i, x in enumerate(to.tolist()):
+            k = bisect.bisect_left(tails, x)
+            if k == len(tails):
+                tails.append(x)
+                last.append(i)
+            else:
+                tails[k], last[k] = x, i
+            back[i] = last[k - 1] if k else -1
+        keep, i = [], last[-1]
+        while i >= 0:
+            keep.append(i)
+            i = back[i]
+        at, to = at[keep[::-1]], to[keep[::-1]]
+    gaps = np.maximum(np.diff(np.r_[-1, at, n]), np.diff(np.r_[-1, to, m])) - 1
+    return int(gaps.sum())
+
+
 def similar(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> bool:
     """Whether 1 - edit distance / longer length is at least ``threshold``.
 
-    Greedy alignment along diagonals: for each number of edits the furthest place reached on every
-    diagonal of the band; runs of equal shingles are skipped by comparing prefix hashes.
+    Two exact bounds decide most pairs: the number of shared shingles, and the cost of the
+    alignment along them. The rest is aligned greedily along diagonals: for each number of edits
+    the furthest place reached on every diagonal of the band; runs of equal shingles are skipped
+    by comparing prefix hashes.
     """
     n, m = len(a), len(b)
     most = max(n, m)
@@ -100,10 +129,11 @@ def similar(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> bool:
     band = int(np.floor(most * (1 - threshold) + 1e-9))
     if abs(n - m) > band:
         return False
-    _, ia = np.unique(np.concatenate([a, b]), return_inverse=True)
-    shared = np.minimum(np.bincount(ia[:n], minlength=ia.max() + 1), np.bincount(ia[n:], minlength=ia.max() + 1)).sum()
-    if most - shared > band:
-        return False
+    _, at, to = np.intersect1d(labelled(a), labelled(b), assume_unique=True, return_indices=True)
+    if most - len(at) > band:
+        return False  # too few shingles are shared for any alignment
+    if aligned_cost(at, to, n, m) <= band:
+        return True  # an alignment that is good enough
     pa_, pb = H.prefix(a), H.prefix(b)
 
     def slide(x: np.ndarray, diagonal: np.ndarray) -> np.ndarray:
@@ -185,6 +215,58 @@ def spanning_tree(nodes: np.ndarray, size: np.ndarray, rows: np.ndarray, thresho
     return a, b, nodes[head]
 
 
+def in_groups(rows: DataFrame, threshold: float) -> DataFrame:
+    """Trees of the groups (key, part) of rows (key, part, node, n, sketch): (key, a, b) pairs, and
+    (key, a, n, sketch) with null b for each tree's first node."""
+
+    def trees(batches):
+        rest = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            rest = table if rest is None else pa.concat_tables([rest, table])
+            key, part = rest.column("key").to_numpy(), rest.column("part").to_numpy()
+            new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (part[1:] != part[:-1])][:len(key)])
+            if len(new) > 1:  # the last group may go on in the next batch
+                yield from made(rest.slice(0, int(new[-1])), new)
+                rest = rest.slice(int(new[-1]))
+        if rest is not None and rest.num_rows:
+            key, part = rest.column("key").to_numpy(), rest.column("part").to_numpy()
+            yield from made(rest, np.r_[np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (part[1:] != part[:-1])]), len(key)])
+
+    def made(table: pa.Table, edges: np.ndarray):
+        key, node, size = (table.column(c).to_numpy() for c in ("key", "node", "n"))
+        sketches_ = np.frombuffer(b"".join(table.column("sketch").to_pylist()), dtype=np.uint64).reshape(len(node), ENTRIES)
+        small = sketches_.astype(np.uint32)
+        many = np.diff(edges)
+        two = edges[:-1][many == 2]
+        a, b, k, heads = [], [], [], [edges[:-1][many == 1]]
+        if len(two):  # pairs, all at once
+            same = (small[two] == small[two + 1]).sum(axis=1)
+            near = np.minimum(size[two], size[two + 1]) >= threshold * np.maximum(size[two], size[two + 1])
+            ok = (same >= MIN_AGREE) & near
+            a.append(node[two[ok]])
+            b.append(node[two[ok] + 1])
+            k.append(key[two[ok]])
+            heads += [two, two[~ok] + 1]
+        for lo, hi in zip(edges[:-1][many > 2].tolist(), edges[1:][many > 2].tolist()):
+            x, y, head = spanning_tree(node[lo:hi], size[lo:hi], small[lo:hi], threshold)
+            a.append(np.array(x, dtype=np.int64))
+            b.append(np.array(y, dtype=np.int64))
+            k.append(np.full(len(x), key[lo]))
+            heads.append(lo + np.flatnonzero(head == node[lo:hi]))
+        a, b, k = (np.concatenate([np.zeros(0, dtype=np.int64), *x]) for x in (a, b, k))
+        lead = np.concatenate(heads)
+        m, n = len(a), len(lead)
+        yield pa.RecordBatch.from_pydict({
+            "key": pa.array(np.r_[k, key[lead]]), "a": pa.array(np.r_[a, node[lead]]),
+            "b": pa.array(np.r_[b, np.zeros(n, dtype=np.int64)], mask=np.r_[np.zeros(m, bool), np.ones(n, bool)]),
+            "n": pa.array(np.r_[np.zeros(m, dtype=np.int64), size[lead]]),
+            "sketch": pa.array([None] * m + [sketches_[i].tobytes() for i in lead], pa.binary())})
+
+    grouped = rows.repartition("key", "part").sortWithinPartitions("key", "part", "node")
+    return grouped.select("key", "part", "node", "n", "sketch").mapInArrow(trees, "key long, a long, b long, n long, sketch binary")
+
+
 def candidates(nodes: DataFrame, threshold: float = THRESHOLD, bucket_nodes: int = BUCKET_NODES) -> DataFrame:
     """(a, b) pairs of nodes to verify, a < b."""
 
@@ -202,27 +284,11 @@ def candidates(nodes: DataFrame, threshold: float = THRESHOLD, bucket_nodes: int
     # few nodes meet at all: their sketches join here, once a key
     rows = met.join(nodes.select("node", "n", "sketch"), "node").select("key", "part", "node", "n", "sketch")
 
-    def tree(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("node", "ascending")])
-        node, size = table.column("node").to_numpy(), table.column("n").to_numpy()
-        own = np.frombuffer(b"".join(table.column("sketch").to_pylist()), dtype=np.uint64).reshape(len(node), ENTRIES)
-        a, b, head = spanning_tree(node, size, own.astype(np.uint32), threshold)
-        lead = np.flatnonzero(head == node)
-        k = len(a)
-        key = table.column("key")[0].as_py()
-        return pa.table({
-            "key": pa.array([key] * (k + len(lead)), pa.int64()),
-            "a": pa.array(np.r_[np.array(a, dtype=np.int64), node[lead]]),
-            "b": pa.array([int(x) for x in b] + [None] * len(lead), pa.int64()),
-            "n": pa.array([None] * k + [int(x) for x in size[lead]], pa.int64()),
-            "sketch": pa.array([None] * k + [own[i].tobytes() for i in lead], pa.binary())})
-
-    schema = "key long, a long, b long, n long, sketch binary"
-    parts = rows.groupBy("key", "part").applyInArrow(tree, schema)
+    parts = cut_lineage(in_groups(rows, threshold).select("key", "a", "b", "n", "sketch"))
     large = counts.where(F.col("count") > bucket_nodes).select("key")
     heads = (parts.where("b is null").join(large, "key")
              .select("key", F.lit(0).alias("part"), F.col("a").alias("node"), "n", "sketch"))
-    again = heads.groupBy("key", "part").applyInArrow(tree, schema)
+    again = in_groups(heads, threshold)
     pairs = parts.where("b is not null").select("a", "b").union(again.where("b is not null").select("a", "b"))
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
@@ -256,8 +322,8 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, bucket_nodes: in
     links = verified(docs, pairs, threshold)
     # a doc_id on rows of different texts ties their nodes together
     own = made.select("low", "high", "doc_id").distinct().join(names.select("low", "high", "node"), ["low", "high"])
-    twice = own.where("doc_id <> node").groupBy("doc_id").agg(F.min("node").alias("x"), F.max("node").alias("y"))
-    tied = (own.join(twice.where("x <> y").select("doc_id"), "doc_id").select(F.col("node").alias("a"), F.col("doc_id").alias("b")))
+    twice = own.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("doc_id", "a")
+    tied = own.join(twice, "doc_id").select("a", F.col("node").alias("b"))
     roots = components(links.union(tied))
     member = (own.join(roots, "node", "left").groupBy("doc_id")
               .agg(F.min(F.coalesce("root", "node")).alias("class_id")))
