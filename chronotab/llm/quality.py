@@ -7,7 +7,7 @@ over every whole text.
 
 Trees and weights are fitted on a bounded sample of labelled documents (``sample_rows``). Null and
 empty texts have statistics of zero and are scored like any other; without labels of both kinds the
-score is the share of label 1 among them (0 without labels). Other columns are ignored; empty
+score is the share of label 1 among them (1 without labels: nothing is rejected). Other columns are ignored; empty
 tables give an empty result.
 """
 
@@ -91,7 +91,7 @@ def fit(sample: DataFrame, lasso: float = LASSO) -> RuleEnsemble | float:
     rows = cut_lineage(sample.select("label", statistics(F.col("text")).alias("stats")).coalesce(8))
     good, n, kinds = rows.agg(F.sum("label"), F.count("*"), F.countDistinct("label")).first()
     if kinds < 2:
-        return float(good or 0) / n if n else 0.0
+        return float(good) / n if n else 1.0
     trees = GBTClassifier(maxIter=12, maxDepth=3, seed=7, subsamplingRate=0.7).fit(
         rows.select("label", array_to_vector("stats").alias("features"))).trees
     rules = sorted({r for t in trees for r in paths(t._call_java("rootNode"))})
