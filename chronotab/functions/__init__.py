@@ -1,32 +0,0 @@
-from chronotab.functions.fixedpoint import mean_from, scaled, scaled_sq, std_from, sum_from
-from chronotab.functions.scalar import (
-    decide,
-    encode_category,
-    fixed_sample,
-    haversine_km,
-    id_as_string,
-    missing_policy,
-    nan_to_null,
-    nan_to_null_all,
-    sentinel_to_null,
-    traffic_filter,
-    zscore_guarded,
-)
-from chronotab.functions.timecols import (
-    day_of_week_monday0,
-    effective_offset,
-    from_micros,
-    hour_of_day,
-    literal_micros,
-    micros,
-    record_timestamp,
-    ts_literal,
-)
-
-__all__ = [
-    "decide", "encode_category", "fixed_sample", "haversine_km", "id_as_string",
-    "missing_policy", "nan_to_null", "nan_to_null_all", "sentinel_to_null", "traffic_filter",
-    "zscore_guarded", "day_of_week_monday0", "effective_offset", "from_micros", "hour_of_day",
-    "literal_micros", "micros", "record_timestamp", "ts_literal", "mean_from", "scaled",
-    "scaled_sq", "std_from", "sum_from",
-]

@@ -19,8 +19,14 @@ def _col(c) -> Column:
 
 
 def scaled(c, scale: int) -> Column:
-    """``c`` as an exact integer number of 10^-scale units."""
-    return F.round(_col(c) * F.lit(float(10 ** scale))).cast(EXACT)
+    """``c`` as an exact integer number of 10^-scale units; a value with more decimal places than
+    ``scale`` is an error, never rounded away."""
+    value = _col(c).cast("double")
+    whole = F.round(value * F.lit(float(10 ** scale)))
+    back = whole / F.lit(float(10 ** scale))
+    fits = F.abs(back - value) <= F.abs(value) * F.lit(4e-16)
+    return F.when(value.isNull() | fits, whole).otherwise(
+        F.raise_error(F.format_string(f"%s has more than {scale} decimal places", value.cast("string"))).cast("double")).cast(EXACT)
 
 
 def scaled_sq(c, scale: int) -> Column:

@@ -49,12 +49,6 @@ def missing_policy(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def encode_category(c, levels: list) -> Column:
-    """Keep a value only if it is one of the captured levels; unseen -> null."""
-    arr = F.array(*[F.lit(v) for v in levels]) if levels else F.array().cast("array<string>")
-    return F.when(F.array_contains(arr, _col(c)), _col(c))
-
-
 def id_as_string(c) -> Column:
     """One id type for integer and hash ids."""
     return _col(c).cast("string")

@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
-MAX_LEVELS = 100_000  # categorical levels held per column; more means the column is not categorical
+from chronotab.operators.order import global_row_number
 
 
 @dataclass(frozen=True)
@@ -161,21 +161,19 @@ def capture_categories(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def levels_long(levels: DataFrame) -> DataFrame:
-    """Index each column's sorted levels (0-based). Levels of a categorical column are few;
-    the count is checked before they are ordered within their column."""
-    biggest = levels.groupBy("column_name").count().agg(F.max("count")).first()[0] or 0
-    if biggest > MAX_LEVELS:
-        raise ValueError(f"{biggest} levels in one column: not categorical")
-    w = Window.partitionBy("column_name").orderBy("level")
-    return levels.select("column_name", (F.row_number().over(w) - 1).cast("bigint").alias("level_index"),
-                         "level")
-
-
-def levels_dict(levels: DataFrame) -> dict[str, list[str]]:
-    """Small driver-side dict (bounded by MAX_LEVELS per column) for B11's literal arrays."""
-    out: dict[str, list[str]] = {}
-    for r in levels_long(levels).orderBy("column_name", "level_index").collect():
-        out.setdefault(r.column_name, []).append(r.level)
+    """Index each column's sorted levels (0-based), however many there are."""
+    numbered = global_row_number(levels.select("column_name", "level"), ["level"], "level_index", ["column_name"])
+    return numbered.select("column_name", F.col("level_index").cast("bigint").alias("level_index"), "level")
+
+
+def encode_levels(df: DataFrame, columns: list[str], levels: DataFrame) -> DataFrame:
+    """``columns`` keep a value only if it is a captured level of theirs (unseen -> null,
+    T19). Levels stay a table: one join a column, which Spark broadcasts if it measures it small."""
+    out = df
+    for c in columns:
+        own = levels.where(F.col("column_name") == c).select(F.col("level").alias("_level"))
+        out = out.join(own, F.col(f"`{c}`").cast("string") == F.col("_level"), "left")
+        out = out.withColumn(c, F.when(F.col("_level").isNotNull(), F.col(f"`{c}`"))).drop("_level")
     return out
 
 

@@ -97,12 +97,13 @@ def fit_gbt(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]
             max_iter: int = 30, max_depth: int = 4, seed: int = 42) -> PipelineModel:
     """I4: boosted trees; categories indexed with unseen/null kept as their own index, numeric
     nulls imputed (trees need no scaling)."""
+    most = max(train.agg(*[F.countDistinct(c) for c in categorical]).first()) if categorical else 0
     idx = [StringIndexer(inputCol=c, outputCol=f"_i_{c}", handleInvalid="keep") for c in categorical]
     imp = Imputer(inputCols=list(numeric), outputCols=[f"_n_{c}" for c in numeric], strategy="median")
     asm = VectorAssembler(inputCols=[f"_n_{c}" for c in numeric] + [f"_i_{c}" for c in categorical],
                           outputCol="_x", handleInvalid="keep")
     gbt = GBTClassifier(featuresCol="_x", labelCol=y, maxIter=max_iter, maxDepth=max_depth, seed=seed,
-                        predictionCol="_pred", maxBins=64)
+                        predictionCol="_pred", maxBins=max(64, most + 2))  # one bin a level, unseen and null too
     gbt.setProbabilityCol("_prob").setRawPredictionCol("_raw")
     return Pipeline(stages=[*idx, imp, asm, gbt]).fit(train)
 

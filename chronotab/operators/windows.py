@@ -17,8 +17,8 @@ the per-category frames add one more sort on ``(card, category, bucket, t)``. Ea
 frame is a difference of two running totals (P3), so a window costs O(events), not
 O(events x events per 30 days).
 
-Sums are exact fixed-point (``functions.fixedpoint``): amounts in cents, coordinates in
-micro-degrees; means and the sample std are derived from them.
+Sums are exact fixed-point (``functions.fixedpoint``): amounts to four decimal places,
+coordinates in micro-degrees (more places are an error); means and the sample std are derived from them.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ from chronotab.functions.timecols import (
 )
 
 HISTORY_DAYS = 30  # longest look-back of any feature
-AMOUNT_SCALE = 2  # cents
+AMOUNT_SCALE = 4  # decimal places an amount may have
 COORD_SCALE = 6  # micro-degrees
 # cards above this many events take the range path (a (card, bucket) window would be too big)
 HOT_CARD_ROWS = 2_000_000

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Callable, Protocol
+from typing import Protocol
 
 from pyspark.sql import DataFrame
 
 from chronotab.config import CREDIT, FRAUD, DomainConfig
-from chronotab.functions.scalar import encode_category
-from chronotab.operators.contracts import capture_categories, levels_dict
+from chronotab.operators.contracts import capture_categories, encode_levels
 
 
 class Domain(Protocol):
@@ -17,37 +16,37 @@ class Domain(Protocol):
 
     def feature_columns(self, df: DataFrame) -> list[str]: ...
 
-    def capture_categories(self, df: DataFrame, columns: list[str]) -> dict[str, list[str]]: ...
+    def capture_categories(self, df: DataFrame, columns: list[str]) -> DataFrame: ...
 
-    def prepare_features(self, df: DataFrame, columns: list[str], categories: dict[str, list[str]]) -> DataFrame: ...
+    def prepare_features(self, df: DataFrame, columns: list[str], categories: DataFrame) -> DataFrame: ...
 
 
-def _capture(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
-    """B10 over mature rows: string columns only; levels are bounded per column."""
-    strings = [c for c in columns if dict(df.dtypes)[c] == "string"]
-    return levels_dict(capture_categories(df.where("IS_MATURE"), strings)) if strings else {}
-
-
-def _prepare(df: DataFrame, columns: list[str], categories: dict[str, list[str]]) -> DataFrame:
-    """Categorical columns restricted to captured levels (unseen -> null, T19)."""
-    return df.select(*[encode_category(c, categories[c]).alias(c) if c in categories else c for c in columns])
+def _texts(df: DataFrame, columns: list[str]) -> list[str]:
+    kinds = dict(df.dtypes)
+    return [c for c in columns if kinds[c] == "string"]
 
 
 @dataclass(frozen=True)
-class _Domain:
+class ConfiguredDomain:
     config: DomainConfig
-    capture_categories: Callable = staticmethod(_capture)
-    prepare_features: Callable = staticmethod(_prepare)
 
     def feature_columns(self, df: DataFrame) -> list[str]:
         return self.config.inputs(df.columns)
 
+    def capture_categories(self, df: DataFrame, columns: list[str]) -> DataFrame:
+        """(column_name, level) of the text columns over mature rows."""
+        texts = _texts(df, columns)
+        if not texts:
+            return df.sparkSession.createDataFrame([], "column_name string, level string")
+        return capture_categories(df.where("IS_MATURE"), texts)
+
+    def prepare_features(self, df: DataFrame, columns: list[str], categories: DataFrame) -> DataFrame:
+        """The columns, text restricted to captured levels (unseen -> null, T19)."""
+        return encode_levels(df.select(*columns), _texts(df, columns), categories)
+
 
-DOMAINS: dict[str, _Domain] = {
-    "credit": _Domain(CREDIT),
-    "fraud": _Domain(FRAUD),
-}
+DOMAINS: dict[str, Domain] = {c.name: ConfiguredDomain(c) for c in (CREDIT, FRAUD)}
 
 
-def load_domain(name: str) -> _Domain:
+def load_domain(name: str) -> Domain:
     return DOMAINS[name]

@@ -24,7 +24,7 @@ HAV = ("6371.0 * 2 * asin(sqrt(pow(sin((radians({la2}) - radians({la1})) / 2), 2
 
 EVENT_SQL = f"""
 WITH tx AS ({D.CARD_SQL}),
-b AS (SELECT *, epoch_us(trans_ts) AS t, CAST(round(amt * 100.0) AS HUGEINT) AS c,
+b AS (SELECT *, epoch_us(trans_ts) AS t, CAST(round(amt * 10000.0) AS HUGEINT) AS c,
         CAST(round(merch_lat * 1000000.0) AS HUGEINT) AS la6,
         CAST(round(merch_long * 1000000.0) AS HUGEINT) AS lo6 FROM tx),
 w AS (SELECT *,
@@ -37,17 +37,17 @@ w AS (SELECT *,
   count(amt) OVER ({CAT}) AS ncat, sum(c) OVER ({CAT}) AS scat
   FROM b),
 d AS (SELECT *,
-  CASE WHEN n30 > 0 THEN CAST(s30 AS DOUBLE) / CAST(n30 AS DOUBLE) / 100.0 END AS avg30,
-  CASE WHEN n30 > 1 THEN sqrt(CAST(n30 * q30 - s30 * s30 AS DOUBLE) / CAST(n30 * (n30 - 1) AS DOUBLE) / 10000.0) END AS std30,
+  CASE WHEN n30 > 0 THEN CAST(s30 AS DOUBLE) / CAST(n30 AS DOUBLE) / 10000.0 END AS avg30,
+  CASE WHEN n30 > 1 THEN sqrt(CAST(n30 * q30 - s30 * s30 AS DOUBLE) / CAST(n30 * (n30 - 1) AS DOUBLE) / 100000000.0) END AS std30,
   CASE WHEN nl30 > 0 THEN CAST(la30 AS DOUBLE) / CAST(nl30 AS DOUBLE) / 1000000.0 END AS ulat,
   CASE WHEN nl30 > 0 THEN CAST(lo30 AS DOUBLE) / CAST(nl30 AS DOUBLE) / 1000000.0 END AS ulong,
-  CASE WHEN ncat > 0 THEN CAST(scat AS DOUBLE) / CAST(ncat AS DOUBLE) / 100.0 END AS avgcat
+  CASE WHEN ncat > 0 THEN CAST(scat AS DOUBLE) / CAST(ncat AS DOUBLE) / 10000.0 END AS avgcat
   FROM w)
 SELECT trans_num, trans_ts, card, category, amt, lat, long, merch_lat, merch_long, is_fraud,
   round({HAV.format(la1='lat', lo1='long', la2='merch_lat', lo2='merch_long')}, 6) AS DISTANCE_FROM_HOME_KM,
   round({HAV.format(la1='ulat', lo1='ulong', la2='merch_lat', lo2='merch_long')}, 6) AS DISTANCE_FROM_USUAL_MERCHANT_KM,
   CAST(n1h AS BIGINT) AS CC_TXN_COUNT_1H, CAST(n24 AS BIGINT) AS CC_TXN_COUNT_24H,
-  coalesce(CAST(s24 AS DOUBLE) / 100.0, 0.0) AS CC_AMT_SUM_24H,
+  coalesce(CAST(s24 AS DOUBLE) / 10000.0, 0.0) AS CC_AMT_SUM_24H,
   avg30 AS CC_AMT_AVG_30D, amt - avg30 AS AMT_DEVIATION_FROM_CC_AVG,
   CASE WHEN std30 > 0 THEN (amt - avg30) / std30 END AS AMT_ZSCORE_30D,
   CAST(ncat AS BIGINT) AS CC_CATEGORY_TXN_COUNT_30D, amt - avgcat AS AMT_DEVIATION_FROM_CC_CATEGORY_AVG,

@@ -74,7 +74,7 @@ def _card_features(key, pdfs: Iterator[pd.DataFrame], state: GroupState, history
     # emitted; it is passed on flagged as late, with no features, and kept out of the state.
     late = new["_t"].to_numpy() < (last if last is not None else np.iinfo(np.int64).min)
     ok = new[~late]
-    c = _whole(ok["amt"], 100)
+    c = _whole(ok["amt"], 1e4)
     la, lo = _whole(ok["merch_lat"], 1e6), _whole(ok["merch_long"], 1e6)
     T = np.concatenate([ht, ok["_t"].to_numpy()])
     C = np.concatenate([hc, c])
@@ -102,8 +102,8 @@ def _card_features(key, pdfs: Iterator[pd.DataFrame], state: GroupState, history
     seen = hi - lo30
     n30, nl30 = between(nc, hi, lo30).astype(np.int64), between(nl, hi, lo30).astype(np.int64)
     s30, q30 = between(sc, hi, lo30), between(sq, hi, lo30)
-    avg = np.where(n30 > 0, s30.astype(float) / np.maximum(n30, 1) / 100.0, np.nan)
-    var = np.array([float(n * q - s * s) / float(n * (n - 1)) / 10000.0 if n > 1 else np.nan
+    avg = np.where(n30 > 0, s30.astype(float) / np.maximum(n30, 1) / 1e4, np.nan)
+    var = np.array([float(n * q - s * s) / float(n * (n - 1)) / 1e8 if n > 1 else np.nan
                     for n, q, s in zip(n30, q30, s30)])
     std = np.sqrt(var)
     ulat = np.array([float(sla[h] - sla[l]) / n / 1e6 if n else np.nan for h, l, n in zip(hi, lo30, nl30)])
@@ -123,13 +123,13 @@ def _card_features(key, pdfs: Iterator[pd.DataFrame], state: GroupState, history
         h = np.searchsorted(Tc, t[idx], "left")
         l30 = np.searchsorted(Tc, t[idx] - history_us, "left")
         ncat[idx] = h - l30
-        avgcat[idx] = [float(scc[a] - scc[b]) / (a - b) / 100.0 if a > b else np.nan for a, b in zip(h, l30)]
+        avgcat[idx] = [float(scc[a] - scc[b]) / (a - b) / 1e4 if a > b else np.nan for a, b in zip(h, l30)]
     out = pd.DataFrame({
         "trans_num": ok["trans_num"].to_numpy(), "card": ok["card"].to_numpy(),
         "trans_ts": ok["trans_ts"].to_numpy(), "late": False,
         "CC_TXN_COUNT_1H": between(nc, hi, lo1).astype(np.int64),
         "CC_TXN_COUNT_24H": between(nc, hi, lo24).astype(np.int64),
-        "CC_AMT_SUM_24H": np.array([float(sc[h] - sc[l]) / 100.0 for h, l in zip(hi, lo24)]),
+        "CC_AMT_SUM_24H": np.array([float(sc[h] - sc[l]) / 1e4 for h, l in zip(hi, lo24)]),
         "CC_AMT_AVG_30D": avg, "CC_AMT_STD_30D": std, "AMT_DEVIATION_FROM_CC_AVG": dev,
         "AMT_ZSCORE_30D": z, "CC_CATEGORY_TXN_COUNT_30D": ncat,
         "AMT_DEVIATION_FROM_CC_CATEGORY_AVG": amt - avgcat, "CC_SECONDS_SINCE_LAST_TXN": since,
