@@ -80,12 +80,7 @@ def read_features(spark: SparkSession, path: str, columns: Iterable[str] | None
     return df
 
 
-def filtered_scan(big: DataFrame, ids: DataFrame, key: str, broadcast_ids: bool | None = None) -> DataFrame:
-    """Rows of ``big`` whose key is in ``ids``. The id set is broadcast only when its
-    row count is checked to be small; otherwise Spark shuffles both sides."""
-    from chronotab.operators.asof import fits_broadcast
-
-    id_keys = ids.select(key).distinct()
-    if broadcast_ids is None:
-        broadcast_ids = fits_broadcast(id_keys)
-    return big.join(F.broadcast(id_keys) if broadcast_ids else id_keys, key, "left_semi")
+def filtered_scan(big: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows of ``big`` whose key is in ``ids``. Spark broadcasts the id set if it measures
+    it small enough and shuffles both sides otherwise."""
+    return big.join(ids.select(key).distinct(), key, "left_semi")
