@@ -25,12 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from chronotab.llm.folds import hashed_share
-from chronotab.session import cut_lineage
 
 LETTERS = re.compile(r"[^\W\d_]+")
 ORDERS = (5, 4, 3, 2, 1)
 SAMPLE_DOCS = 1000
-ENTRIES = 60_000
+ENTRIES = 20_000
 SMOOTH = 0.5
 CACHE = 200_000
 UNKNOWN = "und"
@@ -46,32 +45,32 @@ def n_grams(word: str, n: int) -> list[str]:
 
 
 class LanguageModel:
-    """Log frequencies by language: ``tables[order][key]`` is a row of ``weights[order]``; order 0 holds words."""
+    """Log frequencies by language: ``places[order][key]`` is a row of ``logs[order]``; order 0 holds words."""
 
-    def __init__(self, counts: dict[int, dict[str, dict[str, int]]], languages: list[str]):
+    def __init__(self, keys: dict[int, list[str]], counts: dict[int, np.ndarray], languages: list[str]):
         self.languages = languages
-        self.tables: dict[int, dict[str, np.ndarray]] = {}
-        at = {x: i for i, x in enumerate(languages)}
-        for order, by_key in counts.items():
-            keys = list(by_key)
-            table = np.full((len(keys), len(languages)), SMOOTH)
-            for k, key in enumerate(keys):
-                for language, n in by_key[key].items():
-                    table[k, at[language]] += n
-            logs = np.log(table / table.sum(axis=0))
-            self.tables[order] = dict(zip(keys, logs - logs.max(axis=1, keepdims=True)))
+        self.places = {n: {k: i for i, k in enumerate(own)} for n, own in keys.items()}
+        self.logs = {}
+        for n, own in counts.items():
+            table = own + SMOOTH
+            logs = np.log(table / (table.sum(axis=0) + SMOOTH))  # one share is left for keys not seen
+            self.logs[n] = (logs - logs.max(axis=1, keepdims=True, initial=-np.inf)).astype(np.float32)
         self.cache: dict[str, np.ndarray] = {}
 
+    def __getstate__(self):
+        return self.__dict__ | {"cache": {}}
+
     def word(self, word: str) -> np.ndarray:
-        found = self.tables[0].get(word)
-        if found is None:
-            found = self.cache.get(word)
+        at = self.places[0].get(word)
+        if at is not None:
+            return self.logs[0][at]
+        found = self.cache.get(word)
         if found is None:
-            found = np.zeros(len(self.languages))
+            found = np.zeros(len(self.languages), dtype=np.float32)
             for n in ORDERS:
-                known = [x for x in map(self.tables[n].get, n_grams(word, n)) if x is not None]
+                known = [x for x in map(self.places[n].get, n_grams(word, n)) if x is not None]
                 if known:
-                    found = np.mean(known, axis=0)
+                    found = self.logs[n][known].mean(axis=0)
                     break
             if len(self.cache) >= CACHE:
                 self.cache.clear()
@@ -93,7 +92,8 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, entries: int = ENTRIES)
     known = docs.select("doc_id", "text", "lang").where("text is not null and lang is not null")
     sizes = {r.lang: r["count"] for r in known.groupBy("lang").count().collect()}  # one row a language
     if not sizes:
-        return LanguageModel({n: {} for n in (0, *ORDERS)}, [])
+        orders = (0, *ORDERS)
+        return LanguageModel(dict.fromkeys(orders, []), dict.fromkeys(orders, np.zeros((0, 0))), [])
     share = F.element_at(F.create_map(*[F.lit(x) for k, v in sizes.items() for x in (k, sample_docs / v)]), F.col("lang"))
     sample = known.where(hashed_share(21) < share)
 
@@ -117,18 +117,19 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, entries: int = ENTRIES)
             "lang": pa.array([k[0] for k in keys], pa.string()), "order": pa.array([k[1] for k in keys], pa.int32()),
             "key": pa.array([k[2] for k in keys], pa.string()), "n": pa.array([total[k] for k in keys], pa.int64())})
 
-    counted = cut_lineage(sample.mapInArrow(count, "lang string, order int, key string, n long")
-               .groupBy("order", "key").agg(F.sum("n").alias("n"), F.collect_list(F.struct("lang", "n")).alias("by"))
-               .where("n > 1"))
-    kept = Window.partitionBy("order").orderBy(F.desc("n"), "key")
-    rows = counted.withColumn("place", F.row_number().over(kept)).where(F.col("place") <= entries).collect()
-    counts: dict[int, dict[str, dict[str, int]]] = {n: {} for n in (0, *ORDERS)}
-    for r in rows:
-        own = Counter()
-        for x in r.by:
-            own[x.lang] += x.n
-        counts[r.order][r.key] = own
-    return LanguageModel(counts, sorted(sizes))
+    languages = sorted(sizes)
+    by = [F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(f"n{i}") for i, x in enumerate(languages)]
+    counted = (sample.mapInArrow(count, "lang string, order int, key string, n long")
+               .groupBy("order", "key").agg(F.sum("n").alias("n"), *by).where("n > 1"))
+    most = Window.partitionBy("order").orderBy(F.desc("n"), "key")
+    kept = counted.withColumn("place", F.row_number().over(most)).where(F.col("place") <= entries).drop("n", "place").toArrow()
+    keys, tables = {}, {}
+    order = kept.column("order").to_numpy()
+    for n in (0, *ORDERS):
+        own = kept.take(pa.array(np.flatnonzero(order == n)))
+        keys[n] = own.column("key").to_pylist()
+        tables[n] = np.column_stack([own.column(f"n{i}").to_numpy() for i in range(len(languages))]).astype(float)
+    return LanguageModel(keys, tables, languages)
 
 
 def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
