@@ -12,10 +12,11 @@ entries fewer than MIN_AGREE agree for one pair in 1,000 at the threshold itself
 10**5 at similarity 0.85.
 
 Search: texts with equal words are one node (smallest doc_id), found by a grouped minimum. Nodes
-meet by equal entries. Inside a bucket a maximum spanning tree over the number of agreeing entries
-gives the candidates: as many as nodes, not as pairs, and single linkage keeps two nodes that
-belong together joined through pairs that agree at least as much. A bucket of more than
-``bucket_nodes`` nodes is first split by hash; then the least nodes of the parts' trees meet.
+meet by equal entries. First, maximum spanning trees over the number of agreeing entries give the
+likeliest pairs, as many as nodes. Then the verified classes are contracted, and of the pairs of
+different classes with MIN_AGREE agreeing entries every node's best untested ones are verified, in
+rounds that take more each time (``WIDTHS``, the last without limit), until no untested pair is
+left that would join two classes. So a pair that fails costs no link, whatever the trees took.
 Candidates are verified on their whole texts by banded alignment: first the exact bound from the
 shared shingles, then furthest-reaching diagonals, never more than the distance allowed by
 ``threshold``.
@@ -42,6 +43,8 @@ ENTRIES = 32
 TUPLE = 3
 MIN_AGREE = 3
 BUCKET_NODES = 4096
+#: Pairs a node may try in each round after the trees; None takes all that are left.
+WIDTHS = (8, 64, 512, None)
 _SEEDS = np.random.default_rng(77).integers(1, 1 << 62, ENTRIES * 2, dtype=np.uint64)
 
 
@@ -267,8 +270,8 @@ def in_groups(rows: DataFrame, threshold: float) -> DataFrame:
     return grouped.select("key", "part", "node", "n", "sketch").mapInArrow(trees, "key long, a long, b long, n long, sketch binary")
 
 
-def candidates(nodes: DataFrame, threshold: float = THRESHOLD, bucket_nodes: int = BUCKET_NODES) -> DataFrame:
-    """(a, b) pairs of nodes to verify, a < b."""
+def meetings(nodes: DataFrame) -> DataFrame:
+    """(key, node, count): the nodes of every bucket of two or more."""
 
     def explode(batches):
         for batch in batches:
@@ -279,13 +282,17 @@ def candidates(nodes: DataFrame, threshold: float = THRESHOLD, bucket_nodes: int
 
     keys = nodes.select("node", "sketch").mapInArrow(explode, "key long, node long").distinct()
     counts = keys.groupBy("key").count().where("count > 1")
-    met = keys.join(counts, "key").withColumn(
-        "part", F.pmod(F.xxhash64("node"), F.ceil(F.col("count") / bucket_nodes)).cast("int"))
+    return keys.join(counts, "key")
+
+
+def candidates(met: DataFrame, nodes: DataFrame, threshold: float = THRESHOLD, bucket_nodes: int = BUCKET_NODES) -> DataFrame:
+    """(a, b) pairs of nodes to verify first, a < b: trees of the buckets, or of parts of large ones."""
+    dealt = met.withColumn("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("count") / bucket_nodes)).cast("int"))
     # few nodes meet at all: their sketches join here, once a key
-    rows = met.join(nodes.select("node", "n", "sketch"), "node").select("key", "part", "node", "n", "sketch")
+    rows = dealt.join(nodes.select("node", "n", "sketch"), "node").select("key", "part", "node", "n", "sketch")
 
     parts = cut_lineage(in_groups(rows, threshold).select("key", "a", "b", "n", "sketch"))
-    large = counts.where(F.col("count") > bucket_nodes).select("key")
+    large = met.where(F.col("count") > bucket_nodes).select("key").distinct()
     heads = (parts.where("b is null").join(large, "key")
              .select("key", F.lit(0).alias("part"), F.col("a").alias("node"), "n", "sketch"))
     again = in_groups(heads, threshold)
@@ -293,6 +300,60 @@ def candidates(nodes: DataFrame, threshold: float = THRESHOLD, bucket_nodes: int
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def in_reach(rows: DataFrame, width: int | None, threshold: float) -> DataFrame:
+    """(a, b) pairs, a < b, of different classes among rows (key, part, lot, node, class, n, sketch).
+
+    In a group (key, part, lot) the rows with a ``lot`` side (``ask``) meet all rows with a ``part``
+    side. A pair belongs to the bucket of its first agreeing entry only. Every asking node gives
+    its ``width`` pairs with most agreement, and a row with null b if it has more.
+    """
+
+    def meet(table: pa.Table) -> pa.Table:
+        key = np.uint64(table.column("key")[0].as_py() & ((1 << 64) - 1))
+        node, size, group = (table.column(c).to_numpy() for c in ("node", "n", "class"))
+        ask, told = (np.flatnonzero(table.column(c).to_numpy(zero_copy_only=False)) for c in ("ask", "told"))
+        # a pair of two nodes that both ask is given by the smaller one
+        asks_too = table.column("minor").to_numpy(zero_copy_only=False)[told]
+        entry = np.frombuffer(b"".join(table.column("sketch").to_pylist()), dtype=np.uint64).reshape(len(node), ENTRIES)
+        other = entry[told]
+        a, b, more = [], [], []
+        for i in ask.tolist():
+            ok = (group[told] != group[i]) & (~asks_too | (node[told] > node[i]))
+            ok &= np.minimum(size[told], size[i]) >= threshold * np.maximum(size[told], size[i])
+            at = np.flatnonzero(ok)
+            same = other[at] == entry[i]
+            many = same.sum(axis=1)
+            own = entry[i][same.argmax(axis=1)] == key
+            ok = (many >= MIN_AGREE) & own
+            at, many = at[ok], many[ok]
+            if width is not None and len(at) > width:
+                at = at[np.lexsort((node[told[at]], -many))[:width]]
+                more.append(node[i])
+            a.append(np.full(len(at), node[i]))
+            b.append(node[told[at]])
+        a, b, more = (np.concatenate([np.zeros(0, dtype=np.int64), *x]) for x in (a, b, [np.array(more, dtype=np.int64)]))
+        m = len(more)
+        return pa.table({"a": pa.array(np.r_[np.minimum(a, b), more]),
+                         "b": pa.array(np.r_[np.maximum(a, b), more], mask=np.r_[np.zeros(len(a), bool), np.ones(m, bool)])})
+
+    return rows.groupBy("key", "part", "lot").applyInArrow(meet, "a long, b long")
+
+
+def left_over(met: DataFrame, nodes: DataFrame, roots: DataFrame, bucket_nodes: int) -> DataFrame:
+    """The rows of ``in_reach``: buckets that still hold several classes.
+
+    Two nodes of a bucket's most frequent class need no comparison, so only the others ask.
+    """
+    own = (met.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("class")))
+    sizes = own.groupBy("key", "class").count()
+    buckets = (sizes.groupBy("key").agg(F.count("*").alias("classes"), F.max_by("class", F.struct("count", "class")).alias("major"))
+               .where("classes > 1").select("key", "major"))
+    rows = own.join(buckets, "key").withColumn("minor", F.col("class") != F.col("major"))
+    rows = rows.join(nodes.select("node", "n", "sketch"), "node")
+    return rows.select("key", F.lit(0).alias("part"), F.lit(0).alias("lot"), "node", "class", "n", "sketch", "minor",
+                       F.col("minor").alias("ask"), F.lit(True).alias("told"))
+
+
 def verified(docs: DataFrame, pairs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The pairs whose texts are similar."""
 
@@ -318,13 +379,22 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, bucket_nodes: in
     names = made.groupBy("low", "high").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"),
                                             F.first("sketch").alias("sketch"))
     nodes = names.select("node", "n", "sketch")
-    pairs = cut_lineage(candidates(nodes, threshold, bucket_nodes))
-    links = verified(docs, pairs, threshold)
+    met = cut_lineage(meetings(nodes))
+    tested = cut_lineage(candidates(met, nodes, threshold, bucket_nodes))
     # a doc_id on rows of different texts ties their nodes together
     own = made.select("low", "high", "doc_id").distinct().join(names.select("low", "high", "node"), ["low", "high"])
     twice = own.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("doc_id", "a")
     tied = own.join(twice, "doc_id").select("a", F.col("node").alias("b"))
-    roots = components(links.union(tied))
+    roots = cut_lineage(components(verified(docs, tested, threshold).union(tied)))
+    for width in WIDTHS:
+        found = cut_lineage(in_reach(left_over(met, nodes, roots, bucket_nodes), width, threshold))
+        fresh = cut_lineage(found.where("b is not null").distinct().join(tested, ["a", "b"], "leftanti"))
+        links = cut_lineage(verified(docs, fresh, threshold))
+        if not links.isEmpty():
+            roots = cut_lineage(components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).union(links)))
+        if found.where("b is null").isEmpty():
+            break
+        tested = tested.union(fresh)
     member = (own.join(roots, "node", "left").groupBy("doc_id")
               .agg(F.min(F.coalesce("root", "node")).alias("class_id")))
     return (docs.select("doc_id").join(member, "doc_id", "left")

@@ -119,3 +119,32 @@ def test_components(spark):
             root[y] = x
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for x in root}
+
+
+def star(copies, seed=4):
+    """A base of 300 shingles and copies that are near the base (0.82 to 0.88) but not each other."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(304)]
+    out = [(0, " ".join(base))]
+    for i in range(1, copies + 1):
+        w = list(base)
+        for k in rng.sample(range(0, 300, 5), rng.choice([8, 9, 10])):
+            w[k + 2] = f"n{i}x{k}"
+        out.append((i, " ".join(w)))
+    return out
+
+
+def linked_to_base(rows):
+    seqs = [om.sequence(w) for w in om.S.word_rows(om.pa.array([t for _, t in rows]))]
+    signs = [om.sketch(x) for x in seqs]
+    return {d for (d, _), x, y in zip(rows, seqs, signs)
+            if om.similar(seqs[0], x) and (signs[0] == y).sum() >= om.MIN_AGREE}
+
+
+def test_star(spark):
+    rows = star(1200)
+    df = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], SCHEMA).repartition(6)
+    want = linked_to_base(rows)
+    assert len(want) > 1190
+    got = {r.doc_id: r.class_id for r in om.near_classes(df).collect()}
+    assert {d for d in got if got[d] == 0} >= want
