@@ -293,19 +293,21 @@ def candidates(met: DataFrame, nodes: DataFrame, threshold: float = THRESHOLD, b
 
     parts = cut_lineage(in_groups(rows, threshold).select("key", "a", "b", "n", "sketch"))
     large = met.where(F.col("count") > bucket_nodes).select("key").distinct()
-    heads = (parts.where("b is null").join(large, "key")
-             .select("key", F.lit(0).alias("part"), F.col("a").alias("node"), "n", "sketch"))
+    heads = parts.where("b is null").join(large, "key")
+    many = heads.groupBy("key").agg(F.ceil(F.count("*") / bucket_nodes).alias("parts"))
+    heads = heads.join(many, "key").select("key", F.pmod(F.xxhash64("a", F.lit(1)), "parts").cast("int").alias("part"),
+                                           F.col("a").alias("node"), "n", "sketch")
     again = in_groups(heads, threshold)
     pairs = parts.where("b is not null").select("a", "b").union(again.where("b is not null").select("a", "b"))
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def in_reach(rows: DataFrame, width: int | None, threshold: float) -> DataFrame:
-    """(a, b) pairs, a < b, of different classes among rows (key, part, lot, node, class, n, sketch).
+    """(key, a, b) pairs, a < b, of different classes among the rows of ``left_over``.
 
-    In a group (key, part, lot) the rows with a ``lot`` side (``ask``) meet all rows with a ``part``
-    side. A pair belongs to the bucket of its first agreeing entry only. Every asking node gives
-    its ``width`` pairs with most agreement, and a row with null b if it has more.
+    In a group (key, part, lot) the nodes that ``ask`` meet those that are ``told``. A pair belongs
+    to the bucket of its first agreeing entry only, and one of its nodes must be ``open``. Every
+    asking node gives its ``width`` pairs with most agreement, and a row with null b if it has more.
     """
 
     def meet(table: pa.Table) -> pa.Table:
@@ -314,11 +316,12 @@ def in_reach(rows: DataFrame, width: int | None, threshold: float) -> DataFrame:
         ask, told = (np.flatnonzero(table.column(c).to_numpy(zero_copy_only=False)) for c in ("ask", "told"))
         # a pair of two nodes that both ask is given by the smaller one
         asks_too = table.column("minor").to_numpy(zero_copy_only=False)[told]
+        is_open = table.column("open").to_numpy(zero_copy_only=False)
         entry = np.frombuffer(b"".join(table.column("sketch").to_pylist()), dtype=np.uint64).reshape(len(node), ENTRIES)
         other = entry[told]
         a, b, more = [], [], []
         for i in ask.tolist():
-            ok = (group[told] != group[i]) & (~asks_too | (node[told] > node[i]))
+            ok = (group[told] != group[i]) & (~asks_too | (node[told] > node[i])) & (is_open[told] | is_open[i])
             ok &= np.minimum(size[told], size[i]) >= threshold * np.maximum(size[told], size[i])
             at = np.flatnonzero(ok)
             same = other[at] == entry[i]
@@ -333,25 +336,44 @@ def in_reach(rows: DataFrame, width: int | None, threshold: float) -> DataFrame:
             b.append(node[told[at]])
         a, b, more = (np.concatenate([np.zeros(0, dtype=np.int64), *x]) for x in (a, b, [np.array(more, dtype=np.int64)]))
         m = len(more)
-        return pa.table({"a": pa.array(np.r_[np.minimum(a, b), more]),
+        return pa.table({"key": pa.array(np.full(len(a) + m, table.column("key")[0].as_py())),
+                         "a": pa.array(np.r_[np.minimum(a, b), more]),
                          "b": pa.array(np.r_[np.maximum(a, b), more], mask=np.r_[np.zeros(len(a), bool), np.ones(m, bool)])})
 
-    return rows.groupBy("key", "part", "lot").applyInArrow(meet, "a long, b long")
+    return rows.groupBy("key", "part", "lot").applyInArrow(meet, "key long, a long, b long")
 
 
-def left_over(met: DataFrame, nodes: DataFrame, roots: DataFrame, bucket_nodes: int) -> DataFrame:
+def left_over(met: DataFrame, nodes: DataFrame, roots: DataFrame, bucket_nodes: int, more: DataFrame | None = None) -> DataFrame:
     """The rows of ``in_reach``: buckets that still hold several classes.
 
-    Two nodes of a bucket's most frequent class need no comparison, so only the others ask.
+    ``more`` names the (key, node) that have pairs left; without it all nodes are open.
+
+    Two nodes of a bucket's most frequent class need no comparison, so only the others ask. The
+    nodes are dealt to parts and those that ask to lots of about ``bucket_nodes``; every lot meets
+    every part in a task of its own, so no task grows with a bucket and no pair is left out.
     """
     own = (met.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("class")))
     sizes = own.groupBy("key", "class").count()
-    buckets = (sizes.groupBy("key").agg(F.count("*").alias("classes"), F.max_by("class", F.struct("count", "class")).alias("major"))
-               .where("classes > 1").select("key", "major"))
-    rows = own.join(buckets, "key").withColumn("minor", F.col("class") != F.col("major"))
-    rows = rows.join(nodes.select("node", "n", "sketch"), "node")
-    return rows.select("key", F.lit(0).alias("part"), F.lit(0).alias("lot"), "node", "class", "n", "sketch", "minor",
-                       F.col("minor").alias("ask"), F.lit(True).alias("told"))
+    buckets = (sizes.groupBy("key").agg(F.count("*").alias("classes"), F.max_by("class", F.struct("count", "class")).alias("major"),
+                                        F.sum("count").alias("size"), F.max("count").alias("most"))
+               .where("classes > 1")
+               .select("key", "major", F.ceil(F.col("size") / bucket_nodes).alias("parts"),
+                       F.ceil((F.col("size") - F.col("most")) / bucket_nodes).alias("lots")))
+    if more is None:
+        own = own.withColumn("open", F.lit(True))
+    else:
+        more = more.withColumn("open", F.lit(True))
+        buckets = buckets.join(more.select("key").distinct(), "key", "leftsemi")
+        own = own.join(more, ["key", "node"], "left").withColumn("open", F.col("open").isNotNull())
+    rows = own.join(buckets, "key").withColumns({
+        "minor": F.col("class") != F.col("major"), "own_part": F.pmod(F.xxhash64("node"), "parts"),
+        "own_lot": F.pmod(F.xxhash64("node", F.lit(1)), "lots")})
+    told = (rows.withColumn("lot", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)))
+            .withColumns({"part": F.col("own_part"), "told": F.lit(True), "ask": F.expr("minor and lot = own_lot")}))
+    asks = (rows.where("minor and parts > 1").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            .where("part <> own_part").withColumns({"lot": F.col("own_lot"), "told": F.lit(False), "ask": F.lit(True)}))
+    dealt = told.select(columns := ["key", "part", "lot", "node", "class", "minor", "open", "ask", "told"]).union(asks.select(columns))
+    return dealt.join(nodes.select("node", "n", "sketch"), "node")
 
 
 def verified(docs: DataFrame, pairs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -380,19 +402,24 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, bucket_nodes: in
                                             F.first("sketch").alias("sketch"))
     nodes = names.select("node", "n", "sketch")
     met = cut_lineage(meetings(nodes))
+    # few nodes meet at all: their texts are dealt out once
+    texts = cut_lineage(docs.select("doc_id", "text").where("text is not null")
+                        .join(met.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "leftsemi"))
     tested = cut_lineage(candidates(met, nodes, threshold, bucket_nodes))
     # a doc_id on rows of different texts ties their nodes together
     own = made.select("low", "high", "doc_id").distinct().join(names.select("low", "high", "node"), ["low", "high"])
     twice = own.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("doc_id", "a")
     tied = own.join(twice, "doc_id").select("a", F.col("node").alias("b"))
-    roots = cut_lineage(components(verified(docs, tested, threshold).union(tied)))
+    roots = cut_lineage(components(verified(texts, tested, threshold).union(tied)))
+    more = None
     for width in WIDTHS:
-        found = cut_lineage(in_reach(left_over(met, nodes, roots, bucket_nodes), width, threshold))
-        fresh = cut_lineage(found.where("b is not null").distinct().join(tested, ["a", "b"], "leftanti"))
-        links = cut_lineage(verified(docs, fresh, threshold))
+        found = cut_lineage(in_reach(left_over(met, nodes, roots, bucket_nodes, more), width, threshold))
+        fresh = cut_lineage(found.where("b is not null").select("a", "b").distinct().join(tested, ["a", "b"], "leftanti"))
+        links = cut_lineage(verified(texts, fresh, threshold))
         if not links.isEmpty():
             roots = cut_lineage(components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).union(links)))
-        if found.where("b is null").isEmpty():
+        more = found.where("b is null").select("key", F.col("a").alias("node")).distinct()
+        if more.isEmpty():
             break
         tested = tested.union(fresh)
     member = (own.join(roots, "node", "left").groupBy("doc_id")

@@ -148,3 +148,11 @@ def test_star(spark):
     assert len(want) > 1190
     got = {r.doc_id: r.class_id for r in om.near_classes(df).collect()}
     assert {d for d in got if got[d] == 0} >= want
+
+
+def test_large_buckets_lose_nothing(spark):
+    rows = star(400, 5)
+    df = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], SCHEMA).repartition(6)
+    whole, split = ({r.doc_id: r.class_id for r in om.near_classes(df, bucket_nodes=n).collect()} for n in (4096, 16))
+    assert whole == split
+    assert {d for d in split if split[d] == 0} >= linked_to_base(rows)
