@@ -41,9 +41,9 @@ def _pieces(table: pa.Table):
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR_BYTES,
-                   block_bytes: int = B.BLOCK_BYTES) -> tuple[DataFrame, DataFrame]:
+                   block_bytes: int = B.BLOCK_BYTES, key: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(blocks, spans): the dealt documents and (block, row, start, until) byte spans to remove."""
-    blocks, n = B.in_blocks(docs, block_bytes)
+    blocks, n = B.in_blocks(docs, block_bytes, key)
 
     def keys(table: pa.Table) -> np.ndarray:
         return np.unique(np.concatenate([np.zeros(0, dtype=np.uint64)] + [
@@ -140,13 +140,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR_B
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR_BYTES,
-                   block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
+                   block_bytes: int = B.BLOCK_BYTES, key: str | None = None) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, text, kept binary, spans): what is left of each text.
 
     ``kept`` holds the remaining bytes, which need not be whole characters; ``spans`` the removed
-    runs as an array of [start, until).
+    runs as an array of [start, until). ``key`` names a long column that comes back with its row.
     """
-    blocks, spans = repeated_spans(docs, length, anchor, block_bytes)
+    blocks, spans = repeated_spans(docs, length, anchor, block_bytes, key)
 
     def cut(table: pa.Table, drop: pa.Table) -> pa.Table:
         table = B.ordered(table)
@@ -166,8 +166,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR_B
             "doc_id": table.column("doc_id").cast(pa.int64()), "n_bytes": pa.array(np.diff(offs)),
             "n_removed": pa.array(removed, pa.int64()), "kept": pa.array(kept, pa.binary()),
             "spans": pa.array(runs, pa.list_(pa.struct([("start", pa.int32()), ("until", pa.int32())]))),
-        })
+        } | ({key: table.column(key)} if key else {}))
 
     out = blocks.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(
-        cut, "doc_id long, n_bytes long, n_removed long, kept binary, spans array<struct<start:int,until:int>>")
+        cut, "doc_id long, n_bytes long, n_removed long, kept binary, spans array<struct<start:int,until:int>>"
+        + (f", {key} long" if key else ""))
     return out.withColumn("n_spans", F.size("spans").cast("long"))

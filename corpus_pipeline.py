@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chronotab.llm import containment, mixing, order_minhash, quality, suffix_dedup
 from chronotab.llm.queries import shared_folder
-from chronotab.session import prepare_session
+from chronotab.session import cut_lineage, prepare_session
 
 #: Rule ensembles and alignments are not expressible in SQL; tests check every stage by brute force.
 ORACLE_SQL = None
@@ -24,22 +24,36 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col("_quality") >= quality.ACCEPT).select(docs.columns)
 
 
+def with_key(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key ``_row`` of its own for every row, written with it in the shared folder."""
+    return cut_lineage(docs.withColumn("_row", F.monotonically_increasing_id()))
+
+
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of each class of near duplicates; rows without doc_id stay."""
-    first = order_minhash.near_classes(docs).where(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").join(first, "doc_id", "leftsemi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null")).select(docs.columns)
+    """The row with the least doc_id (nulls last, then by text) of each class of near duplicates.
+
+    Rows count one by one, whatever doc_id they have or share.
+    """
+    rows = with_key(docs)
+    near = order_minhash.near_classes(rows.select(F.col("_row").alias("doc_id"), "text"))
+    near = near.select(F.col("doc_id").alias("_row"), "class_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), "_row")
+    first = (rows.select("_row", "doc_id", "text").join(near, "_row").select("class_id", "_row", order.alias("_order"))
+             .groupBy("class_id").agg(F.min_by("_row", "_order").alias("_row")).select("_row"))
+    return rows.join(first, "_row", "leftsemi").select(docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the strings of 100 bytes that start earlier; n_chars follows the text.
 
     Bytes of a character that is cut through go as well. A document of which nothing is left goes.
+    Rows are cut one by one, whatever doc_id they have or share.
     """
-    cut = suffix_dedup.remove_repeats(docs)
-    changed = (cut.where("n_removed > 0 and doc_id is not null").dropDuplicates(["doc_id"])
-               .select("doc_id", F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", "").alias("_left")))
-    out = docs.join(changed, "doc_id", "left")
+    rows = with_key(docs)
+    cut = suffix_dedup.remove_repeats(rows, key="_row")
+    changed = (cut.where("n_removed > 0")
+               .select("_row", F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", "").alias("_left")))
+    out = rows.join(changed, "_row", "left")
     text = F.when(F.col("_left").isNull(), F.col("text")).otherwise(F.col("_left"))
     out = out.where("_left is null or trim(_left) <> ''").withColumn("text", text)
     if "n_chars" in docs.columns:

@@ -70,3 +70,17 @@ def test_empty_documents(spark, folder, no_docs):
     for _, stage in P.STAGES:
         docs = stage(spark, docs, folder)
         assert docs.count() == 0
+
+
+def test_null_and_shared_ids(spark, folder):
+    rng = random.Random(3)
+    a, b, c = (sentence(rng, 60) for _ in range(3))
+    passage = sentence(rng, 40)
+    rows = [(1, a), (1, b), (None, a), (None, c), (None, c), (2, "one " + passage), (None, passage + " two"), (3, "x1 " + passage + " y1"), (3, "unlike " + b[:20])]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], COLUMNS).repartition(3)
+    kept = [(r.doc_id, r.text) for r in P.keep_one_copy(spark, docs, folder).collect()]
+    assert kept.count((1, a)) == kept.count((1, b)) == kept.count((None, c)) == 1 and (None, a) not in kept
+    cut = [(r.doc_id, r.text) for r in P.cut_repeats(spark, docs, folder).collect()]
+    assert (1, a) in cut and (1, b) in cut and (None, a) not in cut and cut.count((None, c)) == 1
+    assert (2, "one " + passage) in cut and (3, rows[8][1]) in cut
+    assert all(passage not in t for d, t in cut if d != 2)
