@@ -7,7 +7,8 @@ n-grams. A word of which no single character is known says nothing. The document
 softmax of the sums over its words.
 
 The model is fitted on about ``sample_docs`` documents a language, chosen by hash, and keeps for
-every order the ``entries`` most frequent keys; both bound its size, so it is broadcast. Scoring
+every order about ``entries`` keys, as many of each language's own most frequent ones; both bound
+its size, so it is broadcast. Frequencies are shares of all a language's keys, kept or not. Scoring
 reads every whole text once, without a shuffle.
 
 ``und`` with score 0 if the text is null or has no letter, or if no language could be learned;
@@ -25,11 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from chronotab.llm.folds import hashed_share
+from chronotab.session import cut_lineage
 
 LETTERS = re.compile(r"[^\W\d_]+")
 ORDERS = (5, 4, 3, 2, 1)
 SAMPLE_DOCS = 1000
-ENTRIES = 20_000
+ENTRIES = 60_000
 SMOOTH = 0.5
 CACHE = 200_000
 UNKNOWN = "und"
@@ -47,13 +49,15 @@ def n_grams(word: str, n: int) -> list[str]:
 class LanguageModel:
     """Log frequencies by language: ``places[order][key]`` is a row of ``logs[order]``; order 0 holds words."""
 
-    def __init__(self, keys: dict[int, list[str]], counts: dict[int, np.ndarray], languages: list[str]):
+    def __init__(self, keys: dict[int, list[str]], counts: dict[int, np.ndarray], languages: list[str],
+                 totals: dict[int, np.ndarray] | None = None):
         self.languages = languages
         self.places = {n: {k: i for i, k in enumerate(own)} for n, own in keys.items()}
         self.logs = {}
         for n, own in counts.items():
             table = own + SMOOTH
-            logs = np.log(table / (table.sum(axis=0) + SMOOTH))  # one share is left for keys not seen
+            whole = table.sum(axis=0) if totals is None else totals[n] + SMOOTH * len(table)
+            logs = np.log(table / (whole + SMOOTH))  # one share is left for keys not seen
             self.logs[n] = (logs - logs.max(axis=1, keepdims=True, initial=-np.inf)).astype(np.float32)
         self.cache: dict[str, np.ndarray] = {}
 
@@ -119,17 +123,23 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, entries: int = ENTRIES)
 
     languages = sorted(sizes)
     by = [F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(f"n{i}") for i, x in enumerate(languages)]
-    counted = (sample.mapInArrow(count, "lang string, order int, key string, n long")
-               .groupBy("order", "key").agg(F.sum("n").alias("n"), *by).where("n > 1"))
-    most = Window.partitionBy("order").orderBy(F.desc("n"), "key")
-    kept = counted.withColumn("place", F.row_number().over(most)).where(F.col("place") <= entries).drop("n", "place").toArrow()
+    counted = cut_lineage(sample.mapInArrow(count, "lang string, order int, key string, n long")
+                          .groupBy("lang", "order", "key").agg(F.sum("n").alias("n")))
+    totals = {n: np.zeros(len(languages)) for n in (0, *ORDERS)}
+    for r in counted.groupBy("lang", "order").agg(F.sum("n").alias("n")).collect():  # six rows a language
+        totals[r.order][languages.index(r.lang)] = r.n
+    every = counted.groupBy("order", "key").agg(F.sum("n").alias("n"), *by).where("n > 1").drop("n")
+    most = Window.partitionBy("lang", "order").orderBy(F.desc("n"), "key")
+    own_keys = (counted.withColumn("place", F.row_number().over(most))
+                .where(F.col("place") <= -(-entries // len(languages))).select("order", "key").distinct())
+    kept = every.join(own_keys, ["order", "key"]).toArrow()
     keys, tables = {}, {}
     order = kept.column("order").to_numpy()
     for n in (0, *ORDERS):
         own = kept.take(pa.array(np.flatnonzero(order == n)))
         keys[n] = own.column("key").to_pylist()
         tables[n] = np.column_stack([own.column(f"n{i}").to_numpy() for i in range(len(languages))]).astype(float)
-    return LanguageModel(keys, tables, languages)
+    return LanguageModel(keys, tables, languages, totals)
 
 
 def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:

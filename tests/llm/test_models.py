@@ -92,3 +92,13 @@ def test_backoff():
     model = language.LanguageModel(keys, {n: np.array(c, dtype=float).reshape(-1, 2) for n, c in counts.items()}, ["de", "en"])
     assert model.predict("the")[0] == "en" and model.predict("und")[0] == "de" and model.predict("tha")[0] == "en"
     assert model.predict("xylo")[0] == "en" and model.predict("qqq") == ("de", 0.5)
+
+
+def test_language_of_short_texts_keeps_its_keys(spark):
+    rng = random.Random(6)
+    rows = [(i, " ".join("".join(rng.choices(SYLLABLES["en"], k=3)) for _ in range(900)), "en", "s", 0) for i in range(40)]
+    rows += [(100 + i, " ".join("".join(rng.choices(SYLLABLES["de"], k=2)) for _ in range(4)), "de", "s", 0) for i in range(40)]
+    model = language.fit(spark.createDataFrame(rows, COLUMNS), entries=60)
+    heard = language.word_counts(" ".join(r[1] for r in rows[40:]))
+    kept = [w for w, _ in heard.most_common(10) if w in model.places[0]]
+    assert len(kept) >= 8
