@@ -127,9 +127,10 @@ def drift_gauges(report: DataFrame, per_column: DataFrame, prefix: str, domain:
     return out.unionByName(compared).unionByName(heartbeat_gauge(report.sparkSession, prefix, domain, run_ts))
 
 
-def send_summary(send_log: DataFrame, max_failure_share: float = 0.10) -> DataFrame:
-    """Requests by status, sent, failed, and whether the run fails (> 10 % failures)."""
-    s = send_log.agg(F.count(F.lit(1)).cast("bigint").alias("sent"),
+def send_summary(send_log: DataFrame, max_failure_share: float = 0.10, by: tuple[str, ...] = ()) -> DataFrame:
+    """Requests by status, sent, failed, and whether the run fails (> 10 % failures); one row a
+    group of ``by`` (null is a group), or one row in all."""
+    s = send_log.groupBy(*by).agg(F.count(F.lit(1)).cast("bigint").alias("sent"),
                      F.count_if(F.col("status") >= 400).cast("bigint").alias("failed"))
     return s.withColumn("run_failed", F.col("failed").cast("double") > F.col("sent").cast("double") * max_failure_share)
 

@@ -219,3 +219,14 @@ def test_null_profile_and_empty_typed(spark):
     assert p == {"a": 0, "b": 1}
     e = G.empty_typed(spark, ORDERS)
     assert e.count() == 0 and e.columns == ORDERS.columns
+
+
+def test_send_summary_takes_every_target(spark):
+    from types import SimpleNamespace
+
+    from chronotab.plans.q_files import q_send
+
+    events = spark.createDataFrame([("view", 300.0), ("other", 1.0), ("other", 201.0), (None, 5.0)], "event_type string, value double")
+    fn = getattr(q_send, "__wrapped__", q_send)
+    got = {r.target: (r.sent, r.failed, r.run_failed) for r in fn(SimpleNamespace(events=events)).collect()}
+    assert got == {"view": (1, 1, True), "other": (2, 1, True), None: (1, 0, False)}
