@@ -228,3 +228,22 @@ def op4(t):
     from chronotab.llm.ann import nearest
 
     return nearest(t("embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op11_line_dedup", sql=r"""
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+each AS (SELECT doc_id, unnest(l) AS x, generate_subscripts(l, 1) AS p FROM split),
+keyed AS (
+  SELECT *, translate(trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM each),
+common AS (SELECT k FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(common.k) AS n_dropped,
+       sha256(coalesce(string_agg(x, chr(10) ORDER BY p) FILTER (common.k IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN common USING (k) GROUP BY doc_id
+""")
+def op11(t):
+    """Lines found in ten documents or more, dropped from every document of `documents`."""
+    from chronotab.llm.line_runs import drop_common_lines
+
+    out = drop_common_lines(t("documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
