@@ -247,3 +247,70 @@ def op11(t):
 
     out = drop_common_lines(t("documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op12_merkle", sql=r"""
+WITH RECURSIVE fields AS (
+  SELECT doc_id, lang, source, n_chars, text,
+         -- crc32 of the decimal id
+         xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+           lambda crc, b: list_reduce(list_concat([xor(crc, b)], [1, 2, 3, 4, 5, 6, 7, 8]::BIGINT[]),
+             lambda x, step: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295::BIGINT) % 3 = 0 AS tampered
+  FROM documents),
+texts AS (
+  SELECT doc_id, lang, tampered, text, source, n_chars,
+         CASE WHEN tampered THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS other FROM fields),
+parts AS (
+  SELECT doc_id, lang, text, other,
+         coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-') || coalesce(octet_length(encode(source)) || ':' || source, '-')
+           || coalesce(octet_length(encode(lang)) || ':' || lang, '-') || coalesce(octet_length(encode(CAST(n_chars AS VARCHAR))) || ':' || n_chars, '-') AS front
+  FROM texts),
+hashed AS (
+  SELECT doc_id, lang, sha256(front || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+         sha256(front || coalesce(octet_length(encode(other)) || ':' || other, '-')) AS other FROM parts),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree FROM hashed),
+nodes AS (
+  SELECT 0 AS level, tree, pos, leaf AS h FROM leaves
+  UNION ALL
+  SELECT level + 1, tree, pos // 8, sha256(string_agg(h, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM nodes) WHERE n > 1 GROUP BY level, tree, pos // 8),
+heights AS (SELECT tree, max(level) AS height FROM nodes GROUP BY tree),
+subroots AS (SELECT tree, height, h FROM nodes JOIN heights USING (tree) WHERE level = height),
+tops AS (
+  SELECT 0 AS level, tree AS pos, h FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER () AS n FROM tops) WHERE n > 1 GROUP BY level, pos // 8),
+runs AS (
+  SELECT tree, level, pos // 8 AS run, list(h ORDER BY pos) AS hs FROM nodes JOIN heights USING (tree) WHERE level < height GROUP BY ALL
+  UNION ALL
+  SELECT -1, level, pos // 8, list(h ORDER BY pos) FROM tops WHERE level < (SELECT max(level) FROM tops) GROUP BY ALL),
+ways AS (  -- a step is a run of the language's tree, then of the tree over the subroots
+  SELECT l.tree, pos AS leaf_pos, tree AS at_tree, 0 AS level, pos, '' AS proof, other AS folded FROM leaves l
+  UNION ALL
+  SELECT w.tree, leaf_pos, CASE WHEN at_tree >= 0 AND level = height THEN -1 ELSE at_tree END,
+         CASE WHEN at_tree >= 0 AND level = height THEN 0 ELSE level + 1 END,
+         CASE WHEN at_tree >= 0 AND level = height THEN at_tree ELSE pos // 8 END,
+         CASE WHEN at_tree >= 0 AND level = height THEN proof
+              ELSE proof || array_to_string(hs[1:pos % 8], '') || array_to_string(hs[pos % 8 + 2:], '') END,
+         CASE WHEN at_tree >= 0 AND level = height THEN folded
+              ELSE sha256(array_to_string(hs[1:pos % 8], '') || folded || array_to_string(hs[pos % 8 + 2:], '')) END
+  FROM (SELECT w.*, height, hs FROM ways w JOIN heights USING (tree)
+        LEFT JOIN runs r ON r.tree = w.at_tree AND r.level = w.level AND r.run = w.pos // 8) w
+  WHERE (at_tree >= 0 AND level = height) OR hs IS NOT NULL)
+SELECT doc_id, leaf, s.h AS subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM leaves l JOIN subroots s USING (tree)
+JOIN (SELECT tree, leaf_pos, proof, folded FROM ways
+      WHERE at_tree = -1 AND level = (SELECT max(level) FROM tops)) w ON w.tree = l.tree AND w.leaf_pos = l.pos
+CROSS JOIN (SELECT h AS root FROM tops WHERE level = (SELECT max(level) FROM tops)) r
+""")
+def op12(t):
+    """Merkle leaves, subroots, root and membership proofs of `documents`; tampered rows fail."""
+    from chronotab.llm.merkle import UPPER, manifest, sha
+
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    out = manifest(t("documents"), tampered, {"text": F.translate("text", UPPER, UPPER.lower())})
+    return out.select("doc_id", "leaf", "subroot", "root", sha(F.array_join("proof.siblings", "")).alias("proof_sha256"),
+                      "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
