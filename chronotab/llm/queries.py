@@ -314,3 +314,11 @@ def op12(t):
     out = manifest(t("documents"), tampered, {"text": F.translate("text", UPPER, UPPER.lower())})
     return out.select("doc_id", "leaf", "subroot", "root", sha(F.array_join("proof.siblings", "")).alias("proof_sha256"),
                       "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@query("op13_whitening")
+def op13(t):
+    """Whitened components of every usable row of `embeddings`, from the exact scatter matrix."""
+    from chronotab.llm.whitening import whiten
+
+    return whiten(t("embeddings")).withColumn("deviation", F.col("deviation").try_cast("long"))
