@@ -22,9 +22,7 @@ CAT = f"PARTITION BY card, category ORDER BY t RANGE BETWEEN {W30} PRECEDING AND
 HAV = ("6371.0 * 2 * asin(sqrt(pow(sin((radians({la2}) - radians({la1})) / 2), 2) + "
        "cos(radians({la1})) * cos(radians({la2})) * pow(sin((radians({lo2}) - radians({lo1})) / 2), 2)))")
 
-EVENT_SQL = f"""
-WITH tx AS ({D.CARD_SQL}),
-b AS (SELECT *, epoch_us(trans_ts) AS t, CAST(round(amt * 10000.0) AS HUGEINT) AS c,
+FEATURE_SQL = f"""b AS (SELECT *, epoch_us(trans_ts) AS t, CAST(round(amt * 10000.0) AS HUGEINT) AS c,
         CAST(round(merch_lat * 1000000.0) AS HUGEINT) AS la6,
         CAST(round(merch_long * 1000000.0) AS HUGEINT) AS lo6 FROM tx),
 w AS (SELECT *,
@@ -57,6 +55,14 @@ SELECT trans_num, trans_ts, card, category, amt, lat, long, merch_lat, merch_lon
 FROM d
 """
 
+
+def event_sql(where: str = "true") -> str:
+    """The features of the events for which ``where`` holds, among themselves."""
+    return f"WITH tx AS (SELECT * FROM ({D.CARD_SQL}) WHERE {where}), {FEATURE_SQL}"
+
+
+EVENT_SQL = event_sql()
+
 ROUNDED = ("DISTANCE_FROM_HOME_KM", "DISTANCE_FROM_USUAL_MERCHANT_KM")
 
 

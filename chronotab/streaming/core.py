@@ -7,13 +7,14 @@ back, which is how the stream twins are compared with their batch operators.
 
 from __future__ import annotations
 
+import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from chronotab.session import ensure_checkpoint_dir
 
@@ -30,9 +31,16 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, schema: StructType
     return r.parquet(path)
 
 
+LOG_FOLDERS = StructType([StructField("domain", StringType()), StructField("day", StringType())])
+
+
 def stream_prediction_log(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """M1: the append-only day files as a stream (new files are picked up as they land)."""
-    return spark.readStream.schema(schema).json(path)
+    """M1: the append-only day files (``<path>/domain=/day=``) as a stream: files are picked up as they
+    land, also between runs from one checkpoint. ``ts`` is the record's time; a record that does not
+    parse has nulls."""
+    folders = StructType([f for f in LOG_FOLDERS.fields if f.name not in schema.names])
+    log = spark.readStream.schema(StructType(schema.fields + folders.fields)).json(path)
+    return log.withColumn("ts", F.to_timestamp("timestamp"))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -40,28 +48,83 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
 
 
-def run_to_table(df: DataFrame, name: str, output_mode: str = "append",
-                 foreach_batch: Callable | None = None) -> DataFrame:
-    """Run a streaming DataFrame until all available input is processed, however long that
-    takes, writing Parquet (never the driver's memory), and return the written table as a batch
-    DataFrame. A failed stream raises; a stream that wrote nothing gives an empty table."""
-    spark = df.sparkSession
-    base = scratch_path(spark, name)
-    out, ckpt = f"{base}/out", f"{base}/checkpoint"
-    w = df.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
+def drain(df: DataFrame, base: str, output_mode: str = "append", foreach_batch: Callable | None = None) -> None:
+    """Start a stream from the checkpoint below ``base``, let it take all input there is, however long
+    that takes, and stop. Results go to Parquet below ``base``, never to the driver's memory. A failed
+    stream raises."""
+    w = df.writeStream.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).outputMode(output_mode)
     if foreach_batch is not None:
-        q = w.outputMode(output_mode).foreachBatch(lambda batch, epoch: foreach_batch(batch, epoch, out)).start()
+        q = w.foreachBatch(lambda batch, epoch: foreach_batch(batch, epoch, f"{base}/out")).start()
     else:
-        q = w.outputMode(output_mode).format("parquet").option("path", out).start()
+        q = w.format("parquet").option("path", f"{base}/out").start()
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+
+
+def results(spark: SparkSession, base: str, schema: StructType) -> DataFrame:
+    """What streams wrote below ``base``; an empty table if they wrote nothing."""
     try:
-        return spark.read.parquet(out)
+        return spark.read.parquet(f"{base}/out")
     except AnalysisException as fault:
         if fault.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        return spark.createDataFrame([], df.schema)
+        return spark.createDataFrame([], schema)
+
+
+def run_to_table(df: DataFrame, name: str, output_mode: str = "append",
+                 foreach_batch: Callable | None = None) -> DataFrame:
+    """Run a stream over all available input and return the written table as a batch DataFrame."""
+    base = scratch_path(df.sparkSession, name)
+    drain(df, base, output_mode, foreach_batch)
+    return results(df.sparkSession, base, df.schema)
+
+
+def land(df: DataFrame, folder: str, files: int = 4) -> None:
+    """Adds the rows of ``df`` to a folder that a file stream watches, as ``files`` files."""
+    df.repartition(files).write.mode("append").parquet(folder)
+
+
+def run_arrivals(spark: SparkSession, name: str, arrivals: Sequence[Callable[[str], None]],
+                 build: Callable[[str], DataFrame], output_mode: str = "append",
+                 foreach_batch: Callable | None = None) -> DataFrame:
+    """Data that arrives while nothing runs: each of ``arrivals`` adds files below a folder, then the
+    stream ``build`` makes of that folder is started from its checkpoint, takes what is new and stops."""
+    base = scratch_path(spark, name)
+    for arrive in arrivals:
+        arrive(f"{base}/in")
+        stream = build(f"{base}/in")
+        drain(stream, base, output_mode, foreach_batch)
+    return results(spark, base, stream.schema)
+
+
+def run_until_quiet(df: DataFrame, name: str, timeout_s: int = 600) -> DataFrame:
+    """Run a stream with timers on the machine's clock until its input is used up and no key has state
+    left, and return what it wrote. Raises after ``timeout_s`` seconds."""
+    spark = df.sparkSession
+    base = scratch_path(spark, name)
+    q = (df.writeStream.option("checkpointLocation", f"{base}/checkpoint").trigger(processingTime="200 milliseconds")
+         .outputMode("append").format("parquet").option("path", f"{base}/out").start())
+    until = time.monotonic() + timeout_s
+    try:
+        while q.isActive:
+            p = q.lastProgress
+            if p and p["batchId"] > 0 and not p["numInputRows"] and all(not s["numRowsTotal"] for s in p["stateOperators"]):
+                break
+            if time.monotonic() > until:
+                raise TimeoutError(f"{name} still has state after {timeout_s} s")
+            time.sleep(0.2)
+    finally:
+        q.stop()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return results(spark, base, df.schema)
+
+
+def tick(df: DataFrame, ts: str, later: str) -> DataFrame:
+    """One row of nulls but for ``ts``, ``later`` than the newest of ``df``: it moves the watermark."""
+    at = (F.max(ts) + F.expr(f"INTERVAL {later}")).cast(df.schema[ts].dataType)
+    return df.agg(at.alias(ts)).select(*[F.col(c.name) if c.name == ts else F.lit(None).cast(c.dataType).alias(c.name) for c in df.schema])
 
 
 def stream_dedup(df: DataFrame, key: str, ts: str, delay: str) -> DataFrame:

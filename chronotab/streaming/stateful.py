@@ -1,9 +1,12 @@
 """Keyed state in streams: card history features (M3, M4), held alerts (M9), heartbeats (M8).
 
-``applyInPandasWithState`` keeps one state per key (card or series) on the executors; each
-micro-batch hands a key's new rows over as Arrow batches. The per-key work runs over
-the key's bounded history in numpy (30 days of one card), so Python stays a small helper around
-Spark's keyed shuffle and state store.
+Every operator is a ``StatefulProcessor`` over RocksDB state. Rows wait in a reorder buffer (list
+state) until the watermark has passed them and are then taken in time order, so the result does not
+depend on how rows fall into files and batches as long as they come within the watermark's delay.
+Timers, not further rows, release them; a key whose work is done leaves no state behind.
+
+The watermark moves with every row, also with rows without an id (``tick``): a source that falls
+silent is closed by one of them.
 """
 
 from __future__ import annotations
@@ -12,10 +15,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.types import (
-    ArrayType,
     BooleanType,
     DoubleType,
     LongType,
@@ -26,215 +29,350 @@ from pyspark.sql.types import (
 )
 
 from chronotab.functions.scalar import haversine_km, nan_to_null
+from chronotab.functions.timecols import MICROS_PER_DAY, MICROS_PER_HOUR, micros
+from chronotab.operators.windows import AMOUNT_SCALE, COORD_SCALE, HISTORY_DAYS
 
-HOUR_US = 3_600_000_000
-DAY_US = 24 * HOUR_US
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+ABSENT = np.iinfo(np.int64).min  # stands in the state for a null number
 
-CARD_STATE = StructType([
-    StructField("t", ArrayType(LongType())), StructField("c", ArrayType(LongType())),
-    StructField("cat", ArrayType(StringType())), StructField("la", ArrayType(LongType())),
-    StructField("lo", ArrayType(LongType())), StructField("last", LongType()),
-])
 
-CARD_OUTPUT = StructType([
-    StructField("trans_num", LongType()), StructField("card", LongType()),
-    StructField("trans_ts", TimestampNTZType()), StructField("late", BooleanType()),
-    StructField("CC_TXN_COUNT_1H", LongType()), StructField("CC_TXN_COUNT_24H", LongType()),
-    StructField("CC_AMT_SUM_24H", DoubleType()), StructField("CC_AMT_AVG_30D", DoubleType()),
-    StructField("CC_AMT_STD_30D", DoubleType()), StructField("AMT_DEVIATION_FROM_CC_AVG", DoubleType()),
-    StructField("AMT_ZSCORE_30D", DoubleType()), StructField("CC_CATEGORY_TXN_COUNT_30D", LongType()),
-    StructField("AMT_DEVIATION_FROM_CC_CATEGORY_AVG", DoubleType()),
-    StructField("CC_SECONDS_SINCE_LAST_TXN", DoubleType()),
-    StructField("_usual_lat", DoubleType()), StructField("_usual_long", DoubleType()),
-    StructField("_lat", DoubleType()), StructField("_long", DoubleType()),
-])
+def with_state_store(df: DataFrame) -> DataFrame:
+    """``df``; streams of its session keep their state in RocksDB from now on."""
+    df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    return df
+
+
+def watermarked(df: DataFrame, ts: str, delay: str) -> DataFrame:
+    """``df`` with ``t`` (microseconds) under a watermark on ``ts``. The watermark's own column does
+    not go on, so that rows behind it reach the operator, which decides what becomes of them."""
+    # ticks are left out by the operators: a filter here would be moved below the watermark
+    marked = with_state_store(df).withColumn("_wm", F.col(ts).cast("timestamp")).withWatermark("_wm", delay)
+    return marked.withColumn("t", micros(ts)).drop("_wm")
+
+
+def key_text(c) -> Column:
+    """A key that is never null: ``+`` and the value as text, empty for null. (Frames turn whole
+    numbers beside nulls into floats, and do not take names that start with an underscore.)"""
+    return F.coalesce(F.concat(F.lit("+"), F.col(c).cast("string")), F.lit(""))
+
+
+# ------------------------------------------------------------------ M3, M4: card features
+
+HISTORY = StructType([StructField("t", LongType()), StructField("c", LongType()), StructField("cat", StringType()),
+                      StructField("la", LongType()), StructField("lo", LongType())])
+
+WAITING = StructType([StructField("t", LongType()), StructField("id", StringType()), StructField("cat", StringType()),
+                      StructField("amt", DoubleType()), StructField("lat", DoubleType()), StructField("long", DoubleType())])
 
+FEATURES = [
+    ("CC_TXN_COUNT_1H", LongType()), ("CC_TXN_COUNT_24H", LongType()), ("CC_AMT_SUM_24H", DoubleType()),
+    ("CC_AMT_AVG_30D", DoubleType()), ("CC_AMT_STD_30D", DoubleType()), ("AMT_DEVIATION_FROM_CC_AVG", DoubleType()),
+    ("AMT_ZSCORE_30D", DoubleType()), ("CC_CATEGORY_TXN_COUNT_30D", LongType()),
+    ("AMT_DEVIATION_FROM_CC_CATEGORY_AVG", DoubleType()), ("CC_SECONDS_SINCE_LAST_TXN", DoubleType()),
+    ("_usual_lat", DoubleType()), ("_usual_long", DoubleType()),
+]
 
-ABSENT = np.iinfo(np.int64).min  # stands in the state for a null
+
+# Late rows carry nulls in place of features.
+CARD_OUTPUT = StructType([
+    StructField("trans_num", StringType()), StructField("card", StringType()), StructField("trans_ts", TimestampNTZType()),
+    StructField("late", BooleanType()), *[StructField(n, t) for n, t in FEATURES],
+    StructField("_lat", DoubleType()), StructField("_long", DoubleType())])
 
 
-def _whole(column: pd.Series, scale: float) -> np.ndarray:
+def _whole(column: pd.Series, scale: int) -> np.ndarray:
     """Fixed-point integers; ABSENT for nulls."""
     values = column.to_numpy(dtype=float)
-    return np.where(np.isnan(values), ABSENT, np.rint(np.nan_to_num(values) * scale)).astype(np.int64)
-
-
-def _card_features(key, pdfs: Iterator[pd.DataFrame], state: GroupState, history_us: int) -> Iterator[pd.DataFrame]:
-    new = pd.concat(list(pdfs), ignore_index=True)
-    new["_t"] = new["trans_ts"].values.astype("datetime64[us]").astype(np.int64)
-    new = new.sort_values(["_t", "trans_num"], kind="stable").reset_index(drop=True)
-    if state.exists:
-        s = state.get
-        ht, hc, hcat = np.array(s[0], dtype=np.int64), np.array(s[1], dtype=np.int64), np.array(s[2], dtype=object)
-        hla, hlo, last = np.array(s[3], dtype=np.int64), np.array(s[4], dtype=np.int64), s[5]
-    else:
-        ht = hc = hla = hlo = np.array([], dtype=np.int64)
-        hcat, last = np.array([], dtype=object), None
-    # M4: an event older than one already processed for this card would change features already
-    # emitted; it is passed on flagged as late, with no features, and kept out of the state.
-    late = new["_t"].to_numpy() < (last if last is not None else np.iinfo(np.int64).min)
-    ok = new[~late]
-    c = _whole(ok["amt"], 1e4)
-    la, lo = _whole(ok["merch_lat"], 1e6), _whole(ok["merch_long"], 1e6)
-    T = np.concatenate([ht, ok["_t"].to_numpy()])
-    C = np.concatenate([hc, c])
-    CAT = np.concatenate([hcat, ok["category"].to_numpy(dtype=object)])
-    LA, LO = np.concatenate([hla, la]), np.concatenate([hlo, lo])
-    order = np.argsort(T, kind="stable")
-    T, C, CAT, LA, LO = T[order], C[order], CAT[order], LA[order], LO[order]
-
-    def csum(x):
-        return np.concatenate([[0], np.cumsum(x.astype(object))])  # exact integers
-
-    def present(x):
-        return np.where(x == ABSENT, 0, x).astype(object)
-
-    sc, sq, sla, slo = csum(present(C)), csum(present(C) ** 2), csum(present(LA)), csum(present(LO))
-    nc, nl = csum((C != ABSENT).astype(int)), csum((LA != ABSENT).astype(int))
-
-    def between(total, h, l):
-        return np.array([total[x] - total[y] for x, y in zip(h, l)], dtype=object)
-    t = ok["_t"].to_numpy()
-    hi = np.searchsorted(T, t, "left")
-    lo30 = np.searchsorted(T, t - history_us, "left")
-    lo24 = np.searchsorted(T, t - 24 * HOUR_US, "left")
-    lo1 = np.searchsorted(T, t - HOUR_US, "left")
-    seen = hi - lo30
-    n30, nl30 = between(nc, hi, lo30).astype(np.int64), between(nl, hi, lo30).astype(np.int64)
-    s30, q30 = between(sc, hi, lo30), between(sq, hi, lo30)
-    avg = np.where(n30 > 0, s30.astype(float) / np.maximum(n30, 1) / 1e4, np.nan)
-    var = np.array([float(n * q - s * s) / float(n * (n - 1)) / 1e8 if n > 1 else np.nan
-                    for n, q, s in zip(n30, q30, s30)])
-    std = np.sqrt(var)
-    ulat = np.array([float(sla[h] - sla[l]) / n / 1e6 if n else np.nan for h, l, n in zip(hi, lo30, nl30)])
-    ulon = np.array([float(slo[h] - slo[l]) / n / 1e6 if n else np.nan for h, l, n in zip(hi, lo30, nl30)])
-    amt = ok["amt"].to_numpy()
-    dev = amt - avg
-    z = np.where(std > 0, dev / np.where(std > 0, std, 1.0), np.nan)
-    since = np.where(seen > 0, (t - T[np.maximum(hi - 1, 0)]) / 1e6, np.nan)
-    ncat = np.zeros(len(ok), dtype=np.int64)
-    avgcat = np.full(len(ok), np.nan)
-    cats = ok["category"].to_numpy(dtype=object)
-    for cat in set(cats):
-        m = (CAT == cat) & (C != ABSENT)
-        Tc, Cc = T[m], C[m]
-        scc = csum(Cc)
-        idx = np.where(cats == cat)[0]
-        h = np.searchsorted(Tc, t[idx], "left")
-        l30 = np.searchsorted(Tc, t[idx] - history_us, "left")
-        ncat[idx] = h - l30
-        avgcat[idx] = [float(scc[a] - scc[b]) / (a - b) / 1e4 if a > b else np.nan for a, b in zip(h, l30)]
-    out = pd.DataFrame({
-        "trans_num": ok["trans_num"].to_numpy(), "card": ok["card"].to_numpy(),
-        "trans_ts": ok["trans_ts"].to_numpy(), "late": False,
-        "CC_TXN_COUNT_1H": between(nc, hi, lo1).astype(np.int64),
-        "CC_TXN_COUNT_24H": between(nc, hi, lo24).astype(np.int64),
-        "CC_AMT_SUM_24H": np.array([float(sc[h] - sc[l]) / 1e4 for h, l in zip(hi, lo24)]),
-        "CC_AMT_AVG_30D": avg, "CC_AMT_STD_30D": std, "AMT_DEVIATION_FROM_CC_AVG": dev,
-        "AMT_ZSCORE_30D": z, "CC_CATEGORY_TXN_COUNT_30D": ncat,
-        "AMT_DEVIATION_FROM_CC_CATEGORY_AVG": amt - avgcat, "CC_SECONDS_SINCE_LAST_TXN": since,
-        "_usual_lat": ulat, "_usual_long": ulon, "_lat": ok["merch_lat"].to_numpy(), "_long": ok["merch_long"].to_numpy(),
-    })
-    late_rows = new[late]
-    if len(late_rows):
-        out = pd.concat([out, pd.DataFrame({"trans_num": late_rows["trans_num"].to_numpy(),
-                                            "card": late_rows["card"].to_numpy(),
-                                            "trans_ts": late_rows["trans_ts"].to_numpy(), "late": True})],
-                        ignore_index=True)
-    if len(T):
-        newest = int(T.max())
-        keep = T >= newest - history_us
-        state.update((T[keep].tolist(), [int(x) for x in C[keep]], CAT[keep].tolist(),
-                      [int(x) for x in LA[keep]], [int(x) for x in LO[keep]], newest))
-    yield out[[f.name for f in CARD_OUTPUT.fields]].astype({"late": bool})
-
-
-def stream_event_features(tx: DataFrame, card: str = "card", history_days: int = 30) -> DataFrame:
-    """M3 + M4: the card-history features of every arriving event from the card's last 30 days
-    held in state (evicted beyond that); late events come out flagged, without features.
-    Equal to the batch ``event_features`` when nothing arrives late."""
-    hist_us = history_days * DAY_US
-
-    def fn(key, pdfs, state):
-        return _card_features(key, pdfs, state, hist_us)
-
-    cols = tx.select("trans_num", F_col(card).alias("card"), "trans_ts", "category", "amt", "merch_lat", "merch_long")
-    types = {f.name: f.dataType for f in cols.schema.fields}
-    out_schema = StructType([StructField(f.name, types[f.name]) if f.name in ("trans_num", "card") else f
-                             for f in CARD_OUTPUT.fields])
-    out = cols.groupBy("card").applyInPandasWithState(
-        fn, out_schema, CARD_STATE, "append", GroupStateTimeout.NoTimeout)
-    apart = haversine_km(nan_to_null("_usual_lat"), nan_to_null("_usual_long"), nan_to_null("_lat"), nan_to_null("_long"))
+    return np.where(np.isnan(values), ABSENT, np.rint(np.nan_to_num(values) * 10**scale)).astype(np.int64)
+
+
+def _running(x: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(x.astype(object))])  # exact integers
+
+
+def _between(total: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    return total[high] - total[low]
+
+
+def card_features(past: pd.DataFrame, now: pd.DataFrame, history_us: int) -> pd.DataFrame:
+    """The features of the rows ``now`` (t, cat, amt) of one card from its events ``past`` (as HISTORY),
+    strictly before and at most ``history_us`` old, with the batch operator's arithmetic."""
+    past = past.sort_values("t", kind="stable")
+    at, c, la = past["t"].to_numpy(), past["c"].to_numpy(), past["la"].to_numpy()
+    has, known = c != ABSENT, la != ABSENT
+    cents = np.where(has, c, 0).astype(object)
+    n_all, n_places = np.concatenate([[0], np.cumsum(has)]), np.concatenate([[0], np.cumsum(known)])
+    s_all, q_all = _running(cents), _running(cents * cents)
+    la_all, lo_all = (_running(np.where(known, past[x].to_numpy(), 0)) for x in ("la", "lo"))
+
+    t, amt = now["t"].to_numpy(), now["amt"].to_numpy(dtype=float)
+    high = np.searchsorted(at, t, "left")
+    from_30d, from_24h, from_1h = (np.searchsorted(at, t - w, "left") for w in (history_us, 24 * MICROS_PER_HOUR, MICROS_PER_HOUR))
+    n, s, q = (_between(x, high, from_30d) for x in (n_all, s_all, q_all))
+    places = _between(n_places, high, from_30d)
+    unit, degree = 10.0**AMOUNT_SCALE, 10.0**COORD_SCALE
+
+    def mean(total, count, scale):
+        return np.array([float(x) / k / scale if k else np.nan for x, k in zip(total, count)])
+
+    average = mean(s, n, unit)
+    std = np.array([np.sqrt(float(k * b - a * a) / float(k * (k - 1)) / unit**2) if k > 1 else np.nan
+                    for k, a, b in zip(n.astype(object), s, q)])
+    deviation = amt - average
+    n_cat, average_cat = np.zeros(len(t), dtype=np.int64), np.full(len(t), np.nan)
+    # a null category is a value of its own, as in the batch windows
+    kinds, past_kinds = now["cat"].fillna("\0").to_numpy(dtype=object), past["cat"].fillna("\0").to_numpy(dtype=object)
+    for kind in set(kinds):
+        own, mine = (past_kinds == kind) & has, kinds == kind
+        total = _running(cents[own])
+        up, low = (np.searchsorted(at[own], x, "left") for x in (t[mine], t[mine] - history_us))
+        n_cat[mine], average_cat[mine] = up - low, mean(_between(total, up, low), up - low, unit)
+    seen = high > from_30d
+    last = at[np.maximum(high - 1, 0)] if len(at) else np.zeros(len(t), dtype=np.int64)
+    return pd.DataFrame({
+        "CC_TXN_COUNT_1H": _between(n_all, high, from_1h), "CC_TXN_COUNT_24H": _between(n_all, high, from_24h),
+        "CC_AMT_SUM_24H": _between(s_all, high, from_24h).astype(float) / unit, "CC_AMT_AVG_30D": average, "CC_AMT_STD_30D": std,
+        "AMT_DEVIATION_FROM_CC_AVG": deviation, "AMT_ZSCORE_30D": np.where(std > 0, deviation / np.where(std > 0, std, 1.0), np.nan),
+        "CC_CATEGORY_TXN_COUNT_30D": n_cat, "AMT_DEVIATION_FROM_CC_CATEGORY_AVG": amt - average_cat,
+        "CC_SECONDS_SINCE_LAST_TXN": np.where(seen, (t - last) / 1e6, np.nan),
+        "_usual_lat": mean(_between(la_all, high, from_30d), places, degree),
+        "_usual_long": mean(_between(lo_all, high, from_30d), places, degree)}, index=now.index)
+
+
+def _nulls(rows: pd.DataFrame) -> pd.DataFrame:
+    """Features of late rows: none."""
+    return pd.DataFrame({n: pd.array([None] * len(rows), dtype="Int64" if isinstance(t, LongType) else "Float64")
+                         for n, t in FEATURES}, index=rows.index)
+
+
+class CardFeatures(StatefulProcessor):
+    """One (card, time bucket): events wait in ``pending`` until the watermark has passed them, all
+    events that may matter to the bucket are in ``history``. When the watermark passes the bucket's
+    end nothing can come any more, and the key's state is dropped."""
+
+    def __init__(self, history_us: int, bucket_us: int):
+        self.history_us, self.bucket_us = history_us, bucket_us
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.history = handle.getListState("history", HISTORY)
+        self.pending = handle.getListState("pending", WAITING)
+
+    def _out(self, key, rows: pd.DataFrame, features: pd.DataFrame, late: bool) -> pd.DataFrame:
+        head = pd.DataFrame({"trans_num": rows["id"], "card": key[0], "trans_ts": pd.to_datetime(rows["t"], unit="us"), "late": late})
+        return pd.concat([head, features, rows[["lat", "long"]].rename(columns={"lat": "_lat", "long": "_long"})], axis=1)
+
+    def _end(self, key) -> int:
+        """The bucket's end in milliseconds."""
+        return (int(key[1][1:]) + 1) * self.bucket_us // 1000
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        new = pd.concat(list(rows), ignore_index=True)
+        new = new[new["id"].notna()]
+        own = new[new["home"]]
+        if key[1] == "":  # an event without a time has no history and is nobody's
+            if len(own):
+                empty = pd.DataFrame({f.name: pd.Series(dtype=object if f.name == "cat" else np.int64) for f in HISTORY.fields})
+                out = self._out(key, own, card_features(empty, own.assign(t=0), self.history_us), False)
+                yield out.assign(trans_ts=pd.NaT)
+            return
+        gone = timerValues.getCurrentWatermarkInMs()
+        late = own[own["t"] // 1000 < gone]
+        if len(late):
+            yield self._out(key, late, _nulls(late), True)
+        new, own = (x[x["t"] // 1000 >= gone] for x in (new, own))
+        if not len(new):
+            return
+        self.history.appendList(list(zip(
+            new["t"].astype(int).tolist(), _whole(new["amt"], AMOUNT_SCALE).tolist(), new["cat"].tolist(),
+            _whole(new["lat"], COORD_SCALE).tolist(), _whole(new["long"], COORD_SCALE).tolist())))
+        timers = set(self.handle.listTimers())
+        if self._end(key) not in timers:
+            self.handle.registerTimer(self._end(key))
+        if len(own):
+            self.pending.appendList([(int(r[0]), *(None if pd.isna(x) else x for x in r[1:]))
+                                     for r in own[WAITING.names].itertuples(index=False, name=None)])
+            first = int(own["t"].min()) // 1000
+            if not any(x <= first for x in timers):
+                self.handle.registerTimer(first)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        gone = timerValues.getCurrentWatermarkInMs()
+        waiting = pd.DataFrame(list(self.pending.get()), columns=WAITING.names)
+        ready = waiting["t"] // 1000 < gone if len(waiting) else pd.Series(dtype=bool)
+        if ready.any():
+            past = pd.DataFrame(list(self.history.get()), columns=HISTORY.names)
+            now = waiting[ready].sort_values("t", kind="stable").reset_index(drop=True)
+            yield self._out(key, now, card_features(past, now, self.history_us), False)
+            waiting = waiting[~ready]
+        if self._end(key) < gone:
+            for x in list(self.handle.listTimers()):
+                self.handle.deleteTimer(x)
+            self.history.clear()
+            self.pending.clear()
+        elif len(waiting):
+            if ready.any():
+                self.pending.put(list(waiting.itertuples(index=False, name=None)))
+            first = int(waiting["t"].min()) // 1000
+            if first not in set(self.handle.listTimers()):
+                self.handle.registerTimer(first)
+        else:
+            self.pending.clear()
+
+
+def stream_event_features(tx: DataFrame, card: str = "card", delay: str = "2 days", history_days: int = HISTORY_DAYS,
+                          bucket_days: int = 30) -> DataFrame:
+    """M3 + M4: the card-history features of every event, released in time order once the watermark
+    (``delay`` behind the newest event) has passed it; equal to the batch ``event_features`` whatever
+    the order in which events come within ``delay``. An event that comes behind the watermark is passed
+    on at once, flagged ``late``, without features, and is nobody's history.
+
+    State is keyed by (card, time bucket) and every event is copied, as context, into the later buckets
+    that look back on it, so a card's history spreads over tasks and is dropped bucket by bucket. Rows
+    without ``trans_num`` are ticks: they move the watermark and give no row."""
+    hist_us, bucket_us = history_days * MICROS_PER_DAY, bucket_days * MICROS_PER_DAY
+    cols = watermarked(tx, "trans_ts", delay)
+    own = F.floor(F.col("t") / F.lit(bucket_us)).cast("bigint")
+    last = F.floor((F.col("t") + F.lit(hist_us)) / F.lit(bucket_us)).cast("bigint")
+    spread = cols.select("*", F.explode_outer(F.sequence(own, last)).alias("_bk")).select(
+        key_text(card).alias("card"), key_text("_bk").alias("bucket"), (F.col("_bk").isNull() | (F.col("_bk") == own)).alias("home"), "t",
+        F.col("trans_num").cast("string").alias("id"), F.col("category").alias("cat"), F.col("amt").cast("double").alias("amt"),
+        F.col("merch_lat").cast("double").alias("lat"), F.col("merch_long").cast("double").alias("long"))
+    out = spread.groupBy("card", "bucket").transformWithStateInPandas(CardFeatures(hist_us, bucket_us), CARD_OUTPUT, "Append", "EventTime")
+    out = out.withColumns({"trans_num": F.col("trans_num").cast(tx.schema["trans_num"].dataType),
+                           "card": F.when(F.col("card") != "", F.substring("card", 2, 1 << 30)).cast(tx.schema[card].dataType)})
+    doubles = [n for n, t in FEATURES if isinstance(t, DoubleType)]
+    out = out.withColumns({c: nan_to_null(c) for c in [*doubles, "_lat", "_long"]})
+    apart = haversine_km("_usual_lat", "_usual_long", "_lat", "_long")
     return out.withColumn("DISTANCE_FROM_USUAL_MERCHANT_KM", apart).drop("_usual_lat", "_usual_long", "_lat", "_long")
 
 
-def F_col(name):
-    from pyspark.sql import functions as F
-    return F.col(name)
-
+# ------------------------------------------------------------------ M9: held alerts
 
-ALERT_STATE = StructType([StructField("in_run", BooleanType()), StructField("start", LongType()),
-                          StructField("fired", BooleanType())])
 ALERT_OUTPUT = StructType([StructField("series", StringType()), StructField("run_start", TimestampNTZType()),
                            StructField("fire_at", TimestampNTZType())])
 
 
-def stream_alert_for(samples: DataFrame, series: str, ts: str, condition_col: str, hold_seconds: int) -> DataFrame:
-    """M9: per series, the start of the current run of true samples is kept in state; the
-    alert fires once (at start + hold) when a sample shows the condition held that long."""
-    hold = hold_seconds * 1_000_000
-
-    def fn(key, pdfs, state: GroupState):
-        df = pd.concat(list(pdfs), ignore_index=True)
-        df["_t"] = df[ts].values.astype("datetime64[us]").astype(np.int64)
-        df = df.sort_values(["_t", condition_col], kind="stable")  # at one time, false first
-        in_run, start, fired = (state.get if state.exists else (False, None, False))
-        fires = []
-        for t_, cond in zip(df["_t"].to_numpy(), df[condition_col].to_numpy()):
-            if cond:
-                if not in_run:
-                    in_run, start, fired = True, int(t_), False
-                if not fired and t_ - start >= hold:
-                    fired = True
-                    fires.append((key[0], start, start + hold))
-            else:
-                in_run, start, fired = False, None, False
-        state.update((in_run, start, fired))
-        out = pd.DataFrame(fires, columns=["series", "run_start", "fire_at"])
-        for c in ("run_start", "fire_at"):
-            out[c] = pd.to_datetime(out[c], unit="us")
-        yield out
-
-    cols = samples.select(F_col(series).cast("string").alias("series"), ts, condition_col)
-    return cols.groupBy("series").applyInPandasWithState(fn, ALERT_OUTPUT, ALERT_STATE, "append",
-                                                         GroupStateTimeout.NoTimeout)
-
-
-BEAT_STATE = StructType([StructField("last", LongType())])
+class HeldAlert(StatefulProcessor):
+    """One series: samples wait in ``pending``; ``run`` is the run that is open, its start and newest
+    sample and whether it has fired. Without an open run and waiting samples there is no state."""
+
+    def __init__(self, hold_us: int, on_sample: bool):
+        self.hold, self.on_sample = hold_us, on_sample
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.pending = handle.getListState("pending", "t long, cond boolean")
+        self.run = handle.getValueState("run", "start long, last long, fired boolean")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        gone = timerValues.getCurrentWatermarkInMs()
+        new = pd.concat(list(rows), ignore_index=True)
+        new = new[new["t"] // 1000 >= gone]  # without a time: left out
+        if len(new) and key[0] != "":
+            self.pending.appendList(list(zip(new["t"].astype(int).tolist(), new["cond"].astype(bool).tolist())))
+            first = int(new["t"].min()) // 1000
+            if not any(x <= first for x in self.handle.listTimers()):
+                self.handle.registerTimer(first)
+        yield from ()  # a generator, though it gives nothing
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        gone = timerValues.getCurrentWatermarkInMs()
+        waiting = np.array(list(self.pending.get()), dtype=np.int64).reshape(-1, 2)
+        ready = waiting[:, 0] // 1000 < gone
+        now, waiting = waiting[ready], waiting[~ready]
+        now = now[np.lexsort((now[:, 1], now[:, 0]))]  # at one time, samples where it does not hold come first
+        t, cond = now[:, 0], now[:, 1] == 1
+        carried = self.run.exists()
+        start, last, fired = self.run.get() if carried else (0, 0, False)
+        opened = np.flatnonzero(cond & ~np.r_[carried, cond[:-1]][:len(cond)])
+        begin, starts = (np.r_[[-1], opened], np.r_[[start], t[opened]]) if carried else (opened, t[opened])
+        was_fired = np.zeros(len(starts), dtype=bool)
+        was_fired[:1] = carried and fired
+        stops = np.r_[np.flatnonzero(~cond), [len(t)]]
+        stop = stops[np.searchsorted(stops, begin, "right")] if len(begin) else begin
+        ended = stop < len(t)
+        times = np.r_[t, [last]]  # a carried run without a further true sample: its newest one
+        newest = times[stop - 1]
+        if self.on_sample:
+            held = newest - starts >= self.hold
+        else:
+            held = np.where(ended, times[stop] - starts >= self.hold, (starts + self.hold) // 1000 < gone)
+        fires = starts[held & ~was_fired]
+        if len(fires):
+            yield pd.DataFrame({"series": key[0][1:], "run_start": pd.to_datetime(fires, unit="us"),
+                                "fire_at": pd.to_datetime(fires + self.hold, unit="us")})
+        timers = {int(waiting[:, 0].min()) // 1000} if len(waiting) else set()
+        if len(starts) and not ended[-1]:
+            fired = bool(held[-1] or was_fired[-1])
+            self.run.update((int(starts[-1]), int(newest[-1]), fired))
+            if not fired and not self.on_sample:
+                timers.add(int(starts[-1] + self.hold) // 1000)
+        elif carried:
+            self.run.clear()
+        if len(now):
+            self.pending.put([(int(a), bool(b)) for a, b in waiting]) if len(waiting) else self.pending.clear()
+        for x in timers - set(self.handle.listTimers()):
+            self.handle.registerTimer(x)
+
+
+def stream_alert_for(samples: DataFrame, series: str, ts: str, condition_col: str, hold_seconds: int,
+                     delay: str = "0 seconds", on_sample: bool = False) -> DataFrame:
+    """M9: a run of samples where the condition holds fires once, at start + hold, when the watermark
+    shows that it lasted that long; no further sample is needed. Runs are those of the batch
+    ``alert_runs`` with the watermark as its ``as_of``. ``on_sample``: it fires only where a sample of
+    the run itself lies ``hold`` after its start. A null condition does not hold. Samples behind the
+    watermark are left out; rows without a series are ticks."""
+    cols = watermarked(samples, ts, delay).select(
+        key_text(series).alias("series"), "t", F.coalesce(F.col(condition_col), F.lit(False)).alias("cond"))
+    return cols.groupBy("series").transformWithStateInPandas(HeldAlert(hold_seconds * 1_000_000, on_sample), ALERT_OUTPUT, "Append", "EventTime")
+
+
+# ------------------------------------------------------------------ M8: heartbeats
+
 BEAT_OUTPUT = StructType([StructField("series", StringType()), StructField("status", StringType()),
                           StructField("last_ts", TimestampNTZType())])
 
 
-def stream_heartbeat(samples: DataFrame, series: str, ts: str, bound: str, delay: str = "0 seconds") -> DataFrame:
-    """M8: a series that stops reporting is reported ``stale`` once the event-time watermark
-    passes its last sample plus the bound (an event-time timer per series)."""
-    bound_ms = int(pd.Timedelta(bound).total_seconds() * 1000)
+class Heartbeat(StatefulProcessor):
+    """One series: its newest time, and one timer ``bound`` after it. ``by_clock``: the timer runs
+    on the machine's clock from the batch that brought the series' last row."""
+
+    def __init__(self, bound_ms: int, by_clock: bool):
+        self.bound, self.by_clock = bound_ms, by_clock
 
-    def fn(key, pdfs, state: GroupState):
-        if state.hasTimedOut:
-            last = state.get[0]
-            state.remove()
-            yield pd.DataFrame({"series": [key[0]], "status": ["stale"],
-                                "last_ts": [pd.to_datetime(last, unit="us")]})
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "t long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        times = pd.concat([pdf["t"] for pdf in rows]).dropna()
+        if key[0] == "" or not len(times):
             return
-        df = pd.concat(list(pdfs), ignore_index=True)
-        last = int(df[ts].values.astype("datetime64[us]").astype(np.int64).max())
-        if state.exists:
-            last = max(last, state.get[0])
-        state.update((last,))
-        state.setTimeoutTimestamp(last // 1000 + bound_ms)
-        yield pd.DataFrame({"series": [], "status": [], "last_ts": []})
-
-    cols = samples.select(F_col(series).cast("string").alias("series"), F_col(ts).cast("timestamp").alias(ts))
-    return cols.withWatermark(ts, delay).groupBy("series").applyInPandasWithState(
-        fn, BEAT_OUTPUT, BEAT_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+        newest = int(times.max())
+        if self.last.exists():
+            newest = max(newest, self.last.get()[0])
+        self.last.update((newest,))
+        for x in list(self.handle.listTimers()):
+            self.handle.deleteTimer(x)
+        since = timerValues.getCurrentProcessingTimeInMs() if self.by_clock else newest // 1000
+        self.handle.registerTimer(since + self.bound)
+        yield from ()  # a generator, though it gives nothing
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        last = self.last.get()[0]
+        self.last.clear()
+        yield pd.DataFrame({"series": [key[0][1:]], "status": ["stale"], "last_ts": [pd.to_datetime(last, unit="us")]})
+
+
+def stream_heartbeat(samples: DataFrame, series: str, ts: str, bound: str, delay: str = "0 seconds",
+                     by_clock: bool = False) -> DataFrame:
+    """M8: a series that stops reporting is reported ``stale`` once and forgotten until it reports
+    again. By event time: when the watermark passes its newest row plus ``bound``, that is, while
+    others still report. ``by_clock``: when the clock has moved by ``bound`` since the batch of its last
+    row, also when every series has fallen silent and no row moves the watermark."""
+    bound_ms = int(pd.Timedelta(bound).total_seconds() * 1000)
+    cols = (with_state_store(samples).withColumn("t", micros(ts)) if by_clock else watermarked(samples, ts, delay))
+    cols = cols.select(key_text(series).alias("series"), "t")
+    return cols.groupBy("series").transformWithStateInPandas(
+        Heartbeat(bound_ms, by_clock), BEAT_OUTPUT, "Append", "ProcessingTime" if by_clock else "EventTime")

@@ -127,9 +127,10 @@ def test_stream_twin_equals_batch(spark):
     tx = raw.select("trans_num", F.col("trans_date_trans_time").cast("timestamp_ntz").alias("trans_ts"),
                     F.col("cc_num").alias("card"), "category", "amt", "lat", "long", "merch_lat", "merch_long")
     d = tempfile.mkdtemp(dir=os.environ.get("TMPDIR", "/tmp"))
-    # two files so the stream sees two micro-batches
+    # two files so the stream sees two micro-batches, and a tick that lets the last events out
     tx.where("trans_ts < '2020-01-20'").coalesce(1).write.parquet(f"{d}/in/a")
     tx.where("trans_ts >= '2020-01-20'").coalesce(1).write.parquet(f"{d}/in/b")
+    M.tick(tx, "trans_ts", "40 days").write.parquet(f"{d}/in/c")
     stream = spark.readStream.schema(tx.schema).option("maxFilesPerTrigger", 1).parquet(f"{d}/in/*")
     out = M.run_to_table(S.stream_event_features(stream), "twin")
     got = {r["trans_num"]: r.asDict() for r in out.collect()}
