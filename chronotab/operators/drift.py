@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType, StringType
 
 from chronotab.config import DriftConfig
+from chronotab.operators.sketches import bin_counts, edges_from
 from chronotab.operators.order import count_below, exact_quantiles
 from chronotab.session import cut_lineage
 
@@ -75,6 +76,19 @@ def psi_numeric(reference: DataFrame, current: DataFrame, columns: Sequence[str]
     return _psi_from_counts(counts(ref), counts(cur), ["column_name", "bin"], cfg.share_floor)
 
 
+def psi_from_sketches(sketches: DataFrame, current: DataFrame, columns: Sequence[str],
+                      cfg: DriftConfig = DriftConfig()) -> DataFrame:
+    """K3 against the sketches stored with the reference snapshot: ``(column_name, psi)``. The reference
+    rows are not read; bins and their reference shares come from the sketches."""
+    own = sketches.where(F.col("column_name").isin(list(columns)))
+    edges = edges_from(own, [i / cfg.n_bins for i in range(1, cfg.n_bins)])
+    at = F.coalesce(*[F.when(F.col("column_name") == c, F.array(*[F.lit(e) for e in v])) for c, v in edges.items()],
+                    F.array().cast("array<double>"))
+    cur = _long(current, columns, "DOUBLE").withColumn("_edges", at).withColumn("bin", count_below("_edges", "value", cfg.n_bins - 1))
+    return _psi_from_counts(bin_counts(own, edges), cur.groupBy("column_name", "bin").agg(F.count(F.lit(1)).alias("n")),
+                            ["column_name", "bin"], cfg.share_floor)
+
+
 def psi_categorical(reference: DataFrame, current: DataFrame, columns: Sequence[str],
                     cfg: DriftConfig = DriftConfig()) -> DataFrame:
     """K4: ``(column_name, psi)`` over the union of levels; booleans are levels too."""

@@ -16,6 +16,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chronotab.operators.binning import Bin, fit_bins, woe_of
+
 ROUND = 12
 SMOOTHING = 0.5  # [ours] added to every bin count so an empty class share has a finite WoE
 
@@ -49,27 +51,6 @@ def woe_table(train: DataFrame, y: str, edges: dict[str, Sequence[float]]) -> Da
                     F.round(woe, ROUND).alias("woe"), F.round((ne - ev) * woe, ROUND).alias("iv_term"))
 
 
-def fit_woe_edges(train: DataFrame, variables: Sequence[str], n_prebins: int = 20,
-                  rel_error: float = 1e-3) -> dict[str, list[float]]:
-    """I1 pre-binning: approximate quantile edges of every variable from one
-    ``approxQuantile`` pass (a bounded list per variable)."""
-    probs = [i / n_prebins for i in range(1, n_prebins)]
-    qs = train.approxQuantile(list(variables), probs, rel_error)
-    return {v: sorted(set(q)) for v, q in zip(variables, qs)}
-
-
-def merge_small_bins(table: DataFrame, min_share: float = 0.05) -> DataFrame:
-    """Bins holding less than ``min_share`` of a variable's rows are merged into their
-    lower neighbour (the missing bin is kept apart)."""
-    from pyspark.sql import Window
-    tot = table.groupBy("variable").agg(F.sum(F.col("n_event") + F.col("n_nonevent")).alias("_n"))
-    t = table.join(tot, "variable").withColumn("_share", (F.col("n_event") + F.col("n_nonevent")) / F.col("_n"))
-    w = Window.partitionBy("variable").orderBy("bin")  # bins per variable: a bounded, small list
-    big = F.when((F.col("_share") >= min_share) | (F.col("bin") <= 0), 1).otherwise(0)
-    return t.withColumn("merged_bin", F.sum(big).over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1) \
-        .drop("_n", "_share")
-
-
 def woe_transform(df: DataFrame, table: DataFrame, edges: dict[str, Sequence[float]],
                   suffix: str = "_WOE") -> DataFrame:
     """Value -> WoE of its bin (same bins for every split) through a broadcast of the
@@ -93,6 +74,45 @@ def fit_scorecard(train: DataFrame, features: Sequence[str], y: str, max_iter: i
     return Pipeline(stages=[asm, lr]).fit(train)
 
 
+@dataclass
+class Scorecard:
+    """Fitted WoE bins, the logistic regression's weights on them, and the mean WoE of the training
+    rows that reason codes are measured against."""
+
+    bins: list[Bin]
+    intercept: float
+    coefficients: dict[str, float]
+    mean_woe: dict[str, float]
+
+    def woe_columns(self) -> dict[str, Column]:
+        return {f"{v}_WOE": woe_of(v, self.bins) for v in self.coefficients}
+
+    def score(self) -> Column:
+        """Probability of the event as one expression over the raw columns."""
+        z = F.lit(self.intercept)
+        for v, c in self.coefficients.items():
+            z = z + F.lit(c) * woe_of(v, self.bins)
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+
+    def reasons(self, df: DataFrame, key: str, top_n: int = 5) -> DataFrame:
+        """I7 of the fitted card: weight x (WoE - mean WoE) for every row."""
+        woe = df.select(key, *[woe_of(v, self.bins).alias(v) for v in self.coefficients])
+        return linear_reason_codes(woe, key, self.coefficients, {v: F.lit(m) for v, m in self.mean_woe.items()}, top_n)
+
+
+def fit_woe_scorecard(train: DataFrame, y: str, numeric: Sequence[str], categorical: Sequence[str] = (),
+                      max_iter: int = 1000, **binning) -> Scorecard:
+    """Bins fitted on the training rows given, logistic regression on their WoE."""
+    bins = fit_bins(train, y, numeric, categorical, **binning)
+    names = [*numeric, *categorical]
+    card = Scorecard(bins, 0.0, {v: 0.0 for v in names}, {})
+    woe = train.select(F.col(y).cast("double").alias(y), *[c.alias(n) for n, c in card.woe_columns().items()]).where(F.col(y).isNotNull())
+    fitted = fit_scorecard(woe, [f"{v}_WOE" for v in names], y, max_iter).stages[-1]
+    means = reference_means(woe, [f"{v}_WOE" for v in names]).first()
+    return Scorecard(bins, float(fitted.intercept), {v: float(c) for v, c in zip(names, fitted.coefficients)},
+                     {v: float(means[f"{v}_WOE"]) for v in names})
+
+
 def fit_gbt(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], y: str,
             max_iter: int = 30, max_depth: int = 4, seed: int = 42) -> PipelineModel:
     """I4: boosted trees; categories indexed with unseen/null kept as their own index, numeric
@@ -162,14 +182,17 @@ class RoleResult:
 def champion_challenger(splits: dict[str, DataFrame], fitters: dict[str, callable], key: str,
                         y: str) -> dict[str, RoleResult]:
     """Each role's model fitted on the same train split and scored on every split (the
-    prepared splits are cached once, since every role reads them)."""
+    train split is cached while the roles are fitted)."""
     train = splits["train"].cache()
     out = {}
-    for role, fit in fitters.items():
-        model = fit(train)
-        scored = None
-        for name, part in splits.items():
-            s = batch_score(model, part, [key, y]).withColumn("SPLIT", F.lit(name))
-            scored = s if scored is None else scored.unionByName(s)
-        out[role] = RoleResult(role, model, scored)
+    try:
+        for role, fit in fitters.items():
+            model = fit(train)
+            scored = None
+            for name, part in splits.items():
+                s = batch_score(model, part, [key, y]).withColumn("SPLIT", F.lit(name))
+                scored = s if scored is None else scored.unionByName(s)
+            out[role] = RoleResult(role, model, scored)
+    finally:
+        train.unpersist()
     return out

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from chronotab.functions.fixedpoint import mean_from, scaled
 from chronotab.operators import evaluate as H
 from chronotab.operators import governance as J
 from chronotab.operators import models as I
+from chronotab.operators import versions as V
+from chronotab.operators.binning import bins_table, fit_bins, woe_of
 from chronotab.plans import driver as D
 from chronotab.plans.catalog import register
-from chronotab.session import cut_lineage
+from chronotab.plans.q_monitor import edges_sql
+from chronotab.session import cut_lineage, ensure_checkpoint_dir
 from chronotab.plans.q_eval import CFG, METRICS_SQL, SCORED_SQL, SLICES, auc_sql, steps_sql, scored
 
 MODEL = "price_v1"
@@ -78,7 +83,7 @@ SELECT variable, bin, n_event, n_nonevent,
 FROM t"""
 
 
-@register("woe_table", _woe_sql(), "I1 I2")
+@register("woe_table", _woe_sql(), "I1")
 def q_woe(t):
     """Weight of evidence and IV term per variable and bin (fixed edges), from train rows."""
     f = order_features(t).where(F.col("SPLIT") == "train")
@@ -195,66 +200,217 @@ NUMERIC = ["o_totalprice", "c_acctbal", "n_lines"]
 CATEGORICAL = ["c_mktsegment", "o_orderstatus"]
 
 
+def versions_folder(spark) -> str:
+    """A new folder for versions below the shared folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/versions/{uuid.uuid4().hex}"
+
+
 def _splits(t):
     f = order_features(t).where(F.col("SPLIT") != "excluded")
     return {s: f.where(F.col("SPLIT") == s) for s in ("train", "validation", "test")}, f
 
 
-@register("fit_scorecard", None, "I1 I2 I3 I6 I8")
+# Fixed values of a target that the inputs tell in part: price and nation, blurred by the order's number.
+LARGE_ABOVE, NATION_WEIGHT, BLUR_STEP, BLUR = 450_000, 6_000, 7_919, 200_000
+LARGE_NUMERIC, LARGE_CATEGORICAL = ["o_totalprice", "c_acctbal"], ["c_nationkey"]
+BINNING = {"n_prebins": 10, "min_share": 0.05, "min_events": 5, "level_share": 0.04}
+#: What a model of that target must reach on rows it was not fitted on (0.5: chance).
+LEAST_AUC = 0.75
+
+LARGE_SQL = f"""SELECT s.o_orderkey, s.SPLIT, s.o_totalprice, CASE WHEN s.c_acctbal >= 0 THEN s.c_acctbal END AS c_acctbal,
+  CAST(c.c_nationkey AS VARCHAR) AS c_nationkey, CAST(s.o_totalprice + {NATION_WEIGHT} * c.c_nationkey + o_orderkey * {BLUR_STEP} % {BLUR} > {LARGE_ABOVE} AS INTEGER) AS y
+FROM ({FEATURES_SQL}) s JOIN orders o USING (o_orderkey) JOIN customer c ON o.o_custkey = c.c_custkey WHERE s.SPLIT <> 'excluded'"""
+
+
+def large_orders(t):
+    """Inputs, target and split; a negative balance counts as unknown. Written once: fitting reads it
+    several times."""
+    nation = t.orders.select("o_orderkey", F.col("o_custkey").alias("c_custkey")).join(
+        t.customer.select("c_custkey", F.col("c_nationkey").cast("string").alias("c_nationkey")), "c_custkey").drop("c_custkey")
+    return t.derived("large_orders", lambda: cut_lineage(
+        order_features(t).where(F.col("SPLIT") != "excluded").join(nation, "o_orderkey").select(
+            "o_orderkey", "SPLIT", "o_totalprice", F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("c_acctbal"),
+            "c_nationkey", F.expr(f"CAST(o_totalprice + {NATION_WEIGHT} * CAST(c_nationkey AS BIGINT) + o_orderkey * {BLUR_STEP} % {BLUR} > {LARGE_ABOVE} AS INT)").alias("y"))))
+
+
+def _bins_sql() -> str:
+    """Pool adjacent violators by the max-min formula, then short bins by a recursion over lists."""
+    iv = ("sum(round(((n + 0.5) / tn::DOUBLE - (e + 0.5) / te::DOUBLE) * ln(((n + 0.5) / tn::DOUBLE) / ((e + 0.5) / te::DOUBLE)), 12))")
+    rate = lambda k: f"es[{k}]::DOUBLE / (es[{k}] + ns[{k}])"
+    cut = lambda x: f"list_concat(list_concat({x}[1:j - 1], [{{}}]), {x}[j + 2:])"
+    numeric = " UNION ALL ".join(f"SELECT '{v}' AS column_name, y, {v} AS value FROM f" for v in LARGE_NUMERIC)
+    return f"""WITH RECURSIVE f AS (SELECT * FROM ({LARGE_SQL}) WHERE SPLIT = 'train'),
+x AS ({numeric}), ref AS (SELECT column_name, value FROM x WHERE value IS NOT NULL), {edges_sql()}
+cells AS (
+  SELECT column_name AS variable, CASE WHEN value IS NOT NULL THEN
+      (SELECT count(*) FROM edges g WHERE g.column_name = x.column_name AND g.v < x.value) END AS cell, CAST(NULL AS VARCHAR) AS level, false AS rest, y FROM x
+  UNION ALL
+  SELECT 'c_nationkey', NULL, CASE WHEN c < {BINNING['level_share']} * t THEN NULL ELSE c_nationkey END, c < {BINNING['level_share']} * t, y
+  FROM (SELECT *, count(*) OVER (PARTITION BY c_nationkey) AS c, count(*) OVER () AS t FROM f)),
+counts AS (SELECT variable, cell, level, rest, CAST(sum(y) AS BIGINT) AS e, CAST(sum(1 - y) AS BIGINT) AS n FROM cells GROUP BY ALL),
+totals AS (SELECT variable, sum(e) AS te, sum(n) AS tn FROM counts GROUP BY variable),
+pre AS (
+  SELECT *, row_number() OVER (PARTITION BY variable ORDER BY cell, CASE WHEN cell IS NULL THEN e::DOUBLE / (e + n) END, rest, level) AS i,
+    sum(e) OVER w AS ce, sum(n) OVER w AS cn
+  FROM counts WHERE cell IS NOT NULL OR level IS NOT NULL OR rest
+  WINDOW w AS (PARTITION BY variable ORDER BY cell, CASE WHEN cell IS NULL THEN e::DOUBLE / (e + n) END, rest, level ROWS UNBOUNDED PRECEDING)),
+spans AS (
+  SELECT a.variable, a.i AS a, b.i AS b, (b.ce - a.ce + a.e)::DOUBLE / (b.ce - a.ce + a.e + b.cn - a.cn + a.n) AS m
+  FROM pre a JOIN pre b ON a.variable = b.variable AND a.i <= b.i),
+ends AS (
+  SELECT p.variable, p.i, a, min(m) AS least, max(m) AS most FROM pre p JOIN spans s ON s.variable = p.variable AND a <= p.i AND b >= p.i GROUP BY ALL),
+level_of AS (SELECT variable, i, max(least) AS up, min(most) AS down FROM ends GROUP BY variable, i),
+blocks AS (
+  SELECT variable, 'up' AS way, up AS g, sum(pre.e) AS e, sum(pre.n) AS n, min(i) AS lo, max(i) AS hi FROM pre JOIN level_of USING (variable, i) GROUP BY ALL
+  UNION ALL
+  SELECT variable, 'down', down, sum(e), sum(n), min(i), max(i) FROM pre JOIN level_of USING (variable, i) WHERE variable <> 'c_nationkey' GROUP BY variable, down),
+value AS (SELECT variable, way, {iv} AS iv FROM blocks JOIN totals USING (variable) GROUP BY variable, way),
+way AS (SELECT variable, arg_max(way, (iv, way)) AS way FROM value GROUP BY variable),
+merged AS (
+  SELECT variable, list(e::BIGINT ORDER BY lo) AS es, list(n::BIGINT ORDER BY lo) AS ns, list(hi::BIGINT ORDER BY lo) AS his
+  FROM blocks JOIN way USING (variable, way) GROUP BY variable
+  UNION ALL
+  SELECT variable, {cut('es').format('es[j] + es[j + 1]')}, {cut('ns').format('ns[j] + ns[j + 1]')}, {cut('his').format('his[j + 1]')}
+  FROM (SELECT *, CASE WHEN k = len(es) OR k > 1 AND abs({rate('k')} - {rate('k - 1')}) <= abs({rate('k')} - {rate('k + 1')}) THEN k - 1 ELSE k END AS j
+    FROM (SELECT m.*, list_position(list_transform(range(1, len(es) + 1), lambda q: es[q] + ns[q] < {BINNING['min_share']} * (te + tn) OR es[q] < {BINNING['min_events']}), true) AS k
+          FROM merged m JOIN totals USING (variable))) WHERE coalesce(k, 0) > 0 AND len(es) > 1),
+done AS (SELECT variable, arg_min(es, len(es)) AS es, arg_min(ns, len(es)) AS ns, arg_min(his, len(es)) AS his FROM merged GROUP BY variable),
+bins AS (
+  SELECT variable, k - 1 AS bin, es[k] AS e, ns[k] AS n, CASE WHEN k > 1 THEN his[k - 1] ELSE 0 END AS above, his[k] AS hi, k = len(es) AS last
+  FROM (SELECT *, unnest(range(1, len(es) + 1)) AS k FROM done)),
+named AS (
+  SELECT b.variable, bin, CASE WHEN NOT last THEN max(CASE WHEN p.i = hi THEN g.v END) END AS upper,
+    string_agg(DISTINCT level, ',' ORDER BY level) AS levels, bool_or(p.rest) AS rest, b.e, b.n
+  FROM bins b JOIN pre p ON p.variable = b.variable AND p.i > above AND p.i <= hi
+  LEFT JOIN (SELECT column_name, v, row_number() OVER (PARTITION BY column_name ORDER BY v) - 1 AS at FROM edges) g
+    ON g.column_name = p.variable AND g.at = p.cell
+  GROUP BY b.variable, bin, last, b.e, b.n
+  UNION ALL
+  SELECT variable, -1, NULL, NULL, false, e, n FROM counts WHERE cell IS NULL AND level IS NULL AND NOT rest)
+SELECT variable, CAST(bin AS INTEGER) AS bin, upper, levels, rest, e AS n_event, n AS n_nonevent,
+  round(ln(((n + 0.5) / tn::DOUBLE) / ((e + 0.5) / te::DOUBLE)), 12) AS woe
+FROM named JOIN totals USING (variable)"""
+
+
+@register("woe_bins", _bins_sql(), "I1")
+def q_bins(t):
+    """Bins fitted on numeric and categorical columns: quantile pre-bins and pooled rare levels, merged
+    to monotone event rates of at least 5 % of the rows and 5 events; unknown values apart."""
+    train = large_orders(t).where("SPLIT = 'train'")
+    bins = fit_bins(train, "y", LARGE_NUMERIC, LARGE_CATEGORICAL, **BINNING)
+    return bins_table(t.spark, bins).select("variable", "bin", "upper", F.when(F.size("levels") > 0, F.array_join("levels", ",")).alias("levels"),
+                                            "rest", "n_event", "n_nonevent", "woe")
+
+
+@register("fit_scorecard", None, "I1 I2 I3 I6")
 def q_scorecard(t):
-    """WoE bins fitted on train rows (approximate pre-bins, small bins merged), logistic
-    regression on WoE, every split scored."""
-    splits, f = _splits(t)
-    edges = I.fit_woe_edges(splits["train"], NUMERIC, n_prebins=10)
-    table = I.woe_table(splits["train"], "y", edges)
-    woe = I.woe_transform(f, table, edges)
-    cols = [f"{v}_WOE" for v in NUMERIC]
-    model = I.fit_scorecard(woe.where(F.col("SPLIT") == "train"), cols, "y", max_iter=100)
-    return I.batch_score(model, woe, ["o_orderkey", "SPLIT", "y"])
+    """Fitted WoE bins, logistic regression on them, every split scored."""
+    f = large_orders(t)
+    card = I.fit_woe_scorecard(f.where("SPLIT = 'train'"), "y", LARGE_NUMERIC, LARGE_CATEGORICAL, max_iter=100, **BINNING)
+    return f.select("o_orderkey", "SPLIT", "y", card.score().alias("score"))
 
 
 @register("fit_gbt", None, "I4 I6 N3")
 def q_gbt(t):
     """Boosted trees on numeric and categorical inputs, every split scored."""
-    splits, f = _splits(t)
-    model = I.fit_gbt(splits["train"], NUMERIC, CATEGORICAL, "y", max_iter=20)
+    f = large_orders(t)
+    model = I.fit_gbt(f.where("SPLIT = 'train'"), LARGE_NUMERIC, LARGE_CATEGORICAL, "y", max_iter=20)
     return I.batch_score(model, f, ["o_orderkey", "SPLIT", "y"])
 
 
 @register("fit_logistic", None, "I5 I6")
 def q_logistic(t):
     """One-hot + median imputation + logistic regression, every split scored."""
-    splits, f = _splits(t)
-    model = I.fit_logistic(splits["train"], NUMERIC, CATEGORICAL, "y", max_iter=100)
+    f = large_orders(t)
+    model = I.fit_logistic(f.where("SPLIT = 'train'"), LARGE_NUMERIC, LARGE_CATEGORICAL, "y", max_iter=100)
     return I.batch_score(model, f, ["o_orderkey", "SPLIT", "y"])
 
 
-# The ranking every fitted model must reach on its train split (0.5: no ranking at all).
-LEAST_TRAIN_AUC = 0.5
+def fit_check(scored_rows):
+    """Rows a split, whether every score is a probability, and whether the split is ranked: the two
+    splits that no model saw must reach ``LEAST_AUC``."""
+    out = cut_lineage(scored_rows.select("SPLIT", "y", "score"))
+    per = out.groupBy("SPLIT").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("y").cast("bigint").alias("n_positive"),
+                                   F.bool_and(F.coalesce(F.col("score").between(0, 1), F.lit(False))).alias("in_range"))
+    auc = H.auc_table(H.score_steps(out, "y", "score", by=["SPLIT"]), ["SPLIT"]).select("SPLIT", (F.col("roc_auc") >= LEAST_AUC).alias("ranked"))
+    return per.join(auc, "SPLIT").select("SPLIT", "n_rows", "n_positive", "in_range", "ranked")
 
 
-def _fit_checks(fit: str):
-    """Registers ``<fit>_check``: rows a split, all scores in [0, 1], and the train split ranked."""
+def _fit_checks(fit: str, ids: str):
+    """Registers ``<fit>_check``."""
     source = {"fit_scorecard": q_scorecard, "fit_gbt": q_gbt, "fit_logistic": q_logistic}[fit]
-
-    def check(t):
-        """Rows per split, whether every score is a probability, and whether the train split is ranked."""
-        out = cut_lineage(source(t).select("SPLIT", "y", "score"))
-        per = out.groupBy("SPLIT").agg(F.count(F.lit(1)).alias("n_rows"),
-                                       F.bool_and(F.coalesce(F.col("score").between(0, 1), F.lit(False))).alias("in_range"))
-        auc = H.auc_table(H.score_steps(out, "y", "score", by=["SPLIT"]), ["SPLIT"]).select(
-            "SPLIT", ((F.col("SPLIT") != "train") | (F.col("roc_auc") >= LEAST_TRAIN_AUC)).alias("ranked"))
-        return per.join(auc, "SPLIT").select("SPLIT", "n_rows", "in_range", "ranked")
-
-    register(f"{fit}_check", f"""SELECT SPLIT, CAST(count(*) AS BIGINT) AS n_rows, true AS in_range, true AS ranked
-FROM ({FEATURES_SQL}) WHERE SPLIT <> 'excluded' GROUP BY SPLIT""", "I3 I4 I5 I6")(check)
-
-
-for _fit in ("fit_scorecard", "fit_gbt", "fit_logistic"):
-    _fit_checks(_fit)
-
-
-@register("champion_challenger", None, "I9 I10 H8")
+    register(f"{fit}_check", f"""SELECT SPLIT, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(y) AS BIGINT) AS n_positive, true AS in_range, true AS ranked
+FROM ({LARGE_SQL}) GROUP BY SPLIT""", ids)(lambda t: fit_check(source(t)))
+
+
+_fit_checks("fit_scorecard", "I2 I3 I6")
+_fit_checks("fit_gbt", "I4 I6")
+_fit_checks("fit_logistic", "I5 I6")
+
+
+def scores_by_tables(spark, path: str, rows):
+    """A stored scorecard's scores and contributions by joining its tables in SQL, without its code:
+    (o_orderkey, score, feature, contribution)."""
+    for name in ("bins", "weights"):
+        spark.read.parquet(f"{path}/{name}").createOrReplaceTempView(f"card_{name}")
+    rows.createOrReplaceTempView("card_rows")
+    values = ", ".join(f"'{v}', CAST({v} AS STRING)" for v in [*LARGE_NUMERIC, *LARGE_CATEGORICAL])
+    return spark.sql(f"""
+      WITH x AS (SELECT o_orderkey, stack({len(LARGE_NUMERIC) + len(LARGE_CATEGORICAL)}, {values}) AS (variable, value) FROM card_rows),
+      b AS (SELECT *, lag(upper) OVER (PARTITION BY variable ORDER BY bin) AS lower FROM card_bins),
+      w AS (SELECT x.o_orderkey, x.variable, b.woe FROM x JOIN b ON x.variable = b.variable AND CASE
+        WHEN x.value IS NULL THEN b.bin = -1
+        WHEN b.kind = 'categorical' THEN b.bin >= 0 AND (array_contains(b.levels, x.value) OR b.rest AND NOT EXISTS (
+          SELECT 1 FROM card_bins o WHERE o.variable = x.variable AND array_contains(o.levels, x.value)))
+        ELSE b.bin >= 0 AND (b.lower IS NULL OR CAST(x.value AS DOUBLE) > b.lower) AND (b.upper IS NULL OR CAST(x.value AS DOUBLE) <= b.upper) END)
+      SELECT o_orderkey, w.variable AS feature, k.weight * (woe - k.mean_woe) AS contribution,
+        1 / (1 + exp(-(sum(k.weight * woe) OVER (PARTITION BY o_orderkey) + (SELECT weight FROM card_weights WHERE variable = '')))) AS score
+      FROM w JOIN card_weights k ON k.variable = w.variable""")
+
+
+@register("version_reference_scores", f"""SELECT o_orderkey, y, true AS scored, true AS as_stored, CAST(3 AS BIGINT) AS n_reasons, true AS reasons_as_stored
+FROM ({LARGE_SQL}) WHERE SPLIT = 'train'""", "I7 I8 I10 N3 A14")
+def q_version(t):
+    """A scorecard kept as a version with its snapshot, means and tables, loaded by alias, scoring its own
+    reference rows; scores and reason codes against plain SQL over the stored tables, row by row."""
+    spark, root = t.spark, versions_folder(t.spark)
+    train = large_orders(t).where("SPLIT = 'train'")
+    card = I.fit_woe_scorecard(train, "y", LARGE_NUMERIC, LARGE_CATEGORICAL, max_iter=100, **BINNING)
+    path = V.save_version(root, "large_orders", "1", card, train, LARGE_NUMERIC)
+    V.set_alias(spark, root, "large_orders", "champion", "0", 1)
+    V.set_alias(spark, root, "large_orders", "champion", "1", 2)
+    version = V.load_version(spark, root, "large_orders", "champion")
+    scores = version.score_reference(["o_orderkey", "y"])
+    reasons = version.model.reasons(version.reference, "o_orderkey")
+    stored = cut_lineage(scores_by_tables(spark, path, version.reference))
+    pairs = reasons.join(stored, ["o_orderkey", "feature"], "left").groupBy("o_orderkey").agg(
+        F.count(F.lit(1)).alias("n_reasons"),
+        F.bool_and(F.coalesce(F.abs(reasons["contribution"] - stored["contribution"]) < 1e-9, F.lit(False))).alias("reasons_as_stored"),
+        F.max(stored["score"]).alias("_stored"))
+    return scores.join(pairs, "o_orderkey").select(
+        "o_orderkey", "y", F.coalesce(F.col("score").between(0, 1), F.lit(False)).alias("scored"),
+        F.coalesce(F.abs(F.col("score") - F.col("_stored")) < 1e-9, F.lit(False)).alias("as_stored"), "n_reasons", "reasons_as_stored")
+
+
+@register("scorecard_optimum", f"""SELECT v.variable, CAST((SELECT count(*) FROM ({LARGE_SQL}) WHERE SPLIT = 'train') AS BIGINT) AS n, true AS at_optimum
+FROM (VALUES {', '.join(f"('{v}')" for v in ['intercept', *LARGE_NUMERIC, *LARGE_CATEGORICAL])}) v(variable)""", "I3 I8")
+def q_optimum(t):
+    """The fitted weights are the maximum of the likelihood: for every weight, the mean of
+    (score - y) x WoE over the training rows is zero."""
+    train = large_orders(t).where("SPLIT = 'train'")
+    card = I.fit_woe_scorecard(train, "y", LARGE_NUMERIC, LARGE_CATEGORICAL, max_iter=200, **BINNING)
+    return optimum(card, train)
+
+
+def optimum(card, train):
+    off = card.score() - F.col("y")
+    slopes = [("intercept", F.lit(1.0)), *[(v, woe_of(v, card.bins)) for v in card.coefficients]]
+    means = train.agg(F.count(F.lit(1)).alias("n"), *[F.avg(off * w).alias(f"_{k}") for k, (_, w) in enumerate(slopes)])
+    rows = F.array(*[F.struct(F.lit(v).alias("variable"), F.col("n"), (F.abs(F.col(f"_{k}")) < 1e-5).alias("at_optimum")) for k, (v, _) in enumerate(slopes)])
+    return means.select(F.inline(rows))
+
+
+@register("champion_challenger", None, "I9 H8")
 def q_roles(t):
     """Two model types on the same splits, evaluated with the same metrics per role x split."""
     splits, _ = _splits(t)

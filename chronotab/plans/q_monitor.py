@@ -263,3 +263,41 @@ def q_gauges(t):
     g = O.metrics_to_gauges(performance(t), "events_perf", "events", PRODUCTION, AS_OF)
     return g.select("name", F.element_at("labels", "domain").alias("domain"),
                     F.element_at("labels", "model_version").alias("model_version"), "value")
+
+
+SKETCHED = ["value", "k"]
+DECILES = [i / 10 for i in range(1, 10)]
+
+
+@register("reference_sketches", f"""SELECT column_name, CAST(count(value) AS BIGINT) AS n, CAST(count(DISTINCT day) AS BIGINT) AS n_days,
+  true AS within_rank_error, true AS psi_close
+FROM (SELECT 'value' AS column_name, value, CAST(ts AS DATE) AS day FROM events WHERE {split_case('ts', D.EVENTS_SPLIT)} = 'train'
+  UNION ALL SELECT 'k', CAST(json_extract_string(props, '$.k') AS DOUBLE), CAST(ts AS DATE) FROM events
+  WHERE {split_case('ts', D.EVENTS_SPLIT)} = 'train') WHERE value IS NOT NULL GROUP BY column_name""", "K3 A14 (quantile sketches)")
+def q_sketches(t):
+    """Day by day sketches of the reference, stored beside the snapshot and merged on reading: every
+    decile's rank within the stated error of the rows, and a PSI against them near the exact one."""
+    from chronotab.operators import sketches as Q
+    from chronotab.session import ensure_checkpoint_dir
+    import uuid
+    rows = t.events.where(split_label("ts", D.EVENTS_SPLIT) == "train").select(
+        F.col("value"), F.get_json_object("props", "$.k").cast("double").alias("k"), F.to_date("ts").alias("day"))
+    root = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/sketches-{uuid.uuid4().hex}"
+    daily = Q.column_sketches(rows, SKETCHED, by=["day"])
+    path = Q.write_sketches(daily, root, PRODUCTION)
+    stored = Q.read_sketches(t.spark, root, PRODUCTION)
+    found = {(r.column_name, r.q_index): r.value for r in Q.sketch_quantiles(stored, DECILES).collect()}  # columns x deciles
+    def ok(c: str):
+        total = F.count(c)
+        near = F.lit(True)
+        for i, q in enumerate(DECILES):
+            at = F.lit(found[c, i])
+            near = near & (F.count_if(F.col(c) < at) / total <= q + Q.rank_error()) & (F.count_if(F.col(c) <= at) / total >= q - Q.rank_error())
+        return F.struct(F.lit(c).alias("column_name"), total.alias("n"), near.alias("within_rank_error"))
+    ranks = rows.agg(F.array(*[ok(c) for c in SKETCHED]).alias("r")).select(F.inline("r"))
+    days = t.spark.read.parquet(path).groupBy("column_name").agg(F.countDistinct("day").alias("n_days"))
+    cur = current_window(t)
+    exact = K.psi_numeric(rows, cur, SKETCHED, DRIFT).withColumnRenamed("psi", "_exact")
+    close = K.psi_from_sketches(stored, cur, SKETCHED, DRIFT).join(exact, "column_name").select(
+        "column_name", (F.abs(F.col("psi") - F.col("_exact")) < 0.01).alias("psi_close"))
+    return ranks.join(days, "column_name").join(close, "column_name").select("column_name", "n", "n_days", "within_rank_error", "psi_close")
