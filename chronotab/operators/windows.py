@@ -264,23 +264,3 @@ def event_features(tx: DataFrame, card: str = "card", ts: str = "trans_ts", amt:
     extra = ["CC_AMT_STD_30D", "CC_USUAL_MERCH_LAT", "CC_USUAL_MERCH_LONG",
              "CC_CATEGORY_AMT_AVG_30D"] if keep_intermediate else []
     return out.select(*base_cols, *FEATURE_COLUMNS, *extra)
-
-
-def brute_force_features(tx: DataFrame, card: str = "card", ts: str = "trans_ts", amt: str = "amt",
-                         key: str = "trans_num", history_days: int = HISTORY_DAYS) -> DataFrame:
-    """Independent recompute by a range self-join on card (each event with every earlier
-    event of its card in the window), for checks on small fixtures."""
-    hist_us = history_days * MICROS_PER_DAY
-    a = tx.select(F.col(key).alias("_k"), F.col(card).alias("_card"), micros(ts).alias("_t"))
-    h = tx.select(F.col(card).alias("_card"), micros(ts).alias("_ht"), F.col(amt).alias("_amt"))
-    j = a.join(h, "_card", "left").where(
-        (F.col("_ht") < F.col("_t")) & (F.col("_ht") >= F.col("_t") - F.lit(hist_us)))
-    agg = j.groupBy("_k").agg(
-        F.count_if(F.col("_ht") >= F.col("_t") - F.lit(MICROS_PER_HOUR)).cast("bigint").alias("CC_TXN_COUNT_1H"),
-        F.count_if(F.col("_ht") >= F.col("_t") - F.lit(24 * MICROS_PER_HOUR)).cast("bigint").alias("CC_TXN_COUNT_24H"),
-        F.count("_amt").cast("bigint").alias("CC_TXN_COUNT_30D"),
-    )
-    return a.select("_k").join(agg, "_k", "left").select(
-        F.col("_k").alias(key),
-        *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c)
-          for c in ("CC_TXN_COUNT_1H", "CC_TXN_COUNT_24H", "CC_TXN_COUNT_30D")])

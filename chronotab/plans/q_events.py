@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from chronotab.operators.windows import HOT_CARD_ROWS, event_features
+from chronotab.operators.recompute import feature_differences, recompute_features
+from chronotab.operators.windows import FEATURE_COLUMNS, HOT_CARD_ROWS, event_features
 from chronotab.plans import driver as D
 from chronotab.plans.catalog import register
 
@@ -144,3 +145,28 @@ def q_event_zscore(t):
 def q_event_geo(t):
     """Distance from home, from the usual merchant location, hour and weekday."""
     return _features(t).select(*GEO)
+
+
+@register("recompute_check", f"""SELECT feature, (SELECT count(*) FROM events) AS n_events, CAST(0 AS BIGINT) AS n_different
+FROM (SELECT unnest([{', '.join(f"'{c}'" for c in FEATURE_COLUMNS)}]) AS feature)""", "D10")
+def q_recompute(t):
+    """All thirteen features of every event against their recomputation from the event's own past:
+    the number of events that differ, by feature (none)."""
+    tx = D.card_transactions(t)
+    return feature_differences(event_features(tx), recompute_features(tx))
+
+
+# Fixed values of a planted leak: every 50th event also sees itself.
+LEAK_EVERY = 50
+
+
+@register("recompute_check_planted_leak", f"""SELECT feature, (SELECT count(*) FROM events) AS n_events,
+  CASE WHEN feature IN ('CC_TXN_COUNT_1H', 'CC_TXN_COUNT_24H') THEN (SELECT count(*) FROM events WHERE event_id % {LEAK_EVERY} = 0 AND value IS NOT NULL)
+    ELSE 0 END AS n_different
+FROM (SELECT unnest([{', '.join(f"'{c}'" for c in FEATURE_COLUMNS)}]) AS feature)""", "D10")
+def q_recompute_leak(t):
+    """The same check on features in which two counts of every 50th event take the event itself in."""
+    tx = D.card_transactions(t)
+    leaks = ((F.col("trans_num") % LEAK_EVERY == 0) & F.col("amt").isNotNull()).cast("bigint")
+    leaky = event_features(tx).withColumns({c: F.col(c) + leaks for c in ("CC_TXN_COUNT_1H", "CC_TXN_COUNT_24H")})
+    return feature_differences(leaky, recompute_features(tx))

@@ -135,6 +135,35 @@ def q_gauges(t):
     return out.select("job", "name", F.element_at("labels", "kind").alias("label"), "value")
 
 
+@register("gauge_pushes", f"""SELECT 'a' AS job, 'size' AS name, event_type AS label, CAST(count(*) AS DOUBLE) AS value FROM events GROUP BY event_type
+UNION ALL SELECT 'a', 'last_run', 'x', {RUN_SECONDS}.0::DOUBLE
+UNION ALL SELECT 'a', 'last_run', 'y', {RUN_SECONDS}.0::DOUBLE + 1
+UNION ALL SELECT 'b', 'size', 'view', -1.0
+UNION ALL SELECT 'b', 'size', event_type, CAST(count(*) AS DOUBLE) FROM events WHERE value > 50 AND event_type <> 'view' GROUP BY event_type""", "A12 A13")
+def q_pushes(t):
+    """Groups replaced, merged into by two pushes at a time, and emptied, read as one moment's state."""
+    root = folder(t, "pushes")
+
+    def sample(job, name, label, ts, value):
+        return t.spark.range(1).select(F.lit(job).alias("job"), F.lit("events").alias("domain"), F.lit(name).alias("name"),
+                                       F.create_map(F.lit("kind"), F.lit(label)).alias("labels"), F.lit(ts).cast("timestamp").alias("ts"), F.lit(float(value)).alias("value"))
+
+    def group(job, events, ts):
+        own = events.groupBy("event_type").agg(F.count(F.lit(1)).cast("double").alias("value"))
+        return own.select(F.lit(job).alias("job"), F.lit("events").alias("domain"), F.lit("size").alias("name"),
+                          F.create_map(F.lit("kind"), F.col("event_type")).alias("labels"), F.lit(ts).cast("timestamp").alias("ts"), "value")
+
+    a, b, c = ("a", "events"), ("b", "events"), ("c", "events")
+    P.push_gauges(group("a", t.events.where("value > 400"), "2024-01-01").unionByName(sample("a", "old", "x", "2024-01-01", 1)), root, [a], at=1)
+    P.push_gauges(group("b", t.events.where("value > 50"), "2024-01-01").unionByName(group("c", t.events, "2024-01-01")), root, [b, c], at=2)
+    P.push_gauges(group("a", t.events, "2024-01-02"), root, [a], at=3)
+    P.push_gauges(sample("a", "last_run", "x", "2024-01-03", RUN_SECONDS), root, [a], "merge", at=4)
+    P.push_gauges(sample("a", "last_run", "y", "2024-01-03", RUN_SECONDS + 1), root, [a], "merge", at=4)
+    P.push_gauges(sample("b", "size", "view", "2024-01-03", -1), root, [b], "merge", at=5)
+    P.push_gauges(group("c", t.events.where("false"), "2024-01-04"), root, [c], at=6)
+    return P.read_gauges(t.spark, root).select("job", "name", F.element_at("labels", "kind").alias("label"), "value")
+
+
 @register("reference_snapshot", f"""SELECT c_custkey, ORDERS_COUNT, 'snapshot' AS source FROM ({FEATURES_SQL}) WHERE SPLIT = 'train' AND IS_MATURE
 UNION ALL SELECT c_custkey, ORDERS_COUNT, 'features' FROM ({FEATURES_SQL}) WHERE SPLIT = 'train'""", "A14 F4")
 def q_snapshot(t):

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
+import uuid
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -132,6 +135,51 @@ def merge_gauge(existing: DataFrame, updates: DataFrame) -> DataFrame:
     return kept.unionByName(new).drop("_series")
 
 
+PUSHES = "push string, at long, job string, domain string, kind string"
+
+
+def stage_push(samples: DataFrame, root: str, push: str) -> None:
+    """First half of a push: its samples in a folder of their own, which no reader looks at yet."""
+    samples.select("job", "domain", "name", "labels", "ts", "value").write.mode("overwrite").parquet(f"{root.rstrip('/')}/data/push={push}")
+
+
+def commit_push(spark: SparkSession, root: str, push: str, groups: Sequence[tuple[str, str]], kind: str, at: int) -> None:
+    """Second half: one small file, which appears whole or not at all, makes the push visible."""
+    rows = [(push, at, job, domain, kind) for job, domain in groups]
+    spark.createDataFrame(rows, PUSHES).coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/pushes")
+
+
+def push_gauges(samples: DataFrame, root: str, groups: Sequence[tuple[str, str]], kind: str = "replace", at: int | None = None) -> str:
+    """A12 / A13 with readers and writers beside each other: ``kind`` ``replace`` puts ``samples`` in place of
+    all the (job, domain) ``groups`` hold, also where there are none left; ``merge`` replaces only the
+    series that it names. Pushes are added, never rewritten: a reader sees each whole or not at all, and
+    parallel merges both hold. ``at`` orders pushes (microseconds; now, if not given)."""
+    push = uuid.uuid4().hex
+    stage_push(samples, root, push)
+    commit_push(samples.sparkSession, root, push, groups, kind, time.time_ns() // 1000 if at is None else at)
+    return push
+
+
+def read_gauges(spark: SparkSession, root: str) -> DataFrame:
+    """The samples that hold: of each group the newest replacement and the merges after it, of each
+    series the newest push. The list of pushes is read once, so the result is one moment's state."""
+    base = root.rstrip("/")
+    pushes = spark.read.schema(PUSHES).parquet(f"{base}/pushes")
+    start = pushes.where("kind = 'replace'").groupBy("job", "domain").agg(F.max(F.struct("at", "push")).alias("_from"))
+    live = (pushes.join(start, ["job", "domain"], "left").where(F.col("_from").isNull() | (F.struct("at", "push") >= F.col("_from")))
+            .select("push", "at", "job", "domain").distinct())
+    found = [r.asDict() for r in live.collect()]  # pushes since the groups' last replacement
+    if not found:
+        return spark.createDataFrame([], GAUGE_SCHEMA)
+    folders = sorted({f"{base}/data/push={r['push']}" for r in found})
+    data = spark.read.schema(GAUGE_SCHEMA).option("basePath", f"{base}/data").parquet(*folders)
+    held = data.join(F.broadcast(spark.createDataFrame(found, "push string, at long, job string, domain string")), ["push", "job", "domain"])
+    series = F.to_json(F.array_sort(F.map_entries("labels")))
+    newest = held.groupBy("job", "domain", "name", series.alias("_series")).agg(
+        F.max_by(F.struct(F.to_json("labels").alias("labels"), "ts", "value"), F.struct("at", "push")).alias("r"))
+    return newest.select("job", "domain", "name", F.from_json("r.labels", "map<string,string>").alias("labels"), "r.ts", "r.value")
+
+
 def write_reference_snapshot(train_rows: DataFrame, root: str, model_version: str) -> str:
     """The exact train rows, saved beside the model version."""
     path = f"{root.rstrip('/')}/model_version={model_version}"

@@ -154,6 +154,35 @@ def test_histogram_quantile_prometheus_rule(spark):
     assert 2.0 < q9 <= 10.0
 
 
+def test_readers_beside_writers_see_whole_pushes(spark):
+    """Nothing of a staged push is seen; parallel merges both hold; an emptied group is empty."""
+    root = _tmp()
+
+    def group(job, values, name="size"):
+        rows = [(job, "d", name, {"k": str(k)}, None, float(v)) for k, v in values.items()]
+        return spark.createDataFrame(rows, P.GAUGE_SCHEMA)
+
+    def held():
+        return {(r.job, r.name, r.labels["k"]): r.value for r in P.read_gauges(spark, root).collect()}
+
+    P.push_gauges(group("a", {1: 1, 2: 2}), root, [("a", "d")])
+    P.push_gauges(group("b", {1: 5}), root, [("b", "d")])
+    before = {("a", "size", "1"): 1.0, ("a", "size", "2"): 2.0, ("b", "size", "1"): 5.0}
+    P.stage_push(group("a", {1: 10}), root, "later")  # the writer is between its two steps
+    assert held() == before
+    seen = P.read_gauges(spark, root)
+    P.commit_push(spark, root, "later", [("a", "d")], "replace", 1 << 60)
+    assert {(r.job, r.name, r.labels["k"]): r.value for r in seen.collect()} == before  # a reader that had begun
+    assert held() == {("a", "size", "1"): 10.0, ("b", "size", "1"): 5.0}
+    for k in (1, 2):  # both were staged before either was committed
+        P.stage_push(group("a", {k: 20 + k}, "beat"), root, f"beat{k}")
+    for k in (2, 1):
+        P.commit_push(spark, root, f"beat{k}", [("a", "d")], "merge", (1 << 60) + 1)
+    assert held() == {("a", "size", "1"): 10.0, ("a", "beat", "1"): 21.0, ("a", "beat", "2"): 22.0, ("b", "size", "1"): 5.0}
+    P.push_gauges(group("b", {}), root, [("b", "d")], at=1 << 61)
+    assert ("b", "size", "1") not in held() and len(held()) == 3
+
+
 def test_scoring_stream_quarantines_and_logs(spark):
     from chronotab.operators import contracts as G
     from chronotab.operators import models as I

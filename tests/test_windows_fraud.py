@@ -6,7 +6,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from chronotab.operators.windows import brute_force_features, event_features
+from chronotab.operators.recompute import feature_differences, recompute_features
+from chronotab.operators.windows import FEATURE_COLUMNS, event_features
 from chronotab.plans import fraud
 from fixtures import FRAUD_FIXTURE_CFG as CFG
 from fixtures import TX_SCHEMA, fraud_rows
@@ -109,14 +110,26 @@ def test_card_with_a_third_of_all_rows(spark):
     assert "hashpartitioning(card#" in plan and "_rng" in plan
 
 
-def test_brute_force_recompute_on_driver_fixture(spark):
-    """Window counts equal a range self-join recompute on the sf0.001 events."""
+def test_recompute_of_all_features(spark):
+    """No feature differs, with ties, nulls and a card that holds a third of all events; one that
+    looks at the event itself does."""
     from chronotab.plans.driver import card_transactions
     from chronotab.sources.tables import Tables
-    tx = card_transactions(Tables(spark, "/root/testdata/sf0.001"))
-    w = event_features(tx).select("trans_num", "CC_TXN_COUNT_1H", "CC_TXN_COUNT_24H")
-    b = brute_force_features(tx).select("trans_num", "CC_TXN_COUNT_1H", "CC_TXN_COUNT_24H")
-    assert w.exceptAll(b).count() == 0 and b.exceptAll(w).count() == 0
+    n = F.col("trans_num")
+    tx = card_transactions(Tables(spark, "/root/testdata/sf0.001")).withColumns({
+        "card": F.when(n % 3 == 0, F.lit(-1)).when(n % 50 == 7, F.lit(None)).otherwise(F.col("card")),
+        "trans_ts": F.when(n % 90 == 11, F.lit(None)).otherwise(F.date_trunc("hour", "trans_ts").cast("timestamp_ntz")),
+        "category": F.when(n % 40 == 3, F.lit(None)).otherwise(F.col("category")),
+        "amt": F.when(n % 30 == 5, F.lit(None)).otherwise(F.col("amt")),
+        "merch_lat": F.when(n % 35 == 6, F.lit(None)).otherwise(F.col("merch_lat")),
+        "merch_long": F.when(n % 35 == 6, F.lit(None)).otherwise(F.col("merch_long"))})
+    f = event_features(tx)
+    for band_days in (3, 30):
+        again = feature_differences(f, recompute_features(tx, band_days=band_days)).collect()
+        assert {r.feature: (r.n_events, r.n_different) for r in again} == {c: (tx.count(), 0) for c in FEATURE_COLUMNS}
+    shifted = event_features(tx.withColumn("trans_ts", F.col("trans_ts") + F.expr("INTERVAL 1 SECOND") * (n % 2)))  # ties broken: later ones see earlier ones
+    assert any(r.n_different for r in feature_differences(shifted, recompute_features(tx)).collect())
+    assert feature_differences(f.where("trans_num > 0"), recompute_features(tx)).where("n_different <> 1").isEmpty()
 
 
 def test_stream_twin_equals_batch(spark):
