@@ -49,4 +49,5 @@ def load_all() -> None:
         q_govern,
         q_stream,
         q_files,
+        q_domains,
     )
