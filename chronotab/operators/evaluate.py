@@ -166,25 +166,29 @@ def unpivot_slices(df: DataFrame, slices: Sequence[SliceConfig], y: str, score:
 
 def slice_metrics(df: DataFrame, cfg: EvalConfig, y: str = "y", score: str = "score",
                   n_buckets: int | None = None) -> DataFrame:
-    """H9 + H10: per slice value n, positive rate, ROC-AUC, PR-AUC and whether the AUC drop
-    from overall is within the column's tolerance; a one-class slice gets nulls (T13)."""
+    """H9 + H10: per slice value n, positive rate, ROC-AUC, PR-AUC, the same three of all rows, and
+    whether the AUC drop from overall is within the column's tolerance; a one-class slice gets nulls (T13)."""
     spark = df.sparkSession
     long = unpivot_slices(df, cfg.slices, y, score)
     by = ["slice_column", "slice_value"]
     steps = score_steps(long, "y", "score", by, n_buckets)
     per = auc_table(steps, by).join(
         steps.groupBy(*by).agg(F.first("tot_pos").alias("tot_pos"), F.first("tot_neg").alias("tot_neg")), by)
-    overall = auc_table(score_steps(df.select(F.col(y).alias("y"), F.col(score).alias("score")),
-                                    "y", "score", (), n_buckets), ()).select(
-        F.col("roc_auc").alias("overall_roc_auc"))
+    rows = df.select(F.col(y).alias("y"), F.col(score).alias("score"))
+    all_steps = score_steps(rows, "y", "score", (), n_buckets)
+    totals = all_steps.agg(F.first("tot_pos").alias("_p"), F.first("tot_neg").alias("_n"))
+    overall = auc_table(all_steps, ()).join(totals, F.lit(True), "inner").select(  # one row each
+        F.struct("roc_auc", "pr_auc", _ratio(F.col("_p"), F.col("_p") + F.col("_n")).alias("positive_rate")).alias("o"))
     tol = spark.createDataFrame([(s.column, float(s.tolerance)) for s in cfg.slices],
                                 "slice_column string, tolerance double")
     out = (per.join(F.broadcast(tol), "slice_column")  # one row per configured slice column
-           .withColumn("overall_roc_auc", overall.scalar()))
+           .withColumn("_overall", overall.scalar())
+           .withColumn("overall_roc_auc", F.col("_overall.roc_auc")))
     return out.select(
         *by, (F.col("tot_pos") + F.col("tot_neg")).cast("bigint").alias("n"),
         _ratio(F.col("tot_pos"), F.col("tot_pos") + F.col("tot_neg")).alias("positive_rate"),
-        "roc_auc", "pr_auc", "overall_roc_auc", "tolerance",
+        "roc_auc", "pr_auc", "overall_roc_auc", F.col("_overall.pr_auc").alias("overall_pr_auc"),
+        F.col("_overall.positive_rate").alias("overall_positive_rate"), "tolerance",
         (F.col("overall_roc_auc") - F.col("roc_auc") <= F.col("tolerance")).alias("within_tolerance"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronotab.config import EvalConfig
@@ -63,6 +63,49 @@ def version_evidence(versions: DataFrame, aliases: DataFrame, keys: Sequence[str
     return out.withColumn("aliases", F.coalesce("aliases", F.array().cast("array<string>")))
 
 
+# The metrics that a version's page shows, read from its ``test_`` tags.
+EVIDENCE_METRICS = ("pr_auc", "roc_auc", "recall_at_target_fpr", "alert_volume_fraction", "expected_cost")
+
+
+def version_pages(versions: DataFrame, tags: DataFrame, aliases: DataFrame) -> DataFrame:
+    """One row a version, newest first by number (``rank`` 1): model type, gate, its reasons, promotion
+    and the test metrics from its tags (a tag that is not a number gives null, a missing one is empty
+    text), aliases merged in sorted. ``versions``: (version, created_ms); ``tags``: (version, tag, value);
+    ``aliases``: (alias, version). Gate reasons are a JSON list; other text is one reason."""
+    kept = ["model_type", "gate", "gate_reasons", "promotion", *[f"test_{m}" for m in EVIDENCE_METRICS]]
+    by_tag = tags.where(F.col("tag").isin(kept)).groupBy("version").agg(F.map_from_entries(F.collect_list(F.struct("tag", "value"))).alias("_tags"))
+    named = aliases.groupBy("version").agg(F.array_sort(F.collect_list("alias")).alias("aliases"))
+
+    def tag(name: str) -> Column:
+        return F.coalesce(F.element_at("_tags", name), F.lit(""))
+
+    raw = tag("gate_reasons")
+    listed = F.from_json(raw, "array<string>")
+    reasons = F.when(raw == "", F.array().cast("array<string>")).otherwise(F.coalesce(listed, F.array(raw)))
+    out = versions.join(by_tag, "version", "left").join(named, "version", "left")
+    # versions of one model: a bounded list, numbered in one window
+    rank = F.row_number().over(Window.orderBy(F.col("version").cast("bigint").desc()))
+    return out.select("version", "created_ms", rank.alias("rank"), tag("model_type").alias("model_type"), tag("gate").alias("gate"),
+                      reasons.alias("gate_reasons"), tag("promotion").alias("promotion"),
+                      *[F.element_at("_tags", f"test_{m}").try_cast("double").alias(m) for m in EVIDENCE_METRICS],
+                      F.coalesce("aliases", F.array().cast("array<string>")).alias("aliases"))
+
+
+def model_card(metrics: DataFrame, slices: DataFrame, split: str = "SPLIT") -> DataFrame:
+    """The card of a model over every split: (split, section, item, n, positive_rate, roc_auc, pr_auc,
+    recall_at_target_fpr, alert_volume_fraction, expected_cost, status). Metric rows have no status; a
+    slice passes, FAILs, or is N/A where it holds a single class."""
+    head = metrics.select(F.col(split).alias("split"), F.lit("metrics").alias("section"), F.lit("all").alias("item"), F.col("n_rows").alias("n"),
+                          "positive_rate", "roc_auc", "pr_auc", "recall_at_target_fpr", "alert_volume_fraction", "expected_cost",
+                          F.lit(None).cast("string").alias("status"))
+    none = F.lit(None).cast("double")
+    body = slices.select(
+        F.col(split).alias("split"), F.lit("slice").alias("section"), F.concat("slice_column", F.lit("="), "slice_value").alias("item"), "n",
+        "positive_rate", "roc_auc", "pr_auc", none.alias("recall_at_target_fpr"), none.alias("alert_volume_fraction"), none.alias("expected_cost"),
+        F.when(F.col("within_tolerance").isNull(), "N/A").when(F.col("within_tolerance"), "pass").otherwise("FAIL").alias("status"))
+    return head.unionByName(body)
+
+
 def model_card_rows(metrics: DataFrame, slices: DataFrame, cfg: EvalConfig, model: str = "model") -> DataFrame:
     """The card's rows: each metric with pass / FAIL against the gate where one applies
     (N/A otherwise), and each slice value with pass / FAIL / N/A from its tolerance flag."""

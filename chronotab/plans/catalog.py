@@ -50,4 +50,5 @@ def load_all() -> None:
         q_stream,
         q_files,
         q_domains,
+        q_ops,
     )

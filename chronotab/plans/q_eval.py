@@ -141,14 +141,21 @@ SLICE_LONG = " UNION ALL ".join(
     f"SELECT '{c}' AS slice_column, CAST({c} AS VARCHAR) AS slice_value, y, score FROM ({SCORED_SQL}) "
     f"WHERE {c} IS NOT NULL" for c in SLICES)
 OVERALL = f"SELECT 0 AS one, y, score FROM ({SCORED_SQL})"
-SLICE_SQL = f"""WITH {steps_sql(SLICE_LONG, ['slice_column', 'slice_value'])},
+
+
+def slice_sql(tolerance: float) -> str:
+    return f"""WITH {steps_sql(SLICE_LONG, ['slice_column', 'slice_value'])},
 {auc_sql(['slice_column', 'slice_value'])},
 tot AS (SELECT slice_column, slice_value, max(tot_pos) AS tot_pos, max(tot_neg) AS tot_neg FROM st GROUP BY ALL),
-ov AS (WITH {steps_sql(OVERALL, ['one'])}, {auc_sql(['one'])} SELECT roc_auc AS overall_roc_auc FROM auc)
+ov AS (WITH {steps_sql(OVERALL, ['one'])}, {auc_sql(['one'])} SELECT roc_auc AS overall_roc_auc, pr_auc AS overall_pr_auc FROM auc),
+base AS (SELECT CAST(sum(y) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS overall_positive_rate FROM ({OVERALL}))
 SELECT slice_column, slice_value, CAST(tot_pos + tot_neg AS BIGINT) AS n,
-  CAST(tot_pos AS DOUBLE) / CAST(tot_pos + tot_neg AS DOUBLE) AS positive_rate, roc_auc, pr_auc, overall_roc_auc,
-  CAST(0.05 AS DOUBLE) AS tolerance, overall_roc_auc - roc_auc <= CAST(0.05 AS DOUBLE) AS within_tolerance
-FROM auc JOIN tot USING (slice_column, slice_value), ov"""
+  CAST(tot_pos AS DOUBLE) / CAST(tot_pos + tot_neg AS DOUBLE) AS positive_rate, roc_auc, pr_auc, overall_roc_auc, overall_pr_auc, overall_positive_rate,
+  CAST({tolerance} AS DOUBLE) AS tolerance, overall_roc_auc - roc_auc <= CAST({tolerance} AS DOUBLE) AS within_tolerance
+FROM auc JOIN tot USING (slice_column, slice_value), ov, base"""
+
+
+SLICE_SQL = slice_sql(0.05)
 
 
 @register("slice_metrics", SLICE_SQL, "H9 H10 T13")
@@ -164,6 +171,12 @@ def q_outside(t):
     return H.outside_tolerance(H.slice_metrics(scored(t), CFG_SLICED))
 
 
+@register("outside_tolerance_strict", f"SELECT * FROM ({slice_sql(0.0)}) WHERE within_tolerance IS NOT DISTINCT FROM false", "H16")
+def q_outside_strict(t):
+    """With no drop tolerated, every slice value below the overall AUC."""
+    return H.outside_tolerance(H.slice_metrics(scored(t), H.EvalConfig(**{**CFG.__dict__, "slices": tuple(H.SliceConfig(c, 0.0) for c in SLICES)})))
+
+
 @register("roc_points", f"WITH {steps_sql(SCORED_SQL, ['SPLIT'])}, {kept_sql(['SPLIT'])} "
                         "SELECT SPLIT, score AS threshold, fpr, tpr FROM kept", "H11")
 def q_roc_points(t):

@@ -194,6 +194,65 @@ def q_versions(t):
     return ev.withColumn("aliases", F.concat_ws(",", "aliases"))
 
 
+SPLITS = ("train", "validation", "test")
+
+
+def split_slices(t):
+    """The slice table of every split, each against its own overall."""
+    sc, out = cut_lineage(scored(t)), None
+    for name in SPLITS:
+        own = H.slice_metrics(sc.where(F.col("SPLIT") == name), CFG_TEST_SLICES).withColumn("SPLIT", F.lit(name))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+def _split_slice_sql(name: str) -> str:
+    source = f"SELECT * FROM ({SCORED_SQL}) WHERE SPLIT = '{name}'"
+    long = " UNION ALL ".join(f"SELECT '{c}' AS slice_column, CAST({c} AS VARCHAR) AS slice_value, y, score FROM ({source}) WHERE {c} IS NOT NULL" for c in SLICES)
+    return f"""SELECT '{name}' AS split, 'slice' AS section, slice_column || '=' || slice_value AS item, CAST(p + q AS BIGINT) AS n,
+  CAST(p AS DOUBLE) / CAST(p + q AS DOUBLE) AS positive_rate, roc_auc, pr_auc, CAST(NULL AS DOUBLE) AS recall_at_target_fpr,
+  CAST(NULL AS DOUBLE) AS alert_volume_fraction, CAST(NULL AS DOUBLE) AS expected_cost,
+  CASE WHEN roc_auc IS NULL THEN 'N/A' WHEN overall - roc_auc <= CAST(0.05 AS DOUBLE) THEN 'pass' ELSE 'FAIL' END AS status
+FROM (WITH {steps_sql(long, ['slice_column', 'slice_value'])}, {auc_sql(['slice_column', 'slice_value'])},
+  tot AS (SELECT slice_column, slice_value, max(tot_pos) AS p, max(tot_neg) AS q FROM st GROUP BY ALL),
+  ov AS (WITH {steps_sql(f"SELECT 0 AS one, y, score FROM ({source})", ['one'])}, {auc_sql(['one'])} SELECT roc_auc AS overall FROM auc)
+  SELECT * FROM auc JOIN tot USING (slice_column, slice_value), ov)"""
+
+
+@register("model_card", f"""SELECT SPLIT AS split, 'metrics' AS section, 'all' AS item, n_rows AS n, positive_rate, roc_auc, pr_auc, recall_at_target_fpr,
+  alert_volume_fraction, expected_cost, CAST(NULL AS VARCHAR) AS status FROM ({METRICS_SQL}) WHERE SPLIT IN ('train', 'validation', 'test')
+{' '.join('UNION ALL ' + _split_slice_sql(n) for n in SPLITS)}""", "J7 H9")
+def q_full_card(t):
+    """The card over every split: metrics, and each slice's n, positive rate, ROC-AUC, PR-AUC and status."""
+    metrics = H.compute_metrics(scored(t), CFG, by=["SPLIT"]).where(F.col("SPLIT").isin(*SPLITS))
+    return J.model_card(metrics, split_slices(t))
+
+
+# Fixed values of the versions' tags: one number that is none, reasons as a list, as text, and none.
+PAGE_TAGS = {"1": ("trees", "fail", '["pr_auc low", "slice F"]', "rejected"), "2": ("scorecard", "pass", "", "promoted"), "10": ("scorecard", "fail", "no card", "")}
+PAGE_SPLIT = {"1": "train", "2": "validation", "10": "test"}
+
+
+@register("version_pages", f"""WITH m AS ({METRICS_SQL}), v(version, split, model_type, gate, gate_reasons, promotion, aliases, rank) AS (VALUES
+  ('1', 'train', 'trees', 'fail', 'pr_auc low|slice F', 'rejected', '', 3), ('2', 'validation', 'scorecard', 'pass', '', 'promoted', 'challenger', 2),
+  ('10', 'test', 'scorecard', 'fail', 'no card', '', 'champion|production', 1))
+SELECT version, CAST(m.n_rows AS BIGINT) AS created_ms, rank, model_type, gate, gate_reasons, promotion, pr_auc, roc_auc, recall_at_target_fpr,
+  CAST(NULL AS DOUBLE) AS alert_volume_fraction, expected_cost, aliases FROM v JOIN m ON v.split = m.SPLIT""", "J6")
+def q_pages(t):
+    """Versions with the test metrics of their tags, gate, reasons and promotion, newest first by number
+    (10 before 2), aliases from the alias table."""
+    m = H.compute_metrics(scored(t), CFG, by=["SPLIT"])
+    version = F.element_at(F.create_map(*[F.lit(x) for k, v in PAGE_SPLIT.items() for x in (v, k)]), F.col("SPLIT"))
+    own = cut_lineage(m.where(F.col("SPLIT").isin(*PAGE_SPLIT.values())).withColumn("version", version))
+    numbers = F.array(*[F.struct(F.lit(f"test_{c}").alias("tag"), (F.lit("n/a") if c == "alert_volume_fraction" else F.col(c).cast("string")).alias("value"))
+                        for c in J.EVIDENCE_METRICS])
+    rows = [(v, k, x) for v, tags in PAGE_TAGS.items() for k, x in zip(("model_type", "gate", "gate_reasons", "promotion"), tags) if x]
+    tags = own.select("version", F.inline(numbers)).unionByName(t.spark.createDataFrame(rows, "version string, tag string, value string"))
+    aliases = t.spark.createDataFrame([("production", "10"), ("champion", "10"), ("challenger", "2")], "alias string, version string")
+    pages = J.version_pages(own.select("version", F.col("n_rows").cast("bigint").alias("created_ms")), tags, aliases)
+    return pages.withColumns({"gate_reasons": F.array_join("gate_reasons", "|"), "aliases": F.array_join("aliases", "|")})
+
+
 # ------------------------------------------------------------------ models (rows-only checks)
 
 NUMERIC = ["o_totalprice", "c_acctbal", "n_lines"]
