@@ -13,10 +13,12 @@ entries fewer than MIN_AGREE agree for one pair in 1,000 at the threshold itself
 
 Search: texts with equal words are one node (smallest doc_id), found by a grouped minimum. Nodes
 meet by equal entries. First, maximum spanning trees over the number of agreeing entries give the
-likeliest pairs, as many as nodes. Then the verified classes are contracted, and of the pairs of
-different classes with MIN_AGREE agreeing entries every node's best untested ones are verified, in
-rounds that take more each time (``WIDTHS``, the last without limit), until no untested pair is
-left that would join two classes. So a pair that fails costs no link, whatever the trees took.
+likeliest pairs, as many as nodes. Then the verified classes are contracted, and every pair of
+different classes with MIN_AGREE agreeing entries is verified, so a pair that fails costs no link,
+whatever the trees took. Where a bucket holds few such pairs for its nodes (``SPARSE``) they are
+listed and dealt out. Where it holds many, a family of texts that agree but are not linked, they are
+never listed: the nodes' sequences go to the tasks in which the parts of the bucket meet, which test
+the pairs of classes not yet joined there and return the links that join two, fewer than their nodes.
 Candidates are verified on their whole texts by banded alignment: first the exact bound from the
 shared shingles, then furthest-reaching diagonals, never more than the distance allowed by
 ``threshold``.
@@ -36,6 +38,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from chronotab.llm import hashing as H, shingles as S
 from chronotab.llm.components import components
+from chronotab.llm.scratch import remove, written
 from chronotab.session import cut_lineage
 
 THRESHOLD = 0.8
@@ -43,8 +46,10 @@ ENTRIES = 32
 TUPLE = 3
 MIN_AGREE = 3
 BUCKET_NODES = 4096
-#: Pairs a node may try in each round after the trees; None takes all that are left.
-WIDTHS = (8, 64, 512, None)
+#: A task lists its pairs if they are at most so many for each of its nodes.
+SPARSE = 2
+#: Bytes of sequences that a part of a bucket may hold where pairs are tested in place.
+PART_BYTES = 8 << 20
 _SEEDS = np.random.default_rng(77).integers(1, 1 << 62, ENTRIES * 2, dtype=np.uint64)
 
 
@@ -117,8 +122,10 @@ def aligned_cost(at: np.ndarray, to: np.ndarray, n: int, m: int) -> int:
     return int(gaps.sum())
 
 
-def similar(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> bool:
-    """Whether 1 - edit distance / longer length is at least ``threshold``.
+def similar(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD, named_a: np.ndarray | None = None,
+            named_b: np.ndarray | None = None) -> bool:
+    """Whether 1 - edit distance / longer length is at least ``threshold``; ``named_a`` and ``named_b`` are the
+    labelled sequences, if known.
 
     Two exact bounds decide most pairs: the number of shared shingles, and the cost of the
     alignment along them. The rest is aligned greedily along diagonals: for each number of edits
@@ -132,7 +139,8 @@ def similar(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> bool:
     band = int(np.floor(most * (1 - threshold) + 1e-9))
     if abs(n - m) > band:
         return False
-    _, at, to = np.intersect1d(labelled(a), labelled(b), assume_unique=True, return_indices=True)
+    _, at, to = np.intersect1d(labelled(a) if named_a is None else named_a, labelled(b) if named_b is None else named_b,
+                                assume_unique=True, return_indices=True)
     if most - len(at) > band:
         return False  # too few shingles are shared for any alignment
     if aligned_cost(at, to, n, m) <= band:
@@ -302,69 +310,107 @@ def candidates(met: DataFrame, nodes: DataFrame, threshold: float = THRESHOLD, b
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def in_reach(rows: DataFrame, width: int | None, threshold: float) -> DataFrame:
-    """(key, a, b) pairs, a < b, of different classes among the rows of ``left_over``.
+def near_in(table: pa.Table):
+    """Of a group of ``left_over``: its rows' nodes, classes and, node by node, the (i, places, agreement)
+    of the pairs of different classes that belong to it.
 
-    In a group (key, part, lot) the nodes that ``ask`` meet those that are ``told``. A pair belongs
-    to the bucket of its first agreeing entry only, and one of its nodes must be ``open``. Every
-    asking node gives its ``width`` pairs with most agreement, and a row with null b if it has more.
+    The nodes that ``ask`` meet those that are ``told``. A pair belongs to the bucket of its first
+    agreeing entry only, and of two nodes that both ask it is given by the smaller one.
     """
-
-    def meet(table: pa.Table) -> pa.Table:
-        key = np.uint64(table.column("key")[0].as_py() & ((1 << 64) - 1))
-        node, size, group = (table.column(c).to_numpy() for c in ("node", "n", "class"))
-        ask, told = (np.flatnonzero(table.column(c).to_numpy(zero_copy_only=False)) for c in ("ask", "told"))
-        # a pair of two nodes that both ask is given by the smaller one
-        asks_too = table.column("minor").to_numpy(zero_copy_only=False)[told]
-        is_open = table.column("open").to_numpy(zero_copy_only=False)
-        entry = np.frombuffer(b"".join(table.column("sketch").to_pylist()), dtype=np.uint64).reshape(len(node), ENTRIES)
-        other = entry[told]
-        a, b, more = [], [], []
+    key = np.uint64(table.column("key")[0].as_py() & ((1 << 64) - 1))
+    node, size, group = (table.column(c).to_numpy() for c in ("node", "n", "class"))
+    ask, told = (np.flatnonzero(table.column(c).to_numpy(zero_copy_only=False)) for c in ("ask", "told"))
+    asks_too = table.column("minor").to_numpy(zero_copy_only=False)[told]
+    entry = np.frombuffer(b"".join(table.column("sketch").to_pylist()), dtype=np.uint64).reshape(len(node), ENTRIES)
+    other = entry[told]
+
+    def pairs(threshold: float):
         for i in ask.tolist():
-            ok = (group[told] != group[i]) & (~asks_too | (node[told] > node[i])) & (is_open[told] | is_open[i])
+            ok = (group[told] != group[i]) & (~asks_too | (node[told] > node[i]))
             ok &= np.minimum(size[told], size[i]) >= threshold * np.maximum(size[told], size[i])
             at = np.flatnonzero(ok)
             same = other[at] == entry[i]
             many = same.sum(axis=1)
-            own = entry[i][same.argmax(axis=1)] == key
-            ok = (many >= MIN_AGREE) & own
-            at, many = at[ok], many[ok]
-            if width is not None and len(at) > width:
-                at = at[np.lexsort((node[told[at]], -many))[:width]]
-                more.append(node[i])
+            ok = (many >= MIN_AGREE) & (entry[i][same.argmax(axis=1)] == key)
+            if ok.any():
+                yield i, told[at[ok]], many[ok]
+
+    return node, group, pairs
+
+
+def few_pairs(rows: DataFrame, threshold: float) -> DataFrame:
+    """(key, a, b) pairs, a < b, of different classes among the rows of ``left_over``; a group of more
+    than SPARSE pairs for each row gives none of them but one row with null b."""
+
+    def meet(table: pa.Table) -> pa.Table:
+        node, _, pairs = near_in(table)
+        a, b, most = [], [], SPARSE * len(node)
+        for i, at, _ in pairs(threshold):
             a.append(np.full(len(at), node[i]))
-            b.append(node[told[at]])
-        a, b, more = (np.concatenate([np.zeros(0, dtype=np.int64), *x]) for x in (a, b, [np.array(more, dtype=np.int64)]))
-        m = len(more)
-        return pa.table({"key": pa.array(np.full(len(a) + m, table.column("key")[0].as_py())),
-                         "a": pa.array(np.r_[np.minimum(a, b), more]),
-                         "b": pa.array(np.r_[np.maximum(a, b), more], mask=np.r_[np.zeros(len(a), bool), np.ones(m, bool)])})
+            b.append(node[at])
+            most -= len(at)
+            if most < 0:
+                break
+        key = table.column("key")[0].as_py()
+        if most < 0:
+            return pa.table({"key": pa.array([key], pa.int64()), "a": pa.array([None], pa.int64()), "b": pa.array([None], pa.int64())})
+        a, b = (np.concatenate([np.zeros(0, dtype=np.int64), *x]) for x in (a, b))
+        return pa.table({"key": pa.array(np.full(len(a), key, dtype=np.int64)), "a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
 
     return rows.groupBy("key", "part", "lot").applyInArrow(meet, "key long, a long, b long")
 
 
-def left_over(met: DataFrame, nodes: DataFrame, roots: DataFrame, bucket_nodes: int, more: DataFrame | None = None) -> DataFrame:
-    """The rows of ``in_reach``: buckets that still hold several classes.
+def links_in_place(rows: DataFrame, threshold: float) -> DataFrame:
+    """(a, b) similar pairs that join the classes of a group of ``left_over`` (with sequences): the likeliest
+    pairs of a node first, none of two classes that the group has joined already."""
+
+    def test(table: pa.Table) -> pa.Table:
+        node, group, pairs = near_in(table)
+        raw = table.column("seq").to_pylist()
+        root = {int(c): int(c) for c in group}
+        known: dict[int, tuple] = {}
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        def text(i: int) -> tuple:
+            if i not in known:
+                seq = np.frombuffer(raw[i], dtype=np.uint64)
+                known[i] = (seq, labelled(seq))
+            return known[i]
 
-    ``more`` names the (key, node) that have pairs left; without it all nodes are open.
+        a, b = [], []
+        for i, at, many in pairs(threshold):
+            for j in at[np.lexsort((node[at], -many))].tolist():
+                x, y = find(int(group[i])), find(int(group[j]))
+                if x != y and similar(text(i)[0], text(j)[0], threshold, text(i)[1], text(j)[1]):
+                    root[max(x, y)] = min(x, y)
+                    a.append(node[i])
+                    b.append(node[j])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    Two nodes of a bucket's most frequent class need no comparison, so only the others ask. The
-    nodes are dealt to parts and those that ask to lots of about ``bucket_nodes``; every lot meets
-    every part in a task of its own, so no task grows with a bucket and no pair is left out.
+    return rows.groupBy("key", "part", "lot").applyInArrow(test, "a long, b long")
+
+
+def left_over(met: DataFrame, nodes: DataFrame, roots: DataFrame, bucket_nodes: int, only: DataFrame | None = None) -> DataFrame:
+    """The rows of buckets (of those in ``only``, if given) that still hold several classes.
+
+    Two nodes of a bucket's most frequent class need no comparison, so only the others ask. The nodes
+    are dealt to parts of about ``bucket_nodes`` and PART_BYTES, and those that ask to lots; every lot
+    meets every part in a task of its own, so no task grows with a bucket and no pair is left out.
     """
-    own = (met.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("class")))
-    sizes = own.groupBy("key", "class").count()
+    own = met if only is None else met.join(only, "key", "leftsemi")
+    own = own.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("class"))
+    own = own.join(nodes.select("node", "n"), "node")
+    sizes = own.groupBy("key", "class").agg(F.count(F.lit(1)).alias("count"), F.sum("n").alias("n"))
     buckets = (sizes.groupBy("key").agg(F.count("*").alias("classes"), F.max_by("class", F.struct("count", "class")).alias("major"),
-                                        F.sum("count").alias("size"), F.max("count").alias("most"))
-               .where("classes > 1")
-               .select("key", "major", F.ceil(F.col("size") / bucket_nodes).alias("parts"),
-                       F.ceil((F.col("size") - F.col("most")) / bucket_nodes).alias("lots")))
-    if more is None:
-        own = own.withColumn("open", F.lit(True))
-    else:
-        more = more.withColumn("open", F.lit(True))
-        buckets = buckets.join(more.select("key").distinct(), "key", "leftsemi")
-        own = own.join(more, ["key", "node"], "left").withColumn("open", F.col("open").isNotNull())
+                                        F.sum("count").alias("size"), F.max("count").alias("most"), F.sum("n").alias("n"))
+               .where("classes > 1").withColumn("share", F.ceil(F.col("n") * 8 / PART_BYTES))
+               .select("key", "major", F.greatest("share", F.ceil(F.col("size") / bucket_nodes)).alias("parts"),
+                       F.greatest("share", F.ceil((F.col("size") - F.col("most")) / bucket_nodes)).alias("lots")))
     rows = own.join(buckets, "key").withColumns({
         "minor": F.col("class") != F.col("major"), "own_part": F.pmod(F.xxhash64("node"), "parts"),
         "own_lot": F.pmod(F.xxhash64("node", F.lit(1)), "lots")})
@@ -372,10 +418,21 @@ def left_over(met: DataFrame, nodes: DataFrame, roots: DataFrame, bucket_nodes:
             .withColumns({"part": F.col("own_part"), "told": F.lit(True), "ask": F.expr("minor and lot = own_lot")}))
     asks = (rows.where("minor and parts > 1").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
             .where("part <> own_part").withColumns({"lot": F.col("own_lot"), "told": F.lit(False), "ask": F.lit(True)}))
-    dealt = told.select(columns := ["key", "part", "lot", "node", "class", "minor", "open", "ask", "told"]).union(asks.select(columns))
+    dealt = told.select(columns := ["key", "part", "lot", "node", "class", "minor", "ask", "told"]).union(asks.select(columns))
     return dealt.join(nodes.select("node", "n", "sketch"), "node")
 
 
+def sequences(texts: DataFrame) -> DataFrame:
+    """(node, seq): every text's shingles in order."""
+
+    def make(batches):
+        for batch in batches:
+            made = [sequence(w).tobytes() for w in S.word_rows(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(made, pa.binary())], ["node", "seq"])
+
+    return texts.select("doc_id", "text").mapInArrow(make, "node long, seq binary")
+
+
 def verified(docs: DataFrame, pairs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The pairs whose texts are similar."""
 
@@ -392,6 +449,13 @@ def verified(docs: DataFrame, pairs: DataFrame, threshold: float = THRESHOLD) ->
     return both.select("a", "b", "left", "right").mapInArrow(align, "a long, b long")
 
 
+def joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` with the classes of ``links`` joined."""
+    if links.isEmpty():
+        return roots
+    return cut_lineage(components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).union(links)))
+
+
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD, bucket_nodes: int = BUCKET_NODES) -> DataFrame:
     """(doc_id, class_id), one row per document: the least doc_id of its class.
 
@@ -403,25 +467,22 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, bucket_nodes: in
     nodes = names.select("node", "n", "sketch")
     met = cut_lineage(meetings(nodes))
     # few nodes meet at all: their texts are dealt out once
-    texts = cut_lineage(docs.select("doc_id", "text").where("text is not null")
-                        .join(met.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "leftsemi"))
+    texts, folder = written(docs.select("doc_id", "text").where("text is not null")
+                            .join(met.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "leftsemi"), "texts")
     tested = cut_lineage(candidates(met, nodes, threshold, bucket_nodes))
     # a doc_id on rows of different texts ties their nodes together
     own = made.select("low", "high", "doc_id").distinct().join(names.select("low", "high", "node"), ["low", "high"])
     twice = own.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("doc_id", "a")
     tied = own.join(twice, "doc_id").select("a", F.col("node").alias("b"))
     roots = cut_lineage(components(verified(texts, tested, threshold).union(tied)))
-    more = None
-    for width in WIDTHS:
-        found = cut_lineage(in_reach(left_over(met, nodes, roots, bucket_nodes, more), width, threshold))
-        fresh = cut_lineage(found.where("b is not null").select("a", "b").distinct().join(tested, ["a", "b"], "leftanti"))
-        links = cut_lineage(verified(texts, fresh, threshold))
-        if not links.isEmpty():
-            roots = cut_lineage(components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).union(links)))
-        more = found.where("b is null").select("key", F.col("a").alias("node")).distinct()
-        if more.isEmpty():
-            break
-        tested = tested.union(fresh)
+    found = cut_lineage(few_pairs(left_over(met, nodes, roots, bucket_nodes), threshold))
+    fresh = cut_lineage(found.where("b is not null").select("a", "b").distinct().join(tested, ["a", "b"], "leftanti"))
+    roots = joined(roots, cut_lineage(verified(texts, fresh, threshold)))
+    many = cut_lineage(found.where("b is null").select("key").distinct())
+    if not many.isEmpty():
+        rows = left_over(met, nodes, roots, bucket_nodes, many).join(sequences(texts), "node")
+        roots = joined(roots, cut_lineage(links_in_place(rows, threshold)))
+    remove(docs.sparkSession, folder)
     member = (own.join(roots, "node", "left").groupBy("doc_id")
               .agg(F.min(F.coalesce("root", "node")).alias("class_id")))
     return (docs.select("doc_id").join(member, "doc_id", "left")
