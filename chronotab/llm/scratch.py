@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import weakref
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,3 +29,16 @@ def until_done(result: DataFrame, *folders: str) -> DataFrame:
     for folder in folders:
         weakref.finalize(result, remove, result.sparkSession, folder).atexit = False
     return result
+
+
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Inside, an action's shuffle files go when it ends, not when the driver happens to collect its
+    garbage: for iterations that cut their lineage in every round and never look back."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
