@@ -8,8 +8,9 @@ over; a copy's virtual finish time is the source's cumulative words up to and wi
 the source's target. All copies are range-sorted by finish time and the mix is cut off at the
 total budget.
 
-Ties in finish time go by source, shuffle value, doc_id, size and copy; rows alike in all of these
-are taken or left together. A null doc_id shuffles as an empty text; documents of size 0 take no
+Ties in finish time go by source, shuffle value, doc_id, size, the row's key where one is given, and
+copy. Without a key, of rows alike in all of these either may be the one that the cut leaves out;
+``mixed_documents`` gives every row a key. A null doc_id shuffles as an empty text; documents of size 0 take no
 part and are returned with taken 0; other columns are ignored; an empty table gives an empty
 result. Reruns agree: nothing depends on partitioning.
 
@@ -93,28 +94,31 @@ def targets(sizes: DataFrame, passes: int = PASSES) -> DataFrame:
                          F.least(F.col("weight") * F.lit(level).cast("double"), F.col("cap").cast("double")).alias("target"))
 
 
-def mix(docs: DataFrame, passes: int = PASSES) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies, taken) per document."""
+def mix(docs: DataFrame, passes: int = PASSES, key: str | None = None) -> DataFrame:
+    """(doc_id, source, size, source_size, target, copies, taken) per document, and ``key``, a long column
+    that differs in every row, if given."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     shuffled = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
-    sized = cut_lineage(docs.select("doc_id", "source", size.alias("size"), shuffled.alias("shuffled")))
+    own = [F.col(key).cast("long").alias("_key")] if key else []
+    sized = cut_lineage(docs.select("doc_id", "source", size.alias("size"), shuffled.alias("shuffled"), *own))
     goals = targets(sized, passes)
     if goals.count() <= BROADCAST_SOURCES:
         goals = F.broadcast(goals)
     goals = goals.withColumnRenamed("source", "_source")
     sized = sized.join(goals, sized["source"].eqNullSafe(goals["_source"]), "left").drop("_source")
     place = [F.col("source").asc_nulls_last(), F.col("shuffled").asc(), F.col("doc_id").asc_nulls_last(), F.col("size").asc()]
+    place += [F.col("_key").asc()] if key else []
     queued = running_total(sized, place, ["size"], "source")
 
-    def key(copy: Column) -> Column:
+    def place_of(copy: Column) -> Column:
         finish = ((copy - 1) * F.col("source_size") + F.col("size_to")) / F.col("target")
         return F.struct(finish.alias("finish"), F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("source"),
                         F.col("shuffled"), F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"),
-                        F.col("size"), copy.alias("copy"))
+                        F.col("size"), *([F.col("_key").alias("key")] if key else []), copy.alias("copy"))
 
     queued = cut_lineage(queued)
     copies = (queued.where("size > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(passes).cast("long"))))
-              .select(key(F.col("copy")).alias("key"), "size"))
+              .select(place_of(F.col("copy")).alias("key"), "size"))
     budget = sized.agg(F.sum("size")).first()[0] or 0
     sent = running_total(copies, [F.col("key").asc()], ["size"])
     last = sent.where(F.col("size_to") <= budget).agg(F.max("key").alias("key")).first()["key"]
@@ -122,19 +126,18 @@ def mix(docs: DataFrame, passes: int = PASSES) -> DataFrame:
         taken = F.lit(0)
     else:
         cut = F.struct(*[F.lit(last[f.name]).cast(f.dataType).alias(f.name) for f in copies.schema["key"].dataType.fields])
-        taken = sum((F.when(key(F.lit(c).cast("long")) <= cut, 1).otherwise(0) for c in range(1, passes + 1)), F.lit(0))
+        taken = sum((F.when(place_of(F.lit(c).cast("long")) <= cut, 1).otherwise(0) for c in range(1, passes + 1)), F.lit(0))
     taken = F.when(F.col("size") > 0, taken).otherwise(0).cast("long")
     return queued.select("doc_id", "source", "size", "source_size", "target", taken.alias("copies"),
-                         (taken * F.col("size")).alias("taken"))
+                         (taken * F.col("size")).alias("taken"), *([F.col("_key").alias(key)] if key else []))
 
 
 def mixed_documents(docs: DataFrame, passes: int = PASSES) -> DataFrame:
-    """The rows of ``docs`` that the mix takes, each as often as it takes it (``copy`` from 1)."""
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    plan = (mix(docs, passes).where("copies > 0")
-            .select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_n"), F.col("copies").alias("_c"))
-            .distinct())
-    on = docs["doc_id"].eqNullSafe(plan["_d"]) & docs["source"].eqNullSafe(plan["_s"]) & (size == plan["_n"])
-    out = docs.join(plan, on)
-    return out.select(*[docs[c] for c in docs.columns if c != "copy"],
-                      F.explode(F.sequence(F.lit(1).cast("long"), F.col("_c"))).alias("copy"))
+    """The rows of ``docs`` that the mix takes, each as often as it takes it (``copy`` from 1, in place of
+    a column of that name). Every row has a key of its own, so repeated rows are taken one by one."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = cut_lineage(docs.select(row, F.monotonically_increasing_id().alias("key")))
+    taken = mix(rows.select("row.doc_id", "row.source", "row.text", "key"), passes, "key").where("copies > 0").select("key", "copies")
+    out = rows.select("key", "row").join(taken, "key").select(
+        "row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"))
+    return out.select(*[F.col(f"row.`{c}`") for c in docs.columns if c != "copy"], "copy")

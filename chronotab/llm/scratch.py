@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import contextlib
-import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,13 +23,6 @@ def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.parquet(folder), folder
 
 
-def until_done(result: DataFrame, *folders: str) -> DataFrame:
-    """``result``, whose folders are removed when nobody holds it any more."""
-    for folder in folders:
-        weakref.finalize(result, remove, result.sparkSession, folder).atexit = False
-    return result
-
-
 @contextlib.contextmanager
 def shuffles_removed(spark: SparkSession):
     """Inside, an action's shuffle files go when it ends, not when the driver happens to collect its

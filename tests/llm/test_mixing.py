@@ -94,3 +94,15 @@ def test_running_total(spark):
     for r in sorted(got, key=lambda r: (r.g is None, r.g or 0, r.v, r.i)):
         total[r.g] = total.get(r.g, 0) + r.v
         assert r.v_to == total[r.g]
+
+
+def test_repeated_rows_are_taken_one_by_one(spark):
+    """Rows alike in everything: what comes out is what the mix takes, within the budget."""
+    rows = [(7, "w " * 10, "a")] * 40 + [(8, "w " * 10, "b")] * 10
+    docs = spark.createDataFrame([(d, t.strip(), s, "row", 5, "x") for d, t, s in rows], "doc_id long, text string, source string, row string, key int, copy string")
+    out = mixing.mixed_documents(docs)
+    plan = mixing.mix(docs.withColumn("at", F.monotonically_increasing_id()), key="at").collect()
+    assert out.columns == ["doc_id", "text", "source", "row", "key", "copy"]
+    assert out.count() * 10 == sum(r.taken for r in plan) <= 500 and len(plan) == 50
+    assert {(r.doc_id, r["count"]) for r in out.groupBy("doc_id").count().collect()} == {(d, sum(r.copies for r in plan if r.doc_id == d)) for d in (7, 8)}
+    assert out.where("copy > 3").isEmpty() and out.where("row <> 'row' or key <> 5").isEmpty()

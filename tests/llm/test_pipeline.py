@@ -84,3 +84,30 @@ def test_null_and_shared_ids(spark, folder):
     assert (1, a) in cut and (1, b) in cut and (None, a) not in cut and cut.count((None, c)) == 1
     assert (2, "one " + passage) in cut and (3, rows[8][1]) in cut
     assert all(passage not in t for d, t in cut if d != 2)
+
+
+CLASH = ["row", "key", "left", "score", "leaks", "copy", "order", "class_id", "_row", "_stats", "_quality", "_left", "_leaks", "_order"]
+
+
+def test_names_that_stages_use(spark, folder):
+    """Columns of any name come out as they went in."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet").withColumns({c: F.concat(F.lit(f"{c} of "), F.col("doc_id")) for c in CLASH})
+    for name, stage in P.STAGES:
+        out = stage(spark, docs, folder)
+        kept = [c for c in CLASH if c != "copy" or name != "source mix"]
+        assert set(out.columns) >= set(docs.columns) and out.where(" or ".join(f"`{c}` <> '{c} of ' || doc_id" for c in kept)).isEmpty()
+        assert out.count() > 100
+
+
+def test_repeated_rows_and_very_long_texts(spark, folder):
+    """Three equal rows of one id, and a text of 200,000 words: each stage takes rows one by one."""
+    rng = random.Random(12)
+    text, long = sentence(rng, 60), sentence(rng, 200_000)
+    docs = spark.createDataFrame([(1, text, "en", "s", 1)] * 3 + [(2, long, "en", "s", 1), (3, None, None, None, None), (4, "", "en", "t", 0)], COLUMNS)
+    assert sorted(r.doc_id for r in P.keep_one_copy(spark, docs, folder).collect()) == [1, 2, 3, 4]
+    cut = P.cut_repeats(spark, docs, folder).collect()
+    assert sorted(r.doc_id for r in cut) == [1, 2, 3, 4] and {r.text for r in cut if r.doc_id == 1} == {text}
+    assert P.drop_leaks(spark, docs, folder).count() == 6
+    mixed = P.mix_sources(spark, docs, folder).collect()
+    words = sum(len((r.text or "").split()) for r in mixed)
+    assert words <= 180 + 200_000 and {r.doc_id for r in mixed} <= {1, 2} and len([r for r in mixed if r.doc_id == 1]) <= 9
