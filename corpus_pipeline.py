@@ -2,7 +2,13 @@
 
 ``STAGES`` are (name, function) pairs in order; a function takes (spark, docs, sf_dir) and returns
 the documents it keeps. Every stage is written as Parquet and read again before the next one. All
-but the last return the columns of ``docs``; the last adds ``copy``.
+but the last return the columns of ``docs``; the last adds ``copy`` (and leaves out a column of that
+name).
+
+For every stage: columns beyond doc_id, text, source and n_chars are carried along whatever their
+names; rows count one by one, whatever doc_id they have or share, so repeated rows and rows without
+doc_id are handled like any others; texts are looked at whole, null texts as empty ones; an empty
+table gives an empty table.
 """
 
 from __future__ import annotations
@@ -17,58 +23,66 @@ from chronotab.session import cut_lineage, prepare_session
 ORACLE_SQL = None
 
 
-def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts (score of 0.3 or more)."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = quality.quality(docs, labels, keep=docs.columns, into="_quality")
-    return scored.where(F.col("_quality") >= quality.ACCEPT).select(docs.columns)
+def wrapped(docs: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` beside the whole row as one column ``row``, so that no name can clash."""
+    return docs.select(*columns, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
 
 
-def with_key(docs: DataFrame) -> DataFrame:
-    """``docs`` with a key ``_row`` of its own for every row, written with it in the shared folder."""
-    return cut_lineage(docs.withColumn("_row", F.monotonically_increasing_id()))
+def keyed(docs: DataFrame) -> DataFrame:
+    """(row, key): every row with a key of its own, written with it in the shared folder. Spark removes
+    the files when no table refers to them any more."""
+    return cut_lineage(wrapped(docs).withColumn("key", F.monotonically_increasing_id()))
 
 
-def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row with the least doc_id (nulls last, then by text) of each class of near duplicates.
+def fields(*columns: str) -> list:
+    return [F.col(f"row.{c}").alias(c) for c in columns]
 
-    Rows count one by one, whatever doc_id they have or share.
-    """
-    rows = with_key(docs)
-    near = order_minhash.near_classes(rows.select(F.col("_row").alias("doc_id"), "text"))
-    near = near.select(F.col("doc_id").alias("_row"), "class_id")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), "_row")
-    first = (rows.select("_row", "doc_id", "text").join(near, "_row").select("class_id", "_row", order.alias("_order"))
-             .groupBy("class_id").agg(F.min_by("_row", "_order").alias("_row")).select("_row"))
-    return rows.join(first, "_row", "leftsemi").select(docs.columns)
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts (score of 0.3 or more); null and empty texts are
+    scored as empty ones."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = quality.quality(wrapped(docs, "doc_id", "text"), labels, keep=["row"], into="score")
+    return scored.where(F.col("score") >= quality.ACCEPT).select("row.*")
+
+
+def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The row with the least doc_id (nulls last, then by text) of each class of near duplicates. Rows
+    without words are in no class with others and all stay."""
+    rows = keyed(docs)
+    near = order_minhash.near_classes(rows.select(F.col("key").alias("doc_id"), *fields("text"))).select(F.col("doc_id").alias("key"), "class_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), "key")
+    first = (rows.select("key", *fields("doc_id", "text")).join(near, "key").select("class_id", "key", order.alias("order"))
+             .groupBy("class_id").agg(F.min_by("key", "order").alias("key")).select("key"))
+    return rows.join(first, "key", "leftsemi").select("row.*")
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the strings of 100 bytes that start earlier; n_chars follows the text.
 
-    Bytes of a character that is cut through go as well. A document of which nothing is left goes.
-    Rows are cut one by one, whatever doc_id they have or share.
+    Bytes of a character that is cut through go as well (as do characters U+FFFD of a document that is
+    cut). A document of which nothing is left goes; null and empty texts stay.
     """
-    rows = with_key(docs)
-    cut = suffix_dedup.remove_repeats(rows, key="_row")
-    changed = (cut.where("n_removed > 0")
-               .select("_row", F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", "").alias("_left")))
-    out = rows.join(changed, "_row", "left")
-    text = F.when(F.col("_left").isNull(), F.col("text")).otherwise(F.col("_left"))
-    out = out.where("_left is null or trim(_left) <> ''").withColumn("text", text)
+    rows = keyed(docs)
+    cut = suffix_dedup.remove_repeats(rows.select("key", *fields("doc_id", "text")), key="key")
+    left = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", "")
+    changed = cut.where("n_removed > 0").select("key", left.alias("left"))
+    out = rows.select("key", "row").join(changed, "key", "left").where("left is null or trim(left) <> ''")
+    whole = F.col("row").withField("text", F.col("left"))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_left").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(docs.columns)
+        whole = whole.withField("n_chars", F.length("left").cast(docs.schema["n_chars"].dataType))
+    return out.select(F.when(F.col("left").isNull(), F.col("row")).otherwise(whole).alias("row")).select("row.*")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item; null and empty texts hold none."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return containment.add_matches(docs, items, into="_leaks").where(F.size("_leaks") == 0).select(docs.columns)
+    return containment.add_matches(wrapped(docs, "text"), items, into="leaks").where(F.size("leaks") == 0).select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The source mix: every document as often as the mix takes it."""
+    """The source mix: every row as often as the mix takes it (``copy`` from 1). Documents without words
+    are taken never; rows alike in all else are taken one after the other."""
     return mixing.mixed_documents(docs)
 
 
