@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chronotab.llm import containment, mixing, order_minhash, quality, suffix_dedup
 from chronotab.llm.queries import shared_folder
+from chronotab.llm.scratch import written
 from chronotab.session import cut_lineage, prepare_session
 
 #: Rule ensembles and alignments are not expressible in SQL; tests check every stage by brute force.
@@ -63,7 +64,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Bytes of a character that is cut through go as well (as do characters U+FFFD of a document that is
     cut). A document of which nothing is left goes; null and empty texts stay.
     """
-    rows = keyed(docs)
+    # by column and compressed: a checkpoint of whole rows would stand beside the blocks' exchange
+    rows, _ = written(wrapped(docs).withColumn("key", F.monotonically_increasing_id()), "rows")
     cut = suffix_dedup.remove_repeats(rows.select("key", *fields("doc_id", "text")), key="key")
     left = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", "")
     changed = cut.where("n_removed > 0").select("key", left.alias("left"))
