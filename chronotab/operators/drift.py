@@ -177,8 +177,3 @@ def drift_run(reference: DataFrame, current: DataFrame, score: str, cfg: DriftCo
                         F.lit("ok").alias("status"), "n_columns", "n_drifted", share.alias("drifted_share"), flag.alias("dataset_drift"),
                         "prediction_psi", "prediction_drift", retrain_decision(flag, F.col("prediction_drift")).alias("retrain"))
     return report, features.select("column_name", "kind", "psi", "drifted")
-
-
-def min_sample_status(n_current, min_current: int):
-    """K2: under the minimum the run reports ``no_data``."""
-    return F.when(n_current < min_current, F.lit("no_data")).otherwise(F.lit("ok"))

@@ -181,7 +181,7 @@ def q_snapshot(t):
 @register("send_summary", """SELECT event_type AS target, CAST(count(*) AS BIGINT) AS sent,
   CAST(count(*) FILTER (WHERE value > 200) AS BIGINT) AS failed,
   count(*) FILTER (WHERE value > 200) > count(*) * 0.1::DOUBLE AS run_failed
-FROM events GROUP BY event_type""", "K16 K17")
+FROM events GROUP BY event_type""", "K16")
 def q_send(t):
     """Per target (any, null included), requests sent and failed, and whether the run fails."""
     sent = t.events.select(F.col("event_type").alias("target"), F.when(F.col("value") > 200, 503).otherwise(200).alias("status"))
@@ -204,7 +204,7 @@ def transaction_rows(t):
 
 @register("transaction_contract_file", """SELECT 'amt' AS column_name, 'greater_than_or_equal' AS "check", CAST(count(*) AS BIGINT) AS n_failed
 FROM events WHERE event_id % 97 = 0
-UNION ALL SELECT 'gender', 'in_set', CAST(count(*) AS BIGINT) FROM events WHERE event_id % 89 = 0""", "A2 G1 G2 G3 G4 G5 G7 M10")
+UNION ALL SELECT 'gender', 'in_set', CAST(count(*) AS BIGINT) FROM events WHERE event_id % 89 = 0""", "A2 G1 G2 G3 G4 G5 G7")
 def q_transaction_contract(t):
     """Transactions written as CSV with an index column, read by their contract and checked."""
     path = folder(t, "transactions")

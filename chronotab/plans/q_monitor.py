@@ -197,7 +197,7 @@ def outcomes(t):
     return O.outcome_table(outcome_features(t), ids, "event_id", "TARGET")
 
 
-@register("outcome_table", OUTCOME_SQL, "C6 C7 K14 B12")
+@register("outcome_table", OUTCOME_SQL, "C6 C7 B12")
 def q_outcomes(t):
     """Known outcome of every replayed entity (id as string, null target dropped)."""
     return outcomes(t)

@@ -1,6 +1,5 @@
 """Splits and maturity (F1-F4), metrics (H1-H8), slices (H9, H10), curves."""
 
-import datetime as dt
 
 import numpy as np
 import pytest
@@ -155,7 +154,3 @@ def test_global_row_number_without_single_partition(spark):
     # rows are windowed per range bucket; only the small per-bucket offsets table is ordered
     # as a whole
     assert "hashpartitioning(_rng" in plan
-
-
-def test_dt():
-    assert dt.date(2020, 1, 1)

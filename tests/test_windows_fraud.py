@@ -1,7 +1,6 @@
 """Fraud window features on the reference's fixture (E2-E12, T1, T2, T4) plus brute-force
 recompute (D10), bucket splitting (P4) and the stream twin (M3)."""
 
-import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
@@ -160,7 +159,3 @@ def test_fraud_split_bounds_are_instants(spark):
     f = _feats(spark)
     assert f["t0"]["SPLIT"] == "train" and f["t1"]["SPLIT"] == "excluded"  # T11: to = midnight
     assert f["t3"]["SPLIT"] == "excluded" and f["t4"]["SPLIT"] == "test"  # 01:00 is after the validation instant
-
-
-def test_dt_unused():
-    assert dt.timedelta(days=1)
