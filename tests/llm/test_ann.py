@@ -55,3 +55,35 @@ def test_empty(spark):
     assert ann.nearest(none, F.col("vec_id") % 20 == 0).count() == 0
     one = spark.createDataFrame([(0, [1.0, 0.0])], "vec_id long, embedding array<float>")
     assert ann.nearest(one, F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_exact_path(table):
+    rows, df = table
+    want = exact(rows, 20)
+    got = {}
+    for r in ann.nearest(df, F.col("vec_id") % 20 == 0, 20, confidence=1.0, shard_rows=400).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    for q, near in want.items():
+        assert [i for i, _ in got.get(q, [])] == [i for i, _ in near]
+
+
+@pytest.mark.parametrize("dims", [1, 2, 3, 16, 64, 200])
+def test_windows(dims):
+    """Recall of 0.9 without structure to help; far fewer entries and products where there is some."""
+    rng = np.random.default_rng(dims)
+    flat = rng.normal(size=(3000, dims))
+    flat[::7] = flat[0]
+    groups = np.repeat(rng.normal(size=(100, dims)), 30, axis=0)
+    groups = groups / np.linalg.norm(groups, axis=1, keepdims=True) + 0.01 * rng.normal(size=(3000, dims))
+    share = []
+    for vectors in (flat, groups):
+        index, asked = ann.CollisionIndex(vectors), vectors[::60]
+        found = index.search(asked, 20)
+        best = np.sort(asked @ vectors.T, axis=1)[:, -20]
+        hits = [(score >= least - 1e-9).mean() for (_, score), least in zip(found, best)]
+        assert np.mean(hits) >= 0.9
+        for q, (at, score) in zip(asked, found):
+            assert len(at) == len(set(at.tolist())) == 20 and score == pytest.approx(vectors[at] @ q, abs=1e-9)
+        share.append((index.entries / len(asked) / index.sorted.size, index.verified / len(asked) / len(vectors)))
+    if dims >= 16:
+        assert share[0][0] < 0.6 and share[1][0] < 0.35 and share[1][1] < 0.1
