@@ -20,11 +20,11 @@ PIECE_BYTES = 1 << 20
 BUCKET_BLOCKS = 8
 
 
-def in_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES, key: str | None = None) -> tuple[DataFrame, int]:
-    """(doc_id, text, block) and the number of blocks; other columns are left out, but for the row key ``key`` if named."""
+def in_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES, keep: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
+    """(doc_id, text, block) and the number of blocks; other columns are left out, but for those named in ``keep``."""
     total = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
     n = int(max(1, -(-total // block_bytes)))
-    out = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *([key] if key else []))
+    out = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *keep)
     block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")
     return out.withColumn("block", block), n
 
@@ -59,9 +59,9 @@ def repeated_keys(blocks: DataFrame, n: int, keys: Callable[[pa.Table], np.ndarr
     return sent.groupBy("bucket").applyInArrow(meet, "block int, keys binary")
 
 
-def ordered(table: pa.Table) -> pa.Table:
+def ordered(table: pa.Table, key: str | None = None) -> pa.Table:
     """A block's rows in an order that every pass sees alike: doc_id (nulls last), text, then any row key."""
-    return table.sort_by([(c, "ascending") for c in table.column_names if c != "block"])
+    return table.sort_by([(c, "ascending") for c in ("doc_id", "text", key) if c])
 
 
 def gather(table: pa.Table) -> np.ndarray:

@@ -23,7 +23,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from chronotab.llm import blocks as B, hashing as H
 from chronotab.llm.esa import SuffixArray, later_occurrences
@@ -41,16 +41,16 @@ def _pieces(table: pa.Table):
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR_BYTES,
-                   block_bytes: int = B.BLOCK_BYTES, key: str | None = None) -> tuple[DataFrame, DataFrame]:
+                   block_bytes: int = B.BLOCK_BYTES, key: str | None = None, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """(blocks, spans): the dealt documents and (block, row, start, until) byte spans to remove."""
-    blocks, n = B.in_blocks(docs, block_bytes, key)
+    blocks, n = B.in_blocks(docs, block_bytes, (*([key] if key else []), *keep))
 
     def keys(table: pa.Table) -> np.ndarray:
         return np.unique(np.concatenate([np.zeros(0, dtype=np.uint64)] + [
             H.anchors(H.byte_values(data), offs, length, anchor)[1] for _, data, offs in _pieces(table)]))
 
-    def neighbourhoods(key, table: pa.Table, repeated: pa.Table) -> pa.Table:
-        table = B.ordered(table)
+    def neighbourhoods(table: pa.Table, repeated: pa.Table) -> pa.Table:
+        table = B.ordered(table, key)
         ids = pc.fill_null(table.column("doc_id").cast(pa.int64()), _LAST).to_numpy()
         found = []
         for i, data, offs in _pieces(table):
@@ -140,16 +140,19 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR_B
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR_BYTES,
-                   block_bytes: int = B.BLOCK_BYTES, key: str | None = None) -> DataFrame:
+                   block_bytes: int = B.BLOCK_BYTES, key: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, text, kept binary, spans): what is left of each text.
 
     ``kept`` holds the remaining bytes, which need not be whole characters; ``spans`` the removed
-    runs as an array of [start, until). ``key`` names a long column that comes back with its row.
+    runs as an array of [start, until). ``key`` names a column that sets rows alike in doc_id and text in
+    order; it and the columns named in ``keep`` travel with the text and come back with their row, so
+    that nothing has to be joined to the texts afterwards.
     """
-    blocks, spans = repeated_spans(docs, length, anchor, block_bytes, key)
+    blocks, spans = repeated_spans(docs, length, anchor, block_bytes, key, keep)
+    carried = [*([key] if key else []), *keep]
 
     def cut(table: pa.Table, drop: pa.Table) -> pa.Table:
-        table = B.ordered(table)
+        table = B.ordered(table, key)
         rows = drop.column("row").to_numpy()
         order = np.argsort(rows, kind="stable")
         at = np.searchsorted(rows[order], np.arange(table.num_rows + 1))
@@ -166,9 +169,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR_B
             "doc_id": table.column("doc_id").cast(pa.int64()), "n_bytes": pa.array(np.diff(offs)),
             "n_removed": pa.array(removed, pa.int64()), "kept": pa.array(kept, pa.binary()),
             "spans": pa.array(runs, pa.list_(pa.struct([("start", pa.int32()), ("until", pa.int32())]))),
-        } | ({key: table.column(key)} if key else {}))
+        } | {c: table.column(c) for c in carried})
 
-    out = blocks.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(
-        cut, "doc_id long, n_bytes long, n_removed long, kept binary, spans array<struct<start:int,until:int>>"
-        + (f", {key} long" if key else ""))
+    schema = T.StructType.fromDDL("doc_id long, n_bytes long, n_removed long, kept binary, spans array<struct<start:int,until:int>>")
+    schema = T.StructType([*schema.fields, *[docs.schema[c] for c in carried]])
+    out = blocks.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(cut, schema)
     return out.withColumn("n_spans", F.size("spans").cast("long"))
