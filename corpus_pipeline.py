@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chronotab.llm import containment, mixing, order_minhash, quality, suffix_dedup
 from chronotab.llm.queries import shared_folder
-from chronotab.llm.scratch import written
 from chronotab.session import cut_lineage, prepare_session
 
 #: Rule ensembles and alignments are not expressible in SQL; tests check every stage by brute force.
@@ -64,16 +63,19 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Bytes of a character that is cut through go as well (as do characters U+FFFD of a document that is
     cut). A document of which nothing is left goes; null and empty texts stay.
     """
-    # by column and compressed: a checkpoint of whole rows would stand beside the blocks' exchange
-    rows, _ = written(wrapped(docs).withColumn("key", F.monotonically_increasing_id()), "rows")
-    cut = suffix_dedup.remove_repeats(rows.select("key", *fields("doc_id", "text")), key="key")
-    left = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", "")
-    changed = cut.where("n_removed > 0").select("key", left.alias("left"))
-    out = rows.select("key", "row").join(changed, "key", "left").where("left is null or trim(left) <> ''")
-    whole = F.col("row").withField("text", F.col("left"))
-    if "n_chars" in docs.columns:
-        whole = whole.withField("n_chars", F.length("left").cast(docs.schema["n_chars"].dataType))
-    return out.select(F.when(F.col("left").isNull(), F.col("row")).otherwise(whole).alias("row")).select("row.*")
+    # the other columns travel with the text: whole rows are dealt once and joined to nothing
+    rest = [c for c in docs.columns if c != "text"]
+    rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("id"), F.col("text").isNull().alias("none"),
+                       F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"))
+    cut = suffix_dedup.remove_repeats(rows, key="id", keep=("none", "row"))
+    left = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "\ufffd", "")
+    text = F.when(F.col("none"), F.lit(None)).when(F.col("n_removed") > 0, left).otherwise(F.col("kept").cast("string"))
+    out = cut.select("n_removed", "row", text.alias("text")).where("n_removed = 0 or trim(text) <> ''")
+    changed = {"text": F.col("text")}
+    if "n_chars" in rest:
+        n_chars = F.length("text").cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(F.col("n_removed") > 0, n_chars).otherwise(F.col("row.n_chars"))
+    return out.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
