@@ -63,9 +63,10 @@ def counter_rate(samples: DataFrame, series: Sequence[str], ts: str = "ts", valu
 def gauge_ratio_pct(a: DataFrame, b: DataFrame, keys: Sequence[str], name: str = "pct",
                     complement: bool = False) -> DataFrame:
     """L2: ``a / b * 100`` (or ``(1 - a / b) * 100``) for samples present in both, joined on
-    labels and time."""
+    labels and time. Over zero the ratio is an infinity or NaN, as for any double."""
     j = a.select(*keys, F.col("value").alias("_a")).join(b.select(*keys, F.col("value").alias("_b")), list(keys))
-    r = F.col("_a") / F.col("_b")
+    # an ANSI session refuses to divide by zero; the power has the sign of the zero
+    r = F.when(F.col("_b") != 0, F.col("_a") / F.col("_b")).otherwise(F.col("_a") * F.pow("_b", F.lit(-1.0)))
     return j.select(*keys, (((F.lit(1.0) - r) if complement else r) * 100.0).alias(name))
 
 

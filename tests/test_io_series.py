@@ -198,3 +198,13 @@ def test_scoring_stream_quarantines_and_logs(spark):
     out = M.run_to_table(stream, "decide", foreach_batch=decisions_writer(contract, model, 0.5, "id", f"{d}/bad"))
     assert {r["request_id"] for r in out.collect()} == {"1", "3"}
     assert [r["id"] for r in spark.read.parquet(f"{d}/bad").collect()] == [2]
+
+
+def test_ratio_over_zero_is_that_of_doubles(spark):
+    a = spark.createDataFrame([(1, 5.0), (2, -5.0), (3, 0.0), (4, 5.0), (5, 6.0), (6, None), (7, 5.0)], "k int, value double")
+    b = spark.createDataFrame([(1, 0.0), (2, 0.0), (3, 0.0), (4, -0.0), (5, 8.0), (6, 0.0), (7, None)], "k int, value double")
+    got = {r.k: r.pct for r in L.gauge_ratio_pct(a, b, ["k"]).collect()}
+    inf = float("inf")
+    assert got[3] != got[3] and {k: got[k] for k in (1, 2, 4, 5, 6, 7)} == {1: inf, 2: -inf, 4: -inf, 5: 75.0, 6: None, 7: None}
+    used = {r.k: r.pct for r in L.gauge_ratio_pct(a, b, ["k"], complement=True).collect()}
+    assert used[1] == -inf and used[5] == 25.0
