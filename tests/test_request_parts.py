@@ -46,3 +46,31 @@ def test_event_request_parts(spark):
     assert parts.where(F.size("history") > 3).count() == 0
     assert parts.where("part > 0").count() > 0
     assert _joined(parts, "trans_num", ["history"]) == _joined(whole, "trans_num", ["history"])
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_event_requests_are_cut_without_shuffling_pairs(spark):
+    """Events and history are dealt once each; keys that come twice keep one joint history."""
+    tx = spark.createDataFrame([(i, i % 3 if i % 7 else None, f"2024-01-{1 + i % 28:02d} 0{i % 9}:00:00", float(i)) for i in range(1, 90)],
+                               "trans_num long, card long, at string, amt double").selectExpr("trans_num", "card", "CAST(at AS timestamp_ntz) AS trans_ts", "amt")
+    sel = tx.where("trans_num % 4 = 0")
+    req = N.range_history_join(sel, tx, "card", "trans_ts", "trans_num", ["trans_ts", "amt"])
+    assert _plan(req).count("Exchange") <= 2
+    want = {}
+    rows = tx.collect()
+    for e in sel.collect():
+        want[e.trans_num] = sorted((h.trans_ts, h.amt) for h in rows if e.card is not None and h.card == e.card and h.trans_ts < e.trans_ts)
+    got = {r.trans_num: [tuple(x) for x in r.history] for r in req.collect()}
+    assert got == want and max(map(len, want.values())) > 5
+    twice = N.range_history_join(sel.unionByName(sel.where("trans_num = 80")), tx, "card", "trans_ts", "trans_num", ["trans_ts", "amt"])
+    both = [[tuple(x) for x in r.history] for r in twice.where("trans_num = 80").collect()]
+    assert both == [sorted(want[80] * 2)] * 2 and twice.where("trans_num <> 80").count() == len(want) - 1
+
+
+def test_windows_shuffle_plain_columns(spark):
+    from chronotab.operators.windows import event_features
+    plan = _plan(event_features(D.card_transactions(Tables(spark, SF)), hot_card_rows=None))
+    assert plan.count("Exchange hashpartitioning") == 1 and "_c2" not in plan.split("Exchange hashpartitioning")[1]
