@@ -170,3 +170,15 @@ def test_log_of_growing_day_files(spark):
     assert out.select("request_id").exceptAll(log.select("request_id").distinct()).isEmpty()
     assert out.count() == log.select("request_id").distinct().count()
     assert out.where("day <> date_format(ts, 'yyyy-MM-dd') or domain <> 'events'").isEmpty()
+
+
+def test_cards_of_a_slot_are_taken_together_and_kept_apart():
+    import pandas as pd
+    rng = random.Random(4)
+    past = pd.DataFrame([(f"+{k % 5}", rng.randrange(40) * 10**11, rng.choice([S.ABSENT, 12500, 31000]), rng.choice(["a", "b", None]), 30 * 10**6, -90 * 10**6)
+                         for k in range(200)], columns=S.HISTORY)
+    now = pd.DataFrame([(f"+{k % 6}", rng.randrange(40) * 10**11, rng.choice(["a", "b", None]), float(k)) for k in range(60)], columns=["card", "t", "cat", "amt"])
+    together = S.card_features(past, now, 25 * 10**11)
+    for card, rows in now.groupby("card"):
+        pd.testing.assert_frame_equal(together.loc[rows.index], S.card_features(past[past["card"] == card], rows, 25 * 10**11))
+    assert together["CC_CATEGORY_TXN_COUNT_30D"].max() > 2
