@@ -18,7 +18,6 @@ from chronotab.plans.catalog import register
 from chronotab.plans.domains import load_domain
 from chronotab.plans.q_events import FEATURE_SQL
 from chronotab.plans.sqlparts import anchor_cte, mature_expr, split_case
-from chronotab.session import cut_lineage
 
 # Each column of the reference's tables as an expression that both engines read alike.
 APPLICATION = {
@@ -76,7 +75,7 @@ def credit_tables(t):
 
 
 def credit_features(t):
-    return t.derived("credit_features", lambda: cut_lineage(credit.build_credit_features(credit_tables(t))))
+    return t.derived("credit_features", lambda: credit.build_credit_features(credit_tables(t)))
 
 
 # an offset before the decision is a negative one, in days as in months
