@@ -1,6 +1,7 @@
 """Fraud window features on the reference's fixture (E2-E12, T1, T2, T4) plus brute-force
 recompute (D10), bucket splitting (P4) and the stream twin (M3)."""
 
+import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
@@ -109,6 +110,22 @@ def test_card_with_a_third_of_all_rows(spark):
     assert "hashpartitioning(card#" in plan and "_rng" in plan
 
 
+def test_only_cards_cut_by_a_range_are_read_at_probes(spark, monkeypatch):
+    """Hot cards that lie in one range are read in place; probe rows are for those a range's end cuts."""
+    from chronotab.operators import order
+    rows = [(c * 100 + i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=7 * (i // 2) + c), None if c == 12 else c, "ab"[i % 2],
+             None if i % 9 == 4 else float(i % 5), 36.0, -81.0, 36.0 + i / 100, -81.0 - i / 100) for c in range(13) for i in range(20 + 400 * (c == 5))]
+    tx = spark.createDataFrame(rows, "trans_num long, trans_ts timestamp_ntz, card long, category string, amt double, "
+                                     "lat double, long double, merch_lat double, merch_long double")
+    probed, prefix_totals = set(), order.prefix_totals
+    monkeypatch.setattr(order, "prefix_totals", lambda df, *a, **k: probed.update(
+        r.card for r in df.select("card").distinct().collect()) or prefix_totals(df, *a, **k))
+    got = event_features(tx, hot_card_rows=10, n_buckets=4)
+    want = event_features(tx, hot_card_rows=None)
+    assert want.exceptAll(got).count() == 0 and got.exceptAll(want).count() == 0
+    assert 5 in probed and len(probed) <= 3
+
+
 def test_recompute_of_all_features(spark):
     """No feature differs, with ties, nulls and a card that holds a third of all events; one that
     looks at the event itself does."""
